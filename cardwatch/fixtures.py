@@ -25,11 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def transactions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order, money as text (``$1234.50``, ``$-77.50``), ids typed."""
     orders = table(spark, sf_dir, "orders")
-    # nation (25 rows) and region (5 rows) are fixed-size TPC-H dimensions; the planner
-    # broadcasts them from their file statistics.
-    geo = table(spark, sf_dir, "nation").join(
+    # nation (25 rows) and region (5 rows) have a fixed size at every scale factor, so the
+    # broadcast is bounded; without the hint a small orders file could be broadcast instead.
+    geo = F.broadcast(table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    ).select("n_nationkey", "n_name", "r_name")
+    ).select("n_nationkey", "n_name", "r_name"))
     key = F.col("o_orderkey")
     return orders.join(geo, (key % 25) == F.col("n_nationkey")).select(
         key.alias("id"),

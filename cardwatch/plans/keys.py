@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 from cardwatch import fixtures
 from cardwatch.functions import rules
+from cardwatch.operators import evaluate, features, sampling
 from cardwatch.operators import silver as sv
 from cardwatch.operators import views
 from cardwatch.plans import gold as gd
+from cardwatch.plans import predict as pr
+from cardwatch.schemas import CATEGORY_FEATURES
 
 
 def _dom(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -104,6 +107,101 @@ def q_explain_rules(spark, sf_dir):
                     F.array_join(rules.reasons(), "; ").alias("explication"))
 
 
+def q_predict_batch(spark, sf_dir):
+    out = pr.predict(pr.requests_from(silver(spark, sf_dir)))
+    return out.withColumn("explication", F.array_join("explication", "; "))
+
+
+# ---- training data -----------------------------------------------------------------------
+
+def complete(spark, sf_dir):
+    return sampling.complete_rows(gd.labelled(silver(spark, sf_dir)))
+
+
+def q_silver_labelled(spark, sf_dir):
+    return gd.labelled(silver(spark, sf_dir))
+
+
+def q_train_complete_rows(spark, sf_dir):
+    return complete(spark, sf_dir)
+
+
+def q_row_counts(spark, sf_dir):
+    stages = [
+        ("transactions", latest_transactions(spark, sf_dir)),
+        ("silver", silver(spark, sf_dir)),
+        ("complete", complete(spark, sf_dir)),
+    ]
+    out = None
+    for name, df in stages:
+        part = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("stage"), "n")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_class_counts(spark, sf_dir):
+    return sampling.class_counts(complete(spark, sf_dir))
+
+
+def q_class_weights(spark, sf_dir):
+    return sampling.class_weights(complete(spark, sf_dir)).select("id", "label", "class_weight")
+
+
+def balanced(spark, sf_dir):
+    return sampling.undersample(complete(spark, sf_dir))
+
+
+def q_undersample_balanced(spark, sf_dir):
+    return balanced(spark, sf_dir).select("id", "label")
+
+
+def q_sample_fraction(spark, sf_dir):
+    return sampling.sample_fraction(complete(spark, sf_dir), 0.1).select("id", "label")
+
+
+def q_sample_if_large(spark, sf_dir):
+    return sampling.sample_if_large(complete(spark, sf_dir), 0.3).select("id", "label")
+
+
+def q_split_train(spark, sf_dir):
+    return sampling.split(balanced(spark, sf_dir), 0.8)[0].select("id", "label")
+
+
+def q_split_test(spark, sf_dir):
+    return sampling.split(balanced(spark, sf_dir), 0.8)[1].select("id", "label")
+
+
+def q_string_index(spark, sf_dir):
+    rows = complete(spark, sf_dir)
+    return features.index_categories(rows).select("id", *[f"{c}_idx" for c in CATEGORY_FEATURES])
+
+
+def q_feature_rows(spark, sf_dir):
+    rows = complete(spark, sf_dir)
+    indexed = features.index_categories(rows)
+    assembled = features.assembler("error").transform(indexed)
+    out = features.features_as_columns(assembled)
+    return out.select("id", *[c for c in out.columns if c.startswith("f_")])
+
+
+# ---- evaluation on the rule-scored gold table --------------------------------------------
+
+def q_confusion_matrix(spark, sf_dir):
+    return evaluate.confusion_matrix(gold(spark, sf_dir))
+
+
+def q_classification_metrics(spark, sf_dir):
+    return evaluate.classification_metrics(gold(spark, sf_dir))
+
+
+def q_roc_auc(spark, sf_dir):
+    return evaluate.roc_auc(gold(spark, sf_dir))
+
+
+def q_roc_curve(spark, sf_dir):
+    return evaluate.roc_points(gold(spark, sf_dir))
+
+
 REGISTRY = {
     "join_users": q_join_users,
     "join_cards": q_join_cards,
@@ -120,4 +218,21 @@ REGISTRY = {
     "v_avg_amount_by_class": q_v_avg_amount_by_class,
     "v_top_suspect_clients": q_v_top_suspect_clients,
     "explain_rules": q_explain_rules,
+    "predict_batch": q_predict_batch,
+    "silver_labelled": q_silver_labelled,
+    "train_complete_rows": q_train_complete_rows,
+    "row_counts": q_row_counts,
+    "class_counts": q_class_counts,
+    "class_weights": q_class_weights,
+    "undersample_balanced": q_undersample_balanced,
+    "sample_fraction": q_sample_fraction,
+    "sample_if_large": q_sample_if_large,
+    "split_train": q_split_train,
+    "split_test": q_split_test,
+    "string_index": q_string_index,
+    "feature_rows": q_feature_rows,
+    "confusion_matrix": q_confusion_matrix,
+    "classification_metrics": q_classification_metrics,
+    "roc_auc": q_roc_auc,
+    "roc_curve": q_roc_curve,
 }

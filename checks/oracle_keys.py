@@ -64,3 +64,117 @@ FROM gold GROUP BY client_id ORDER BY moyenne_proba DESC NULLS FIRST, client_id
 
 ORACLE["explain_rules"] = with_(*BASE, body=f"""
 SELECT id, {K_EXPR} AS rules_fired, {REASONS_EXPR} AS explication FROM silver""")
+
+from checks.oracle_sql import BALANCED, COMPLETE, hash_below  # noqa: E402
+
+TRAIN = BASE + (COMPLETE,)
+CATS = ["use_chip", "card_brand", "card_type", "has_chip", "gender"]
+
+ORACLE["predict_batch"] = with_(*BASE, body=f"""
+SELECT id,
+       CASE WHEN ({K_EXPR}) >= 3 THEN 'FRAUDE' ELSE 'TRANSACTION NORMALE' END AS prediction,
+       round(CAST({K_EXPR} AS DOUBLE) / 7.0, 4) AS fraude_probabilite,
+       {REASONS_EXPR} AS explication
+FROM (SELECT id, amount, CAST(credit_score AS DOUBLE) AS credit_score,
+             CAST(num_credit_cards AS DOUBLE) AS num_credit_cards,
+             CAST(num_cards_issued AS DOUBLE) AS num_cards_issued, latitude, longitude,
+             use_chip, card_brand, card_type, has_chip, gender
+      FROM silver) r
+WHERE amount IS NOT NULL AND credit_score IS NOT NULL AND num_credit_cards IS NOT NULL
+  AND num_cards_issued IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL
+  AND use_chip IS NOT NULL AND card_brand IS NOT NULL AND card_type IS NOT NULL
+  AND has_chip IS NOT NULL AND gender IS NOT NULL""")
+
+ORACLE["silver_labelled"] = with_(*BASE, body="SELECT * FROM silver WHERE label IS NOT NULL")
+
+ORACLE["train_complete_rows"] = with_(*TRAIN, body="SELECT * FROM complete")
+
+ORACLE["row_counts"] = with_(*TRAIN, body="""
+SELECT 'transactions' AS stage, count(*) AS n FROM latest
+UNION ALL SELECT 'silver', count(*) FROM silver
+UNION ALL SELECT 'complete', count(*) FROM complete""")
+
+ORACLE["class_counts"] = with_(*TRAIN, body="""
+SELECT count(*) FILTER (WHERE label = 0) AS count_0, count(*) FILTER (WHERE label = 1) AS count_1,
+       least(count(*) FILTER (WHERE label = 0), count(*) FILTER (WHERE label = 1)) AS minority
+FROM complete""")
+
+ORACLE["class_weights"] = with_(*TRAIN, body="""
+SELECT id, label,
+       CAST(label AS DOUBLE) * (SELECT CAST(count(*) FILTER (WHERE label = 0) AS DOUBLE)
+                                       / count(*) FILTER (WHERE label = 1) FROM complete)
+       + (CAST(1.0 AS DOUBLE) - CAST(label AS DOUBLE)) AS class_weight
+FROM complete""")
+
+ORACLE["undersample_balanced"] = with_(*TRAIN, BALANCED, body="SELECT id, label FROM balanced")
+
+ORACLE["sample_fraction"] = with_(*TRAIN, body=f"""
+SELECT id, label FROM complete WHERE {hash_below('s2:', '1999999a')}""")
+
+ORACLE["sample_if_large"] = with_(*TRAIN, body=f"""
+SELECT id, label FROM complete
+WHERE (SELECT count(*) FROM complete) <= 50000 OR {hash_below('s3:', '4ccccccd')}""")
+
+ORACLE["split_train"] = with_(*TRAIN, BALANCED, body=f"""
+SELECT id, label FROM balanced WHERE {hash_below('', 'cccccccd')}""")
+
+ORACLE["split_test"] = with_(*TRAIN, BALANCED, body=f"""
+SELECT id, label FROM balanced WHERE NOT ({hash_below('', 'cccccccd')})""")
+
+_IDX = ",".join(f"""
+idx_{c} AS (SELECT {c} AS v, CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS DOUBLE) AS idx
+            FROM complete WHERE {c} IS NOT NULL GROUP BY {c})""" for c in CATS)
+_IDX_COLS = ", ".join(f"COALESCE(i_{c}.idx, (SELECT CAST(count(*) AS DOUBLE) FROM idx_{c})) AS {c}_idx"
+                      for c in CATS)
+_IDX_JOINS = " ".join(f"LEFT JOIN idx_{c} i_{c} ON s.{c} = i_{c}.v" for c in CATS)
+INDEXED = f"""
+indexed AS (SELECT s.*, {_IDX_COLS} FROM complete s {_IDX_JOINS})"""
+
+ORACLE["string_index"] = with_(*TRAIN, _IDX, INDEXED, body=f"""
+SELECT id, {", ".join(f"{c}_idx" for c in CATS)} FROM indexed""")
+
+_FEATS = ["amount", "credit_score", "num_credit_cards", "num_cards_issued", "latitude", "longitude"] + \
+    [f"{c}_idx" for c in CATS]
+ORACLE["feature_rows"] = with_(*TRAIN, _IDX, INDEXED, body="SELECT id, " + ", ".join(
+    f"CAST({f} AS DOUBLE) AS f_{f}" for f in _FEATS) + " FROM indexed")
+
+ORACLE["confusion_matrix"] = with_(*GOLD, body="""
+SELECT a.actual, a.predicted,
+       (SELECT count(*) FROM gold g WHERE g.label = a.actual AND g.label_pred = a.predicted) AS n
+FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) a(actual, predicted)""")
+
+_COUNTS = """
+counts AS (
+  SELECT CAST(count(*) FILTER (WHERE label = 0 AND label_pred = 0) AS DOUBLE) AS tn,
+         CAST(count(*) FILTER (WHERE label = 0 AND label_pred = 1) AS DOUBLE) AS fp,
+         CAST(count(*) FILTER (WHERE label = 1 AND label_pred = 0) AS DOUBLE) AS fn,
+         CAST(count(*) FILTER (WHERE label = 1 AND label_pred = 1) AS DOUBLE) AS tp
+  FROM gold
+), pr AS (
+  SELECT tn, fp, fn, tp,
+         CASE WHEN tp + fp = 0 THEN NULL ELSE tp / (tp + fp) END AS precision,
+         CASE WHEN tp + fn = 0 THEN NULL ELSE tp / (tp + fn) END AS recall
+  FROM counts
+)"""
+
+ORACLE["classification_metrics"] = with_(*GOLD, _COUNTS, body="""
+SELECT CASE WHEN tp + tn + fp + fn = 0 THEN NULL ELSE (tp + tn) / (tp + tn + fp + fn) END AS accuracy,
+       precision, recall,
+       CASE WHEN precision + recall = 0 THEN NULL ELSE 2.0 * precision * recall / (precision + recall) END AS f1
+FROM pr""")
+
+_ROC = """
+sg AS (SELECT fraud_probability AS s, CAST(sum(label) AS BIGINT) AS pos, CAST(sum(1 - label) AS BIGINT) AS neg
+       FROM gold GROUP BY 1),
+cum AS (SELECT s, pos, neg,
+               sum(pos) OVER (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cp,
+               sum(neg) OVER (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cn,
+               sum(pos) OVER () AS tp, sum(neg) OVER () AS tn
+        FROM sg)"""
+
+ORACLE["roc_auc"] = with_(*GOLD, _ROC, body="""
+SELECT round(sum(CAST(neg AS DOUBLE) * (cp - pos / 2.0)) / (CAST(max(tp) AS DOUBLE) * CAST(max(tn) AS DOUBLE)), 6)
+       AS auc FROM cum""")
+
+ORACLE["roc_curve"] = with_(*GOLD, _ROC, body="""
+SELECT s AS threshold, CAST(cn AS DOUBLE) / tn AS fpr, CAST(cp AS DOUBLE) / tp AS tpr FROM cum""")
