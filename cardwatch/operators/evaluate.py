@@ -25,12 +25,13 @@ def confusion_matrix(df: DataFrame, label_col: str = "label", pred_col: str = "l
         "stack(4, 0, 0, tn, 0, 1, fp, 1, 0, fn, 1, 1, tp) AS (actual, predicted, n)"))
 
 
-def metrics_from_counts(counts: DataFrame) -> DataFrame:
+def metrics_from_counts(counts: DataFrame, keep_counts: bool = False) -> DataFrame:
     """accuracy, precision, recall, f1 of class 1; NULL where a denominator is zero."""
     tn, fp, fn, tp = (F.col(c).cast("double") for c in ("tn", "fp", "fn", "tp"))
     precision = F.try_divide(tp, tp + fp)
     recall = F.try_divide(tp, tp + fn)
     return counts.select(
+        *(["tn", "fp", "fn", "tp"] if keep_counts else []),
         F.try_divide(tp + tn, tp + tn + fp + fn).alias("accuracy"),
         precision.alias("precision"),
         recall.alias("recall"),

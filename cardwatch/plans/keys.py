@@ -236,3 +236,11 @@ REGISTRY = {
     "roc_auc": q_roc_auc,
     "roc_curve": q_roc_curve,
 }
+
+
+def registry() -> dict:
+    """All registered keys (relational, I/O, model)."""
+    from cardwatch.plans.keys_io import IO_REGISTRY
+    from cardwatch.plans.keys_models import MODEL_REGISTRY
+
+    return {**REGISTRY, **IO_REGISTRY, **MODEL_REGISTRY}

@@ -178,3 +178,70 @@ SELECT round(sum(CAST(neg AS DOUBLE) * (cp - pos / 2.0)) / (CAST(max(tp) AS DOUB
 
 ORACLE["roc_curve"] = with_(*GOLD, _ROC, body="""
 SELECT s AS threshold, CAST(cn AS DOUBLE) / tn AS fpr, CAST(cp AS DOUBLE) / tp AS tpr FROM cum""")
+
+# ---- sources, snapshots, sinks -------------------------------------------------------------
+
+_DATE_TXT = "strftime(date_insertion, '%Y-%m-%d')"
+
+ORACLE["snapshot_dates"] = with_(MAPPING, body=f"SELECT DISTINCT {_DATE_TXT} AS snapshot_date FROM transactions")
+
+ORACLE["snapshot_bounds"] = with_(MAPPING, body=f"""
+SELECT {_DATE_TXT} AS snapshot_date, min(id) AS lo, max(id) AS hi, count(*) AS n FROM transactions GROUP BY 1""")
+
+ORACLE["bronze_write"] = with_(MAPPING, body="SELECT * FROM transactions")
+
+ORACLE["snapshot_latest"] = with_(MAPPING, body="SELECT * FROM latest")
+
+ORACLE["dates_to_load"] = with_(MAPPING, body=f"""
+SELECT DISTINCT {_DATE_TXT} AS snapshot_date FROM transactions
+WHERE date_insertion <> (SELECT min(date_insertion) FROM transactions)""")
+
+ORACLE["static_snapshots"] = with_(MAPPING, body="""
+SELECT u.*, d.date_insertion FROM users_data u CROSS JOIN (SELECT DISTINCT date_insertion FROM transactions) d""")
+
+ORACLE["snapshot_prefix_70"] = with_(MAPPING, body="""
+SELECT id FROM (SELECT id, row_number() OVER (ORDER BY id) AS rn, count(*) OVER () AS c FROM transactions_all) x
+WHERE rn <= floor(c * 0.7)""")
+
+_NAN = "CASE WHEN lower(trim({0})) IN ('nan', '') THEN NULL ELSE {0} END AS {0}"
+ORACLE["ingest_transactions"] = with_(MAPPING, body=f"""
+SELECT CAST(TRY_CAST(CAST(id AS VARCHAR) AS DOUBLE) AS BIGINT) AS id, date,
+       {_NAN.format('client_id')}, {_NAN.format('card_id')},
+       {money('amount_raw')} AS amount,
+       {_NAN.format('use_chip')}, {_NAN.format('merchant_city')}, {_NAN.format('merchant_state')}, {_NAN.format('mcc')},
+       DATE '2025-01-02' AS date_insertion
+FROM transactions_all WHERE TRY_CAST(CAST(id AS VARCHAR) AS DOUBLE) IS NOT NULL""")
+
+ORACLE["dedupe_first_wins"] = with_(MAPPING, body="""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY date_insertion) AS rn FROM transactions) x WHERE rn = 1""")
+
+ORACLE["csv_read"] = with_(MAPPING, body="SELECT * FROM users_data")
+ORACLE["mcc_from_json"] = with_(MAPPING, body="SELECT * FROM mcc_codes")
+ORACLE["labels_from_json"] = with_(MAPPING, body="SELECT * FROM train_fraud_labels")
+ORACLE["json_permissive"] = with_(MAPPING, body="SELECT * FROM cards_data")
+ORACLE["silver_table"] = ORACLE["silver_transactions"]
+ORACLE["gold_export"] = ORACLE["gold_scored"]
+
+_AUC = """
+, auc AS (SELECT round(sum(CAST(neg AS DOUBLE) * (cp - pos / 2.0)) / (CAST(max(tp) AS DOUBLE) * CAST(max(tn) AS DOUBLE)), 6)
+          AS auc FROM cum)
+, wide AS (
+  SELECT CASE WHEN tp + tn + fp + fn = 0 THEN NULL ELSE (tp + tn) / (tp + tn + fp + fn) END AS accuracy,
+         precision, recall,
+         CASE WHEN precision + recall = 0 THEN NULL ELSE 2.0 * precision * recall / (precision + recall) END AS f1,
+         (SELECT auc FROM auc) AS auc
+  FROM pr)"""
+
+ORACLE["metrics_write"] = with_(*GOLD, _COUNTS, _ROC + _AUC, body="""
+SELECT 'accuracy' AS metric, accuracy AS value FROM wide
+UNION ALL SELECT 'precision', precision FROM wide
+UNION ALL SELECT 'recall', recall FROM wide
+UNION ALL SELECT 'f1', f1 FROM wide
+UNION ALL SELECT 'auc', auc FROM wide""")
+
+ORACLE["metrics_read"] = with_(*GOLD, _COUNTS, _ROC + _AUC, body="SELECT * FROM wide")
+
+ORACLE["jdbc_partitioned_read"] = ORACLE["snapshot_latest"]
+ORACLE["gold_jdbc"] = ORACLE["gold_scored"]
+ORACLE["predict_stream"] = ORACLE["predict_batch"]
