@@ -63,9 +63,10 @@ def reasons() -> Column:
     return F.when(F.size(kept) == 0, F.array(F.lit(NO_REASON))).otherwise(kept)
 
 
-def rule_probability() -> Column:
-    return rules_fired() / F.lit(float(RULE_COUNT))
+def rule_probability(k: Column | None = None) -> Column:
+    """Share of rules fired; pass an already computed count column to avoid re-evaluating the rules."""
+    return (rules_fired() if k is None else k) / F.lit(float(RULE_COUNT))
 
 
-def rule_decision() -> Column:
-    return F.when(rules_fired() >= RULE_FRAUD_FROM, F.lit(1.0)).otherwise(F.lit(0.0))
+def rule_decision(k: Column | None = None) -> Column:
+    return F.when((rules_fired() if k is None else k) >= RULE_FRAUD_FROM, F.lit(1.0)).otherwise(F.lit(0.0))

@@ -42,6 +42,7 @@ def smallest_k(
     group_col: str | None = None,
     buckets: int = DEFAULT_BUCKETS,
     exact_limit: int = DEFAULT_EXACT_LIMIT,
+    persist_input: bool = True,
 ) -> DataFrame:
     """Rows of ``df`` that rank ``<= k_of(counts)[g]`` within their group by ``order``.
 
@@ -50,6 +51,9 @@ def smallest_k(
     ``{group: k}``; it runs on the driver over one small dictionary.
     """
     gcol = F.col(group_col) if group_col else F.lit(0)
+    if persist_input:
+        # The counting passes and the final selection all read ``df``: compute it once.
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
     slim = df.select(gcol.alias("__g"), F.col(key_col).alias("__k")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         stats = {r["__g"]: (r["n"], r["lo"], r["hi"]) for r in

@@ -25,10 +25,10 @@ def labelled(silver: DataFrame) -> DataFrame:
 
 
 def score_with_rules(df: DataFrame) -> DataFrame:
-    return df.withColumns({
-        "rules_fired": rules_fired(),
-        "label_pred": rule_decision(),
-        "fraud_probability": rule_probability(),
+    k = F.col("rules_fired")
+    return df.withColumn("rules_fired", rules_fired()).withColumns({
+        "label_pred": rule_decision(k),
+        "fraud_probability": rule_probability(k),
     })
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwatch.functions.rules import reasons, rule_decision, rule_probability
+from cardwatch.functions.rules import reasons, rule_decision, rule_probability, rules_fired
 from cardwatch.functions.scalar import class_text, vector_element
 from cardwatch.schemas import REQUEST
 
@@ -26,7 +26,9 @@ def predict(requests: DataFrame, model=None, keep=("id",)) -> DataFrame:
     Without a model the rule scorer decides; with a fitted pipeline, its class-1 probability.
     """
     if model is None:
-        scored = requests.withColumns({"__pred": rule_decision(), "__p": rule_probability()})
+        k = F.col("__k")
+        scored = requests.withColumn("__k", rules_fired()).withColumns(
+            {"__pred": rule_decision(k), "__p": rule_probability(k)})
     else:
         scored = model.transform(requests).withColumns(
             {"__pred": F.col("prediction"), "__p": vector_element("probability", 1)})

@@ -55,14 +55,18 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType, drop_corrupt: bool = True,
                     **opts) -> DataFrame:
-    """Line JSON, PERMISSIVE; corrupt lines are dropped via the declared corrupt-record column."""
+    """Line JSON, PERMISSIVE; corrupt lines are dropped via the declared corrupt-record column.
+
+    Lines are read as text (splittable) and parsed with ``from_json``, so a query that needs no
+    data column (``count()``) still parses every line and still drops the corrupt ones.
+    """
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
-    reader = tolerant(spark.read.schema(full).option("mode", "PERMISSIVE")
-                      .option("columnNameOfCorruptRecord", CORRUPT), **opts)
-    df = reader.json(path)
+    lines = tolerant(spark.read, **opts).text(path).where(F.trim(F.col("value")) != "")  # blank lines are no records
+    parsed = lines.select(F.from_json(F.col("value"), full, {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("r")).select("r.*")
     if drop_corrupt:
-        df = df.where(F.col(CORRUPT).isNull())
-    return require_columns(df.drop(CORRUPT), path)
+        parsed = parsed.where(F.col(CORRUPT).isNull())
+    return require_columns(parsed.drop(CORRUPT), path)
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
