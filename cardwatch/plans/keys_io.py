@@ -7,6 +7,7 @@ sub folder named after the input, with overwrite semantics; they then read their
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cardwatch import fixtures
 from cardwatch.operators import evaluate
@@ -58,7 +59,7 @@ def q_static_snapshots(spark, sf_dir):
     path = _p(spark, sf_dir, "bronze", "users_data")
     stamped = snapshots.replicate_static(fixtures.users_data(spark, sf_dir), dates)
     snapshots.write_snapshots(stamped, path)
-    schema = USERS.add("date_insertion", "date")
+    schema = T.StructType(USERS.fields + [T.StructField("date_insertion", T.DateType())])
     return snapshots.read_snapshots(spark, path, schema)
 
 

@@ -59,7 +59,9 @@ def test_snapshot_rewrite_is_idempotent(spark, scratch):
         "id", F.to_date("d").alias("date_insertion"))
     snapshots.write_snapshots(df, p)
     snapshots.write_snapshots(df.where("id = 2"), p)  # rerun of one date replaces only that date
-    schema = CARDS.add("date_insertion", "date")
+    from pyspark.sql import types as T
+
+    schema = T.StructType(CARDS.fields + [T.StructField("date_insertion", T.DateType())])
     assert snapshots.read_snapshots(spark, p, schema).count() == 2
     committed = snapshots.committed_dates(spark, p)
     wanted = spark.createDataFrame([("2025-01-02",), ("2025-01-03",)], "snapshot_date string")
