@@ -2,11 +2,12 @@
 
 Plan shape (checked with ``explain``): the ``amount > 0`` and ``id IS NOT NULL`` filters are
 pushed below the left joins into the fact scan; users, cards and codes are key-deduplicated
-(so a duplicated dimension key cannot fan out transactions) and then either broadcast by the
-planner/AQE when their measured size is under the broadcast threshold, or sort-merge joined
-with AQE splitting skewed fact partitions (a client holding a third of all rows). The label
-table is fact-sized; it is aggregated on the same text key the join uses, so its side of the
-join is not shuffled twice.
+(so a duplicated dimension key cannot fan out transactions) and then joined by
+``joins.dimension_join``: broadcast when their counted size is under ``max_broadcast_rows``,
+else a salted sort-merge join that splits hot keys (a client holding a third of all rows).
+The label table is fact-sized and keyed by transaction id (no hot keys); it is aggregated on
+the same text key the join uses, so its side of the join is not shuffled twice, and the
+planner/AQE picks broadcast or sort-merge from its measured size.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from cardwatch.functions.scalar import label_to_int, money_to_double
 from cardwatch.operators.dedupe import first_per_key
+from cardwatch.operators.joins import MAX_BROADCAST_ROWS, dimension_join
 
 USER_MONEY = ["per_capita_income", "yearly_income", "total_debt"]
 CARD_MONEY = ["credit_limit"]
@@ -50,16 +52,25 @@ def labels_dim(labels: DataFrame, dedupe: bool = True) -> DataFrame:
     return first_per_key(lab, ["label_transaction_id"]) if dedupe else lab
 
 
-def join_users(tx: DataFrame, users: DataFrame, dedupe: bool = True) -> DataFrame:
-    return tx.join(users_dim(users, dedupe), "client_id", "left")
+def _join_dim(tx: DataFrame, dim: DataFrame, key: str, dedupe: bool, max_broadcast_rows: int) -> DataFrame:
+    if not dedupe:  # duplicate keys would make the salted join replicate them; keep it plain
+        return tx.join(dim, key, "left")
+    return dimension_join(tx, dim, key, "left", max_broadcast_rows=max_broadcast_rows)
 
 
-def join_cards(tx: DataFrame, cards: DataFrame, dedupe: bool = True) -> DataFrame:
-    return tx.join(cards_dim(cards, dedupe), "card_id", "left")
+def join_users(tx: DataFrame, users: DataFrame, dedupe: bool = True,
+               max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    return _join_dim(tx, users_dim(users, dedupe), "client_id", dedupe, max_broadcast_rows)
 
 
-def join_mcc(tx: DataFrame, mcc: DataFrame, dedupe: bool = True) -> DataFrame:
-    return tx.join(mcc_dim(mcc, dedupe), "mcc", "left")
+def join_cards(tx: DataFrame, cards: DataFrame, dedupe: bool = True,
+               max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    return _join_dim(tx, cards_dim(cards, dedupe), "card_id", dedupe, max_broadcast_rows)
+
+
+def join_mcc(tx: DataFrame, mcc: DataFrame, dedupe: bool = True,
+             max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    return _join_dim(tx, mcc_dim(mcc, dedupe), "mcc", dedupe, max_broadcast_rows)
 
 
 def join_labels(tx: DataFrame, labels: DataFrame, dedupe: bool = True) -> DataFrame:
@@ -68,11 +79,11 @@ def join_labels(tx: DataFrame, labels: DataFrame, dedupe: bool = True) -> DataFr
 
 
 def silver_join(tx: DataFrame, users: DataFrame, cards: DataFrame, mcc: DataFrame, labels: DataFrame,
-                dedupe: bool = True) -> DataFrame:
+                dedupe: bool = True, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """The 5-table left-join chain, fact on the left."""
-    out = join_users(tx, users, dedupe)
-    out = join_cards(out, cards, dedupe)
-    out = join_mcc(out, mcc, dedupe)
+    out = join_users(tx, users, dedupe, max_broadcast_rows)
+    out = join_cards(out, cards, dedupe, max_broadcast_rows)
+    out = join_mcc(out, mcc, dedupe, max_broadcast_rows)
     return join_labels(out, labels, dedupe)
 
 
@@ -86,12 +97,13 @@ def encode_label(df: DataFrame) -> DataFrame:
 
 
 def build_silver(tx: DataFrame, users: DataFrame, cards: DataFrame, mcc: DataFrame, labels: DataFrame,
-                 dedupe: bool = True, unlabelled: str = "keep") -> DataFrame:
+                 dedupe: bool = True, unlabelled: str = "keep", max_broadcast_rows: int = MAX_BROADCAST_ROWS
+                 ) -> DataFrame:
     """Silver table: joined, positive amounts only, money parsed, label encoded, id present.
 
     ``unlabelled="drop"`` removes transactions without a label row instead of calling them genuine.
     """
-    out = silver_join(tx, users, cards, mcc, labels, dedupe)
+    out = silver_join(tx, users, cards, mcc, labels, dedupe, max_broadcast_rows)
     out = out.where(F.col("amount") > 0)
     out = clean_money(out)
     if unlabelled == "drop":

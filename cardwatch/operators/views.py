@@ -46,3 +46,20 @@ def top_suspect_clients(gold: DataFrame, k: int = TOP_CLIENTS) -> DataFrame:
         _frauds().alias("nb_fraudes"),
     )
     return agg.orderBy(F.col("moyenne_proba").desc_nulls_first(), F.col("client_id").asc()).limit(k)
+
+
+VIEW_NAMES = {
+    "v_taux_fraude_global": global_fraud_rate,
+    "v_fraude_par_ville_etat": fraud_by_city_state,
+    "v_montant_moyen_par_type": avg_amount_by_class,
+    "v_top_clients_suspects": top_suspect_clients,
+}
+
+
+def register_views(gold: DataFrame, prefix: str = "") -> list[str]:
+    """CREATE OR REPLACE the four views (session temp views) over ``gold``; returns their names."""
+    names = []
+    for name, build in VIEW_NAMES.items():
+        build(gold).createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
+    return names

@@ -243,4 +243,7 @@ def registry() -> dict:
     from cardwatch.plans.keys_io import IO_REGISTRY
     from cardwatch.plans.keys_models import MODEL_REGISTRY
 
-    return {**REGISTRY, **IO_REGISTRY, **MODEL_REGISTRY}
+    from cardwatch.plans.keys_io import q_silver_labelled_table
+
+    # silver_labelled scans the catalog table that silver_table publishes
+    return {**REGISTRY, **IO_REGISTRY, **MODEL_REGISTRY, "silver_labelled": q_silver_labelled_table}

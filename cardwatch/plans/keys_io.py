@@ -115,6 +115,12 @@ def q_silver_table(spark, sf_dir):
                             _p(spark, sf_dir, "warehouse"))
 
 
+def q_silver_labelled_table(spark, sf_dir):
+    """Catalog scan of the published silver table, ``WHERE label IS NOT NULL``."""
+    table = q_silver_table(spark, sf_dir)
+    return table.where(F.col("label").isNotNull())
+
+
 def q_gold_export(spark, sf_dir):
     path = _p(spark, sf_dir, "gold", "transactions_scored")
     store.export_parquet(K.gold(spark, sf_dir), path)

@@ -23,3 +23,10 @@ def test_views_group_null_keys(spark):
     assert (r["merchant_city"], r["total_transactions"], r["nb_fraudes"]) == (None, 2, 1)
     by = {r["est_fraude"]: r["montant_moyen"] for r in views.avg_amount_by_class(g).collect()}
     assert by == {1.0: 10.0, 0.0: 30.0}
+
+
+def test_register_views(spark):
+    rows = [(1, "a", 10.0, "c", "s", 1, 1.0, 0.9)]
+    names = views.register_views(spark.createDataFrame(rows, GOLD), prefix="t_")
+    assert spark.sql(f"SELECT total_transactions FROM {names[0]}").first()[0] == 1
+    assert spark.sql("SELECT client_id FROM t_v_top_clients_suspects").first()[0] == "a"
