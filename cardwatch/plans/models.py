@@ -52,7 +52,7 @@ def classifier(variant: Variant):
     return RandomForestClassifier(**common, **variant.params)
 
 
-def pipeline(variant: Variant, null_policy: str = "skip") -> Pipeline:
+def build_estimator(variant: Variant, null_policy: str = "skip") -> Pipeline:
     return Pipeline(stages=[features.category_indexer(), features.assembler(null_policy), classifier(variant)])
 
 
@@ -76,7 +76,7 @@ def train(silver: DataFrame, variant_name: str = "gbt") -> tuple[PipelineModel,
     train_df, test_df = sampling.split(data, 0.8)
     train_df = train_df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = pipeline(variant).fit(train_df)
+        model = build_estimator(variant).fit(train_df)
     finally:
         train_df.unpersist()
     scored = score_with_model(model, test_df)

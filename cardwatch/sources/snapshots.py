@@ -80,11 +80,12 @@ def dates_to_load(source_dates: DataFrame, committed: DataFrame) -> DataFrame:
     return source_dates.join(committed, PART, "left_anti")
 
 
-def load_missing(spark: SparkSession, source: DataFrame, path: str, date_col: str = "date_insertion") -> DataFrame:
-    """Write only the snapshots missing from ``path``; returns the dates that were loaded."""
-    todo = dates_to_load(snapshot_dates(source, date_col), committed_dates(spark, path))
-    wanted = source.withColumn(PART, date_text(date_col)).join(todo, PART, "left_semi").drop(PART)
-    write_snapshots(wanted, path, date_col)
+def load_missing(spark: SparkSession, source: DataFrame, path: str, date_col: str = "date_insertion") -> list[str]:
+    """Write only the snapshots missing from ``path``; returns the dates loaded (one per day, bounded)."""
+    todo = sorted(r[0] for r in dates_to_load(snapshot_dates(source, date_col), committed_dates(spark, path)).collect())
+    if todo:
+        wanted = source.where(date_text(date_col).isin(todo))
+        write_snapshots(wanted, path, date_col)
     return todo
 
 

@@ -23,7 +23,7 @@ def _synthetic(spark, n=600, fraud_share=0.6):
 
 def test_majority_fraud_prediction_stays_in_label_space(spark):
     df = _synthetic(spark)
-    model = models.pipeline(models.Variant("t", "gbt", {"maxIter": 5, "maxDepth": 3}, "balance", False)).fit(df)
+    model = models.build_estimator(models.Variant("t", "gbt", {"maxIter": 5, "maxDepth": 3}, "balance", False)).fit(df)
     scored = score_with_model(model, df)
     acc = scored.where(F.col("label_pred") == F.col("label")).count() / df.count()
     assert acc > 0.9  # 1.0 means fraud even though fraud is the majority class
@@ -33,7 +33,7 @@ def test_majority_fraud_prediction_stays_in_label_space(spark):
 
 def test_save_load_roundtrip_and_null_policy(spark, scratch):
     df = _synthetic(spark, 300, 0.3)
-    model = models.pipeline(models.Variant("t", "rf", {"numTrees": 5, "maxDepth": 3}, "balance", False)).fit(df)
+    model = models.build_estimator(models.Variant("t", "rf", {"numTrees": 5, "maxDepth": 3}, "balance", False)).fit(df)
     models.save(model, scratch + "/m")
     loaded = models.load(scratch + "/m")
     a = score_with_model(model, df).select("id", F.col("fraud_probability").alias("a"))

@@ -87,3 +87,18 @@ def test_ingest_and_first_wins(spark):
     assert first == {1: "a", 2: "c"}
     existing = spark.createDataFrame([(2,)], "id bigint")
     assert [r["id"] for r in ingest.append_new(existing, dup).collect()] == [1]
+
+
+def test_load_missing_writes_only_new_dates(spark, scratch):
+    p = os.path.join(scratch, "bronze")
+    src = spark.createDataFrame([(1, "2025-01-01"), (2, "2025-01-02"), (3, "2025-01-02")],
+                                "id bigint, d string").select("id", F.to_date("d").alias("date_insertion"))
+    assert snapshots.load_missing(spark, src.where("id = 1"), p) == ["2025-01-01"]
+    assert snapshots.load_missing(spark, src, p) == ["2025-01-02"]
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("date_insertion", T.DateType())])
+    got = sorted(r["id"] for r in snapshots.read_snapshots(spark, p, schema).collect())
+    assert got == [1, 2, 3]
+    assert snapshots.load_missing(spark, src, p) == []  # a rerun loads nothing and duplicates nothing
+    assert sorted(r["id"] for r in snapshots.read_snapshots(spark, p, schema).collect()) == [1, 2, 3]
