@@ -52,12 +52,15 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
 
 def dimension_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
                    max_broadcast_rows: int = MAX_BROADCAST_ROWS, rows_per_task: int = ROWS_PER_TASK,
-                   max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
+                   max_hot_keys: int = MAX_HOT_KEYS, size_probe: DataFrame | None = None) -> DataFrame:
     """Join a key-unique dimension: broadcast when its counted size allows, else salted sort-merge.
 
-    The dimension is persisted before it is counted, so the count and the join read it once.
+    ``size_probe`` is any frame at least as large as ``dim`` - typically the dimension before
+    de-duplication, whose count is a cheap column-pruned scan with no shuffle. The broadcast is
+    only chosen when that count proves the size bound.
     """
-    dim = dim.persist(StorageLevel.MEMORY_AND_DISK)
-    if dim.count() <= max_broadcast_rows:
+    if (size_probe if size_probe is not None else dim).count() <= max_broadcast_rows:
         return fact.join(F.broadcast(dim), key, how)
+    # Used twice below (hot-key replication and the join): compute the de-duplicated side once.
+    dim = dim.persist(StorageLevel.MEMORY_AND_DISK)
     return salted_join(fact, dim, key, how, rows_per_task, max_hot_keys)

@@ -30,20 +30,32 @@ SILVER_COLUMNS = [
 ]
 
 
+def _users_keyed(users: DataFrame) -> DataFrame:
+    return users.withColumnsRenamed({"id": "client_id"}).withColumn("client_id", F.col("client_id").cast("string"))
+
+
+def _cards_keyed(cards: DataFrame) -> DataFrame:
+    return cards.withColumnsRenamed({"id": "card_id", "client_id": "card_client_id"}).withColumn(
+        "card_id", F.col("card_id").cast("string"))
+
+
+def _mcc_keyed(mcc: DataFrame) -> DataFrame:
+    return mcc.withColumnsRenamed({"mcc_code": "mcc"})
+
+
 def users_dim(users: DataFrame, dedupe: bool = True) -> DataFrame:
     """users keyed by ``client_id`` as text (the fact key is text; comparing text avoids ANSI cast errors)."""
-    u = users.withColumnsRenamed({"id": "client_id"}).withColumn("client_id", F.col("client_id").cast("string"))
+    u = _users_keyed(users)
     return first_per_key(u, ["client_id"]) if dedupe else u
 
 
 def cards_dim(cards: DataFrame, dedupe: bool = True) -> DataFrame:
-    c = cards.withColumnsRenamed({"id": "card_id", "client_id": "card_client_id"}).withColumn(
-        "card_id", F.col("card_id").cast("string"))
+    c = _cards_keyed(cards)
     return first_per_key(c, ["card_id"]) if dedupe else c
 
 
 def mcc_dim(mcc: DataFrame, dedupe: bool = True) -> DataFrame:
-    m = mcc.withColumnsRenamed({"mcc_code": "mcc"})
+    m = _mcc_keyed(mcc)
     return first_per_key(m, ["mcc"]) if dedupe else m
 
 
@@ -52,25 +64,27 @@ def labels_dim(labels: DataFrame, dedupe: bool = True) -> DataFrame:
     return first_per_key(lab, ["label_transaction_id"]) if dedupe else lab
 
 
-def _join_dim(tx: DataFrame, dim: DataFrame, key: str, dedupe: bool, max_broadcast_rows: int) -> DataFrame:
+def _join_dim(tx: DataFrame, keyed: DataFrame, key: str, dedupe: bool, max_broadcast_rows: int) -> DataFrame:
     if not dedupe:  # duplicate keys would make the salted join replicate them; keep it plain
-        return tx.join(dim, key, "left")
-    return dimension_join(tx, dim, key, "left", max_broadcast_rows=max_broadcast_rows)
+        return tx.join(keyed, key, "left")
+    # The raw dimension bounds the de-duplicated one from above: count it (no shuffle needed).
+    return dimension_join(tx, first_per_key(keyed, [key]), key, "left", max_broadcast_rows=max_broadcast_rows,
+                          size_probe=keyed.select(key))
 
 
 def join_users(tx: DataFrame, users: DataFrame, dedupe: bool = True,
                max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    return _join_dim(tx, users_dim(users, dedupe), "client_id", dedupe, max_broadcast_rows)
+    return _join_dim(tx, _users_keyed(users), "client_id", dedupe, max_broadcast_rows)
 
 
 def join_cards(tx: DataFrame, cards: DataFrame, dedupe: bool = True,
                max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    return _join_dim(tx, cards_dim(cards, dedupe), "card_id", dedupe, max_broadcast_rows)
+    return _join_dim(tx, _cards_keyed(cards), "card_id", dedupe, max_broadcast_rows)
 
 
 def join_mcc(tx: DataFrame, mcc: DataFrame, dedupe: bool = True,
              max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    return _join_dim(tx, mcc_dim(mcc, dedupe), "mcc", dedupe, max_broadcast_rows)
+    return _join_dim(tx, _mcc_keyed(mcc), "mcc", dedupe, max_broadcast_rows)
 
 
 def join_labels(tx: DataFrame, labels: DataFrame, dedupe: bool = True) -> DataFrame:

@@ -17,7 +17,11 @@ def _train_report(spark, sf_dir, variant):
     """Metrics of the variant on its held-out 20 %: counts, accuracy/precision/recall/F1, exact AUC."""
     _, scored = models.train(K.silver(spark, sf_dir), variant)
     wide = evaluate.metrics_from_counts(evaluate.confusion_counts(scored), keep_counts=True)
-    return wide.withColumns({"auc": evaluate.roc_auc(scored).select("auc").scalar(), "variant": F.lit(variant)})
+    return wide.withColumns({
+        "auc": evaluate.roc_auc(scored).select("auc").scalar(),
+        "auc_mllib": F.lit(models.mllib_auc(scored)),  # MLlib's binned estimate, for comparison
+        "variant": F.lit(variant),
+    })
 
 
 def q_train_gbt(spark, sf_dir):

@@ -70,15 +70,16 @@ def prepare(df: DataFrame, variant: Variant) -> DataFrame:
 
 
 def train(silver: DataFrame, variant_name: str = "gbt") -> tuple[PipelineModel, DataFrame]:
-    """Fit the variant on its 80 % part; return the model and the scored 20 % part."""
+    """Fit the variant on its 80 % part; return the model and the scored 20 % part.
+
+    The prepared set (undersampled or sampled) is persisted: the fit, the scoring of the test
+    part and every evaluation read it, and recomputing silver and the sampling for each would
+    cost more than keeping the prepared rows. Executor loss only means recomputing from lineage.
+    """
     variant = VARIANTS[variant_name]
-    data = prepare(silver, variant)
+    data = prepare(silver, variant).persist(StorageLevel.MEMORY_AND_DISK)
     train_df, test_df = sampling.split(data, 0.8)
-    train_df = train_df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = build_estimator(variant).fit(train_df)
-    finally:
-        train_df.unpersist()
+    model = build_estimator(variant).fit(train_df)
     scored = score_with_model(model, test_df)
     return model, scored
 
