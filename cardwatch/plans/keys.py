@@ -148,7 +148,8 @@ def q_class_weights(spark, sf_dir):
 
 
 def balanced(spark, sf_dir):
-    return sampling.undersample(complete(spark, sf_dir))
+    # silver here is recomputed from the test tables, not read from a table: keep it while sampling
+    return sampling.undersample(complete(spark, sf_dir), persist_input=True)
 
 
 def q_undersample_balanced(spark, sf_dir):

@@ -15,7 +15,7 @@ from cardwatch.session import scope_of, shared_path
 
 def _train_report(spark, sf_dir, variant):
     """Metrics of the variant on its held-out 20 %: counts, accuracy/precision/recall/F1, exact AUC."""
-    _, scored = models.train(K.silver(spark, sf_dir), variant)
+    _, scored = models.train(K.silver(spark, sf_dir), variant, persist_input=True)
     wide = evaluate.metrics_from_counts(evaluate.confusion_counts(scored), keep_counts=True)
     return wide.withColumns({
         "auc": evaluate.roc_auc(scored).select("auc").scalar(),
@@ -43,7 +43,7 @@ def q_train_rf_basic(spark, sf_dir):
 def q_model_roundtrip(spark, sf_dir):
     """Fit, save, load, and score gold with the loaded model; ``same`` compares both models."""
     silver = K.silver(spark, sf_dir)
-    model, _ = models.train(silver, "gbt")
+    model, _ = models.train(silver, "gbt", persist_input=True)
     path = shared_path(spark, scope_of(sf_dir), "models", "gbt")
     models.save(model, path)
     loaded = models.load(path)

@@ -56,10 +56,10 @@ def build_estimator(variant: Variant, null_policy: str = "skip") -> Pipeline:
     return Pipeline(stages=[features.category_indexer(), features.assembler(null_policy), classifier(variant)])
 
 
-def prepare(df: DataFrame, variant: Variant) -> DataFrame:
+def prepare(df: DataFrame, variant: Variant, persist_input: bool = False) -> DataFrame:
     rows = sampling.complete_rows(df)
     if variant.prepare == "balance":
-        rows = sampling.undersample(rows)
+        rows = sampling.undersample(rows, persist_input=persist_input)
     elif variant.prepare == "sample10":
         rows = sampling.sample_fraction(rows, 0.1)
     else:
@@ -69,15 +69,17 @@ def prepare(df: DataFrame, variant: Variant) -> DataFrame:
     return rows
 
 
-def train(silver: DataFrame, variant_name: str = "gbt") -> tuple[PipelineModel, DataFrame]:
+def train(silver: DataFrame, variant_name: str = "gbt", persist_input: bool = False
+          ) -> tuple[PipelineModel, DataFrame]:
     """Fit the variant on its 80 % part; return the model and the scored 20 % part.
 
     The prepared set (undersampled or sampled) is persisted: the fit, the scoring of the test
     part and every evaluation read it, and recomputing silver and the sampling for each would
     cost more than keeping the prepared rows. Executor loss only means recomputing from lineage.
+    ``persist_input`` also keeps ``silver`` itself while sampling (for a lineage, not a table).
     """
     variant = VARIANTS[variant_name]
-    data = prepare(silver, variant).persist(StorageLevel.MEMORY_AND_DISK)
+    data = prepare(silver, variant, persist_input).persist(StorageLevel.MEMORY_AND_DISK)
     train_df, test_df = sampling.split(data, 0.8)
     model = build_estimator(variant).fit(train_df)
     scored = score_with_model(model, test_df)
