@@ -18,8 +18,23 @@ SECOND_SNAPSHOT = dt.date(2025, 1, 2)
 FIRST_SNAPSHOT_SHARE = Decimal("0.7")  # exact decimal, not a binary float
 
 
+# Declared, not inferred: reading a footer to infer a schema is one extra Spark job per scan
+# at plan time (and a footer read per file on a large input).
+TEST_TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    reader = spark.read.schema(TEST_TABLES[name]) if name in TEST_TABLES else spark.read
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def transactions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,23 +43,20 @@ def transactions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     # nation (25 rows) and region (5 rows) have a fixed size at every scale factor, so the
     # broadcast is bounded; without the hint a small orders file could be broadcast instead.
     geo = F.broadcast(table(spark, sf_dir, "nation").join(
-        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    ).select("n_nationkey", "n_name", "r_name"))
-    key = F.col("o_orderkey")
-    return orders.join(geo, (key % 25) == F.col("n_nationkey")).select(
-        key.alias("id"),
-        F.col("o_orderdate").alias("date"),
-        F.col("o_custkey").cast("string").alias("client_id"),
-        F.col("o_custkey").cast("string").alias("card_id"),
-        F.concat(
-            F.when(key % 10 == 0, F.lit("$-")).otherwise(F.lit("$")),
-            F.floor(F.col("o_totalprice") / 100).cast("bigint").cast("string"),
-            F.lit(".50"),
-        ).alias("amount_raw"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("No")).otherwise(F.lit("Yes")).alias("use_chip"),
-        F.col("n_name").alias("merchant_city"),
-        F.col("r_name").alias("merchant_state"),
-        (key % 30).cast("string").alias("mcc"),
+        table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey")
+    ).selectExpr("n_nationkey", "n_name", "r_name"))
+    # SQL expression text: one planner call per column instead of one per Column method.
+    return orders.join(geo, F.expr("o_orderkey % 25 = n_nationkey")).selectExpr(
+        "o_orderkey AS id",
+        "o_orderdate AS date",
+        "CAST(o_custkey AS STRING) AS client_id",
+        "CAST(o_custkey AS STRING) AS card_id",
+        "concat(CASE WHEN o_orderkey % 10 = 0 THEN '$-' ELSE '$' END, "
+        "CAST(CAST(floor(o_totalprice / 100) AS BIGINT) AS STRING), '.50') AS amount_raw",
+        "CASE WHEN o_orderpriority = '1-URGENT' THEN 'No' ELSE 'Yes' END AS use_chip",
+        "n_name AS merchant_city",
+        "r_name AS merchant_state",
+        "CAST(o_orderkey % 30 AS STRING) AS mcc",
     )
 
 
@@ -73,53 +85,46 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def users_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").where(F.col("c_custkey") % 20 != 0)
-    k = F.col("c_custkey")
-    seg = F.col("c_mktsegment")
-    return c.select(
-        k.alias("id"),
-        F.when(seg == "MACHINERY", "Female").when(seg == "BUILDING", "Male")
-        .when(seg == "HOUSEHOLD", "Female").when(seg == "FURNITURE", "Male")
-        .otherwise("Unknown").alias("gender"),
-        (F.lit(300) + F.floor(F.abs(F.col("c_acctbal")) / 20)).cast("bigint").alias("credit_score"),
-        (k % 11).cast("bigint").alias("num_credit_cards"),
-        (F.lit(20) + F.col("c_nationkey") * F.lit(1.5)).cast("double").alias("latitude"),
-        (F.lit(-120) + F.col("c_nationkey") * 2).cast("double").alias("longitude"),
-        F.concat(F.lit("$"), (F.lit(20000) + k).cast("string")).alias("per_capita_income"),
-        F.concat(F.lit("$"), (F.lit(40000) + k).cast("string")).alias("yearly_income"),
-        F.concat(F.lit("$1,"), F.lpad((k % 1000).cast("string"), 3, "0"), F.lit(".25")).alias("total_debt"),
+    return table(spark, sf_dir, "customer").where("c_custkey % 20 <> 0").selectExpr(
+        "c_custkey AS id",
+        "CASE c_mktsegment WHEN 'MACHINERY' THEN 'Female' WHEN 'BUILDING' THEN 'Male' "
+        "WHEN 'HOUSEHOLD' THEN 'Female' WHEN 'FURNITURE' THEN 'Male' ELSE 'Unknown' END AS gender",
+        "CAST(300 + floor(abs(c_acctbal) / 20) AS BIGINT) AS credit_score",
+        "CAST(c_custkey % 11 AS BIGINT) AS num_credit_cards",
+        "CAST(20 + c_nationkey * 1.5D AS DOUBLE) AS latitude",
+        "CAST(-120 + c_nationkey * 2 AS DOUBLE) AS longitude",
+        "concat('$', CAST(20000 + c_custkey AS STRING)) AS per_capita_income",
+        "concat('$', CAST(40000 + c_custkey AS STRING)) AS yearly_income",
+        "concat('$1,', lpad(CAST(c_custkey % 1000 AS STRING), 3, '0'), '.25') AS total_debt",
     )
 
 
 def cards_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").where(F.col("c_custkey") % 10 != 9)
-    k = F.col("c_custkey")
-    return c.select(
-        k.alias("id"),
-        k.alias("client_id"),
-        F.when(k % 3 == 0, "Visa").when(k % 3 == 1, "Mastercard").otherwise("Amex").alias("card_brand"),
-        F.when(k % 2 == 0, "Debit").otherwise("Credit").alias("card_type"),
-        F.when(k % 4 == 0, "NO").otherwise("YES").alias("has_chip"),
-        (k % 7).cast("bigint").alias("num_cards_issued"),
-        F.concat(F.lit("$"), (F.lit(1000) + k % 9000).cast("string")).alias("credit_limit"),
+    return table(spark, sf_dir, "customer").where("c_custkey % 10 <> 9").selectExpr(
+        "c_custkey AS id",
+        "c_custkey AS client_id",
+        "CASE WHEN c_custkey % 3 = 0 THEN 'Visa' WHEN c_custkey % 3 = 1 THEN 'Mastercard' ELSE 'Amex' END "
+        "AS card_brand",
+        "CASE WHEN c_custkey % 2 = 0 THEN 'Debit' ELSE 'Credit' END AS card_type",
+        "CASE WHEN c_custkey % 4 = 0 THEN 'NO' ELSE 'YES' END AS has_chip",
+        "CAST(c_custkey % 7 AS BIGINT) AS num_cards_issued",
+        "concat('$', CAST(1000 + c_custkey % 9000 AS STRING)) AS credit_limit",
     )
 
 
 def mcc_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").cast("string").alias("mcc_code"), F.col("n_name").alias("description")
-    )
+    return table(spark, sf_dir, "nation").selectExpr("CAST(n_nationkey AS STRING) AS mcc_code",
+                                                     "n_name AS description")
 
 
 def train_fraud_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One label per order that has line items: 'Yes' when any line is a large return."""
-    li = table(spark, sf_dir, "lineitem")
-    flag = F.when((F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 48), 1).otherwise(0)
     # Grouped on the text key the label join uses, so the join reuses this partitioning.
     return (
-        li.groupBy(F.col("l_orderkey").cast("string").alias("transaction_id"))
-        .agg(F.max(flag).alias("m"))
-        .select("transaction_id", F.when(F.col("m") == 1, "Yes").otherwise("No").alias("label"))
+        table(spark, sf_dir, "lineitem")
+        .groupBy(F.expr("CAST(l_orderkey AS STRING) AS transaction_id"))
+        .agg(F.expr("max(CASE WHEN l_returnflag = 'R' AND l_quantity >= 48 THEN 1 ELSE 0 END) AS m"))
+        .selectExpr("transaction_id", "CASE WHEN m = 1 THEN 'Yes' ELSE 'No' END AS label")
     )
 
 

@@ -30,37 +30,39 @@ RULE_COUNT = 7
 RULE_FRAUD_FROM = 3
 
 
-def rule_predicates() -> list[tuple[Column, str]]:
+def rule_sql() -> list[tuple[str, str]]:
+    """(SQL predicate, reason) per rule, in rule order."""
     lo, hi = LATITUDE_BAND
+    genders = ", ".join(f"'{g}'" for g in KNOWN_GENDERS)
     return [
-        (F.col("amount") > AMOUNT_LIMIT, REASON_HIGH_AMOUNT),
-        (F.col("credit_score") < CREDIT_SCORE_FLOOR, REASON_LOW_CREDIT),
-        ((F.col("latitude") > hi) | (F.col("latitude") < lo), REASON_UNUSUAL_PLACE),
-        (F.lower(F.col("use_chip")) == "no", REASON_NO_CHIP),
-        (F.col("num_cards_issued") > CARDS_ISSUED_LIMIT, REASON_MANY_CARDS_ISSUED),
-        (F.col("num_credit_cards") > CREDIT_CARDS_LIMIT, REASON_TOO_MANY_CARDS),
-        (~F.lower(F.col("gender")).isin(*KNOWN_GENDERS), REASON_UNKNOWN_GENDER),
+        (f"amount > {AMOUNT_LIMIT}", REASON_HIGH_AMOUNT),
+        (f"credit_score < {CREDIT_SCORE_FLOOR}", REASON_LOW_CREDIT),
+        (f"(latitude > {hi} OR latitude < {lo})", REASON_UNUSUAL_PLACE),
+        ("lower(use_chip) = 'no'", REASON_NO_CHIP),
+        (f"num_cards_issued > {CARDS_ISSUED_LIMIT}", REASON_MANY_CARDS_ISSUED),
+        (f"num_credit_cards > {CREDIT_CARDS_LIMIT}", REASON_TOO_MANY_CARDS),
+        (f"NOT (lower(gender) IN ({genders}))", REASON_UNKNOWN_GENDER),
     ]
 
 
-def fired(pred: Column) -> Column:
-    """1 when the rule fires, 0 when it does not or its input is NULL."""
-    return F.when(pred, F.lit(1)).otherwise(F.lit(0))
+def _text(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def rule_predicates() -> list[tuple[Column, str]]:
+    return [(F.expr(p), text) for p, text in rule_sql()]
 
 
 def rules_fired() -> Column:
-    """Number of rules that fire (int)."""
-    total = None
-    for pred, _ in rule_predicates():
-        total = fired(pred) if total is None else total + fired(pred)
-    return total
+    """Number of rules that fire (int); a rule whose input is NULL does not fire."""
+    return F.expr(" + ".join(f"CASE WHEN {p} THEN 1 ELSE 0 END" for p, _ in rule_sql()))
 
 
 def reasons() -> Column:
     """array<string> of reasons in rule order; the default text when none fires."""
-    candidates = F.array(*[F.when(pred, F.lit(text)) for pred, text in rule_predicates()])
-    kept = F.filter(candidates, lambda x: x.isNotNull())
-    return F.when(F.size(kept) == 0, F.array(F.lit(NO_REASON))).otherwise(kept)
+    candidates = ", ".join(f"CASE WHEN {p} THEN {_text(t)} END" for p, t in rule_sql())
+    kept = f"filter(array({candidates}), x -> x IS NOT NULL)"
+    return F.expr(f"CASE WHEN size({kept}) = 0 THEN array({_text(NO_REASON)}) ELSE {kept} END")
 
 
 def rule_probability(k: Column | None = None) -> Column:

@@ -12,9 +12,18 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+# For a column given by name, each function is one SQL expression (one planner call); for a
+# Column it composes the same expression from Column methods.
+
 def money_to_double(c: ColumnOrName) -> Column:
     """``$1,234.50`` -> 1234.5; empty or malformed text -> NULL (never an error under ANSI)."""
-    return _try_double(F.regexp_replace(_col(c), r"[$,]", ""))
+    if isinstance(c, str):
+        return F.expr(f"try_cast(regexp_replace({_q(c)}, '[$,]', '') AS DOUBLE)")
+    return _try_double(F.regexp_replace(c, r"[$,]", ""))
 
 
 def _try_double(c: Column) -> Column:
@@ -23,7 +32,9 @@ def _try_double(c: Column) -> Column:
 
 def label_to_int(c: ColumnOrName = "label") -> Column:
     """'Yes' -> 1, anything else (including NULL) -> 0."""
-    return F.when(_col(c) == "Yes", F.lit(1)).otherwise(F.lit(0))
+    if isinstance(c, str):
+        return F.expr(f"CASE WHEN {_q(c)} = 'Yes' THEN 1 ELSE 0 END")
+    return F.when(c == "Yes", F.lit(1)).otherwise(F.lit(0))
 
 
 def date_text(c: ColumnOrName) -> Column:
@@ -33,13 +44,16 @@ def date_text(c: ColumnOrName) -> Column:
 
 def missing_text_to_null(c: ColumnOrName) -> Column:
     """Text that a float round trip turned into ``nan``/``NaN`` (or empty) becomes NULL."""
-    x = _col(c)
-    return F.when(F.lower(F.trim(x)).isin("nan", ""), F.lit(None).cast("string")).otherwise(x)
+    if isinstance(c, str):
+        return F.expr(f"CASE WHEN lower(trim({_q(c)})) IN ('nan', '') THEN CAST(NULL AS STRING) ELSE {_q(c)} END")
+    return F.when(F.lower(F.trim(c)).isin("nan", ""), F.lit(None).cast("string")).otherwise(c)
 
 
 def id_from_text(c: ColumnOrName) -> Column:
     """Numeric text -> bigint (fraction truncated); non-numeric -> NULL."""
-    return _try_double(_col(c)).cast("bigint")
+    if isinstance(c, str):
+        return F.expr(f"CAST(try_cast({_q(c)} AS DOUBLE) AS BIGINT)")
+    return _try_double(c).cast("bigint")
 
 
 def vector_element(c: ColumnOrName, i: int, default: float = 0.0) -> Column:

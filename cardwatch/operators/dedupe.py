@@ -14,21 +14,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = ()) -> DataFrame:
     """One row per key: the smallest by ``order``, ties broken by all remaining columns.
 
     Fully deterministic, whatever the partitioning or retry history.
     """
     keys = list(keys)
-    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    rest = [c for c in df.columns if c not in keys]
-    packed = F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order_cols)], *[F.col(c) for c in rest])
-    return (
-        df.groupBy(*keys)
-        .agg(F.min(packed).alias("__row"))
-        .select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest])
-        .select(*df.columns)
-    )
+    columns = df.columns
+    rest = [c for c in columns if c not in keys]
+    if all(isinstance(o, str) for o in order):
+        # Built as SQL text: a handful of planner calls however wide the row is.
+        fields = [f"'__o{i}', {_q(o)}" for i, o in enumerate(order)] + [f"'{c}', {_q(c)}" for c in rest]
+        packed = F.expr(f"min(named_struct({', '.join(fields)}))")
+    else:
+        packed = F.min(F.struct(*[(F.col(o) if isinstance(o, str) else o).alias(f"__o{i}")
+                                  for i, o in enumerate(order)], *[F.col(c) for c in rest]))
+    return df.groupBy(*keys).agg(packed.alias("__row")).selectExpr(
+        *[_q(c) if c in keys else f"__row.{_q(c)} AS {_q(c)}" for c in columns])
 
 
 def insert_if_absent(target: DataFrame, incoming: DataFrame, keys: Sequence[str],

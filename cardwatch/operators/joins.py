@@ -50,16 +50,31 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
     return f.join(d, [key, "__salt"], how).drop("__salt")
 
 
+def row_counts(frames: dict[str, DataFrame]) -> dict[str, int]:
+    """Row counts of several frames from one Spark job: a union of column-free projections,
+    counted per tag (partial counts are combined map-side; the driver receives one row per frame)."""
+    parts = [df.select(F.lit(tag).alias("__tag")) for tag, df in frames.items()]
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    got = {r["__tag"]: r["n"] for r in union.groupBy("__tag").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {tag: int(got.get(tag, 0)) for tag in frames}
+
+
 def dimension_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
                    max_broadcast_rows: int = MAX_BROADCAST_ROWS, rows_per_task: int = ROWS_PER_TASK,
-                   max_hot_keys: int = MAX_HOT_KEYS, size_probe: DataFrame | None = None) -> DataFrame:
+                   max_hot_keys: int = MAX_HOT_KEYS, size_probe: DataFrame | None = None,
+                   size_bound: int | None = None) -> DataFrame:
     """Join a key-unique dimension: broadcast when its counted size allows, else salted sort-merge.
 
     ``size_probe`` is any frame at least as large as ``dim`` - typically the dimension before
-    de-duplication, whose count is a cheap column-pruned scan with no shuffle. The broadcast is
-    only chosen when that count proves the size bound.
+    de-duplication, whose count is a cheap column-pruned scan with no shuffle. ``size_bound`` is
+    such a count already taken (``row_counts`` counts several dimensions in one job). The
+    broadcast is only chosen when a count proves the size bound.
     """
-    if (size_probe if size_probe is not None else dim).count() <= max_broadcast_rows:
+    if size_bound is None:
+        size_bound = (size_probe if size_probe is not None else dim).count()
+    if size_bound <= max_broadcast_rows:
         return fact.join(F.broadcast(dim), key, how)
     # Used twice below (hot-key replication and the join): compute the de-duplicated side once.
     dim = dim.persist(StorageLevel.MEMORY_AND_DISK)

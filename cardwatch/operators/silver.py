@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from cardwatch.functions.scalar import label_to_int, money_to_double
 from cardwatch.operators.dedupe import first_per_key
-from cardwatch.operators.joins import MAX_BROADCAST_ROWS, dimension_join
+from cardwatch.operators.joins import MAX_BROADCAST_ROWS, dimension_join, row_counts
 
 USER_MONEY = ["per_capita_income", "yearly_income", "total_debt"]
 CARD_MONEY = ["credit_limit"]
@@ -64,27 +64,28 @@ def labels_dim(labels: DataFrame, dedupe: bool = True) -> DataFrame:
     return first_per_key(lab, ["label_transaction_id"]) if dedupe else lab
 
 
-def _join_dim(tx: DataFrame, keyed: DataFrame, key: str, dedupe: bool, max_broadcast_rows: int) -> DataFrame:
+def _join_dim(tx: DataFrame, keyed: DataFrame, key: str, dedupe: bool, max_broadcast_rows: int,
+              size_bound: int | None = None) -> DataFrame:
     if not dedupe:  # duplicate keys would make the salted join replicate them; keep it plain
         return tx.join(keyed, key, "left")
     # The raw dimension bounds the de-duplicated one from above: count it (no shuffle needed).
     return dimension_join(tx, first_per_key(keyed, [key]), key, "left", max_broadcast_rows=max_broadcast_rows,
-                          size_probe=keyed.select(key))
+                          size_probe=keyed.select(key), size_bound=size_bound)
 
 
 def join_users(tx: DataFrame, users: DataFrame, dedupe: bool = True,
-               max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    return _join_dim(tx, _users_keyed(users), "client_id", dedupe, max_broadcast_rows)
+               max_broadcast_rows: int = MAX_BROADCAST_ROWS, size_bound: int | None = None) -> DataFrame:
+    return _join_dim(tx, _users_keyed(users), "client_id", dedupe, max_broadcast_rows, size_bound)
 
 
 def join_cards(tx: DataFrame, cards: DataFrame, dedupe: bool = True,
-               max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    return _join_dim(tx, _cards_keyed(cards), "card_id", dedupe, max_broadcast_rows)
+               max_broadcast_rows: int = MAX_BROADCAST_ROWS, size_bound: int | None = None) -> DataFrame:
+    return _join_dim(tx, _cards_keyed(cards), "card_id", dedupe, max_broadcast_rows, size_bound)
 
 
 def join_mcc(tx: DataFrame, mcc: DataFrame, dedupe: bool = True,
-             max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    return _join_dim(tx, _mcc_keyed(mcc), "mcc", dedupe, max_broadcast_rows)
+             max_broadcast_rows: int = MAX_BROADCAST_ROWS, size_bound: int | None = None) -> DataFrame:
+    return _join_dim(tx, _mcc_keyed(mcc), "mcc", dedupe, max_broadcast_rows, size_bound)
 
 
 def join_labels(tx: DataFrame, labels: DataFrame, dedupe: bool = True) -> DataFrame:
@@ -94,15 +95,19 @@ def join_labels(tx: DataFrame, labels: DataFrame, dedupe: bool = True) -> DataFr
 
 def silver_join(tx: DataFrame, users: DataFrame, cards: DataFrame, mcc: DataFrame, labels: DataFrame,
                 dedupe: bool = True, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """The 5-table left-join chain, fact on the left."""
-    out = join_users(tx, users, dedupe, max_broadcast_rows)
-    out = join_cards(out, cards, dedupe, max_broadcast_rows)
-    out = join_mcc(out, mcc, dedupe, max_broadcast_rows)
+    """The 5-table left-join chain, fact on the left.
+
+    The three dimension size checks are taken together, in one job over the raw dimensions."""
+    n = row_counts({"users": users, "cards": cards, "mcc": mcc}) if dedupe else {}
+    out = join_users(tx, users, dedupe, max_broadcast_rows, n.get("users"))
+    out = join_cards(out, cards, dedupe, max_broadcast_rows, n.get("cards"))
+    out = join_mcc(out, mcc, dedupe, max_broadcast_rows, n.get("mcc"))
     return join_labels(out, labels, dedupe)
 
 
 def clean_money(df: DataFrame, columns=tuple(USER_MONEY + CARD_MONEY)) -> DataFrame:
-    return df.withColumns({c: money_to_double(c) for c in columns if c in df.columns})
+    present = set(df.columns)
+    return df.withColumns({c: money_to_double(c) for c in columns if c in present})
 
 
 def encode_label(df: DataFrame) -> DataFrame:
