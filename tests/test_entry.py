@@ -41,3 +41,13 @@ def test_matches_duckdb(spark, duck, sf_small, key):
     want = sorted(tuple(str(_norm(r[ocols.index(c)])) for c in order) for r in res.fetchall())
     got = sorted(tuple(str(_norm(r[c])) for c in order) for r in df.collect())
     assert got == want
+
+
+def test_declared_test_table_schemas_match_files(spark, sf_small):
+    """The fixtures declare the test-table schemas instead of inferring them; they must agree."""
+    from cardwatch import fixtures
+
+    for name in fixtures.TEST_TABLES:
+        declared = fixtures.table(spark, sf_small, name).schema
+        inferred = spark.read.parquet(f"{sf_small}/{name}.parquet").schema
+        assert [(f.name, f.dataType) for f in declared] == [(f.name, f.dataType) for f in inferred], name

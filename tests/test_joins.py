@@ -68,3 +68,21 @@ def test_silver_with_forced_sort_merge(spark, sf_small):
     a = sv.build_silver(latest, d["users"], d["cards"], d["mcc"], d["labels"], max_broadcast_rows=0)
     b = sv.build_silver(latest, d["users"], d["cards"], d["mcc"], d["labels"])
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_row_counts_one_job_per_frame_tag(spark):
+    from cardwatch.operators.joins import row_counts
+
+    a = spark.range(10)
+    b = spark.range(3).where(F.col("id") > 0)
+    empty = spark.range(5).where(F.lit(False))
+    assert row_counts({"a": a, "b": b, "empty": empty}) == {"a": 10, "b": 2, "empty": 0}
+
+
+def test_join_users_with_given_size_bound_matches_counted(spark):
+    tx, users = _skewed(spark, n=3_000)
+    users = users.withColumnsRenamed({"client_id": "id"})
+    counted = sv.join_users(tx, users).orderBy("id").collect()
+    given = sv.join_users(tx, users, size_bound=users.count()).orderBy("id").collect()
+    salted = sv.join_users(tx, users, max_broadcast_rows=0, size_bound=users.count()).orderBy("id").collect()
+    assert counted == given == salted
