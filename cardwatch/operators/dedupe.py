@@ -18,6 +18,10 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _lit(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = ()) -> DataFrame:
     """One row per key: the smallest by ``order``, ties broken by all remaining columns.
 
@@ -26,9 +30,11 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     keys = list(keys)
     columns = df.columns
     rest = [c for c in columns if c not in keys]
+    if not rest and not order:
+        return df.select(*keys).distinct()
     if all(isinstance(o, str) for o in order):
         # Built as SQL text: a handful of planner calls however wide the row is.
-        fields = [f"'__o{i}', {_q(o)}" for i, o in enumerate(order)] + [f"'{c}', {_q(c)}" for c in rest]
+        fields = [f"'__o{i}', {_q(o)}" for i, o in enumerate(order)] + [f"{_lit(c)}, {_q(c)}" for c in rest]
         packed = F.expr(f"min(named_struct({', '.join(fields)}))")
     else:
         packed = F.min(F.struct(*[(F.col(o) if isinstance(o, str) else o).alias(f"__o{i}")

@@ -59,3 +59,14 @@ def test_latest_snapshot_prunes_partitions(spark, scratch):
     plan = latest._jdf.queryExecution().executedPlan().toString()
     scan = [line for line in plan.splitlines() if "PartitionFilters: [" in line]
     assert scan and "Subquery" in scan[0]  # the newest date prunes partitions; old ones are not read
+
+
+def test_first_per_key_odd_column_names_and_key_only(spark):
+    from cardwatch.operators.dedupe import first_per_key
+
+    df = spark.createDataFrame([(1, "b", 2), (1, "a", 3), (2, None, 1)], "k int, `it's` string, `x\\y` int")
+    out = {r["k"]: (r["it's"], r["x\\y"]) for r in first_per_key(df, ["k"]).collect()}
+    assert out == {1: ("a", 3), 2: (None, 1)}
+    by_order = {r["k"]: r["it's"] for r in first_per_key(df, ["k"], ["x\\y"]).collect()}
+    assert by_order == {1: "b", 2: None}
+    assert sorted(r["k"] for r in first_per_key(df.select("k"), ["k"]).collect()) == [1, 2]
