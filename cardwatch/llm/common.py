@@ -11,7 +11,9 @@ import unicodedata
 import uuid
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cardwatch.session import shared_path
 
@@ -112,3 +114,25 @@ def space_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     breaks = np.flatnonzero(kind == BREAK)
     return span_hashes(points, starts, ends), np.searchsorted(breaks, starts)
+
+
+def text_hash(text: bytes) -> int:
+    """What Spark's xxhash64 gives for a string, as a signed number."""
+    h = xxhash.xxh64_intdigest(text, 42)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``kept`` names by ``keep_id`` and ``keep_hash`` (xxhash64 of the text).
+
+    Null ids match null ids. If rows repeat both id and text, one of them stays.
+    """
+    names = kept.selectExpr("keep_id AS __id", "keep_hash AS __hash").distinct()
+    keyed = docs.withColumn("__h", F.expr("xxhash64(coalesce(text, ''))"))
+    chosen = keyed.join(names, F.expr("doc_id <=> __id AND __h = __hash"), "left_semi")
+    again = keyed.groupBy("doc_id", "__h").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").selectExpr("doc_id AS __id", "__h AS __hash")
+    if again.isEmpty():
+        return chosen.drop("__h")
+    same = F.expr("doc_id <=> __id AND __h = __hash")
+    once = chosen.join(again, same, "left_semi").dropDuplicates(["doc_id", "__h"])
+    return chosen.join(again, same, "left_anti").unionByName(once).drop("__h")

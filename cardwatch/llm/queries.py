@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.llm import bpe, packing
+from cardwatch.llm import bpe, exact_dedup, packing
 from cardwatch.llm.common import stage
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -23,6 +23,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                             "sha2(decoded, 256) AS decoded_sha256")
 
 
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("keep_hash")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
     return packing.pack(stage(cut, "pieces")).drop("lane")
@@ -30,6 +34,14 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {
     "op2_bpe": op2_bpe,
+    "op4_exact_dedup": op4_exact_dedup,
     "op8_packing": op8_packing,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_exact_dedup": r"""
+        WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS chars,
+                          sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256 FROM documents),
+             g AS (SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id) AS keep_id,
+                          count(*) OVER (PARTITION BY text_sha256) AS group_size FROM t)
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g""",
+}
