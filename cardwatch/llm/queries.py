@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.llm import bpe, exact_dedup, near_dedup, packing
+from cardwatch.llm import bpe, embedding_dedup, exact_dedup, near_dedup, packing
 from cardwatch.llm.common import stage
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -31,6 +31,10 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(table(spark, sf_dir, "documents")).drop("keep_id", "keep_hash")
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
     return packing.pack(stage(cut, "pieces")).drop("lane")
@@ -40,6 +44,7 @@ REGISTRY = {
     "op2_bpe": op2_bpe,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_near_dedup": op5_near_dedup,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op8_packing": op8_packing,
 }
 ORACLE: dict[str, str] = {
