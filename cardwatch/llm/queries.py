@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.llm import bpe, embedding_dedup, exact_dedup, near_dedup, packing
+from cardwatch.llm import bpe, embedding_dedup, exact_dedup, near_dedup, packing, quality
 from cardwatch.llm.common import stage
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -16,6 +16,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Numeric columns of ``documents`` that a score may use.
+METADATA = ("n_chars",)
+HELD_OUT = "coalesce(crc32(CAST(doc_id AS STRING)) % 5 = 0, true)"
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.Model:
+    """Fitted on labelled rows whose crc32 of the id isn't divisible by 5."""
+    return quality.train(docs, table(spark, sf_dir, "labels").where(f"NOT {HELD_OUT}"), metadata=METADATA)
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", *METADATA)
+    scored = quality.score(docs, quality_model(spark, docs, sf_dir), METADATA)
+    return scored.selectExpr("doc_id", f"{HELD_OUT} AS held_out", "score", "CAST(score >= 0.3 AS INT) AS predicted")
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, public_tokenizers.path(TOKENIZER), decoded="decoded").drop("text")
@@ -41,6 +57,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {
+    "op1_quality": op1_quality,
     "op2_bpe": op2_bpe,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_near_dedup": op5_near_dedup,
