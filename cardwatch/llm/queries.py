@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.llm import bpe, embedding_dedup, exact_dedup, near_dedup, packing, quality
+from cardwatch.llm import bpe, chat, embedding_dedup, exact_dedup, html_text, near_dedup, packing, quality
 from cardwatch.llm.common import stage
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -56,6 +56,19 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(stage(cut, "pieces")).drop("lane")
 
 
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = "\\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], turns.schema)
+    nodes = stage(chat.chain(turns.unionByName(more)), "turns")
+    return chat.digests(chat.format_branches(nodes)).drop("leaf")
+
+
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
 REGISTRY = {
     "op1_quality": op1_quality,
     "op2_bpe": op2_bpe,
@@ -63,6 +76,8 @@ REGISTRY = {
     "op5_near_dedup": op5_near_dedup,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op8_packing": op8_packing,
+    "op9_chat": op9_chat,
+    "op10_html": op10_html,
 }
 ORACLE: dict[str, str] = {
     "op4_exact_dedup": r"""
