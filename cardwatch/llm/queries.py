@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.llm import bpe, chat, embedding_dedup, exact_dedup, html_text, near_dedup, packing, quality
+from cardwatch.llm import bpe, chat, embedding_dedup, exact_dedup, html_text, licences, near_dedup, packing, quality, sharding
 from cardwatch.llm.common import stage
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -39,6 +39,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                             "sha2(decoded, 256) AS decoded_sha256")
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("keep_hash")
 
@@ -51,6 +55,10 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"), licences.train(spark))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
     return packing.pack(stage(cut, "pieces")).drop("lane")
@@ -72,14 +80,17 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY = {
     "op1_quality": op1_quality,
     "op2_bpe": op2_bpe,
+    "op3_sharding": op3_sharding,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_near_dedup": op5_near_dedup,
     "op6_embedding_dedup": op6_embedding_dedup,
+    "op7_licences": op7_licences,
     "op8_packing": op8_packing,
     "op9_chat": op9_chat,
     "op10_html": op10_html,
 }
 ORACLE: dict[str, str] = {
+    "op3_sharding": op3_sharding,
     "op4_exact_dedup": r"""
         WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS chars,
                           sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256 FROM documents),
