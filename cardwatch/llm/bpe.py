@@ -7,8 +7,8 @@ of both would end with these two tokens again. Positions from which no compatibl
 are remembered, so a word takes linear time. Decoding gathers the tokens' bytes by an offset table.
 
 Null text counts as empty; an empty text has no ids. A special token's string inside a text becomes its
-id. Rows are handled one by one, so repeated rows, ties and extra columns change nothing; an empty table
-gives an empty table. Texts may have any length; memory grows with the longest text, not with a partition.
+id. Rows are handled one by one, so repeated rows, ties and extra columns change nothing; a column with the
+name of a result is replaced; an empty table gives an empty table. Texts may have any length; memory grows with the longest text, not with a partition.
 """
 
 from __future__ import annotations
@@ -254,9 +254,7 @@ def _slices(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch,
 def encode(df: DataFrame, tokenizer_path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
     """Add the array<int> column ``ids``; with ``decoded``, also what the ids decode to (in the same worker)."""
     need(df, text)
-    clash = {ids, decoded} & {*df.columns}
-    if clash:
-        raise ValueError(f"columns exist: {clash}")
+    df = df.drop(*(c for c in (ids, decoded) if c and c != text))
     file = read_tokenizer(df, tokenizer_path)
     fields = [T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)]
     fields += [T.StructField(decoded, T.StringType(), False)] if decoded else []
@@ -277,6 +275,7 @@ def encode(df: DataFrame, tokenizer_path: str, text: str = "text", ids: str = "i
 def decode_column(df: DataFrame, tokenizer_path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Add the string column ``text`` that the array column ``ids`` decodes to; null ids give empty text."""
     need(df, ids)
+    df = df.drop(text)
     file = read_tokenizer(df, tokenizer_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -43,6 +43,17 @@ def need(df: DataFrame, *columns: str) -> None:
         raise ValueError(f"missing columns {missing}; have {df.columns}")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of ``df`` has them."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        out.append(n)
+    return out
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -127,12 +138,13 @@ def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
     Null ids match null ids. If rows repeat both id and text, one of them stays.
     """
-    names = kept.selectExpr("keep_id AS __id", "keep_hash AS __hash").distinct()
-    keyed = docs.withColumn("__h", F.expr("xxhash64(coalesce(text, ''))"))
-    chosen = keyed.join(names, F.expr("doc_id <=> __id AND __h = __hash"), "left_semi")
-    again = keyed.groupBy("doc_id", "__h").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").selectExpr("doc_id AS __id", "__h AS __hash")
+    own, its_id, its_hash = fresh(docs, "__own_hash", "__keep_id", "__keep_hash")
+    names = kept.select(F.col("keep_id").alias(its_id), F.col("keep_hash").alias(its_hash)).distinct()
+    keyed = docs.withColumn(own, F.expr("xxhash64(coalesce(text, ''))"))
+    same = F.col("doc_id").eqNullSafe(F.col(its_id)) & (F.col(own) == F.col(its_hash))
+    chosen = keyed.join(names, same, "left_semi")
+    again = keyed.groupBy("doc_id", own).count().where("count > 1").select(F.col("doc_id").alias(its_id), F.col(own).alias(its_hash))
     if again.isEmpty():
-        return chosen.drop("__h")
-    same = F.expr("doc_id <=> __id AND __h = __hash")
-    once = chosen.join(again, same, "left_semi").dropDuplicates(["doc_id", "__h"])
-    return chosen.join(again, same, "left_anti").unionByName(once).drop("__h")
+        return chosen.drop(own)
+    once = chosen.join(again, same, "left_semi").dropDuplicates(["doc_id", own])
+    return chosen.join(again, same, "left_anti").unionByName(once).drop(own)

@@ -27,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from cardwatch.llm.common import need, shuffle_width, stage, text_hash
 
@@ -45,7 +46,7 @@ def _entries(df: DataFrame) -> DataFrame:
         T.StructField("keep_pos", T.LongType()), T.StructField("keep_hash", T.LongType()),
         T.StructField("ids", T.ArrayType(id_type)), T.StructField("places", T.ArrayType(T.LongType())),
     ])
-    arrow_id = pa.int64() if isinstance(id_type, T.LongType) else None
+    arrow_id = to_arrow_type(id_type)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[bytes, list] = {}
@@ -64,7 +65,7 @@ def _entries(df: DataFrame) -> DataFrame:
                     pa.array([e[0][2] for _, e in part], arrow_id),
                     pa.array([e[0][3] for _, e in part], pa.int64()),
                     pa.array([e[1] for _, e in part], pa.int64()),
-                    pa.array([e[2] for _, e in part], pa.list_(arrow_id) if arrow_id else None),
+                    pa.array([e[2] for _, e in part], pa.list_(arrow_id)),
                     pa.array([e[3] for _, e in part], pa.list_(pa.int64())),
                 ], names=schema.fieldNames())
 
@@ -122,9 +123,9 @@ def _own(entries: DataFrame, id_type: T.DataType) -> DataFrame:
              ("group_size", T.LongType()), ("keep_id", id_type), ("keep_pos", T.LongType()), ("keep_hash", T.LongType()),
              ("ids", T.ArrayType(id_type)), ("places", T.ArrayType(T.LongType()))]
     schema = T.StructType([T.StructField(n, t) for n, t in kinds])
-    arrow_id = pa.int64() if isinstance(id_type, T.LongType) else None
+    arrow_id = to_arrow_type(id_type)
     types = [pa.int64(), pa.int32(), pa.string(), pa.string(), pa.int64(), arrow_id, pa.int64(), pa.int64(),
-             pa.list_(arrow_id) if arrow_id else None, pa.list_(pa.int64())]
+             pa.list_(arrow_id), pa.list_(pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
@@ -136,8 +137,7 @@ def _own(entries: DataFrame, id_type: T.DataType) -> DataFrame:
                 out.append((key, k, "whole" if first else "total", sha, size, *keep, *(first or (None, None))))
 
         def packed() -> pa.RecordBatch:
-            columns = zip(*out, strict=True) if out else [[] for _ in types]
-            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=schema.fieldNames())
+            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=schema.fieldNames())
 
         for batch in batches:
             columns = [batch.column(c) for c in ("key", "content", "chars", "keep_id", "keep_pos", "keep_hash", "text_sha256", "ids", "places")]
@@ -163,7 +163,8 @@ def _own(entries: DataFrame, id_type: T.DataType) -> DataFrame:
                 yield packed()
                 out.clear()
         end()
-        yield packed()
+        if out:
+            yield packed()
 
     return entries.mapInArrow(run, schema)
 

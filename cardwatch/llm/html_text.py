@@ -11,7 +11,7 @@ Character references are decoded, white space inside a block becomes one space,
 newlines in page order. Null or empty html, or a page without text, gives an empty string. Pages are read one by
 one whatever their length; broken markup (open tags at the end, missing end tags, a lone <) is read as browsers
 do. Repeated rows and ties change nothing; an empty table gives an empty table; extra columns pass through, and a
-clash with the result's name raises.
+column with the result's name is replaced.
 """
 
 from __future__ import annotations
@@ -245,9 +245,7 @@ def main_text(html: str | None) -> str:
 def extract(df: DataFrame, html: str = "html", text: str = "text") -> DataFrame:
     """Replace the column ``html`` by ``text``."""
     need(df, html)
-    kept = [f for f in df.schema.fields if f.name != html]
-    if text in [f.name for f in kept]:
-        raise ValueError(f"column exists: {text}")
+    kept = [f for f in df.schema.fields if f.name not in (html, text)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -10,7 +10,7 @@ group holds the rest or a round no longer helps.
 
 Null or empty text is a document of just the end id. Ties and repeated rows are packed one by one (by row,
 not by id); an empty table gives an empty table; null ids are carried. ``pieces`` returns only its own
-columns, so extra columns can't clash.
+columns, so extra columns can't clash; ``pack`` replaces columns with the names of its results.
 """
 
 from __future__ import annotations
@@ -150,6 +150,7 @@ def _pack_group(capacity: int, level: int, rows: pd.DataFrame) -> pd.DataFrame:
 def pack(items: DataFrame, capacity: int = 1024, group: int = GROUP) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to stored rows that have ``length`` (1 to capacity) and ``lane``."""
     need(items, "length", "lane")
+    items = items.drop("bucket", "sequence_id", "offset", "is_open")
     schema = T.StructType([*items.schema.fields, *(T.StructField(c, T.LongType()) for c in ("sequence_id", "offset")), T.StructField("is_open", T.BooleanType())])
     # A full piece is a sequence of its own; these have negative numbers.
     done = items.where(F.col("length") == capacity).selectExpr("*", "-1 - monotonically_increasing_id() AS sequence_id", "0L AS offset")

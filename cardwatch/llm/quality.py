@@ -10,8 +10,8 @@ interactions in time linear in the features that a text has. Features are
 The model is fitted on at most ``SAMPLE`` labelled rows, chosen by a hash of their id; every text is scored whole.
 
 Null text counts as empty; empty texts are scored by their statistics. Rows are scored one by one, so repeated
-rows and ties change nothing, and an empty table gives an empty table. Extra columns pass through; a clash with
-the score column raises. Without labelled rows of both classes the score is the share of label 1 (0.5 if none).
+rows and ties change nothing, and an empty table gives an empty table. Extra columns pass through; a column
+with the score's name is replaced. Without labelled rows of both classes the score is the share of label 1 (0.5 if none).
 """
 
 from __future__ import annotations
@@ -221,8 +221,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", metadata:
 def score(docs: DataFrame, model: Model, metadata: tuple[str, ...] = (), name: str = "score") -> DataFrame:
     """Add ``name``: the probability of label 1 for each whole text."""
     need(docs, "text", *metadata)
-    if name in docs.columns:
-        raise ValueError(f"column exists: {name}")
+    docs = docs.drop(name)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most (BUCKETS + bins) x (FACTORS + 1) numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,20 +12,21 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cardwatch.llm import exact_dedup, near_dedup, packing, quality
-from cardwatch.llm.common import keep_rows, stage
+from cardwatch.llm.common import fresh, keep_rows, stage
 from cardwatch.llm.queries import METADATA, TOKENIZER, quality_model, table
 
 #: Documents below this score are rejected.
 LEAST_SCORE = 0.3
-_SCORE = "__quality_score"
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents that the factorisation machine scores at least ``LEAST_SCORE``."""
-    scored = quality.score(docs, quality_model(spark, docs, sf_dir), METADATA, _SCORE)
-    return scored.where(f"{_SCORE} >= {LEAST_SCORE}").drop(_SCORE)
+    name = fresh(docs, "quality_score")[0]
+    scored = quality.score(docs, quality_model(spark, docs, sf_dir), METADATA, name)
+    return scored.where(F.col(name) >= LEAST_SCORE).drop(name)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
