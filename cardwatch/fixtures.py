@@ -54,9 +54,33 @@ def transactions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat(CASE WHEN o_orderkey % 10 = 0 THEN '$-' ELSE '$' END, "
         "CAST(CAST(floor(o_totalprice / 100) AS BIGINT) AS STRING), '.50') AS amount_raw",
         "CASE WHEN o_orderpriority = '1-URGENT' THEN 'No' ELSE 'Yes' END AS use_chip",
+        "CAST(o_custkey % 1000 AS STRING) AS merchant_id",
         "n_name AS merchant_city",
         "r_name AS merchant_state",
+        "CASE WHEN o_orderkey % 7 = 0 THEN 'nan' ELSE concat(CAST(10000 + o_orderkey % 80000 AS STRING), '.0') END AS zip",
         "CAST(o_orderkey % 30 AS STRING) AS mcc",
+        "CASE WHEN o_orderkey % 50 = 0 THEN 'Bad PIN' WHEN o_orderkey % 3 = 0 THEN 'nan' END AS errors",
+    )
+
+
+def transactions_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw file with a line per line item: ids repeat, and some are no number, a fraction, beyond 2^53 or beyond
+    any bigint. ``position`` is the line's place in the file."""
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "CASE l_orderkey % 11 WHEN 0 THEN 'NaN' WHEN 1 THEN concat(CAST(l_orderkey AS STRING), '.75') "
+        "WHEN 2 THEN CAST(9007199254740992 + l_orderkey AS STRING) WHEN 3 THEN '1e300' ELSE CAST(l_orderkey AS STRING) END AS id",
+        "l_shipdate AS date",
+        "CAST(l_suppkey AS STRING) AS client_id",
+        "CAST(l_partkey AS STRING) AS card_id",
+        "concat('$', CAST(CAST(floor(l_extendedprice) AS BIGINT) AS STRING), '.00') AS amount_raw",
+        "l_returnflag AS use_chip",
+        "CAST(l_linenumber AS STRING) AS merchant_id",
+        "l_linestatus AS merchant_city",
+        "l_returnflag AS merchant_state",
+        "concat(CAST(l_partkey AS STRING), '.0') AS zip",
+        "CAST(l_linenumber AS STRING) AS mcc",
+        "CAST(NULL AS STRING) AS errors",
+        "l_partkey * 100000000 + l_suppkey * 1000 + CAST(l_quantity AS BIGINT) - l_linenumber * 10000000000000000 AS position",
     )
 
 
@@ -76,12 +100,12 @@ def transactions_snapshots_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed snapshot table: both dates, amount parsed from its money text."""
-    from cardwatch.functions.scalar import money_to_double
+    from cardwatch.functions.scalar import missing_text_to_null, money_to_double, zip_text
 
-    return transactions_snapshots_raw(spark, sf_dir).withColumn(
-        "amount", money_to_double("amount_raw")
-    ).select("id", "date", "client_id", "card_id", "amount", "use_chip", "merchant_city",
-             "merchant_state", "mcc", "date_insertion")
+    return transactions_snapshots_raw(spark, sf_dir).withColumns({
+        "amount": money_to_double("amount_raw"), "zip": zip_text("zip"), "errors": missing_text_to_null("errors"),
+    }).select("id", "date", "client_id", "card_id", "amount", "use_chip", "merchant_id", "merchant_city",
+              "merchant_state", "zip", "mcc", "errors", "date_insertion")
 
 
 def users_data(spark: SparkSession, sf_dir: str) -> DataFrame:

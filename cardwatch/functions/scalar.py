@@ -50,10 +50,16 @@ def missing_text_to_null(c: ColumnOrName) -> Column:
 
 
 def id_from_text(c: ColumnOrName) -> Column:
-    """Numeric text -> bigint (fraction truncated); non-numeric -> NULL."""
-    if isinstance(c, str):
-        return F.expr(f"CAST(try_cast({_q(c)} AS DOUBLE) AS BIGINT)")
-    return _try_double(c).cast("bigint")
+    """Numeric text -> bigint (fraction truncated); other text, NaN and what no bigint holds -> NULL.
+
+    Whole numbers are never read as a double, so ids beyond 2^53 stay apart."""
+    c = _col(c)
+    return F.coalesce(c.try_cast("bigint"), c.try_cast("decimal(38,10)").try_cast("bigint"))
+
+
+def zip_text(c: ColumnOrName) -> Column:
+    """Postal code as text: ``58523.0`` (a number's form) -> ``58523``; missing text -> NULL."""
+    return F.regexp_replace(missing_text_to_null(c), r"\.0+$", "")
 
 
 def vector_element(c: ColumnOrName, i: int, default: float = 0.0) -> Column:

@@ -43,6 +43,20 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
         *[_q(c) if c in keys else f"__row.{_q(c)} AS {_q(c)}" for c in columns])
 
 
+def first_of_repeated(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = ()) -> DataFrame:
+    """``first_per_key`` where few keys repeat: a hash count finds those, and only their rows are packed and sorted.
+
+    Rows of other keys pass through an anti join with the (usually small, then broadcast) repeated keys."""
+    keys = list(keys)
+    again = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(
+        *[F.col(k).alias(f"__again_{i}") for i, k in enumerate(keys)])
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__again_{i}"))
+    once = df.join(again, same, "left_anti")
+    return once.unionByName(first_per_key(df.join(again, same, "left_semi"), keys, order))
+
+
 def insert_if_absent(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
                      order: Sequence[str | Column] = ()) -> DataFrame:
     """Rows of ``incoming`` to append to ``target`` with "first row wins" on key conflicts.

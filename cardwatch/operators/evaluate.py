@@ -50,12 +50,12 @@ def score_groups(df: DataFrame, score_col: str, label_col: str = "label") -> Dat
         F.sum(lab).alias("pos"), F.sum(F.lit(1) - lab).alias("neg"))
 
 
-def roc_points(df: DataFrame, score_col: str = "fraud_probability", label_col: str = "label") -> DataFrame:
+def roc_points(df: DataFrame, score_col: str = "fraud_probability", label_col: str = "label", **limits) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score, highest score first in meaning."""
     g = score_groups(df, score_col, label_col)
-    tot = g.agg(F.sum("pos").alias("tp"), F.sum("neg").alias("tn"))
-    tp, tn = tot.select("tp").scalar(), tot.select("tn").scalar()
-    cum = running_totals(g, "score", ["pos", "neg"], descending=True)
+    cum = running_totals(g, "score", ["pos", "neg"], descending=True, **limits)
+    # the last running sums are the totals
+    tp, tn = cum.agg(F.max("cum_pos")).scalar(), cum.agg(F.max("cum_neg")).scalar()
     return cum.select(
         F.col("score").alias("threshold"),
         F.try_divide(F.col("cum_neg").cast("double"), tn).alias("fpr"),
@@ -64,10 +64,26 @@ def roc_points(df: DataFrame, score_col: str = "fraud_probability", label_col: s
 
 
 def roc_auc(df: DataFrame, score_col: str = "fraud_probability", label_col: str = "label",
-            digits: int = 6) -> DataFrame:
+            digits: int = 6, **limits) -> DataFrame:
     """Exact area under the ROC curve; tied scores get half credit."""
-    g = score_groups(df, score_col, label_col)
-    cum = running_totals(g, "score", ["pos"], descending=True)
+    return _auc(score_groups(df, score_col, label_col), digits, **limits)
+
+
+def _auc(g: DataFrame, digits: int = 6, **limits) -> DataFrame:
+    cum = running_totals(g, "score", ["pos"], descending=True, **limits)
     return cum.agg(F.round(F.try_divide(
         F.sum(F.col("neg").cast("double") * (F.col("cum_pos") - F.col("pos") / F.lit(2.0))),
         F.sum("pos").cast("double") * F.sum("neg").cast("double")), digits).alias("auc"))
+
+
+def report(scored: DataFrame, score_col: str = "fraud_probability", label_col: str = "label", pred_col: str = "label_pred") -> DataFrame:
+    """One row: the confusion matrix, its metrics and the exact AUC of a scored set, which is read once.
+
+    The set is reduced to one row per (score, prediction, label) first; all three follow from that."""
+    groups = scored.groupBy(F.col(score_col).alias("score"), F.col(pred_col).alias("p"), F.col(label_col).alias("a")).agg(
+        F.count(F.lit(1)).alias("n")).checkpoint()
+    cell = lambda a, p: F.coalesce(F.sum(F.when((F.col("a") == a) & (F.col("p") == p), F.col("n"))), F.lit(0))
+    counts = groups.agg(cell(0, 0).alias("tn"), cell(0, 1).alias("fp"), cell(1, 0).alias("fn"), cell(1, 1).alias("tp"))
+    by_score = groups.groupBy("score").agg(
+        F.sum(F.col("n") * F.col("a").cast("bigint")).alias("pos"), F.sum(F.col("n") * (1 - F.col("a").cast("bigint"))).alias("neg"))
+    return metrics_from_counts(counts, keep_counts=True).withColumn("auc", _auc(by_score).select("auc").scalar())

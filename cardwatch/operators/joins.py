@@ -1,81 +1,30 @@
-"""Fact-to-dimension joins that stay balanced when one key holds a third of the fact.
-
-``dimension_join`` first counts the (key-unique) dimension. Under ``max_broadcast_rows`` the
-dimension is broadcast: its size is proven by that count, and a broadcast join cannot skew.
-Above it the join is a sort-merge join on ``(key, salt)``:
-
-- hot keys are found with one map-side-combined count per key; a key is hot when it holds more
-  than ``rows_per_task`` fact rows (at most ``max_hot_keys`` of them are salted, the largest
-  first; the others simply stay unsalted - still exact, only less balanced);
-- a hot key's fact rows get a salt ``pmod(xxhash64(row), n_k)`` with ``n_k = ceil(count /
-  rows_per_task)``, so its rows spread over ``n_k`` tasks;
-- the hot key's single dimension row is replicated ``n_k`` times (one per salt); all other rows
-  use salt 0.
-
-Each fact row meets exactly the one replica with its salt, so inner and left joins return
-exactly what the plain join returns. The AQE skew-join rule cannot do this here because the
-dimension side is an aggregate (the de-duplication), not a bare shuffle.
+"""Fact-to-dimension left joins that stay balanced when one key, or NULL, holds a third of the fact.
+
+The planner and AQE choose broadcast or sort-merge from measured bytes; nothing is forced. For a
+sort-merge join AQE splits an oversized fact partition over several tasks and gives each the
+matching dimension partition (``spark.sql.adaptive.skewJoin.enabled``, on by default), so there is
+no list of hot keys, no salt and no limit on either. It can only do so if both sides arrive by a
+shuffle made for this join. A dimension that was de-duplicated by its key would already be
+partitioned by that key, and no such shuffle would be planned; ``unique_by_key`` therefore
+groups by the key and a hash of it, which the join cannot reuse.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 2_000_000
-ROWS_PER_TASK = 2_000_000
-MAX_HOT_KEYS = 10_000
-MAX_SALTS = 4096
-
-
-def hot_keys(fact: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK, max_hot_keys: int = MAX_HOT_KEYS
-             ) -> DataFrame:
-    """(key, n_salts) for keys holding more than ``rows_per_task`` rows; at most ``max_hot_keys`` rows."""
-    counts = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__c"))
-    hot = counts.where(F.col("__c") > rows_per_task).orderBy(F.col("__c").desc()).limit(max_hot_keys)
-    n = F.least(F.ceil(F.col("__c") / F.lit(rows_per_task)), F.lit(MAX_SALTS)).cast("int")
-    return hot.select(key, n.alias("__n"))
-
-
-def salted_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
-                rows_per_task: int = ROWS_PER_TASK, max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    hot = F.broadcast(hot_keys(fact, key, rows_per_task, max_hot_keys))  # <= max_hot_keys rows
-    row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
-    f = fact.join(hot, key, "left").withColumn(
-        "__salt", F.when(F.col("__n").isNull(), F.lit(0)).otherwise(F.pmod(row_hash, F.col("__n")).cast("int"))
-    ).drop("__n")
-    d = dim.join(hot, key, "left").withColumn(
-        "__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__n"), F.lit(1)) - 1))).drop("__n")
-    return f.join(d, [key, "__salt"], how).drop("__salt")
+from cardwatch.operators.dedupe import first_per_key
 
+_HASH = "__key_hash"
 
-def row_counts(frames: dict[str, DataFrame]) -> dict[str, int]:
-    """Row counts of several frames from one Spark job: a union of column-free projections,
-    counted per tag (partial counts are combined map-side; the driver receives one row per frame)."""
-    parts = [df.select(F.lit(tag).alias("__tag")) for tag, df in frames.items()]
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p)
-    got = {r["__tag"]: r["n"] for r in union.groupBy("__tag").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return {tag: int(got.get(tag, 0)) for tag in frames}
 
+def unique_by_key(dim: DataFrame, key: str) -> DataFrame:
+    """One row per key (the smallest); rows without a key are left out, as no fact row can match them."""
+    keyed = dim.where(F.col(key).isNotNull()).withColumn(_HASH, F.xxhash64(key))
+    return first_per_key(keyed, [_HASH, key]).drop(_HASH)
 
-def dimension_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
-                   max_broadcast_rows: int = MAX_BROADCAST_ROWS, rows_per_task: int = ROWS_PER_TASK,
-                   max_hot_keys: int = MAX_HOT_KEYS, size_probe: DataFrame | None = None,
-                   size_bound: int | None = None) -> DataFrame:
-    """Join a key-unique dimension: broadcast when its counted size allows, else salted sort-merge.
 
-    ``size_probe`` is any frame at least as large as ``dim`` - typically the dimension before
-    de-duplication, whose count is a cheap column-pruned scan with no shuffle. ``size_bound`` is
-    such a count already taken (``row_counts`` counts several dimensions in one job). The
-    broadcast is only chosen when a count proves the size bound.
-    """
-    if size_bound is None:
-        size_bound = (size_probe if size_probe is not None else dim).count()
-    if size_bound <= max_broadcast_rows:
-        return fact.join(F.broadcast(dim), key, how)
-    # Used twice below (hot-key replication and the join): compute the de-duplicated side once.
-    dim = dim.persist(StorageLevel.MEMORY_AND_DISK)
-    return salted_join(fact, dim, key, how, rows_per_task, max_hot_keys)
+def dimension_join(fact: DataFrame, dim: DataFrame, key: str, strategy: str | None = None) -> DataFrame:
+    """Left join on ``key``. ``strategy`` ("merge") asks for a join form; the rows are the same."""
+    return fact.join(dim.hint(strategy) if strategy else dim, key, "left")

@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,8 +27,9 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str], desce
     ``df`` must hold one row per distinct ``order_col`` value (aggregate first).
     """
     # The count below and the running sums both read ``df`` (typically an aggregate over a long
-    # scoring lineage): keep it, so that lineage runs once.
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    # scoring lineage). A checkpoint runs that lineage once, survives a lost executor, and is removed by
+    # Spark's cleaner when no frame refers to it any more (spark.cleaner.referenceTracking.cleanCheckpoints).
+    df = df.checkpoint(eager=True)
     n = df.count()
     parts = max(1, -(-n // rows_per_part))
     o = F.col(order_col).desc() if descending else F.col(order_col).asc()

@@ -54,17 +54,15 @@ def class_weights(df: DataFrame, label_col: str = "label", weight_col: str = "cl
     return df.withColumn(weight_col, lab * ratio + (F.lit(1.0) - lab))
 
 
-def undersample(df: DataFrame, label_col: str = "label", id_col: str = "id", salt: str = SALT_BALANCE,
-                persist_input: bool = False) -> DataFrame:
-    """Exactly ``minority`` rows of each class: those first in ``md5(salt || id)`` order.
+def undersample(df: DataFrame, label_col: str = "label", id_col: str = "id", salt: str = SALT_BALANCE, **limits) -> DataFrame:
+    """Exactly ``minority`` rows of the classes 0 and 1: those first in ``md5(salt || id)`` order.
 
-    ``persist_input``: set when ``df`` is an expensive lineage rather than a stored table.
-    """
+    Rows with another label, or none, belong to neither class and are left out. ``limits``: see ``smallest_k``."""
     keyed = df.withColumn("__hk", hash_key(F.col(id_col), salt))
     picked = smallest_k(
         keyed, "__hk", [hash_order(F.col(id_col), salt), F.col(id_col)],
-        k_of=lambda counts: {g: min(counts.get(0, 0), counts.get(1, 0)) for g in counts},
-        group_col=label_col, persist_input=persist_input,
+        k_of=lambda counts: {g: min(counts.get(0, 0), counts.get(1, 0)) if g in (0, 1) else 0 for g in counts},
+        group_col=label_col, **limits,
     )
     return picked.drop("__hk")
 

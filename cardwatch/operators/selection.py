@@ -42,7 +42,6 @@ def smallest_k(
     group_col: str | None = None,
     buckets: int = DEFAULT_BUCKETS,
     exact_limit: int = DEFAULT_EXACT_LIMIT,
-    persist_input: bool = False,
 ) -> DataFrame:
     """Rows of ``df`` that rank ``<= k_of(counts)[g]`` within their group by ``order``.
 
@@ -51,10 +50,6 @@ def smallest_k(
     ``{group: k}``; it runs on the driver over one small dictionary.
     """
     gcol = F.col(group_col) if group_col else F.lit(0)
-    if persist_input:
-        # For an expensive lineage: compute ``df`` once for the counting passes and the selection.
-        # Off by default - on a stored table each pass is a two-column scan, cheaper than a cache.
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
     slim = df.select(gcol.alias("__g"), F.col(key_col).alias("__k")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         stats = {r["__g"]: (r["n"], r["lo"], r["hi"]) for r in

@@ -2,12 +2,11 @@
 
 Plan shape (checked with ``explain``): the ``amount > 0`` and ``id IS NOT NULL`` filters are
 pushed below the left joins into the fact scan; users, cards and codes are key-deduplicated
-(so a duplicated dimension key cannot fan out transactions) and then joined by
-``joins.dimension_join``: broadcast when their counted size is under ``max_broadcast_rows``,
-else a salted sort-merge join that splits hot keys (a client holding a third of all rows).
-The label table is fact-sized and keyed by transaction id (no hot keys); it is aggregated on
-the same text key the join uses, so its side of the join is not shuffled twice, and the
-planner/AQE picks broadcast or sort-merge from its measured size.
+(so a duplicated dimension key cannot fan out transactions) and joined by
+``joins.dimension_join``: the fact is read once, broadcast or sort-merge follows from measured
+bytes, and AQE splits hot or NULL keys. The label table is fact-sized and keyed by transaction
+id (no hot keys); it is aggregated on the same text key the join uses, so its side of the join
+is not shuffled twice.
 """
 
 from __future__ import annotations
@@ -17,13 +16,13 @@ from pyspark.sql import functions as F
 
 from cardwatch.functions.scalar import label_to_int, money_to_double
 from cardwatch.operators.dedupe import first_per_key
-from cardwatch.operators.joins import MAX_BROADCAST_ROWS, dimension_join, row_counts
+from cardwatch.operators.joins import dimension_join, unique_by_key
 
 USER_MONEY = ["per_capita_income", "yearly_income", "total_debt"]
 CARD_MONEY = ["credit_limit"]
 
 SILVER_COLUMNS = [
-    "id", "date", "client_id", "card_id", "amount", "use_chip", "merchant_city", "merchant_state", "mcc",
+    "id", "date", "client_id", "card_id", "amount", "use_chip", "merchant_id", "merchant_city", "merchant_state", "zip", "mcc", "errors",
     "description", "gender", "credit_score", "num_credit_cards", "latitude", "longitude",
     "per_capita_income", "yearly_income", "total_debt", "card_client_id", "card_brand", "card_type",
     "has_chip", "num_cards_issued", "credit_limit", "label",
@@ -43,49 +42,26 @@ def _mcc_keyed(mcc: DataFrame) -> DataFrame:
     return mcc.withColumnsRenamed({"mcc_code": "mcc"})
 
 
-def users_dim(users: DataFrame, dedupe: bool = True) -> DataFrame:
-    """users keyed by ``client_id`` as text (the fact key is text; comparing text avoids ANSI cast errors)."""
-    u = _users_keyed(users)
-    return first_per_key(u, ["client_id"]) if dedupe else u
-
-
-def cards_dim(cards: DataFrame, dedupe: bool = True) -> DataFrame:
-    c = _cards_keyed(cards)
-    return first_per_key(c, ["card_id"]) if dedupe else c
-
-
-def mcc_dim(mcc: DataFrame, dedupe: bool = True) -> DataFrame:
-    m = _mcc_keyed(mcc)
-    return first_per_key(m, ["mcc"]) if dedupe else m
-
-
 def labels_dim(labels: DataFrame, dedupe: bool = True) -> DataFrame:
     lab = labels.withColumnsRenamed({"transaction_id": "label_transaction_id"})
     return first_per_key(lab, ["label_transaction_id"]) if dedupe else lab
 
 
-def _join_dim(tx: DataFrame, keyed: DataFrame, key: str, dedupe: bool, max_broadcast_rows: int,
-              size_bound: int | None = None) -> DataFrame:
-    if not dedupe:  # duplicate keys would make the salted join replicate them; keep it plain
-        return tx.join(keyed, key, "left")
-    # The raw dimension bounds the de-duplicated one from above: count it (no shuffle needed).
-    return dimension_join(tx, first_per_key(keyed, [key]), key, "left", max_broadcast_rows=max_broadcast_rows,
-                          size_probe=keyed.select(key), size_bound=size_bound)
+def _join_dim(tx: DataFrame, keyed: DataFrame, key: str, dedupe: bool, strategy: str | None) -> DataFrame:
+    """``keyed`` has its key as text, as the fact does (comparing text avoids ANSI cast errors)."""
+    return dimension_join(tx, unique_by_key(keyed, key) if dedupe else keyed, key, strategy)
 
 
-def join_users(tx: DataFrame, users: DataFrame, dedupe: bool = True,
-               max_broadcast_rows: int = MAX_BROADCAST_ROWS, size_bound: int | None = None) -> DataFrame:
-    return _join_dim(tx, _users_keyed(users), "client_id", dedupe, max_broadcast_rows, size_bound)
+def join_users(tx: DataFrame, users: DataFrame, dedupe: bool = True, strategy: str | None = None) -> DataFrame:
+    return _join_dim(tx, _users_keyed(users), "client_id", dedupe, strategy)
 
 
-def join_cards(tx: DataFrame, cards: DataFrame, dedupe: bool = True,
-               max_broadcast_rows: int = MAX_BROADCAST_ROWS, size_bound: int | None = None) -> DataFrame:
-    return _join_dim(tx, _cards_keyed(cards), "card_id", dedupe, max_broadcast_rows, size_bound)
+def join_cards(tx: DataFrame, cards: DataFrame, dedupe: bool = True, strategy: str | None = None) -> DataFrame:
+    return _join_dim(tx, _cards_keyed(cards), "card_id", dedupe, strategy)
 
 
-def join_mcc(tx: DataFrame, mcc: DataFrame, dedupe: bool = True,
-             max_broadcast_rows: int = MAX_BROADCAST_ROWS, size_bound: int | None = None) -> DataFrame:
-    return _join_dim(tx, _mcc_keyed(mcc), "mcc", dedupe, max_broadcast_rows, size_bound)
+def join_mcc(tx: DataFrame, mcc: DataFrame, dedupe: bool = True, strategy: str | None = None) -> DataFrame:
+    return _join_dim(tx, _mcc_keyed(mcc), "mcc", dedupe, strategy)
 
 
 def join_labels(tx: DataFrame, labels: DataFrame, dedupe: bool = True) -> DataFrame:
@@ -94,14 +70,11 @@ def join_labels(tx: DataFrame, labels: DataFrame, dedupe: bool = True) -> DataFr
 
 
 def silver_join(tx: DataFrame, users: DataFrame, cards: DataFrame, mcc: DataFrame, labels: DataFrame,
-                dedupe: bool = True, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """The 5-table left-join chain, fact on the left.
-
-    The three dimension size checks are taken together, in one job over the raw dimensions."""
-    n = row_counts({"users": users, "cards": cards, "mcc": mcc}) if dedupe else {}
-    out = join_users(tx, users, dedupe, max_broadcast_rows, n.get("users"))
-    out = join_cards(out, cards, dedupe, max_broadcast_rows, n.get("cards"))
-    out = join_mcc(out, mcc, dedupe, max_broadcast_rows, n.get("mcc"))
+                dedupe: bool = True, strategy: str | None = None) -> DataFrame:
+    """The 5-table left-join chain, fact on the left and read once."""
+    out = join_users(tx, users, dedupe, strategy)
+    out = join_cards(out, cards, dedupe, strategy)
+    out = join_mcc(out, mcc, dedupe, strategy)
     return join_labels(out, labels, dedupe)
 
 
@@ -116,13 +89,12 @@ def encode_label(df: DataFrame) -> DataFrame:
 
 
 def build_silver(tx: DataFrame, users: DataFrame, cards: DataFrame, mcc: DataFrame, labels: DataFrame,
-                 dedupe: bool = True, unlabelled: str = "keep", max_broadcast_rows: int = MAX_BROADCAST_ROWS
-                 ) -> DataFrame:
+                 dedupe: bool = True, unlabelled: str = "keep", strategy: str | None = None) -> DataFrame:
     """Silver table: joined, positive amounts only, money parsed, label encoded, id present.
 
     ``unlabelled="drop"`` removes transactions without a label row instead of calling them genuine.
     """
-    out = silver_join(tx, users, cards, mcc, labels, dedupe, max_broadcast_rows)
+    out = silver_join(tx, users, cards, mcc, labels, dedupe, strategy)
     out = out.where(F.col("amount") > 0)
     out = clean_money(out)
     if unlabelled == "drop":
@@ -133,7 +105,7 @@ def build_silver(tx: DataFrame, users: DataFrame, cards: DataFrame, mcc: DataFra
 
 
 def latest_snapshot(tx: DataFrame, date_col: str = "date_insertion") -> DataFrame:
-    """Rows of the newest snapshot. On a table partitioned by ``date_col`` the scalar subquery
-    becomes a partition filter, so older snapshots are never read."""
+    """Rows of the newest snapshot of any frame: the date is a scalar subquery over its date column.
+    For a stored bronze table ``snapshots.read_latest`` takes the date from a listing instead."""
     newest = tx.agg(F.max(date_col)).scalar()
     return tx.where(F.col(date_col) == newest).drop(date_col)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cardwatch.functions.rules import rule_decision, rule_probability, rules_fired
 from cardwatch.functions.scalar import vector_element
+from cardwatch.schemas import NUMERIC_FEATURES
 
 GOLD_COLUMNS = ["id", "client_id", "amount", "merchant_city", "merchant_state", "label", "label_pred",
                 "fraud_probability"]
@@ -46,4 +47,14 @@ def score_with_model(model, df: DataFrame, positive_index: int = 1) -> DataFrame
 
 
 def gold_from_model(model, silver: DataFrame, positive_index: int = 1) -> DataFrame:
-    return score_with_model(model, labelled(silver), positive_index).select(*GOLD_COLUMNS)
+    """Gold for every labelled silver row. A row with a NULL number can't be scored: it keeps its place with a NULL
+    prediction and probability, so totals over gold are totals over silver."""
+    rows = labelled(silver)
+    lacks = F.lit(False)
+    for c in NUMERIC_FEATURES:
+        lacks = lacks | F.col(c).isNull()
+    marked = rows.withColumns({"__unscored": lacks, "__amount": F.col("amount")}).withColumns(
+        {c: F.coalesce(c, F.lit(0).cast(rows.schema[c].dataType)) for c in NUMERIC_FEATURES})
+    scored = score_with_model(model, marked, positive_index)
+    only = lambda c: F.when(~F.col("__unscored"), F.col(c))
+    return scored.withColumns({"amount": F.col("__amount"), "label_pred": only("label_pred"), "fraud_probability": only("fraud_probability")}).select(*GOLD_COLUMNS)

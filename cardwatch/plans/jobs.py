@@ -38,9 +38,9 @@ def bronze_job(spark: SparkSession, transactions: DataFrame, static: dict[str, D
     """Returns the transaction snapshot dates loaded by this run."""
     tx_path = f"{root}/transactions"
     loaded = snapshots.load_missing(spark, transactions, tx_path)
-    dates = snapshots.snapshot_dates(snapshots.read_snapshots(spark, tx_path, schemas.TRANSACTIONS))
+    dates = snapshots.committed_dates(spark, tx_path)
     for name, df in static.items():
-        snapshots.write_snapshots(snapshots.replicate_static(df, dates), f"{root}/{name}")
+        snapshots.write_static(spark, df, dates, f"{root}/{name}")
     return loaded
 
 
@@ -61,8 +61,7 @@ def train_job(spark: SparkSession, silver: DataFrame, variant: str, model_path:
     """Fit, save and evaluate one variant; returns its metrics row."""
     model, scored = models.train(silver, variant)
     models.save(model, model_path)
-    wide = evaluate.classification_metrics(scored).withColumn(
-        "auc", evaluate.roc_auc(scored).select("auc").scalar())
+    wide = evaluate.report(scored)
     store.write_metrics(store.metrics_long(wide, run_id or variant), metrics_path)
     return store.read_metrics(spark, metrics_path, run_id or variant)
 

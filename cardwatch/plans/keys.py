@@ -16,7 +16,7 @@ from cardwatch.operators import silver as sv
 from cardwatch.operators import views
 from cardwatch.plans import gold as gd
 from cardwatch.plans import predict as pr
-from cardwatch.schemas import CATEGORY_FEATURES
+from cardwatch.schemas import CATEGORY_FEATURES, KEY_FEATURES
 
 
 def _dom(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -118,25 +118,21 @@ def complete(spark, sf_dir):
     return sampling.complete_rows(gd.labelled(silver(spark, sf_dir)))
 
 
-def q_silver_labelled(spark, sf_dir):
-    return gd.labelled(silver(spark, sf_dir))
-
-
 def q_train_complete_rows(spark, sf_dir):
     return complete(spark, sf_dir)
 
 
 def q_row_counts(spark, sf_dir):
-    stages = [
-        ("transactions", latest_transactions(spark, sf_dir)),
-        ("silver", silver(spark, sf_dir)),
-        ("complete", complete(spark, sf_dir)),
-    ]
-    out = None
-    for name, df in stages:
-        part = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("stage"), "n")
-        out = part if out is None else out.unionByName(part)
-    return out
+    """Rows per stage, counted in one pass: what silver and the training set keep are conditions on the joined rows."""
+    d = _dom(spark, sf_dir)
+    joined = sv.silver_join(sv.latest_snapshot(d["transactions"]), d["users"], d["cards"], d["mcc"], d["labels"])
+    kept = (F.col("amount") > 0) & F.col("id").isNotNull()
+    whole = kept
+    for c in KEY_FEATURES:
+        if c != "label":  # silver encodes it, so it is never NULL there
+            whole = whole & F.col(c).isNotNull()
+    counts = joined.agg(F.count(F.lit(1)).alias("a"), F.count_if(kept).alias("b"), F.count_if(whole).alias("c"))
+    return counts.selectExpr("stack(3, 'transactions', a, 'silver', b, 'complete', c) AS (stage, n)")
 
 
 def q_class_counts(spark, sf_dir):
@@ -147,13 +143,23 @@ def q_class_weights(spark, sf_dir):
     return sampling.class_weights(complete(spark, sf_dir)).select("id", "label", "class_weight")
 
 
-def balanced(spark, sf_dir):
-    # silver here is recomputed from the test tables, not read from a table: keep it while sampling
-    return sampling.undersample(complete(spark, sf_dir), persist_input=True)
+def balanced(spark, sf_dir, **limits):
+    # only the columns the key returns travel through the sampling passes
+    return sampling.undersample(complete(spark, sf_dir).select("id", "label"), **limits)
 
 
 def q_undersample_balanced(spark, sf_dir):
-    return balanced(spark, sf_dir).select("id", "label")
+    return balanced(spark, sf_dir)
+
+
+def q_undersample_histogram(spark, sf_dir):
+    """The same rows by histogram refinement, which the size limit would keep for large classes."""
+    return balanced(spark, sf_dir, buckets=16, exact_limit=100)
+
+
+def q_sample_large(spark, sf_dir):
+    """The 30 % sample of a large input, whatever the table's size."""
+    return sampling.sample_if_large(complete(spark, sf_dir), 0.3, threshold=100).select("id", "label")
 
 
 def q_sample_fraction(spark, sf_dir):
@@ -173,7 +179,7 @@ def q_split_test(spark, sf_dir):
 
 
 def q_string_index(spark, sf_dir):
-    rows = complete(spark, sf_dir)
+    rows = complete(spark, sf_dir).select("id", *CATEGORY_FEATURES)
     return features.index_categories(rows).select("id", *[f"{c}_idx" for c in CATEGORY_FEATURES])
 
 
@@ -203,7 +209,25 @@ def q_roc_curve(spark, sf_dir):
     return evaluate.roc_points(gold(spark, sf_dir))
 
 
+def q_roc_by_amount(spark, sf_dir):
+    """ROC points and area for a score with many distinct values, so that the running totals take many parts."""
+    g = gold(spark, sf_dir).select("label", "amount")
+    points = evaluate.roc_points(g, "amount", rows_per_part=500)
+    area = evaluate.roc_auc(g, "amount", rows_per_part=500).select("auc").scalar()
+    return points.withColumn("auc", area)
+
+
+def q_silver_join_merge(spark, sf_dir):
+    """The join chain with sort-merge joins, as for dimensions too large to broadcast."""
+    d = _dom(spark, sf_dir)
+    return sv.silver_join(sv.latest_snapshot(d["transactions"]), d["users"], d["cards"], d["mcc"], d["labels"], strategy="merge")
+
+
 REGISTRY = {
+    "roc_by_amount": q_roc_by_amount,
+    "silver_join_merge": q_silver_join_merge,
+    "undersample_histogram": q_undersample_histogram,
+    "sample_large": q_sample_large,
     "join_users": q_join_users,
     "join_cards": q_join_cards,
     "join_mcc": q_join_mcc,
@@ -220,7 +244,6 @@ REGISTRY = {
     "v_top_suspect_clients": q_v_top_suspect_clients,
     "explain_rules": q_explain_rules,
     "predict_batch": q_predict_batch,
-    "silver_labelled": q_silver_labelled,
     "train_complete_rows": q_train_complete_rows,
     "row_counts": q_row_counts,
     "class_counts": q_class_counts,

@@ -1,11 +1,13 @@
 """Registered queries for sources, snapshots, sinks, JDBC and streaming.
 
-Queries that write do so under the shared folder (``spark.checkpoint.dir``'s parent), in a
-sub folder named after the input, with overwrite semantics; they then read their output back.
+Queries that write do so under the shared folder (``spark.checkpoint.dir``'s parent), each run in a new
+sub folder, so that nothing an earlier run or another input left behind is read; they then read their output back.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +21,7 @@ from cardwatch.sources import files, ingest, jdbc, snapshots
 
 
 def _p(spark, sf_dir, *parts):
-    return shared_path(spark, scope_of(sf_dir), *parts)
+    return shared_path(spark, scope_of(sf_dir), f"run-{uuid.uuid4().hex[:12]}", *parts)
 
 
 # ---- snapshots ---------------------------------------------------------------------------
@@ -76,6 +78,18 @@ def q_ingest_transactions(spark, sf_dir):
     return ingest.ingest_transactions(raw, fixtures.SECOND_SNAPSHOT)
 
 
+def q_ingest_lines(spark, sf_dir):
+    """A raw file with repeated ids and ids that are no number, a fraction, or too large for a double or a bigint."""
+    return ingest.ingest_transactions(fixtures.transactions_file(spark, sf_dir), fixtures.SECOND_SNAPSHOT)
+
+
+def q_ingest_prefix(spark, sf_dir):
+    """The first rows by id, as many as 10 % of all lines of the file, valid or not; by histogram refinement."""
+    lines = fixtures.transactions_file(spark, sf_dir)
+    valid = ingest.ingest_transactions(lines, fixtures.SECOND_SNAPSHOT).select("id")
+    return snapshots.first_share_by_id(valid, 0.1, of_rows=lines.count(), buckets=16, exact_limit=100)
+
+
 def q_dedupe_first_wins(spark, sf_dir):
     return ingest.dedupe_first_wins(fixtures.transactions(spark, sf_dir))
 
@@ -94,6 +108,13 @@ def q_mcc_from_json(spark, sf_dir):
     return files.read_json_objects(spark, path, "mcc_code", "description")
 
 
+def q_mcc_from_one_object(spark, sf_dir):
+    """The codes as one JSON object in one file. Their number is bounded; fact-sized tables are read line by line."""
+    path = _p(spark, sf_dir, "files", "mcc_codes.json")
+    files.write_json_objects(fixtures.mcc_codes(spark, sf_dir), "mcc_code", "description", path, entries_per_object=1 << 30)
+    return files.read_json_objects(spark, path, "mcc_code", "description", whole_file=True)
+
+
 def q_labels_from_json(spark, sf_dir):
     path = _p(spark, sf_dir, "files", "train_fraud_labels.objects")
     files.write_json_objects(fixtures.train_fraud_labels(spark, sf_dir), "transaction_id", "label", path,
@@ -111,8 +132,9 @@ def q_json_permissive(spark, sf_dir):
 
 def q_silver_table(spark, sf_dir):
     db = "cardwatch_silver_" + scope_of(sf_dir).replace("-", "_").replace(".", "_")
+    # the catalog knows the table by name: it is overwritten as a whole, so its place may stay
     return store.save_table(spark, K.silver(spark, sf_dir), db, "transactions_cleaned",
-                            _p(spark, sf_dir, "warehouse"))
+                            shared_path(spark, scope_of(sf_dir), "warehouse"))
 
 
 def q_silver_labelled_table(spark, sf_dir):
@@ -131,8 +153,7 @@ RULES_RUN = "rules"
 
 
 def _write_rule_metrics(spark, sf_dir):
-    g = K.gold(spark, sf_dir)
-    wide = evaluate.classification_metrics(g).withColumn("auc", evaluate.roc_auc(g).select("auc").scalar())
+    wide = evaluate.report(K.gold(spark, sf_dir))
     path = _p(spark, sf_dir, "metrics")
     store.write_metrics(store.metrics_long(wide, RULES_RUN), path)
     return path
@@ -177,16 +198,8 @@ def q_predict_stream(spark, sf_dir):
     from cardwatch.plans.predict import requests_from
     from cardwatch.streaming import predict_stream as ps
 
-    inbox = _p(spark, sf_dir, "stream", "inbox")
-    outbox = _p(spark, sf_dir, "stream", "outbox")
-    ckpt = _p(spark, sf_dir, "stream", "checkpoint")
-    try:
-        spark.read.schema(ps.request_schema()).parquet(inbox).limit(1).collect()
-        arrived = True
-    except Exception:  # noqa: BLE001 - first run: publish the requests once
-        arrived = False
-    if not arrived:
-        requests_from(K.silver(spark, sf_dir)).write.mode("errorifexists").parquet(inbox)
+    inbox, outbox, ckpt = (f"{_p(spark, sf_dir, 'stream')}/{name}" for name in ("inbox", "outbox", "checkpoint"))
+    requests_from(K.silver(spark, sf_dir)).write.mode("errorifexists").parquet(inbox)
     out = ps.run_to_completion(spark, inbox, outbox, ckpt)
     return out.withColumn("explication", F.array_join("explication", "; "))
 
@@ -200,9 +213,12 @@ IO_REGISTRY = {
     "static_snapshots": q_static_snapshots,
     "snapshot_prefix_70": q_snapshot_prefix_70,
     "ingest_transactions": q_ingest_transactions,
+    "ingest_lines": q_ingest_lines,
+    "ingest_prefix": q_ingest_prefix,
     "dedupe_first_wins": q_dedupe_first_wins,
     "csv_read": q_csv_read,
     "mcc_from_json": q_mcc_from_json,
+    "mcc_from_one_object": q_mcc_from_one_object,
     "labels_from_json": q_labels_from_json,
     "json_permissive": q_json_permissive,
     "silver_table": q_silver_table,

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -21,6 +20,8 @@ from pyspark.sql import functions as F
 
 from cardwatch.operators import evaluate, features, sampling
 from cardwatch.plans.gold import score_with_model
+from cardwatch.schemas import CATEGORY_FEATURES, NUMERIC_FEATURES
+from cardwatch.session import ensure_checkpoint_dir
 
 SEED = 42
 
@@ -56,10 +57,11 @@ def build_estimator(variant: Variant, null_policy: str = "skip") -> Pipeline:
     return Pipeline(stages=[features.category_indexer(), features.assembler(null_policy), classifier(variant)])
 
 
-def prepare(df: DataFrame, variant: Variant, persist_input: bool = False) -> DataFrame:
-    rows = sampling.complete_rows(df)
+def prepare(df: DataFrame, variant: Variant) -> DataFrame:
+    # the id, the label and the model's inputs; no other column travels through sampling and training
+    rows = sampling.complete_rows(df).select("id", "label", *NUMERIC_FEATURES, *CATEGORY_FEATURES)
     if variant.prepare == "balance":
-        rows = sampling.undersample(rows, persist_input=persist_input)
+        rows = sampling.undersample(rows)
     elif variant.prepare == "sample10":
         rows = sampling.sample_fraction(rows, 0.1)
     else:
@@ -69,30 +71,22 @@ def prepare(df: DataFrame, variant: Variant, persist_input: bool = False) -> Dat
     return rows
 
 
-def train(silver: DataFrame, variant_name: str = "gbt", persist_input: bool = False
-          ) -> tuple[PipelineModel, DataFrame]:
+def train(silver: DataFrame, variant_name: str = "gbt") -> tuple[PipelineModel, DataFrame]:
     """Fit the variant on its 80 % part; return the model and the scored 20 % part.
 
-    The prepared set (undersampled or sampled) is persisted: the fit, the scoring of the test
-    part and every evaluation read it, and recomputing silver and the sampling for each would
-    cost more than keeping the prepared rows. Executor loss only means recomputing from lineage.
-    ``persist_input`` also keeps ``silver`` itself while sampling (for a lineage, not a table).
+    The prepared set (undersampled or sampled) is checkpointed to the shared folder: the fit, the
+    scoring of the test part and every evaluation read it, a lost executor costs a re-read, and no
+    cache is left to release.
     """
     variant = VARIANTS[variant_name]
-    data = prepare(silver, variant, persist_input).persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(silver.sparkSession)
+    data = prepare(silver, variant).checkpoint()
     train_df, test_df = sampling.split(data, 0.8)
     model = build_estimator(variant).fit(train_df)
     scored = score_with_model(model, test_df)
     return model, scored
 
 
-def evaluation(scored: DataFrame) -> DataFrame:
-    """Metrics of a scored test set (label space), plus the exact AUC of the fraud probability."""
-    m = evaluate.classification_metrics(scored, "label", "label_pred")
-    auc = evaluate.roc_auc(scored, "fraud_probability", "label")
-    return m.withColumn("auc", auc.select("auc").scalar())
-
-
 def mllib_auc(scored: DataFrame) -> float:
     """The binned MLlib estimate, for comparison with the exact value."""
     return BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction",

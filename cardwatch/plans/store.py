@@ -6,12 +6,16 @@ semantics, so a retried or re-run job replaces its own output instead of duplica
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwatch.schemas import METRICS
+from cardwatch.sources.files import path_is_missing
 
 METRIC_NAMES = ("accuracy", "precision", "recall", "f1", "auc")
+#: The confusion matrix is stored beside them.
+COUNT_NAMES = ("tn", "fp", "fn", "tp")
 
 
 def save_table(spark: SparkSession, df: DataFrame, database: str, table: str, location: str) -> DataFrame:
@@ -29,7 +33,7 @@ def export_parquet(df: DataFrame, path: str, num_files: int | None = None) -> No
 
 def metrics_long(metrics_row: DataFrame, run_id: str) -> DataFrame:
     """One wide metrics row -> (run_id, metric, value) rows."""
-    cols = [c for c in METRIC_NAMES if c in metrics_row.columns]
+    cols = [c for c in METRIC_NAMES + COUNT_NAMES if c in metrics_row.columns]
     stack = "stack({}, {}) AS (metric, value)".format(
         len(cols), ", ".join(f"'{c}', CAST({c} AS DOUBLE)" for c in cols))
     return metrics_row.select(F.expr(stack)).select(F.lit(run_id).alias("run_id"), "metric", "value")
@@ -45,7 +49,9 @@ def read_metrics(spark: SparkSession, path: str, run_id: str) -> DataFrame:
     """Metrics of one run as one wide row; no row when the run (or the table) does not exist."""
     try:
         df = spark.read.schema(METRICS).parquet(path)
-    except Exception:  # noqa: BLE001 - missing table: the "not found" answer is an empty result
+    except AnalysisException as error:
+        if not path_is_missing(error):
+            raise
         return spark.createDataFrame([], "accuracy double, precision double, recall double, f1 double, auc double")
     one = df.where(F.col("run_id") == run_id)
     # Grouping by the run (not a global aggregate) yields no row at all for an unknown run.

@@ -10,9 +10,12 @@ TRANSACTIONS_RAW = T.StructType([
     T.StructField("card_id", T.StringType()),
     T.StructField("amount_raw", T.StringType()),
     T.StructField("use_chip", T.StringType()),
+    T.StructField("merchant_id", T.StringType()),
     T.StructField("merchant_city", T.StringType()),
     T.StructField("merchant_state", T.StringType()),
+    T.StructField("zip", T.StringType()),
     T.StructField("mcc", T.StringType()),
+    T.StructField("errors", T.StringType()),
 ])
 
 # Typed transaction snapshot row (the operational table).
@@ -23,9 +26,12 @@ TRANSACTIONS = T.StructType([
     T.StructField("card_id", T.StringType()),
     T.StructField("amount", T.DoubleType()),
     T.StructField("use_chip", T.StringType()),
+    T.StructField("merchant_id", T.StringType()),
     T.StructField("merchant_city", T.StringType()),
     T.StructField("merchant_state", T.StringType()),
+    T.StructField("zip", T.StringType()),
     T.StructField("mcc", T.StringType()),
+    T.StructField("errors", T.StringType()),
     T.StructField("date_insertion", T.DateType()),
 ])
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,17 +92,36 @@ def write_json_objects(df: DataFrame, key_col: str, value_col: str, path: str, w
 
 
 def read_json_objects(spark: SparkSession, path: str, key_name: str, value_name: str, wrap: str | None = None,
-                      whole_file: bool = False, **opts) -> DataFrame:
-    """(key, value) rows out of JSON objects, one object per line or (``whole_file``) per file."""
+                      whole_file: bool = False, on_malformed: str = "raise", **opts) -> DataFrame:
+    """(key, value) rows out of JSON objects, one object per line or (``whole_file``) per file.
+
+    An object that can't be parsed, or lacks the wrapping field, may hold any number of entries: it fails the query
+    unless ``on_malformed`` is "drop" (``malformed_objects`` counts what that drops)."""
     mtype = T.MapType(T.StringType(), T.StringType())
     schema = T.StructType([T.StructField(wrap, mtype)]) if wrap else mtype
     reader = tolerant(spark.read, **opts)
-    raw = reader.text(path, wholetext=whole_file)
+    raw = reader.text(path, wholetext=whole_file).where(F.trim("value") != "")
     parsed = F.from_json(F.col("value"), schema)
     m = parsed.getField(wrap) if wrap else parsed
+    if on_malformed == "raise":
+        m = F.when(m.isNull(), F.raise_error(F.concat(F.lit("malformed JSON object: "), F.left("value", F.lit(80))))).otherwise(m)
     return raw.select(F.explode(m).alias(key_name, value_name))
 
 
+def malformed_objects(spark: SparkSession, path: str, wrap: str | None = None, whole_file: bool = False) -> DataFrame:
+    """One row: the number of objects and of those that don't parse."""
+    mtype = T.MapType(T.StringType(), T.StringType())
+    parsed = F.from_json(F.col("value"), T.StructType([T.StructField(wrap, mtype)]) if wrap else mtype)
+    m = parsed.getField(wrap) if wrap else parsed
+    lines = spark.read.text(path, wholetext=whole_file).where(F.trim("value") != "")
+    return lines.agg(F.count(F.lit(1)).alias("objects"), F.count_if(m.isNull()).alias("malformed"))
+
+
+def path_is_missing(error: Exception) -> bool:
+    """True only for the error of reading a path that does not exist."""
+    return isinstance(error, AnalysisException) and error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def read_any(spark: SparkSession, path: str, schema: T.StructType, **opts) -> DataFrame:
     """Dispatch on the suffix: csv, line json or parquet."""
     fmt = format_of(path)

@@ -1,9 +1,9 @@
 """Raw transaction file -> typed operational snapshot.
 
 One distributed read replaces chunked row-at-a-time loading: ids must parse as numbers (else
-the row is dropped) and are truncated to bigint; money text is parsed; text that a float round
-trip turned into ``nan`` becomes NULL; every row is stamped with the snapshot date. Duplicate
-ids keep their first row (the earliest snapshot, then file position).
+the row is dropped) and are truncated to bigint; money text is parsed; missing values that a float
+column turned into ``nan`` become NULL; every row is stamped with the snapshot date. Inside one
+load the first row in file order wins for each id; between loads the earliest snapshot does.
 """
 
 from __future__ import annotations
@@ -14,22 +14,34 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardwatch.functions.scalar import id_from_text, missing_text_to_null, money_to_double
-from cardwatch.operators.dedupe import first_per_key, insert_if_absent
+from cardwatch.functions.scalar import id_from_text, missing_text_to_null, money_to_double, zip_text
+from cardwatch.operators.dedupe import first_of_repeated, first_per_key, insert_if_absent
 from cardwatch.schemas import TRANSACTIONS
 
-TEXT_COLUMNS = ("client_id", "card_id", "use_chip", "merchant_city", "merchant_state", "mcc")
+TEXT_COLUMNS = ("client_id", "card_id", "use_chip", "merchant_id", "merchant_city", "merchant_state", "mcc", "errors")
+POSITION = "position"
+
+
+def with_position(lines: DataFrame) -> DataFrame:
+    """Number the rows of a file read in file order. Rows of a split are consecutive; of several files, each keeps its
+    own order, and the files follow each other in the order of the scan."""
+    return lines.withColumn(POSITION, F.monotonically_increasing_id())
 
 
 def ingest_transactions(raw: DataFrame, snapshot: dt.date) -> DataFrame:
-    """Typed rows of one snapshot out of raw text rows (``schemas.TRANSACTIONS_RAW``)."""
-    typed = raw.withColumns({
+    """Typed rows of one snapshot out of raw text rows (``schemas.TRANSACTIONS_RAW``), one row per id.
+
+    ``position`` orders the rows; without that column the order of the read does."""
+    placed = raw if POSITION in raw.columns else with_position(raw)
+    typed = placed.withColumns({
         "id": id_from_text("id"),
         "amount": money_to_double("amount_raw"),
         **{c: missing_text_to_null(c) for c in TEXT_COLUMNS if c in raw.columns},
+        "zip": zip_text("zip"),
         "date_insertion": F.lit(snapshot),
     }).where(F.col("id").isNotNull())
-    return typed.select(*[F.col(f.name).cast(f.dataType) for f in TRANSACTIONS.fields])
+    typed = typed.select(*[F.col(f.name).cast(f.dataType) for f in TRANSACTIONS.fields], POSITION)
+    return first_of_repeated(typed, ["id"], [POSITION]).drop(POSITION)
 
 
 def dedupe_first_wins(df: DataFrame, keys: Sequence[str] = ("id",),

@@ -55,24 +55,37 @@ def read_snapshots(spark: SparkSession, path: str, schema: T.StructType, date_co
 
 def read_latest(spark: SparkSession, path: str, schema: T.StructType, date_col: str = "date_insertion",
                 **opts) -> DataFrame:
-    """Rows of the newest snapshot only: the max date becomes a partition filter (older ones unread)."""
+    """Rows of the newest snapshot only. Its date comes from a listing of the partitions, so the one scan
+    has a literal partition filter and no file of an older snapshot is opened. No snapshot: no rows."""
     data_fields = [f for f in schema.fields if f.name != date_col]
     full = T.StructType(data_fields + [T.StructField(PART, T.StringType())])
     reader = spark.read.schema(full)
     for k, v in opts.items():
         reader = reader.option(k, v)
     df = reader.parquet(path)
-    newest = df.agg(F.max(PART)).scalar()
-    return df.where(F.col(PART) == newest).drop(PART)
+    dates = listed_dates(spark, path)
+    return df.where(F.col(PART) == F.lit(max(dates)) if dates else F.lit(False)).drop(PART)
+
+
+def listed_dates(spark: SparkSession, path: str) -> list[str]:
+    """Snapshot dates with at least one visible file, from the file system's listing (one name per day)."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.exists(folder):
+        return []
+    dates = []
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(f"{PART}="):
+            if any(not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(status.getPath())):
+                dates.append(name[len(PART) + 1:])
+    return sorted(dates)
 
 
 def committed_dates(spark: SparkSession, path: str) -> DataFrame:
     """Snapshot dates already visible in the bronze table (empty when the table does not exist)."""
-    try:
-        df = spark.read.schema(T.StructType([T.StructField(PART, T.StringType())])).parquet(path)
-    except Exception:  # noqa: BLE001 - a missing table means nothing is committed yet
-        return spark.createDataFrame([], T.StructType([T.StructField(PART, T.StringType())]))
-    return df.select(PART).distinct()
+    return spark.createDataFrame([(d,) for d in listed_dates(spark, path)], T.StructType([T.StructField(PART, T.StringType())]))
 
 
 def dates_to_load(source_dates: DataFrame, committed: DataFrame) -> DataFrame:
@@ -84,7 +97,8 @@ def load_missing(spark: SparkSession, source: DataFrame, path: str, date_col: st
     """Write only the snapshots missing from ``path``; returns the dates loaded (one per day, bounded)."""
     todo = sorted(r[0] for r in dates_to_load(snapshot_dates(source, date_col), committed_dates(spark, path)).collect())
     if todo:
-        wanted = source.where(date_text(date_col).isin(todo))
+        # the column itself is compared, so the filter reaches the source
+        wanted = source.where(F.col(date_col).isin([dt.date.fromisoformat(d) for d in todo]))
         write_snapshots(wanted, path, date_col)
     return todo
 
@@ -100,11 +114,22 @@ def replicate_static(static: DataFrame, dates: DataFrame, date_col: str = "date_
     return static.withColumn(date_col, F.explode(arr))
 
 
-def first_share_by_id(df: DataFrame, share: float, id_col: str = "id") -> DataFrame:
-    """The first ``floor(share * n)`` rows in id order, exactly, without a global sort."""
+def write_static(spark: SparkSession, static: DataFrame, dates: DataFrame, path: str) -> list[str]:
+    """Stamp a static dataset with the dates it does not have yet; what earlier runs wrote stays as it is."""
+    todo = dates_to_load(dates.select(PART).distinct(), committed_dates(spark, path))
+    new = sorted(r[0] for r in todo.collect())
+    if new:
+        write_snapshots(replicate_static(static, todo), path)
+    return new
+
+
+def first_share_by_id(df: DataFrame, share: float, id_col: str = "id", of_rows: int | None = None, **limits) -> DataFrame:
+    """The first ``floor(share * n)`` rows in id order, exactly, without a global sort.
+
+    ``of_rows``: the number of rows that the share is of, if not those of ``df`` (all lines of a file, valid or not)."""
     from decimal import Decimal
 
     frac = Decimal(str(share))
     return smallest_k(df, id_col, [F.col(id_col)] + [F.col(c) for c in df.columns if c != id_col],
-                      k_of=lambda counts: {g: int((Decimal(n) * frac).to_integral_value(rounding="ROUND_FLOOR"))
-                                           for g, n in counts.items()})
+                      k_of=lambda counts: {g: int((Decimal(n if of_rows is None else of_rows) * frac).to_integral_value(rounding="ROUND_FLOOR"))
+                                           for g, n in counts.items()}, **limits)

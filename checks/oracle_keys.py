@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from checks.oracle_sql import (BASE, GOLD, MAPPING, JOINED, NO_REASON, REASONS_EXPR, K_EXPR, money, with_)
 
-_LATEST_COLS = "id, date, client_id, card_id, amount, use_chip, merchant_city, merchant_state, mcc"
-
 ORACLE: dict[str, str] = {}
 
 ORACLE["join_users"] = with_(MAPPING, body=f"""
@@ -208,7 +206,9 @@ ORACLE["ingest_transactions"] = with_(MAPPING, body=f"""
 SELECT CAST(TRY_CAST(CAST(id AS VARCHAR) AS DOUBLE) AS BIGINT) AS id, date,
        {_NAN.format('client_id')}, {_NAN.format('card_id')},
        {money('amount_raw')} AS amount,
-       {_NAN.format('use_chip')}, {_NAN.format('merchant_city')}, {_NAN.format('merchant_state')}, {_NAN.format('mcc')},
+       {_NAN.format('use_chip')}, {_NAN.format('merchant_id')}, {_NAN.format('merchant_city')}, {_NAN.format('merchant_state')},
+       CASE WHEN lower(trim(zip)) IN ('nan', '') THEN NULL ELSE regexp_replace(zip, '[.]0+$', '') END AS zip,
+       {_NAN.format('mcc')}, {_NAN.format('errors')},
        DATE '2025-01-02' AS date_insertion
 FROM transactions_all WHERE TRY_CAST(CAST(id AS VARCHAR) AS DOUBLE) IS NOT NULL""")
 
@@ -238,10 +238,69 @@ SELECT 'accuracy' AS metric, accuracy AS value FROM wide
 UNION ALL SELECT 'precision', precision FROM wide
 UNION ALL SELECT 'recall', recall FROM wide
 UNION ALL SELECT 'f1', f1 FROM wide
-UNION ALL SELECT 'auc', auc FROM wide""")
+UNION ALL SELECT 'auc', auc FROM wide
+UNION ALL SELECT 'tn', tn FROM pr UNION ALL SELECT 'fp', fp FROM pr UNION ALL SELECT 'fn', fn FROM pr UNION ALL SELECT 'tp', tp FROM pr""")
 
 ORACLE["metrics_read"] = with_(*GOLD, _COUNTS, _ROC + _AUC, body="SELECT * FROM wide")
 
 ORACLE["jdbc_partitioned_read"] = ORACLE["snapshot_latest"]
 ORACLE["gold_jdbc"] = ORACLE["gold_scored"]
 ORACLE["predict_stream"] = ORACLE["predict_batch"]
+
+# ---- other plans for the same rows, and files with odd ids ------------------------------------
+
+ORACLE["silver_join_merge"] = ORACLE["silver_join"]
+ORACLE["undersample_histogram"] = ORACLE["undersample_balanced"]
+ORACLE["sample_large"] = with_(*TRAIN, body=f"""
+SELECT id, label FROM complete WHERE (SELECT count(*) FROM complete) <= 100 OR {hash_below('s3:', '4ccccccd')}""")
+ORACLE["mcc_from_one_object"] = ORACLE["mcc_from_json"]
+
+_BY_AMOUNT = _ROC.replace("fraud_probability AS s", "amount AS s")
+ORACLE["roc_by_amount"] = with_(*GOLD, _BY_AMOUNT, body="""
+SELECT s AS threshold, CAST(cn AS DOUBLE) / tn AS fpr, CAST(cp AS DOUBLE) / tp AS tpr,
+       (SELECT round(sum(CAST(neg AS DOUBLE) * (cp - pos / 2.0)) / (CAST(max(tp) AS DOUBLE) * CAST(max(tn) AS DOUBLE)), 6) FROM cum) AS auc
+FROM cum""")
+
+_LINES = """
+lines AS (
+  SELECT CASE l_orderkey % 11 WHEN 0 THEN 'NaN' WHEN 1 THEN concat(CAST(l_orderkey AS VARCHAR), '.75')
+              WHEN 2 THEN CAST(9007199254740992 + l_orderkey AS VARCHAR) WHEN 3 THEN '1e300' ELSE CAST(l_orderkey AS VARCHAR) END AS id_text,
+         l_partkey * 100000000 + l_suppkey * 1000 + CAST(l_quantity AS BIGINT) - l_linenumber * 10000000000000000 AS position, * FROM lineitem
+), typed AS (
+  SELECT CASE WHEN regexp_full_match(id_text, '[0-9]+') THEN CAST(id_text AS BIGINT)
+              WHEN regexp_full_match(id_text, '[0-9]+[.][0-9]+') THEN CAST(split_part(id_text, '.', 1) AS BIGINT) END AS id, *
+  FROM lines
+), first_lines AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY position) AS rn FROM typed WHERE id IS NOT NULL) x WHERE rn = 1
+)"""
+ORACLE["ingest_lines"] = with_(_LINES, body="""
+SELECT id, l_shipdate AS date, CAST(l_suppkey AS VARCHAR) AS client_id, CAST(l_partkey AS VARCHAR) AS card_id,
+       CAST(floor(l_extendedprice) AS DOUBLE) AS amount, l_returnflag AS use_chip, CAST(l_linenumber AS VARCHAR) AS merchant_id,
+       l_linestatus AS merchant_city, l_returnflag AS merchant_state, CAST(l_partkey AS VARCHAR) AS zip,
+       CAST(l_linenumber AS VARCHAR) AS mcc, CAST(NULL AS VARCHAR) AS errors, DATE '2025-01-02' AS date_insertion
+FROM first_lines""")
+ORACLE["ingest_prefix"] = with_(_LINES, body="""
+SELECT id FROM (SELECT id, row_number() OVER (ORDER BY id) AS r FROM first_lines) x
+WHERE r <= (SELECT floor(count(*) * 0.1) FROM lines)""")
+
+# ---- models: what can be counted ---------------------------------------------------------------
+
+
+def _counts(prepared: str, variant: str, *ctes: str) -> str:
+    inside = hash_below('', 'cccccccd')
+    parts = ", ".join(f"count(*) FILTER (WHERE {'' if part == 'train' else 'NOT '}({inside}) AND label = {label}) AS {part}_{label}"
+                      for part in ("train", "test") for label in (0, 1))
+    return with_(*TRAIN, *ctes, body=f"""
+SELECT {parts}, count(*) FILTER (WHERE NOT ({inside})) AS matrix_total, true AS auc_ok, true AS probabilities_ok, '{variant}' AS variant
+FROM ({prepared}) p""")
+
+
+ORACLE["train_gbt"] = _counts("SELECT * FROM balanced", "gbt", BALANCED)
+ORACLE["train_rf_balanced"] = _counts("SELECT * FROM balanced", "rf_balanced", BALANCED)
+ORACLE["train_rf_weighted"] = _counts(ORACLE["sample_fraction"].split("\n")[-1], "rf_medium")
+ORACLE["train_rf_basic"] = _counts("\n".join(ORACLE["sample_if_large"].split("\n")[-2:]), "rf_basic")
+ORACLE["model_roundtrip"] = with_(*BASE, body="""
+SELECT id, client_id, amount, merchant_city, merchant_state, label,
+       credit_score IS NOT NULL AND num_credit_cards IS NOT NULL AND num_cards_issued IS NOT NULL AND latitude IS NOT NULL
+         AND longitude IS NOT NULL AND amount IS NOT NULL AS scored, true AS same, true AS probability_ok
+FROM silver""")

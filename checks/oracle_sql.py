@@ -13,8 +13,11 @@ transactions_all AS (
          concat(CASE WHEN o_orderkey % 10 = 0 THEN '$-' ELSE '$' END,
                 CAST(CAST(floor(o_totalprice / 100) AS BIGINT) AS VARCHAR), '.50') AS amount_raw,
          CASE WHEN o_orderpriority = '1-URGENT' THEN 'No' ELSE 'Yes' END AS use_chip,
+         CAST(o_custkey % 1000 AS VARCHAR) AS merchant_id,
          n_name AS merchant_city, r_name AS merchant_state,
-         CAST(o_orderkey % 30 AS VARCHAR) AS mcc
+         CASE WHEN o_orderkey % 7 = 0 THEN 'nan' ELSE concat(CAST(10000 + o_orderkey % 80000 AS VARCHAR), '.0') END AS zip,
+         CAST(o_orderkey % 30 AS VARCHAR) AS mcc,
+         CASE WHEN o_orderkey % 50 = 0 THEN 'Bad PIN' WHEN o_orderkey % 3 = 0 THEN 'nan' END AS errors
   FROM orders
   JOIN nation ON n_nationkey = o_orderkey % 25
   JOIN region ON r_regionkey = n_regionkey
@@ -26,7 +29,9 @@ transactions_all AS (
 ), transactions AS (
   SELECT id, date, client_id, card_id,
          TRY_CAST(regexp_replace(amount_raw, '[$,]', '', 'g') AS DOUBLE) AS amount,
-         use_chip, merchant_city, merchant_state, mcc, date_insertion
+         use_chip, merchant_id, merchant_city, merchant_state,
+         CASE WHEN lower(trim(zip)) IN ('nan', '') THEN NULL ELSE regexp_replace(zip, '[.]0+$', '') END AS zip, mcc,
+         CASE WHEN lower(trim(errors)) IN ('nan', '') THEN NULL ELSE errors END AS errors, date_insertion
   FROM transactions_raw
 ), users_data AS (
   SELECT c_custkey AS id,
@@ -77,13 +82,9 @@ joined AS (
   LEFT JOIN train_fraud_labels l ON CAST(t.id AS VARCHAR) = l.transaction_id
 )"""
 
-SILVER_COLS = ("id, date, client_id, card_id, amount, use_chip, merchant_city, merchant_state, mcc, description, "
-               "gender, credit_score, num_credit_cards, latitude, longitude, per_capita_income, yearly_income, "
-               "total_debt, card_client_id, card_brand, card_type, has_chip, num_cards_issued, credit_limit, label")
-
 SILVER = f"""
 silver AS (
-  SELECT id, date, client_id, card_id, amount, use_chip, merchant_city, merchant_state, mcc, description,
+  SELECT id, date, client_id, card_id, amount, use_chip, merchant_id, merchant_city, merchant_state, zip, mcc, errors, description,
     gender, credit_score, num_credit_cards, latitude, longitude,
     {money('per_capita_income')} AS per_capita_income,
     {money('yearly_income')} AS yearly_income,

@@ -20,9 +20,29 @@ def test_jobs_end_to_end(spark, scratch, sf_small):
     metrics = jobs.train_job(spark, silver, "rf_basic", scratch + "/model", scratch + "/metrics").first()
     assert 0.0 <= metrics["accuracy"] <= 1.0
     gold = jobs.gold_job(spark, silver, scratch + "/gold", model_path=scratch + "/model", view_prefix="e2e_")
-    # model scoring follows the 'skip' policy for NULL numeric features (left-join misses)
+    # every silver row is in gold; those with a NULL number (left-join misses) have no score
     from cardwatch.schemas import NUMERIC_FEATURES
 
-    scorable = silver.dropna(subset=NUMERIC_FEATURES).count()
-    assert gold.count() == scorable
-    assert spark.sql("SELECT total_transactions FROM e2e_v_taux_fraude_global").first()[0] == scorable
+    assert gold.count() == silver.count()
+    assert gold.where("fraud_probability IS NOT NULL").count() == silver.dropna(subset=NUMERIC_FEATURES).count() < silver.count()
+    assert gold.where("label_pred IS NULL AND fraud_probability IS NOT NULL").count() == 0
+    assert gold.select("id", "amount").exceptAll(silver.select("id", "amount")).count() == 0
+    assert spark.sql("SELECT total_transactions FROM e2e_v_taux_fraude_global").first()[0] == silver.count()
+
+
+def test_static_snapshots_are_written_once(spark, scratch, sf_small):
+    """The second day adds its own copy; the first day's rows stay as they were loaded."""
+    from pyspark.sql import functions as F
+
+    from cardwatch.schemas import MCC
+    from cardwatch.sources import snapshots
+
+    root = scratch + "/bronze"
+    tx = fixtures.transactions(spark, sf_small)
+    day = lambda d: tx.where(F.col("date_insertion") <= F.lit(d))
+    codes = lambda text: {"mcc_codes": spark.createDataFrame([("1", text)], MCC)}
+    assert jobs.bronze_job(spark, day(fixtures.FIRST_SNAPSHOT), codes("old"), root) == ["2025-01-01"]
+    assert jobs.bronze_job(spark, day(fixtures.SECOND_SNAPSHOT), codes("new"), root) == ["2025-01-02"]
+    assert jobs.bronze_job(spark, day(fixtures.SECOND_SNAPSHOT), codes("newer"), root) == []
+    rows = snapshots.read_snapshots(spark, root + "/mcc_codes", jobs._with_date(MCC)).collect()
+    assert sorted((str(r.date_insertion), r.description) for r in rows) == [("2025-01-01", "old"), ("2025-01-02", "new")]

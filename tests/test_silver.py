@@ -1,9 +1,11 @@
+import re
+
 from pyspark.sql import functions as F
 
 from cardwatch.operators import silver as sv
 
 TX = "id bigint, date timestamp_ntz, client_id string, card_id string, amount double, use_chip string, " \
-     "merchant_city string, merchant_state string, mcc string"
+     "merchant_id string, merchant_city string, merchant_state string, zip string, mcc string, errors string"
 USERS = "id bigint, gender string, credit_score bigint, num_credit_cards bigint, latitude double, " \
         "longitude double, per_capita_income string, yearly_income string, total_debt string"
 CARDS = "id bigint, client_id bigint, card_brand string, card_type string, has_chip string, " \
@@ -12,11 +14,11 @@ CARDS = "id bigint, client_id bigint, card_brand string, card_type string, has_c
 
 def _frames(spark):
     tx = spark.createDataFrame([
-        (1, None, "1", "10", 50.0, "Yes", "A", "S", "5411"),
-        (2, None, "NaN", "10", 20.0, "Yes", "A", "S", "5411"),
-        (3, None, None, "99", 0.0, "No", "A", "S", "1"),
-        (4, None, "1", "10", -3.0, "No", "A", "S", "1"),
-        (5, None, "1", "10", None, "No", "A", "S", "1"),
+        (1, None, "1", "10", 50.0, "Yes", "7", "A", "S", "58523", "5411", None),
+        (2, None, "NaN", "10", 20.0, "Yes", "7", "A", "S", None, "5411", "Bad PIN"),
+        (3, None, None, "99", 0.0, "No", "7", "A", "S", None, "1", None),
+        (4, None, "1", "10", -3.0, "No", "7", "A", "S", None, "1", None),
+        (5, None, "1", "10", None, "No", "7", "A", "S", None, "1", None),
     ], TX)
     users = spark.createDataFrame([(1, "Male", 700, 2, 40.0, 1.0, "$1,000", "$2,000", "$3.5")], USERS)
     cards = spark.createDataFrame([
@@ -57,8 +59,10 @@ def test_latest_snapshot_prunes_partitions(spark, scratch):
     latest = snapshots.read_latest(spark, path, schema)
     assert [r["id"] for r in latest.collect()] == [2]
     plan = latest._jdf.queryExecution().executedPlan().toString()
-    scan = [line for line in plan.splitlines() if "PartitionFilters: [" in line]
-    assert scan and "Subquery" in scan[0]  # the newest date prunes partitions; old ones are not read
+    # every scan, nested ones too, has the newest date as a literal partition filter: older files stay closed
+    scans = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
+    assert scans and all("2025-01-02" in s for s in scans) and "ubquery" not in plan
+    assert snapshots.listed_dates(spark, scratch + "/none") == []
 
 
 def test_first_per_key_odd_column_names_and_key_only(spark):

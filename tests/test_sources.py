@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from cardwatch.schemas import CARDS, USERS
+from cardwatch.schemas import CARDS, TRANSACTIONS_RAW, USERS
 from cardwatch.sources import files, ingest, snapshots
 
 
@@ -72,15 +72,14 @@ def test_snapshot_rewrite_is_idempotent(spark, scratch):
 
 def test_ingest_and_first_wins(spark):
     raw = spark.createDataFrame([
-        ("12", None, "1", "1", "$10.00", "Yes", "nan", "S", "1"),
-        ("x", None, "1", "1", "$10.00", "Yes", "C", "S", "1"),
-        (None, None, "1", "1", "$10.00", "Yes", "C", "S", "1"),
-    ], "id string, date timestamp_ntz, client_id string, card_id string, amount_raw string, use_chip string, "
-       "merchant_city string, merchant_state string, mcc string")
+        ("12", None, "1", "1", "$10.00", "Yes", "5", "nan", "S", "58523.0", "1", "nan"),
+        ("x", None, "1", "1", "$10.00", "Yes", "5", "C", "S", "1", "1", None),
+        (None, None, "1", "1", "$10.00", "Yes", "5", "C", "S", "1", "1", None),
+    ], TRANSACTIONS_RAW)
     import datetime as dt
 
     typed = ingest.ingest_transactions(raw, dt.date(2025, 1, 1)).collect()
-    assert [(r["id"], r["amount"], r["merchant_city"]) for r in typed] == [(12, 10.0, None)]
+    assert [(r["id"], r["amount"], r["merchant_city"], r["zip"], r["errors"]) for r in typed] == [(12, 10.0, None, "58523", None)]
     dup = spark.createDataFrame([(1, "b", "2025-01-02"), (1, "a", "2025-01-01"), (2, "c", "2025-01-02")],
                                 "id bigint, v string, d string").withColumn("date_insertion", F.to_date("d"))
     first = {r["id"]: r["v"] for r in ingest.dedupe_first_wins(dup).collect()}
@@ -102,3 +101,62 @@ def test_load_missing_writes_only_new_dates(spark, scratch):
     assert got == [1, 2, 3]
     assert snapshots.load_missing(spark, src, p) == []  # a rerun loads nothing and duplicates nothing
     assert sorted(r["id"] for r in snapshots.read_snapshots(spark, p, schema).collect()) == [1, 2, 3]
+
+
+def test_odd_ids_and_file_order(spark, scratch):
+    """Ids beyond 2^53 stay apart, what is no bigint goes without failing the job, and the first line of an id wins."""
+    import datetime as dt
+
+    ids = ["9007199254740993", "9007199254740992", "NaN", "1e300", "7.9", "7", "-3", "99999999999999999999", "", "9007199254740993"]
+    with open(os.path.join(scratch, "t.csv"), "w") as f:
+        f.write(",".join(c.name for c in TRANSACTIONS_RAW) + "\n")
+        for n, i in enumerate(ids):
+            f.write(f"{i},,z{9 - n},1,$1.00,Yes,1,C,S,1,1,\n")
+    raw = files.read_csv(spark, os.path.join(scratch, "t.csv"), TRANSACTIONS_RAW)
+    rows = ingest.ingest_transactions(raw, dt.date(2025, 1, 1)).collect()
+    # the line with the alphabetically larger client came first
+    assert sorted((r.id, r.client_id) for r in rows) == [(-3, "z3"), (7, "z5"), (9007199254740992, "z8"), (9007199254740993, "z9")]
+
+
+def test_damaged_object_is_not_lost_silently(spark, scratch):
+    p = os.path.join(scratch, "objects")
+    os.makedirs(p)
+    with open(os.path.join(p, "part-0"), "w") as f:
+        f.write('{"target": {"1": "Yes", "2": "No"}}\n{"target": {"3": "Yes", "4": \n\n')
+    with pytest.raises(Exception, match="malformed JSON object"):
+        files.read_json_objects(spark, p, "id", "label", wrap="target").collect()
+    assert files.read_json_objects(spark, p, "id", "label", wrap="target", on_malformed="drop").count() == 2
+    assert tuple(files.malformed_objects(spark, p, wrap="target").first()) == (2, 1)
+
+
+def test_only_a_missing_path_means_nothing_there(spark, scratch):
+    from pyspark.errors import AnalysisException
+
+    from cardwatch.plans import store
+
+    assert store.read_metrics(spark, os.path.join(scratch, "none"), "r").collect() == []
+    with pytest.raises(Exception):  # a file that is no Parquet is an error, not an empty table
+        os.makedirs(os.path.join(scratch, "m", "run_id=r"))
+        with open(os.path.join(scratch, "m", "run_id=r", "part-0.parquet"), "w") as f:
+            f.write("damaged")
+        store.read_metrics(spark, os.path.join(scratch, "m"), "r").collect()
+    assert not files.path_is_missing(AnalysisException("other"))
+
+
+def test_share_of_all_lines(spark):
+    df = spark.range(50).select("id")
+    assert sorted(r.id for r in snapshots.first_share_by_id(df, 0.3, of_rows=100).collect()) == list(range(30))
+
+
+def test_ignored_files(spark, scratch):
+    """Unreadable files stop a read unless that is asked for."""
+    p = os.path.join(scratch, "t.parquet")
+    spark.range(5).coalesce(1).write.parquet(p)
+    with open(os.path.join(p, "part-9.parquet"), "w") as f:
+        f.write("damaged")
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    with pytest.raises(Exception):
+        files.read_any(spark, p, schema).collect()
+    assert files.read_any(spark, p, schema, ignore_corrupt=True).count() == 5
