@@ -90,11 +90,32 @@ REGISTRY = {
     "op10_html": op10_html,
 }
 ORACLE: dict[str, str] = {
-    "op3_sharding": op3_sharding,
     "op4_exact_dedup": r"""
         WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS chars,
                           sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256 FROM documents),
              g AS (SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id) AS keep_id,
                           count(*) OVER (PARTITION BY text_sha256) AS group_size FROM t)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g""",
+    "op6_embedding_dedup": """
+        WITH RECURSIVE v AS (
+          SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+          WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links AS (
+          SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+        reached AS (SELECT vec_id, vec_id AS c FROM embeddings UNION SELECT r.vec_id, links.y FROM reached r JOIN links ON links.x = r.c),
+        degrees AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+        SELECT vec_id, coalesce(max(n), 0) AS n_links, min(c) AS component_id, vec_id = min(c) AS kept
+        FROM reached LEFT JOIN degrees ON x = vec_id GROUP BY vec_id""",
+    "op9_chat": r"""
+        WITH t AS (
+          SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+          UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+        e AS (SELECT *, regexp_replace(regexp_replace(text, '(\\*)(###|</turn>)', '\1\1\\\2', 'g'), '(\\+)$', '\1\1') AS escaped FROM t)
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(length('### ' || role || chr(10) || escaped || '</turn>' || chr(10))) AS BIGINT) AS formatted_chars
+        FROM e GROUP BY conv_id""",
 }
