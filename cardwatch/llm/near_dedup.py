@@ -8,11 +8,12 @@ Jaccard similarity. Points are drawn in order of time, and a shingle stops as so
 slot's first point: the work is about linear in the shingles plus the slots.
 
 Signatures are cut into bands; documents with an equal band meet in a bucket. Copies (equal words in order)
-count once. In a bucket the first document is compared with the others (weighted Jaccard of the whole
-multisets, from the texts); who matches joins its component, the first leaves the bucket, and the bucket goes on
-while it has members of different components. So a group of n near copies costs about n comparisons, not n squared,
-and no link between different components is left out. When few pairs are left, they are compared at once.
-Pairs within one component aren't compared, as they can't change the classes.
+count once. In a bucket one document, the head, is compared with the others, unless a longer signature rules a pair out
+(weighted Jaccard of the whole multisets, from the texts); who matches joins its component, the head leaves the bucket, and the bucket goes on
+with sixteen times the heads while it has members of different components; once few comparisons match, the rest of
+each bucket is compared at once. So a group of n near copies costs about n
+comparisons, not n squared, and no link between different components is left out. Pairs within one component aren't
+compared, as they can't change the classes.
 
 Words are lower-cased runs between white space; a text of one to four words is one shingle. Texts without words
 (null, empty, blank) are copies of each other. The smallest id (null last) stays, then the first row read: one
@@ -31,13 +32,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardwatch.llm.common import chunks, mix, need, space_words, stage, text_hash
+from cardwatch.llm.common import chunks, mix, need, small_batches, space_words, stage, text_hash
 from cardwatch.llm.graph import components
 
 SHINGLE, THRESHOLD = 5, 0.8
 #: 26 bands of 5 slots miss a pair of similarity 0.8 with a probability of 0.00003.
 BANDS, ROWS = 26, 5
 SLOTS = BANDS * ROWS
+#: Members of buckets get a second signature of so many slots, four bits each. A pair whose second signatures agree in
+#: fewer slots than the threshold's mean less ``DEVIATIONS`` standard deviations isn't compared (one pair in 300 000 at
+#: the threshold, fewer above it).
+WIDE, DEVIATIONS = 1024, 4.5
 #: Vertices whose number is below this are broadcast (8 bytes each) to pick texts.
 BROADCAST_NODES = 2_000_000
 _G = np.uint64(0x9E3779B97F4A7C15)
@@ -102,6 +107,44 @@ def bands(sig: np.ndarray, n_bands: int = BANDS) -> np.ndarray:
     return key.view(np.int64)
 
 
+def codes(sig: np.ndarray) -> np.ndarray:
+    """Four bits of each slot, 16 slots to a number: (n_docs, numbers)."""
+    bits = mix(sig.view(np.uint64)) >> np.uint64(60)
+    wide = np.zeros((len(sig), -(-sig.shape[1] // 16) * 16), dtype=np.uint64)
+    wide[:, : sig.shape[1]] = bits
+    shift = np.arange(16, dtype=np.uint64) * np.uint64(4)
+    return np.bitwise_or.reduce(wide.reshape(len(sig), -1, 16) << shift, axis=2).view(np.int64)
+
+
+def _alike(a: str, b: str, threshold: float) -> str:
+    """SQL: enough slots agree. A slot differs if any of its four bits does; equal by chance: one in 16."""
+    mean = threshold + (1 - threshold) / 16
+
+    def within(slots: int) -> str:
+        most = slots - int((mean - DEVIATIONS * (mean * (1 - mean) / slots) ** 0.5) * slots)
+        differing = f"zip_with(slice({a}, 1, {slots // 16}), slice({b}, 1, {slots // 16}), (x, y) -> x ^ y)"
+        counts = f"transform({differing}, z -> bit_count((z | (z >> 1) | (z >> 2) | (z >> 3)) & 1229782938247303441L))"
+        return f"aggregate({counts}, 0, (n, z) -> n + z) <= {most}"
+
+    return f"{within(WIDE // 8)} AND {within(WIDE)}"  # an eighth of the slots rules most pairs out
+
+
+def _wide(texts: DataFrame) -> DataFrame:
+    """(node, code, bands): the second signatures of stored texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = batch.column("node")
+            for first, part in chunks(batch.column("text").to_pylist(), 300_000):
+                doc, value, count, _ = shingles(part)
+                code = codes(signatures(doc, value, count, len(part), WIDE))
+                at = pa.array(np.arange(len(part) + 1, dtype=np.int32) * code.shape[1])
+                yield pa.RecordBatch.from_arrays(
+                    [nodes.slice(first, len(part)), pa.ListArray.from_arrays(at, pa.array(code.reshape(-1))), batch.column("bands").slice(first, len(part))],
+                    names=["node", "code", "bands"])
+
+    return texts.mapInArrow(run, "node long, code array<long>, bands array<long>")
+
+
 def _sketch(df: DataFrame) -> DataFrame:
     schema = T.StructType([
         df.schema["doc_id"], T.StructField("text", T.StringType()), T.StructField("node", T.LongType()), T.StructField("keep_hash", T.LongType()),
@@ -164,9 +207,31 @@ def _verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
+def _meet(members: DataFrame, wide: DataFrame, heads: int | None, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs of each bucket's first ``heads`` members (None: of all members) with all its members of other components, and the other members.
+
+    A pair is left out if the totals or the signatures say that it can't be similar enough."""
+    # the smallest rank of each of ``heads`` hashed parts of the bucket; partial minima are combined before the shuffle
+    if heads is None:
+        marked = members.withColumn("is_head", F.lit(True))
+    else:
+        first = members.groupBy("bucket", F.expr(f"pmod(xxhash64(node), {heads})").alias("part")).agg(F.min("rank").alias("rank"))
+        marked = members.join(first.select("bucket", "rank", F.lit(True).alias("is_head")), ["bucket", "rank"], "left")
+    coded = marked.join(wide, "node")
+    left = coded.where("is_head").selectExpr("bucket AS bucket_a", "node AS a", "comp AS comp_a", "total AS total_a", "code AS code_a", "bands AS bands_a")
+    # two heads meet once; the totals bound the similarity
+    may = (f"bucket = bucket_a AND comp <> comp_a AND (is_head IS NULL OR a < node) AND least(total, total_a) >= {threshold} * greatest(total, total_a) "
+           f"AND {_alike('code', 'code_a', threshold)}")
+    if heads != 1:  # a pair that shares many buckets meets in the first of them
+        may += " AND get(filter(zip_with(bands, bands_a, (x, y) -> IF(x = y, x, NULL)), z -> z IS NOT NULL), 0) = bucket"
+    pairs = coded.join(left, F.expr(may)).selectExpr("a", "node AS b")
+    return pairs, marked.where("is_head IS NULL").drop("is_head")
+
+
 def near_dedup(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``df`` (doc_id, text): doc_id, class_id (smallest id), class_size, kept, keep_hash."""
     need(df, "doc_id", "text")
+    small_batches(df.sparkSession)
     docs = stage(_sketch(df), "sketch")
     first = stage(docs.groupBy("copy").agg(F.min("node").alias("rep")), "copies")
     reps = docs.select("node", "total", "bands").join(first.selectExpr("rep AS node"), "node", "left_semi").where("total > 0")
@@ -177,40 +242,37 @@ def near_dedup(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     nodes = members.select("node").distinct()
     if nodes.count() <= BROADCAST_NODES:
         nodes = F.broadcast(nodes)
-    texts = stage(docs.select("node", "text").join(nodes, "node", "left_semi"), "texts")
-    links, labels, tested = None, None, None
+    texts = stage(docs.select("node", "text", "bands").join(nodes, "node", "left_semi"), "texts")
+    wide = stage(_wide(texts), "wide")
+    # heads are documents that share many buckets, as the middle of a group does; ties by a hash
+    shares = members.groupBy("node").agg(F.count(F.lit(1)).alias("n")).selectExpr("node", f"(({BANDS} - n) << 58) | (xxhash64(node) & 288230376151711743L) AS rank")
+    members = members.join(shares, "node")
+    links, labels, tested, heads = None, None, None, 1
     while True:
+        members = members.drop("comp")
         if labels is not None:
-            members = (members.drop("comp").join(labels.withColumnRenamed("component", "comp"), "node", "left")
-                       .withColumn("comp", F.coalesce("comp", "node")))
+            members = members.join(labels.withColumnRenamed("component", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         else:
             members = members.withColumn("comp", F.col("node"))
-        state = members.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("node").alias("head"), F.count(F.lit(1)).alias("n"))
-        mixed = state.where("low < high").select("bucket", "head", "n")
-        members = stage(members.join(mixed, "bucket"), "members")
-        size = members.agg(F.count(F.lit(1)), F.sum("n"), F.countDistinct("node")).first()
-        if not size[0]:
+        state = members.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+        members = stage(members.join(state.where("low < high").select("bucket"), "bucket"), "members")
+        if members.isEmpty():
             break
-        if size[1] - size[0] <= 8 * size[2]:  # ordered pairs left in all buckets: few
-            right = members.selectExpr("bucket", "node AS node_b", "total AS total_b", "comp AS comp_b")
-            pairs = members.join(right, "bucket").where("node < node_b AND comp <> comp_b").selectExpr("node AS a", "node_b AS b", "total", "total_b")
-            last = True
-        else:
-            heads = members.where("node = head").selectExpr("bucket", "comp AS comp_a", "total AS total_a")
-            pairs = members.where("node <> head").join(heads, "bucket").where("comp <> comp_a").selectExpr("head AS a", "node AS b", "total", "total_a AS total_b")
-            last = False
-        # the totals bound the similarity
-        pairs = pairs.where(f"least(total, total_b) >= {threshold} * greatest(total, total_b)").select("a", "b").distinct()
+        pairs, members = _meet(members, wide, heads, threshold)
+        pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
         found = stage(_verify(pairs, texts, threshold), "links")
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
-        if last:
+        matched = found.count()
+        if matched:
+            links = found if links is None else links.unionByName(found)
+            labels = components(links)
+        if heads is None:
             break
-        members = members.where("node <> head").drop("head", "n")
+        # when few comparisons match, what is left is mostly unlike: the rest meets at once
+        heads = heads * 16 if 10 * matched >= pairs.count() else None
     named = docs.select("doc_id", "node", "keep_hash", "copy").join(first, "copy").select("doc_id", "node", "keep_hash", "rep")
     if labels is not None:
         named = named.join(labels.withColumnRenamed("node", "rep"), "rep", "left").selectExpr("doc_id", "node", "keep_hash", "coalesce(component, rep) AS class")
