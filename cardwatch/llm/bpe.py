@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from cardwatch.llm.common import BREAK, OTHER, SEP, SPACE, char_classes, chunks, join_texts, need, span_hashes
+from cardwatch.llm.common import BREAK, OTHER, SEP, SPACE, char_classes, chunks, join_texts, need, small_batches, span_hashes
 
 #: Words of more code points aren't kept in the worker's memory.
 LONGEST_KEPT = 64
@@ -254,6 +254,7 @@ def _slices(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch,
 def encode(df: DataFrame, tokenizer_path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
     """Add the array<int> column ``ids``; with ``decoded``, also what the ids decode to (in the same worker)."""
     need(df, text)
+    small_batches(df.sparkSession)
     df = df.drop(*(c for c in (ids, decoded) if c and c != text))
     file = read_tokenizer(df, tokenizer_path)
     fields = [T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)]
@@ -275,6 +276,7 @@ def encode(df: DataFrame, tokenizer_path: str, text: str = "text", ids: str = "i
 def decode_column(df: DataFrame, tokenizer_path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Add the string column ``text`` that the array column ``ids`` decodes to; null ids give empty text."""
     need(df, ids)
+    small_batches(df.sparkSession)
     df = df.drop(text)
     file = read_tokenizer(df, tokenizer_path)
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardwatch.llm.common import need, shuffle_width, stage
+from cardwatch.llm.common import need, shuffle_width, small_batches, stage
 
 START, END = "###", "</turn>"
 CONTROL = re.compile(rf"(\\*)({START}|{END}|\Z)")
@@ -111,6 +111,7 @@ def branches(nodes: DataFrame, best: int | None = None) -> DataFrame:
 def format_branches(nodes: DataFrame, best: int | None = None) -> DataFrame:
     """Chosen branches as conversations: (conv_id, leaf, rank, part, formatted, loss), ``loss`` being spans [start, end)."""
     need(nodes, "conv_id", "node", "role", "text")
+    small_batches(nodes.sparkSession)
     texts = nodes.select("conv_id", "node", "role", "text").alias("t")
     turns = branches(nodes, best).alias("b").join(texts, F.expr("b.conv_id <=> t.conv_id AND b.node = t.node")).selectExpr(
         "b.conv_id", "leaf", "rank", "position", "coalesce(role, '') AS role", "coalesce(text, '') AS text")

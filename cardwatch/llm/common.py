@@ -43,6 +43,13 @@ def need(df: DataFrame, *columns: str) -> None:
         raise ValueError(f"missing columns {missing}; have {df.columns}")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let Spark hand Python this many rows at a time at most: documents may be long, and its default is 10 000."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > rows:
+        spark.conf.set(key, rows)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """The names, lengthened until no column of ``df`` has them."""
     taken = {c.lower() for c in df.columns}
@@ -104,7 +111,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def chunks(texts: list[str], limit: int = 1_500_000):
+def chunks(texts: list[str], limit: int = 1_000_000):
     """(first index, texts) groups of about ``limit`` characters; one longer text is a group of its own."""
     first, size = 0, 0
     for i, t in enumerate(texts):

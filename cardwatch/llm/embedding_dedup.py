@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwatch.llm.common import need, shuffle_width, stage
+from cardwatch.llm.common import need, shuffle_width, small_batches, stage
 from cardwatch.llm.graph import components
 
 THRESHOLD = 0.98
@@ -201,6 +201,7 @@ def near_vectors(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``df`` (vec_id, embedding, label): vec_id, n_links, component_id, kept."""
     need(df, "vec_id", "embedding", "label")
     spark = df.sparkSession
+    small_batches(spark)
     rows = stage(_keyed(df), "vectors").withColumn("copy", F.expr("CASE WHEN vec IS NOT NULL THEN md5(vec) END"))
     valid = rows.where("vec IS NOT NULL")
     reps = valid.groupBy("label", "copy").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("weight"))

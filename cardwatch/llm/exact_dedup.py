@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from cardwatch.llm.common import need, shuffle_width, stage, text_hash
+from cardwatch.llm.common import need, shuffle_width, small_batches, stage, text_hash
 
 BLANKS = bytes([0x20, *range(0x09, 0x0E)])
 #: Bytes of distinct text in a bucket before it is split.
@@ -175,6 +175,7 @@ def exact_dedup(df: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     ``keep_hash`` is xxhash64 of the text that stays; with ``keep_id`` it names the row (``common.keep_rows``).
     """
     need(df, "doc_id", "text")
+    small_batches(df.sparkSession)
     entries = with_buckets(stage(_entries(df), "entries"), bucket_bytes)
     dealt = entries.repartition(shuffle_width(df.sparkSession), "bucket").sortWithinPartitions("bucket", "key")
     index = stage(_own(dealt, df.schema["doc_id"].dataType), "index")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from cardwatch.llm.common import need
+from cardwatch.llm.common import need, small_batches
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "noscript", "template"}
@@ -245,6 +245,7 @@ def main_text(html: str | None) -> str:
 def extract(df: DataFrame, html: str = "html", text: str = "text") -> DataFrame:
     """Replace the column ``html`` by ``text``."""
     need(df, html)
+    small_batches(df.sparkSession)
     kept = [f for f in df.schema.fields if f.name not in (html, text)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

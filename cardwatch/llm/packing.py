@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardwatch.llm import bpe
-from cardwatch.llm.common import mix, need, stage
+from cardwatch.llm.common import mix, need, small_batches, stage
 
 #: Pieces that one task packs at a time.
 GROUP = 4096
@@ -44,6 +44,7 @@ def pieces(df: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: int
     ``lane`` is a scrambled row number that deals rows out evenly.
     """
     need(df, "doc_id", "text")
+    small_batches(df.sparkSession)
     file = bpe.read_tokenizer(df, tokenizer_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -25,10 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardwatch.llm.common import BREAK, LETTER, NUMBER, OTHER, SPACE, char_classes, chunks, join_texts, need, span_hashes
+from cardwatch.llm.common import BREAK, LETTER, NUMBER, OTHER, SPACE, char_classes, chunks, join_texts, need, small_batches, span_hashes
 
 #: Labelled rows used for the fit.
-SAMPLE = 8000
+SAMPLE = 4000
 BUCKETS, FACTORS, BINS = 1 << 16, 8, 16
 EPOCHS, BATCH, RATE, DECAY, SEED = 12, 64, 0.08, 1e-5, 7
 #: A word's bucket gets weights if it is in so many training texts.
@@ -67,8 +67,10 @@ def describe(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     edge, stop = edge[is_token], stop[is_token]
     sign = group[edge] == OTHER
     doc = np.searchsorted(ends, edge)
-    bucket = (span_hashes(low[points], edge, stop) >> np.uint64(20)).astype(np.int64) % BUCKETS
     n = len(texts)
+    word = span_hashes(low[points], edge, stop)
+    bucket = (word >> np.uint64(20)).astype(np.int64) % BUCKETS
+    again = np.concatenate([[False], (word[1:] == word[:-1]) & (doc[1:] == doc[:-1])])[: len(word)]
     code, count = np.unique(doc * BUCKETS + bucket, return_counts=True)
     of, bucket = code // BUCKETS, code % BUCKETS
 
@@ -94,6 +96,7 @@ def describe(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
         np.log1p(chars), np.log1p(words), share(letters + digits, words), share(per_text(upper[points]), letters), share(digits, chars),
         share(signs, chars), share(long_runs, words), share(runs, words), share(chars - letters - digits - signs, chars),
         np.log1p(lines), share(chars, lines), 1 - share(distinct_lines, lines), share(np.bincount(of, minlength=n), words + runs), share(most, words + runs),
+        share(np.bincount(doc[again], minlength=n), words + runs),
     ], axis=1)
     return of, bucket, count, stats
 
@@ -190,6 +193,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", metadata:
     """Fit on ``sample`` rows at most: labels (doc_id, ``label`` 0 or 1; the largest if an id repeats) joined to docs."""
     need(docs, "doc_id", "text", *metadata)
     need(labels, "doc_id", label)
+    small_batches(docs.sparkSession)
     chosen = (labels.where(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).alias("__label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     rows = docs.select("doc_id", "text", *metadata).join(F.broadcast(chosen), "doc_id")  # bounded by ``sample``
@@ -210,7 +214,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", metadata:
     got = rows.mapInArrow(run, f"doc_id {kind}, label int, bucket array<int>, count array<int>, stats array<double>").toArrow()
     got = got.sort_by("doc_id").combine_chunks()  # the fit doesn't depend on the order in which tasks end
     if not got.num_rows:
-        k = 14 + len(metadata)
+        k = 15 + len(metadata)
         return fit(*(np.zeros(0, dtype=np.int64),) * 3, np.zeros((0, k)), np.zeros(0))
     lists = [got.column(c).chunk(0) if got.column(c).num_chunks else got.column(c) for c in ("bucket", "count")]
     of = np.repeat(np.arange(got.num_rows), [len(x) for x in lists[0]])
@@ -221,6 +225,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", metadata:
 def score(docs: DataFrame, model: Model, metadata: tuple[str, ...] = (), name: str = "score") -> DataFrame:
     """Add ``name``: the probability of label 1 for each whole text."""
     need(docs, "text", *metadata)
+    small_batches(docs.sparkSession)
     docs = docs.drop(name)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most (BUCKETS + bins) x (FACTORS + 1) numbers
 
