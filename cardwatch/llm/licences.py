@@ -16,6 +16,7 @@ table gives an empty table; other columns are ignored. The model and its tables
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass
 
@@ -142,10 +143,16 @@ def variants(text: str) -> list[str]:
     return out
 
 
-def _rows(spark: SparkSession, rows: list[tuple], *names: str) -> DataFrame:
-    """A small table out of literals."""
-    made = F.array(*(F.struct(*(F.lit(v).alias(n) for v, n in zip(r, names, strict=True))) for r in rows))
-    return spark.range(1).select(F.explode(made).alias("r")).select("r.*")
+def _rows(spark: SparkSession, rows: list[tuple], kind: str) -> DataFrame:
+    """A small table in one partition out of one JSON literal (a Column call for each value takes long)."""
+    names = [f.split()[0] for f in re.split(r",\s*(?![^<]*>)", kind)]
+    text = json.dumps([dict(zip(names, r, strict=True)) for r in rows])
+    fields = ", ".join(f.replace(" ", ": ", 1) for f in re.split(r",\s*(?![^<]*>)", kind))
+    return spark.range(0, 1, 1, 1).select(F.explode(F.from_json(F.lit(text), f"array<struct<{fields}>>")).alias("r")).select("r.*")
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def sequences(tokens: str) -> str:
@@ -166,7 +173,7 @@ class Model:
 
 def train(spark: SparkSession) -> Model:
     rows = [(f, v, n % 4) for f, notices in NOTICES.items() for notice in notices for n, v in enumerate(variants(notice))]
-    data = _rows(spark, rows, "family", "text", "fold").selectExpr("family", "fold", f"regexp_extract_all(lower(text), '{TOKEN}', 0) AS w").selectExpr(
+    data = _rows(spark, rows, "family string, text string, fold int").selectExpr("family", "fold", f"regexp_extract_all(lower(text), '{TOKEN}', 0) AS w").selectExpr(
         "family", "fold", f"{sequences('w')} AS sequences")
     data = StringIndexer(inputCol="family", outputCol="label", stringOrderType="alphabetAsc").fit(data).transform(data)
     vectors = CountVectorizer(inputCol="sequences", outputCol="features", binary=True, minDF=2.0).fit(data)
@@ -195,7 +202,7 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     pairs = [sorted({" ".join(p) for p in zip(words(t), words(t)[1:], strict=False)}) for _, t in templates]
     bound = {p: n for n, p in enumerate(sorted({p for ps in pairs for p in ps} | set(model.weights)))}
     zero = [0.0] * k
-    vocabulary = _rows(spark, [(s, n, model.weights.get(s, zero)) for s, n in bound.items()], "s", "n", "w")  # bounded by the notices
+    vocabulary = _rows(spark, [(s, n, model.weights.get(s, zero)) for s, n in bound.items()], "s string, n int, w array<double>")  # bounded by the notices
 
     anchor = "(?i)(?<![a-z0-9])(" + "|".join(a.replace(".", "[.]") for a in ANCHORS) + ")(?![a-z0-9])"
     lines = ("flatten(transform(split(text, '\\\\n[ \\\\t\\\\r]*\\\\n'), b -> IF(size(split(b, '\\\\s+')) > "
@@ -212,7 +219,9 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     scored = (found.withColumn("z", F.expr(logits)).withColumn("e", F.expr("transform(z, x -> exp(x - array_max(z)))"))
               .withColumn("at", F.expr("array_position(e, array_max(e))")).withColumn("probability", F.expr("array_max(e) / aggregate(e, 0D, (s, x) -> s + x)"))
               .withColumn("predicted", F.element_at(F.array(*map(F.lit, model.families)), F.col("at").cast("int"))))
-    shapes = F.array(*(F.struct(F.lit(f).alias("family"), F.lit(t).alias("template"), F.array(*(F.lit(bound[p]) for p in ps)).alias("pairs")) for (f, t), ps in zip(templates, pairs, strict=True)))
+    shapes = F.expr("array(" + ", ".join(
+        f"named_struct('family', {_quoted(f)}, 'template', {_quoted(t)}, 'pairs', array({', '.join(str(bound[p]) for p in ps)}))"
+        for (f, t), ps in zip(templates, pairs, strict=True)) + ")")
     best = scored.withColumn("match", F.array_max(F.transform(
         F.filter(shapes, lambda t: t["family"] == F.col("predicted")),
         lambda t: F.struct((F.size(F.array_intersect(t["pairs"], F.col("has"))) / F.size(t["pairs"])).alias("overlap"), t["template"].alias("template")))))
