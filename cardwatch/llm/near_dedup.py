@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardwatch.llm.common import chunks, mix, need, small_batches, space_words, stage, text_hash
+from cardwatch.llm.common import chunks, mix, need, shuffle_width, small_batches, space_words, stage, text_hash
 from cardwatch.llm.graph import components
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -43,6 +43,8 @@ SLOTS = BANDS * ROWS
 #: fewer slots than the threshold's mean less ``DEVIATIONS`` standard deviations isn't compared (one pair in 300 000 at
 #: the threshold, fewer above it).
 WIDE, DEVIATIONS = 1024, 4.5
+#: Members of a bucket that one task compares with the bucket's heads.
+PART_ROWS = 2048
 #: Vertices whose number is below this are broadcast (8 bytes each) to pick texts.
 BROADCAST_NODES = 2_000_000
 _G = np.uint64(0x9E3779B97F4A7C15)
@@ -217,14 +219,17 @@ def _meet(members: DataFrame, wide: DataFrame, heads: int | None, threshold: flo
     else:
         first = members.groupBy("bucket", F.expr(f"pmod(xxhash64(node), {heads})").alias("part")).agg(F.min("rank").alias("rank"))
         marked = members.join(first.select("bucket", "rank", F.lit(True).alias("is_head")), ["bucket", "rank"], "left")
-    coded = marked.join(wide, "node")
-    left = coded.where("is_head").selectExpr("bucket AS bucket_a", "node AS a", "comp AS comp_a", "total AS total_a", "code AS code_a", "bands AS bands_a")
+    # a large bucket is dealt over several tasks; its heads go to all of them
+    width, parts = shuffle_width(members.sparkSession), f"CAST(ceil(n / {PART_ROWS}) AS INT)"
+    coded = marked.join(wide, "node").withColumn("salt", F.expr(f"CAST(pmod(xxhash64(node), {parts}) AS INT)"))
+    left = coded.where("is_head").withColumn("salt", F.explode(F.expr(f"sequence(0, {parts} - 1)"))).selectExpr("bucket AS bucket_a", "salt AS salt_a", "node AS a", "comp AS comp_a", "total AS total_a", "code AS code_a", "bands AS bands_a")
     # two heads meet once; the totals bound the similarity
-    may = (f"bucket = bucket_a AND comp <> comp_a AND (is_head IS NULL OR a < node) AND least(total, total_a) >= {threshold} * greatest(total, total_a) "
+    may = (f"bucket = bucket_a AND salt = salt_a AND comp <> comp_a AND (is_head IS NULL OR a < node) AND least(total, total_a) >= {threshold} * greatest(total, total_a) "
            f"AND {_alike('code', 'code_a', threshold)}")
     if heads != 1:  # a pair that shares many buckets meets in the first of them
         may += " AND get(filter(zip_with(bands, bands_a, (x, y) -> IF(x = y, x, NULL)), z -> z IS NOT NULL), 0) = bucket"
-    pairs = coded.join(left, F.expr(may)).selectExpr("a", "node AS b")
+    # dealt out here: a split at run time would cut both sides of a bucket and run every pair of cuts
+    pairs = coded.repartition(width, "bucket", "salt").join(left.repartition(width, "bucket_a", "salt_a"), F.expr(may)).selectExpr("a", "node AS b")
     return pairs, marked.where("is_head IS NULL").drop("is_head")
 
 
@@ -254,8 +259,8 @@ def near_dedup(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             members = members.join(labels.withColumnRenamed("component", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         else:
             members = members.withColumn("comp", F.col("node"))
-        state = members.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-        members = stage(members.join(state.where("low < high").select("bucket"), "bucket"), "members")
+        state = members.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("n"))
+        members = stage(members.drop("n").join(state.where("low < high").select("bucket", "n"), "bucket"), "members")
         if members.isEmpty():
             break
         pairs, members = _meet(members, wide, heads, threshold)
