@@ -4,7 +4,9 @@ Paragraphs are blocks between blank lines; in a block of over ``LONG`` words eac
 the one-, two- and three-word sequences of the training notices that hold a licence word (``ANCHORS``). MLlib fits a
 sparse multinomial logistic regression on the notices below and on variants of them, with look-alikes as the class
 ``unknown``. A prediction counts if its probability reaches a threshold that is calibrated on other variants, and if
-the paragraph holds at least ``OVERLAP`` of the word pairs of one of the family's templates.
+the paragraph holds at least ``OVERLAP`` of the word pairs of one of the family's templates. Words between < and >
+(an invented name or year) are trained on but in no word pair. A heading names a licence only, so it confirms only a
+paragraph of at most ``SHORT`` words.
 
 A paragraph without a licence word has no feature, so it is skipped by one pattern: the result is the same. Rows:
 one for each paragraph with a feature: doc_id, paragraph (number from 0), family (``unknown`` unless confirmed),
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from cardwatch.llm.common import need
 
 UNKNOWN = "unknown"
-LONG, OVERLAP, REGULARISATION = 60, 0.6, 0.002
+LONG, SHORT, OVERLAP, REGULARISATION = 60, 6, 0.6, 0.002
 
 #: Notices of each family; the short ones are also its templates.
 NOTICES = {
@@ -100,7 +102,9 @@ NOTICES = {
         "This work is in the public domain, no copyright applies.",
     ],
     "proprietary": [
-        "Copyright 2020 Example Company. All rights reserved.",
+        "All rights reserved.",
+        "Copyright <2020 Example Company>. All rights reserved.",
+        "Copyright (c) <2015-2021 Some Authors>. All rights reserved.",
         "This software is proprietary and confidential; no license is granted.",
         "All rights reserved. Unauthorized copying of this file is prohibited under copyright law.",
     ],
@@ -120,8 +124,26 @@ NOTICES = {
         "The new license plate was issued in Boston.",
         "The restaurant is licensed to sell wine.",
         "Terms of use may change without notice.",
+        "All seats in the front row are reserved for members.",
+        "The rights of the guests were reserved to the owner.",
     ],
 }
+#: Lines that name a licence and say nothing else; templates of short paragraphs.
+HEADINGS = {
+    "apache": ["Apache License 2.0", "Apache License, Version 2.0", "License: Apache-2.0"],
+    "mit": ["MIT License", "The MIT License (MIT)", "License: MIT"],
+    "gpl": ["GNU General Public License v3.0", "License: GPL-3.0", "License: GPLv3"],
+    "lgpl": ["GNU Lesser General Public License v2.1", "License: LGPL-2.1", "License: LGPLv3"],
+    "agpl": ["GNU Affero General Public License v3.0", "License: AGPL-3.0", "License: AGPLv3"],
+    "mpl": ["Mozilla Public License 2.0", "License: MPL-2.0"],
+    "bsd": ["BSD 3-Clause License", "BSD License", "License: BSD-3-Clause"],
+    "isc": ["ISC License", "License: ISC"],
+    "cc-by": ["Creative Commons Attribution 4.0 International", "License: CC BY 4.0", "License: CC-BY-4.0"],
+    "cc-by-sa": ["Creative Commons Attribution-ShareAlike 4.0 International", "License: CC BY-SA 4.0", "License: CC-BY-SA-4.0"],
+    "cc-by-nc": ["Creative Commons Attribution-NonCommercial 4.0 International", "License: CC BY-NC 4.0", "License: CC-BY-NC-4.0"],
+    "public-domain": ["CC0 1.0 Universal", "License: CC0-1.0", "License: Public Domain"],
+    "proprietary": ["Proprietary License", "License: Proprietary"],
+}
 #: Words of which each feature holds one.
 ANCHORS = [
     "license", "licence", "licensed", "licenses", "spdx", "copyright", "permission", "permitted", "redistribution", "redistribute", "gpl", "lgpl", "agpl", "mpl",
@@ -135,6 +157,15 @@ def words(text: str) -> list[str]:
     return re.findall(TOKEN, text.lower())
 
 
+def pairs_of(notice: str) -> list[str]:
+    """The word pairs of a template, without those that hold an invented word."""
+    return sorted({" ".join(p) for part in re.split("<[^>]*>", notice) for w in [words(part)] for p in zip(w, w[1:], strict=False)})
+
+
+def plain(notice: str) -> str:
+    return re.sub("[<>]", "", notice)
+
+
 def variants(text: str) -> list[str]:
     """The notice in other surroundings, cut short, and with words missing."""
     w = text.rstrip(".").split()
@@ -172,7 +203,7 @@ class Model:
 
 
 def train(spark: SparkSession) -> Model:
-    rows = [(f, v, n % 4) for f, notices in NOTICES.items() for notice in notices for n, v in enumerate(variants(notice))]
+    rows = [(f, v, n % 4) for f, notices in NOTICES.items() for notice in [*notices, *HEADINGS.get(f, [])] for n, v in enumerate(variants(plain(notice)))]
     data = _rows(spark, rows, "family string, text string, fold int").selectExpr("family", "fold", f"regexp_extract_all(lower(text), '{TOKEN}', 0) AS w").selectExpr(
         "family", "fold", f"{sequences('w')} AS sequences")
     data = StringIndexer(inputCol="family", outputCol="label", stringOrderType="alphabetAsc").fit(data).transform(data)
@@ -198,8 +229,8 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     need(docs, "doc_id", "text")
     spark = docs.sparkSession
     k = len(model.families)
-    templates = [(f, t) for f, notices in NOTICES.items() if f != UNKNOWN for t in notices]
-    pairs = [sorted({" ".join(p) for p in zip(words(t), words(t)[1:], strict=False)}) for _, t in templates]
+    templates = [(f, t, most) for kind, most in ((NOTICES, 2**31 - 1), (HEADINGS, SHORT)) for f, notices in kind.items() if f != UNKNOWN for t in notices]
+    pairs = [pairs_of(t) for _, t, _ in templates]
     bound = {p: n for n, p in enumerate(sorted({p for ps in pairs for p in ps} | set(model.weights)))}
     zero = [0.0] * k
     vocabulary = _rows(spark, [(s, n, model.weights.get(s, zero)) for s, n in bound.items()], "s string, n int, w array<double>")  # bounded by the notices
@@ -212,18 +243,18 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
                   .select("doc_id", "row", F.posexplode(F.filter(F.expr(lines), lambda x: F.trim(x) != "")).alias("paragraph", "text")).where(held))
     tokens = paragraphs.selectExpr("doc_id", "row", "paragraph", f"regexp_extract_all(lower(text), '{TOKEN}', 0) AS w")
     several = ", ".join(f"transform(sequence(1, greatest(size(w) - {n - 1}, 0) + 1), i -> concat_ws(' ', slice(w, i, {n})))" for n in (1, 2, 3))
-    found = (tokens.selectExpr("doc_id", "row", "paragraph", f"explode(array_distinct(concat({several}))) AS s").join(F.broadcast(vocabulary), "s")
-             .groupBy("row", "paragraph", "doc_id").agg(F.sort_array(F.collect_set("n")).alias("has"), *(F.sum(F.col("w")[i]).alias(f"z{i}") for i in range(k))))
+    found = (tokens.selectExpr("doc_id", "row", "paragraph", "size(w) AS words", f"explode(array_distinct(concat({several}))) AS s").join(F.broadcast(vocabulary), "s")
+             .groupBy("row", "paragraph", "doc_id", "words").agg(F.sort_array(F.collect_set("n")).alias("has"), *(F.sum(F.col("w")[i]).alias(f"z{i}") for i in range(k))))
     # a row needs a feature of the model, not just a template's word pair
     logits = "array(" + ", ".join(f"z{i} + {model.intercept[i]!r}D" for i in range(k)) + ")"
     scored = (found.withColumn("z", F.expr(logits)).withColumn("e", F.expr("transform(z, x -> exp(x - array_max(z)))"))
               .withColumn("at", F.expr("array_position(e, array_max(e))")).withColumn("probability", F.expr("array_max(e) / aggregate(e, 0D, (s, x) -> s + x)"))
               .withColumn("predicted", F.element_at(F.array(*map(F.lit, model.families)), F.col("at").cast("int"))))
     shapes = F.expr("array(" + ", ".join(
-        f"named_struct('family', {_quoted(f)}, 'template', {_quoted(t)}, 'pairs', array({', '.join(str(bound[p]) for p in ps)}))"
-        for (f, t), ps in zip(templates, pairs, strict=True)) + ")")
+        f"named_struct('family', {_quoted(f)}, 'template', {_quoted(plain(t))}, 'most', {most}, 'pairs', array({', '.join(str(bound[p]) for p in ps)}))"
+        for (f, t, most), ps in zip(templates, pairs, strict=True)) + ")")
     best = scored.withColumn("match", F.array_max(F.transform(
-        F.filter(shapes, lambda t: t["family"] == F.col("predicted")),
+        F.filter(shapes, lambda t: (t["family"] == F.col("predicted")) & (t["most"] >= F.col("words"))),
         lambda t: F.struct((F.size(F.array_intersect(t["pairs"], F.col("has"))) / F.size(t["pairs"])).alias("overlap"), t["template"].alias("template")))))
     sure = (F.col("probability") >= model.threshold) & (F.col("match.overlap") >= OVERLAP)
     return best.where(F.expr("aggregate(z, 0D, (s, x) -> s + abs(x))") != sum(map(abs, model.intercept))).select(

@@ -77,3 +77,30 @@ def test_whole_table(spark, sf_small, model):
 def test_plan_has_no_python(docs, model):
     plan = licences.scan(docs([(1, "a")]), model)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_proprietary_and_headings(docs, model):
+    """Notices without an invented name, and lines that only name a licence."""
+    lines = [("All rights reserved.", "proprietary"), ("Copyright 2021 Acme Inc. All rights reserved.", "proprietary"), ("Some prose.\nAll rights reserved.", "proprietary"),
+             ("MIT License", "mit"), ("License: MIT", "mit"), ("License: Apache-2.0", "apache"), ("BSD 3-Clause License", "bsd"), ("License: GPLv3", "gpl"), ("ISC License", "isc"),
+             ("Mozilla Public License 2.0", "mpl"), ("License: CC BY 4.0", "cc-by"), ("License: CC BY-SA 4.0", "cc-by-sa"), ("License: CC BY-NC 4.0", "cc-by-nc"),
+             ("GNU Lesser General Public License v2.1", "lgpl"), ("GNU Affero General Public License v3.0", "agpl"), ("License: Public Domain", "public-domain")]
+    assert found(docs, model, [(k, t) for k, (t, _) in enumerate(lines)]) == sorted(((k, 0, f) for k, (_, f) in enumerate(lines)), key=str)
+
+
+def test_names_in_prose_are_unknown(docs, model):
+    rows = [(k, t) for k, t in enumerate([
+        "A long chapter of the book compares the MIT license to many other texts.", "All seats were reserved.", "He reserved all the rights for himself."])]
+    assert found(docs, model, rows) == []
+
+
+def test_whole_table_all_five(spark, sf_small, model):
+    """Every one of the five planted kinds of licence line is found, and nothing else."""
+    families = {"Apache License": "apache", "MIT License": "mit", "GNU General Public": "gpl", "CC BY-NC": "cc-by-nc", "All rights reserved": "proprietary"}
+    table = spark.read.parquet(f"{sf_small}/documents.parquet")
+    expected = collections.Counter()
+    for r in table.collect():
+        for line in (r.text or "").split("\n"):
+            expected.update((r.doc_id, f) for mark, f in families.items() if re.search(mark, line))
+    got = collections.Counter((r.doc_id, r.family) for r in licences.scan(table, model).collect() if r.family != "unknown")
+    assert got == expected and "proprietary" in {f for _, f in expected}
