@@ -34,6 +34,9 @@ BLOCKS = {
     "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html", "li", "main", "menu", "nav", "ol", "p", "pre", "section",
     "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 }
+FOREIGN = {"svg", "math"}
+#: What may be in a head; anything else ends it.
+HEAD = {"base", "link", "meta", *RAW} - {"textarea", "xmp", "iframe"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: Elements that are no article text.
 DROPPED = {"head", "nav", "footer", "aside", "form", "button", "select", "svg", "canvas", "object", "dialog", "menu", *RAW}
@@ -50,10 +53,11 @@ WORD = re.compile(r"[a-z0-9]+")
 
 
 class Node:
-    __slots__ = ("chars", "density", "kids", "link_chars", "link_tags", "parent", "tag", "tags", "total")
+    __slots__ = ("chars", "density", "dropped", "ended", "kids", "link_chars", "link_tags", "parent", "tag", "tags", "total")
 
-    def __init__(self, tag: str, parent: Node | None) -> None:
-        self.tag, self.parent = tag, parent
+    def __init__(self, tag: str, parent: Node | None, dropped: bool = False) -> None:
+        self.tag, self.parent, self.dropped = tag, parent, dropped
+        self.ended = False  # an inline element whose end tag came inside a block that is still open
         self.kids: list = []  # nodes and strings
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
@@ -74,16 +78,28 @@ def is_text(tag: str, attributes: str, in_article: bool) -> bool:
 
 
 def read(html: str) -> Node:
-    """The tree of what may be text; what isn't is left out with all that it holds."""
+    """The tree of what may be text; what isn't is read into the tree like the rest, and then left out with all that it holds."""
     root = Node("body", None)
-    node, at, skip = root, 0, 0  # skip: depth inside an element that is left out
-    skipped: list[str] = []
-    articles = 0
+    node, at = root, 0
+    articles = foreign = 0  # open article and main elements; open svg and math elements
     end = len(html)
+
+    def leave(to: Node) -> None:
+        """Close the open elements down to ``to``, and below it those whose end tag was seen."""
+        nonlocal node, articles, foreign
+        while node is not to or node.ended and node.parent:
+            if node is to:
+                to = node.parent
+            articles -= node.tag in ("article", "main")
+            foreign -= node.tag in FOREIGN
+            node = node.parent
+
     while at < end:
         m = TOKEN.search(html, at)
         stop = m.start() if m else end
-        if stop > at and not skip:
+        if stop > at:
+            if node.tag == "head" and html[at:stop].strip():
+                leave(node.parent)
             node.kids.append(html[at:stop])
         if not m:
             break
@@ -93,53 +109,62 @@ def read(html: str) -> Node:
             continue
         tag = tag.lower()
         if closing:
-            if skip:
-                if tag in skipped:
-                    while skipped.pop() != tag:
-                        pass
-                    skip = len(skipped)
-                continue
-            open_ = node
-            while open_.parent and open_.tag != tag:
+            open_, inside_block = node, False
+            while open_.parent and open_.tag not in (tag, "table"):  # no end tag reaches out of a table
+                inside_block = inside_block or open_.tag in BLOCKS or open_.dropped
                 open_ = open_.parent
-            if open_.parent:
-                while node is not open_:
-                    articles -= node.tag in ("article", "main")
-                    node = node.parent
-                articles -= tag in ("article", "main")
-                node = node.parent
+            if open_.parent and open_.tag == tag:
+                if inside_block and tag not in BLOCKS and not open_.dropped:
+                    open_.ended = True
+                else:
+                    leave(open_.parent)
             elif tag == "p":
                 node.kids.append(Node("p", node))
             continue
+        if node.tag == "head" and tag not in HEAD:
+            leave(node.parent)
+        empty = tag in VOID or attributes.endswith("/") and (foreign > 0 or tag in FOREIGN)
         if tag in RAW:
-            close = re.compile(f"</{re.escape(tag)}[^>]*(?:>|\\Z)", re.I).search(html, at)
-            at = close.end() if close else end
-            continue
-        if skip:
-            if tag not in VOID and not attributes.endswith("/"):
-                skipped.append(tag)
-                skip += 1
+            close = None if empty else re.compile(f"</{re.escape(tag)}[^>]*(?:>|\\Z)", re.I).search(html, at)
+            at = at if empty else close.end() if close else end
             continue
-        if tag in ("html", "body"):
+        if tag in ("html", "body") or tag == "form" and _close(node, {"form"}, stop_at=set()) is not node:  # no form in a form
             continue
+        if foreign and tag in BLOCKS:  # a block ends a picture or formula that is open
+            x = node
+            while x.tag not in FOREIGN and x.tag != "foreignobject":
+                x = x.parent
+            if x.tag in FOREIGN:
+                leave(x.parent)
         if tag in BLOCKS and tag != "li":  # a block ends an open paragraph
-            node = _close(node, {"p"}, stop_at=BLOCKS - {"p"})
+            leave(_close(node, {"p"}, stop_at=BLOCKS - {"p"}))
         if tag in ("li", "dt", "dd", "option", "tr", "td", "th"):
             ends = {"dt", "dd"} if tag in ("dt", "dd") else {"td", "th"} if tag in ("td", "th") else {"tr"} if tag == "tr" else {tag}
-            node = _close(node, ends, stop_at={"ul", "ol", "dl", "table", "select", "menu"} | ({"tr"} if tag in ("td", "th") else set()))
-        if not is_text(tag, attributes, articles > 0):
-            if tag not in VOID:
-                skipped.append(tag)
-                skip = 1
-            continue
-        new = Node(tag, node)
+            leave(_close(node, ends, stop_at={"ul", "ol", "dl", "table", "select", "menu"} | ({"tr"} if tag in ("td", "th") else set())))
+        if tag in ("button", "select"):  # can't be nested
+            leave(_close(node, {tag}, stop_at={"table"}))
+        if tag == "a":
+            x = node
+            while x.parent and x.tag not in ("a", "table"):
+                x = x.parent
+            if x.tag == "a":
+                x.ended = True
+                leave(_close(node, {"a"}, stop_at=BLOCKS))
+        new = Node(tag, node, not is_text(tag, attributes, articles > 0))
         node.kids.append(new)
-        if tag not in VOID:
+        if not empty:
             node = new
             articles += tag in ("article", "main")
+            foreign += tag in FOREIGN
+    prune(root)
     return root
 
 
+def prune(root: Node) -> None:
+    for x in _walk(root):
+        x.kids = [k for k in x.kids if isinstance(k, str) or not k.dropped]
+
+
 def _close(node: Node, tags: set[str], stop_at: set[str]) -> Node:
     """Close the nearest open element of ``tags``, unless one of ``stop_at`` is nearer."""
     x = node

@@ -55,3 +55,27 @@ def test_odd_rows(spark):
     out = extract(table).collect()
     assert sorted(len(r.text) for r in out) == [0, 0, 0, 399_999]
     assert extract(table.where("page_id = 99")).collect() == []
+
+
+@pytest.mark.parametrize(("html", "text"), [
+    ('<body><p class="notice">Please note<p>Article text here.</body>', "Article text here."),
+    ('<ul><li class="share">Share<li>First point<li>Second point</ul>', "First point\nSecond point"),
+    ('<article>a<form>b<form>c</form>d</article>', "ad"),
+    ('<html><head><meta charset=x><title>T</title><body><p>x', "x"),
+    ('<head><title>T</title><p>x', "x"),
+    ('<head><meta charset=x>\nx', "x"),
+    ('<article><a class="ad"><div>Buy<a href=x>it</a></div>rest</article>', "rest"),
+    ('<article>a<button>b<button>c</button>d</article>', "ad"),
+    ('<article><div class="ad">Buy</article> more text', "more text"),
+    ('<div><article>Kept <div class="ad">Buy</article></div><p>x</p>', "Kept\nx"),
+    ('<article>One <svg class="i" viewBox="0 0 1 1"/> two</article>', "One two"),
+    ('<article>One <svg><title/><path d="M0"/><g><circle></svg> two</article>', "One two"),
+    ('<article>One <svg><path d="M0"><p>two</p></article>', "One\ntwo"),
+    ('<article><table><tr><td class="ad">Buy<td>cell<tr class="ad"><td>x<tr><td>next</table>end</article>', "cell\nnext\nend"),
+    ('<article><dl><dt class="ad">Buy<dd>kept</dl>end</article>', "kept\nend"),
+    ('<article><span>a<div class="ad">b</span>c</div>d</article>', "ad"),
+    ('<article><div>a<table><tr><td class="ad">b</div>c</td></tr></table>d</div>e</article>', "a\nd\ne"),
+    ('<article><nav><ul><li>x<li>y</ul></nav>kept</article>', "kept"),
+])
+def test_left_out_elements_end_as_others_do(html, text):
+    assert main_text(html) == text
