@@ -1,7 +1,8 @@
 """Main text of web pages by composite text density.
 
 A page is read into a tree (comments, scripts, styles, forms and elements that name themselves a menu, header,
-footer, sidebar, notice, advert or reader comment are left out). Each node gets its characters per tag, adjusted
+footer, sidebar, notice, advert or reader comment are left out). A name is the last part of a class or id, without a
+word such as ``with`` or ``no`` before it. It doesn't count for an element that holds the article: see ``_unname``. Each node gets its characters per tag, adjusted
 by the links in it: dense links make a node sparse. The node whose children's densities sum to the most is the
 centre of the text. The least density on the way from it to the body is the threshold: an article or main element
 on that way is taken whole; otherwise, beside the centre, those neighbours of the way are taken whose density
@@ -47,16 +48,25 @@ NAMES = {
     "cookie", "cookies", "consent", "disqus", "footer", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "popup",
     "promo", "related", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
 }
+#: Names of readers' comments, which may be longer than the article.
+READERS = {"comment", "comments", "disqus"}
+#: Names that count only as a whole: page builders call any part of an article so.
+WHOLE = {"widget"}
+#: Words that make a name say what an element has or hasn't, not what it is.
+MODIFIERS = {"with", "without", "has", "have", "no", "non", "not", "free", "hide"}
+#: Characters from which most of a page's text is taken for its article whatever its name is.
+DENSE = 100
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z:_-]+)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 WORD = re.compile(r"[a-z0-9]+")
 
 
 class Node:
-    __slots__ = ("chars", "density", "dropped", "ended", "kids", "link_chars", "link_tags", "parent", "tag", "tags", "total")
+    __slots__ = ("chars", "density", "dropped", "ended", "kids", "link_chars", "link_tags", "name", "parent", "tag", "tags", "total")
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool = False) -> None:
         self.tag, self.parent, self.dropped = tag, parent, dropped
+        self.name = ""
         self.ended = False  # an inline element whose end tag came inside a block that is still open
         self.kids: list = []  # nodes and strings
         self.chars = self.tags = self.link_chars = self.link_tags = 0
@@ -64,19 +74,31 @@ class Node:
 
 
 def is_text(tag: str, attributes: str, in_article: bool) -> bool:
-    """False for elements that by tag, role, class or id aren't part of an article."""
+    """False for elements that by tag, role or style aren't part of an article."""
     if tag in DROPPED or tag == "header" and not in_article:
         return False
     if attributes and tag not in ("html", "body", "article", "main"):
         for name, value in ATTRIBUTE.findall(attributes):
             name, value = name.lower(), value.strip("\"'").lower()
-            if name in ("class", "id") and not NAMES.isdisjoint(WORD.findall(value)) or name == "role" and value in ROLES:
+            if name == "role" and value in ROLES:
                 return False
             if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
                 return False
     return True
 
 
+def name_of(tag: str, attributes: str) -> str:
+    """The listed word by which an element names itself something else than article text, or nothing."""
+    if attributes and tag not in ("html", "body", "article", "main"):
+        for name, value in ATTRIBUTE.findall(attributes):
+            if name.lower() in ("class", "id"):
+                for token in value.strip("\"'").lower().split():
+                    parts = [p for p in WORD.findall(token) if not p[0].isdigit()]
+                    if parts and parts[-1] in NAMES and MODIFIERS.isdisjoint(parts) and (len(parts) == 1 or parts[-1] not in WHOLE):
+                        return parts[-1]
+    return ""
+
+
 def read(html: str) -> Node:
     """The tree of what may be text; what isn't is read into the tree like the rest, and then left out with all that it holds."""
     root = Node("body", None)
@@ -151,15 +173,74 @@ def read(html: str) -> Node:
                 x.ended = True
                 leave(_close(node, {"a"}, stop_at=BLOCKS))
         new = Node(tag, node, not is_text(tag, attributes, articles > 0))
+        new.name = name_of(tag, attributes)
         node.kids.append(new)
         if not empty:
             node = new
             articles += tag in ("article", "main")
             foreign += tag in FOREIGN
     prune(root)
+    _unname(root)
+    prune(root)
     return root
 
 
+def _unname(root: Node) -> None:
+    """Mark named elements as dropped, but not one that holds the article.
+
+    That is one that holds a main or h1 element, or, if no other article or main element with text of its own is on the
+    page, an article element or most of the page's characters outside links. Comments need a main element if an
+    article, main or h1 element is outside of them. Outer elements are judged first, then those in the ones kept. A page
+    whose whole text is in named elements keeps them.
+    """
+    nodes = _walk(root)
+    named = [x for x in nodes if x.name]
+    if not named:
+        return
+    linked, own, plain, holds = {id(root): False}, {}, dict.fromkeys(map(id, nodes), 0), dict.fromkeys(map(id, nodes), frozenset())
+    for x in nodes[1:]:
+        linked[id(x)] = x.tag == "a" or linked[id(x.parent)]
+    for x in reversed(nodes):
+        own[id(x)] = 0 if linked[id(x)] else sum(len("".join(k.split())) for k in x.kids if isinstance(k, str))
+        plain[id(x)] += own[id(x)]
+        if x.tag in ("article", "main", "h1"):
+            holds[id(x)] |= {x.tag}
+        if x.parent:
+            plain[id(x.parent)] += plain[id(x)]
+            holds[id(x.parent)] |= holds[id(x)]
+    for inner in (False, True):
+        inside = {id(root): False}
+        for x in nodes[1:]:
+            inside[id(x)] = inside[id(x.parent)] or bool(x.name)
+        outside = dict.fromkeys(map(id, nodes), 0)
+        for x in reversed(nodes):
+            outside[id(x)] += 0 if inside[id(x)] else own[id(x)]
+            if x.parent:
+                outside[id(x.parent)] += outside[id(x)]
+        marks = [x for x in nodes if x.tag in ("article", "main", "h1") and not inside[id(x)]]
+        texts = {id(x) for x in marks if x.tag != "h1" and outside[id(x)]}
+        above = {id(root): 0}
+        for x in nodes[1:]:
+            above[id(x)] = above[id(x.parent)] + (id(x) in texts)
+        for x in nodes[1:]:
+            if not x.name or x.dropped or not inner and inside[id(x.parent)]:
+                continue
+            held = holds[id(x)]
+            elsewhere = len(texts) > above[id(x)]
+            most = plain[id(x)] >= DENSE and 2 * plain[id(x)] > plain[id(root)]
+            if "main" in held or not (x.name in READERS and marks) and ("h1" in held or not elsewhere and ("article" in held or most)):
+                x.name = ""
+            else:
+                x.dropped = True
+    gone = {id(root): False}
+    for x in nodes[1:]:
+        gone[id(x)] = gone[id(x.parent)] or x.dropped
+    left = sum(own[id(x)] for x in nodes if not gone[id(x)])
+    if not left and plain[id(root)] >= DENSE:
+        for x in named:
+            x.dropped = False
+
+
 def prune(root: Node) -> None:
     for x in _walk(root):
         x.kids = [k for k in x.kids if isinstance(k, str) or not k.dropped]

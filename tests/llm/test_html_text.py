@@ -79,3 +79,31 @@ def test_odd_rows(spark):
 ])
 def test_left_out_elements_end_as_others_do(html, text):
     assert main_text(html) == text
+
+
+ARTICLE = "<p>The first paragraph of the article is about the sea and its ships.</p><p>The second one goes on about the harbour and the lights.</p>"
+TEXT = "The first paragraph of the article is about the sea and its ships.\nThe second one goes on about the harbour and the lights."
+
+
+@pytest.mark.parametrize("wrapper", ['class="content with-sidebar"', 'class="has-banner"', 'class="post no-comments"', 'class="entry-content ad-free"',
+                                     'class="elementor-widget-container"', 'class="elementor-element elementor-widget"', 'id="post-with-related"', 'class="widget"', 'class="promo"'])
+def test_wrappers_of_the_article_stay(wrapper):
+    assert main_text(f"<body><div {wrapper}>{ARTICLE}</div></body>") == TEXT
+    assert main_text(f"<body><nav>Menu</nav><div {wrapper}><article>{ARTICLE}<div class='ad'>Buy</div></article></div></body>") == TEXT
+    assert main_text(f"<body><main><h1>Head</h1><div {wrapper}>{ARTICLE}</div></main></body>") == "Head\n" + TEXT
+
+
+@pytest.mark.parametrize("part", [
+    '<div class="box ad">Buy</div>', '<div id="cookie-notice">We set cookies.</div>', '<div class="site_sidebar">Other</div>', '<div class="ad-300x250">Buy</div>',
+    f'<div id="comments"><ol><li class="comment"><article>{ARTICLE * 3}</article></ol></div>', f'<section class="related">{ARTICLE * 3}</section>',
+    f'<section class="related"><article>{ARTICLE}</article><article>{ARTICLE}</article></section>'])
+def test_named_parts_are_left_out(part):
+    assert main_text(f"<body><main><article>{ARTICLE}</article>{part}</main></body>") == TEXT
+
+
+def test_comments_longer_than_the_article():
+    assert main_text(f'<body><div><h1>Head</h1>{ARTICLE}</div><div id="comments">{ARTICLE * 5}</div></body>') == "Head\n" + TEXT
+
+
+def test_nested_names_are_read_in_time():
+    assert main_text('<div class="ad">' * 3000 + "w " * 200).split() == ["w"] * 200
