@@ -1,12 +1,13 @@
 """Main text of web pages by composite text density.
 
-A page is read into a tree (comments, scripts, styles, forms and elements that name themselves a menu, header,
-footer, sidebar, notice, advert or reader comment are left out). A name is the last part of a class or id, without a
-word such as ``with`` or ``no`` before it. It doesn't count for an element that holds the article: see ``_unname``. Each node gets its characters per tag, adjusted
-by the links in it: dense links make a node sparse. The node whose children's densities sum to the most is the
-centre of the text. The least density on the way from it to the body is the threshold: an article or main element
-on that way is taken whole; otherwise, beside the centre, those neighbours of the way are taken whose density
-reaches the threshold, and headings.
+A page is read into a tree (comments, scripts, styles, forms and elements that name themselves a menu, header, footer,
+sidebar, notice, advert or reader comment are left out). A name is the last part of a class or id, without a word such
+as ``with`` or ``no`` before it. It doesn't count for an element that holds the article: see ``_unname``. Each node
+gets its characters per tag, adjusted by the links in it: dense links make a node sparse. Bare text and inline
+elements in a block make a node of their own, whose density is the sum of its parts between doubled line breaks; line
+breaks are no tags in this. The node whose children's densities sum to the most is the centre of the text. The least
+density on the way from it to the body is the threshold: an article or main element on that way is taken whole;
+otherwise, beside the centre, those neighbours of the way are taken whose density reaches the threshold, and headings.
 
 Character references are decoded, white space inside a block becomes one space, blocks are trimmed and joined by
 newlines in page order. Null or empty html, or a page without text, gives an empty string. Pages are read one by
@@ -56,6 +57,8 @@ WHOLE = {"widget"}
 MODIFIERS = {"with", "without", "has", "have", "no", "non", "not", "free", "hide"}
 #: Characters from which most of a page's text is taken for its article whatever its name is.
 DENSE = 100
+#: A run of bare text and inline elements, and a part of it: nodes without a tag.
+RUN, PART = "#run", "#part"
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z:_-]+)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 WORD = re.compile(r"[a-z0-9]+")
@@ -182,9 +185,60 @@ def read(html: str) -> Node:
     prune(root)
     _unname(root)
     prune(root)
+    _wrap(root)
     return root
 
 
+def _wrap(root: Node) -> None:
+    """Make a node of each run of text and inline elements in a block, so that these are on a par with the blocks beside them."""
+    nodes = _walk(root)
+    block = {id(root)}  # blocks, and inline elements that hold one
+    for x in reversed(nodes):
+        if x.parent and (x.tag in BLOCKS or id(x) in block):
+            block.update((id(x), id(x.parent)))
+    for x in nodes:
+        if id(x) in block:
+            runs: list = [[]]
+            for k in x.kids:
+                if isinstance(k, Node) and id(k) in block:
+                    runs += [k, []]
+                else:
+                    runs[-1].append(k)
+            x.kids = []
+            for r in runs:
+                x.kids += [r] if isinstance(r, Node) else [_run(r, x)] if any(isinstance(k, Node) or k.strip() for k in r) else r
+
+
+def _run(kids: list, parent: Node) -> Node:
+    run = Node(RUN, parent)
+    part: list = []
+    breaks = 0
+
+    def end() -> None:
+        if part:
+            new = Node(PART, run)
+            new.kids = list(part)
+            for k in part:
+                if isinstance(k, Node):
+                    k.parent = new
+            run.kids.append(new)
+            part.clear()
+
+    for k in kids:
+        if isinstance(k, str) and not k.strip():
+            part.append(k)
+            continue
+        if isinstance(k, Node) and k.tag == "br":
+            breaks += 1
+        else:
+            if breaks > 1:
+                end()
+            breaks = 0
+        part.append(k)
+    end()
+    return run
+
+
 def _unname(root: Node) -> None:
     """Mark named elements as dropped, but not one that holds the article.
 
@@ -279,7 +333,7 @@ def measure(root: Node) -> Node:
         if x.parent:
             p = x.parent
             p.chars += x.chars
-            p.tags += x.tags + 1
+            p.tags += x.tags + (x.tag not in ("br", RUN, PART))
             p.link_chars += x.link_chars
             p.link_tags += x.link_tags + (x.tag == "a")
     page = root.link_chars / max(root.chars, 1)
@@ -289,9 +343,14 @@ def measure(root: Node) -> Node:
         ratio = x.chars / max(x.link_chars, 1) * max(x.tags, 1) / max(x.link_tags, 1)
         # without any link on the page the base is 1: plain characters per tag
         x.density = plain * max(0.0, math.log(ratio)) / base if base > 1e-9 and x.chars else plain
-    for x in nodes:
+    inline = {id(root): False}
+    for x in nodes[1:]:
+        inline[id(x)] = x.tag == RUN or inline[id(x.parent)]
+    for x in reversed(nodes):
         x.total = sum(k.density for k in x.kids if isinstance(k, Node))
-    return max(nodes, key=lambda x: x.total)
+        if x.tag == RUN:
+            x.density = x.total
+    return max((x for x in nodes if not inline[id(x)]), key=lambda x: x.total)
 
 
 def chosen(root: Node) -> set[int]:
@@ -328,7 +387,7 @@ def text_of(root: Node, take: set[int]) -> str:
         elif leaving:
             flush()
         else:
-            if x.tag in BLOCKS:
+            if x.tag in BLOCKS or x.tag == RUN:
                 if inside:
                     flush()
                 stack.append((x, inside, True))

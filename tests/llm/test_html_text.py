@@ -107,3 +107,24 @@ def test_comments_longer_than_the_article():
 
 def test_nested_names_are_read_in_time():
     assert main_text('<div class="ad">' * 3000 + "w " * 200).split() == ["w"] * 200
+
+
+LONG = "a long line of bare text that tells of ships and harbours " * 5
+BARE = " ".join(LONG.split())
+BOX = f"<div><p>{'u' * 100}</p><p>{'v' * 100}</p></div>"
+BOXED = "u" * 100 + "\n" + "v" * 100
+
+
+@pytest.mark.parametrize(("html", "text"), [
+    (f"<body>{LONG}<br><br>{LONG}{BOX}</body>", f"{BARE} {BARE}\n{BOXED}"),
+    (f"<body>{BOX}{LONG}<br><br>{LONG}</body>", f"{BOXED}\n{BARE} {BARE}"),
+    (f"<body>{LONG}{BOX}<i>{LONG}</i> {LONG}</body>", f"{BARE}\n{BOXED}\n{BARE} {BARE}"),
+    (f"<body>{f'{LONG}<b>x</b><i>y</i><b>z</b><br><br>' * 3}<div>{BOX * 3}</div></body>", " ".join([f"{BARE} xyz"] * 3) + "\n" + "\n".join([BOXED] * 3)),
+    (f"<body><font>{LONG}<br><br>{LONG}</font>{BOX}</body>", f"{BARE} {BARE}\n{BOXED}"),
+    (f"<body><span><b>one</b><b>two</b></span> {LONG}</body>", f"onetwo {BARE}"),
+    (f"<body><table><tr><td>{LONG}<br><br>{LONG}<td>{LONG}</table></body>", f"{BARE} {BARE}\n{BARE}"),
+    (f"<body><div>{LONG}<br/>\n<br/>{LONG}</div>{BOX}</body>", f"{BARE} {BARE}\n{BOXED}"),
+    ("<article>a<br><br>b<p>c</p>d <i>e</i></article>", "a b\nc\nd e"),
+])
+def test_bare_text_between_blocks(html, text):
+    assert main_text(html) == text
