@@ -190,13 +190,16 @@ def _meta(batch: pa.RecordBatch, names: tuple[str, ...]) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", metadata: tuple[str, ...] = (), sample: int = SAMPLE) -> Model:
-    """Fit on ``sample`` rows at most: labels (doc_id, ``label`` 0 or 1; the largest if an id repeats) joined to docs."""
+    """Fit on ``sample`` rows at most: labels (doc_id, ``label`` 0 or 1; the largest if an id repeats) joined to docs (the
+    row with the least hash if an id repeats)."""
     need(docs, "doc_id", "text", *metadata)
     need(labels, "doc_id", label)
     small_batches(docs.sparkSession)
     chosen = (labels.where(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).alias("__label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    rows = docs.select("doc_id", "text", *metadata).join(F.broadcast(chosen), "doc_id")  # bounded by ``sample``
+    rows = docs.select("doc_id", "text", *metadata).join(F.broadcast(chosen), "doc_id")
+    rows = (rows.groupBy("doc_id", "__label").agg(F.min(F.struct(F.xxhash64("text", *metadata).alias("__hash"), "text", *metadata)).alias("__row"))
+            .select("doc_id", "__label", "__row.text", *(F.col("__row")[c].alias(c) for c in metadata)))  # bounded by ``sample``
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

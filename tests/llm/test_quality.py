@@ -71,3 +71,14 @@ def test_held_out_rows_of_the_table(spark):
     assert all(r.predicted == (r.score >= 0.3) for r in rows)
     held = [r.predicted == labels[r.doc_id] for r in rows if r.held_out and r.doc_id in labels]
     assert np.mean(held) > 0.9
+
+
+def test_one_row_for_each_id_is_learnt_from(spark, tables):
+    """Repeated rows of labelled ids change nothing, and only one of an id's texts counts."""
+    _, table, labels = tables
+    once = quality.train(table, labels)
+    again = quality.train(table.unionByName(table.where("doc_id < 20").crossJoin(spark.range(30)).drop("id")), labels)
+    assert np.array_equal(once.weights, again.weights) and np.array_equal(once.factors, again.factors)
+    other = table.where("doc_id = 1").selectExpr("doc_id", "concat(text, ' more') AS text", "lang", "source", "n_chars")
+    a, b = (quality.train(t, labels) for t in (table.unionByName(other), other.unionByName(table.repartition(5))))
+    assert np.array_equal(a.weights, b.weights)
