@@ -21,6 +21,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,7 +29,7 @@ from pyspark.sql import types as T
 from cardwatch.llm.common import BREAK, LETTER, NUMBER, OTHER, SPACE, char_classes, chunks, join_texts, need, small_batches, span_hashes
 
 #: Labelled rows used for the fit.
-SAMPLE = 4000
+SAMPLE = 8000
 BUCKETS, FACTORS, BINS = 1 << 16, 8, 16
 EPOCHS, BATCH, RATE, DECAY, SEED = 12, 64, 0.08, 1e-5, 7
 #: A word's bucket gets weights if it is in so many training texts.
@@ -215,14 +216,16 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", metadata:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     got = rows.mapInArrow(run, f"doc_id {kind}, label int, bucket array<int>, count array<int>, stats array<double>").toArrow()
-    got = got.sort_by("doc_id").combine_chunks()  # the fit doesn't depend on the order in which tasks end
     if not got.num_rows:
         k = 15 + len(metadata)
         return fit(*(np.zeros(0, dtype=np.int64),) * 3, np.zeros((0, k)), np.zeros(0))
-    lists = [got.column(c).chunk(0) if got.column(c).num_chunks else got.column(c) for c in ("bucket", "count")]
-    of = np.repeat(np.arange(got.num_rows), [len(x) for x in lists[0]])
-    bucket, count = (x.flatten().to_numpy(zero_copy_only=False).astype(np.int64) for x in lists)
-    return fit(of, bucket, count, np.array(got.column("stats").to_pylist(), dtype=float), got.column("label").to_numpy().astype(float))
+    got = got.sort_by("doc_id")  # the fit doesn't depend on the order in which tasks end
+    # flat int32 arrays straight from Arrow
+    flat = lambda c: pc.list_flatten(got.column(c)).to_numpy()
+    of = np.repeat(np.arange(got.num_rows, dtype=np.int32), pc.list_value_length(got.column("bucket")).to_numpy())
+    bucket, count, stats, label = flat("bucket"), flat("count"), flat("stats").reshape(got.num_rows, -1), got.column("label").to_numpy().astype(float)
+    del got
+    return fit(of, bucket, count, stats, label)
 
 
 def score(docs: DataFrame, model: Model, metadata: tuple[str, ...] = (), name: str = "score") -> DataFrame:

@@ -82,3 +82,13 @@ def test_one_row_for_each_id_is_learnt_from(spark, tables):
     other = table.where("doc_id = 1").selectExpr("doc_id", "concat(text, ' more') AS text", "lang", "source", "n_chars")
     a, b = (quality.train(t, labels) for t in (table.unionByName(other), other.unionByName(table.repartition(5))))
     assert np.array_equal(a.weights, b.weights)
+
+
+def test_eight_thousand_rows_are_learnt_from(spark, docs, monkeypatch):
+    got = []
+    monkeypatch.setattr(quality, "fit", lambda *a: got.append(a))
+    table = docs([(i, f"a text {i} of words" * (i % 3)) for i in range(9000)])
+    quality.train(table, spark.range(9000).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality"))
+    of, bucket, count, stats, label = got[0]
+    assert len(label) == len(stats) == 8000 and len(of) == len(bucket) == len(count)
+    assert {of.dtype, bucket.dtype, count.dtype} == {np.dtype("int32")}
