@@ -11,7 +11,8 @@ and newlines are escaped. So a control string marks a turn exactly if an even nu
 ``read_turns`` gives back every role and text. The loss mask covers the texts of the assistant, without ``</turn>``.
 
 A formatted conversation comes in parts of whole turns (about ``PART`` characters), in order; nearly all have one part.
-Turns of one conversation are written in order by one task as a stream, so memory is bounded by a part.
+Turns of one conversation are written in order by one task as a stream, so memory is bounded by a part. A long
+conversation is numbered in ranges of turns and its path made in blocks, so both run in many tasks.
 
 Null role or text counts as empty. A null or unknown parent makes a root; messages on a cycle of parents have no root
 and are in no branch. Repeated (conversation, message) keys must not occur in ``branches``; ``chain`` numbers rows by
@@ -37,6 +38,9 @@ CONTROL = re.compile(rf"(\\*)({START}|{END}|\Z)")
 ESCAPED = re.compile(rf"(\\+)({START}|{END}|\Z)")
 TURN = re.compile(rf"{START} ([^\n]*)\n(.*?)(?<!\\)((?:\\\\)*){END}\n", re.S)
 PART = 1 << 20
+#: Rows of a conversation that are numbered together (more if the table has over ``RANGES`` times as many), and turns of
+#: a path that are spelt out together.
+TOGETHER, RANGES, BLOCK = 4096, 1024, 4096
 
 
 def escape(text: str) -> str:
@@ -67,14 +71,46 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
     return out
 
 
+def with_ranges(turns: DataFrame) -> DataFrame:
+    """Add ``range`` and ``before`` to (conv_id, turn, ...): a conversation of over ``TOGETHER`` rows is cut into ranges of
+    turns of about equal counts, at most ``RANGES`` on the table; ``before`` counts its rows in the ranges before."""
+    same = F.expr("c <=> conv_id")
+    counts = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
+    # the largest conversations; each is of over a share of all rows, so there are at most RANGES
+    least = max(TOGETHER, -(-turns.count() // RANGES))
+    big = stage(counts.where(F.col("n") > least).select(F.col("conv_id").alias("c"), "n"), "long")
+    if big.isEmpty():
+        return turns.withColumns({"range": F.lit(0), "before": F.lit(0).cast("long")})
+    cuts = big.agg(F.max("n")).first()[0] // least  # at most RANGES
+    most = [k / (cuts + 1) for k in range(1, cuts + 1)]
+    bounds = turns.join(F.broadcast(big), same).groupBy("c").agg(F.percentile_approx("turn", most).alias("ends")).withColumn("ends", F.array_distinct("ends"))
+    bounds = stage(bounds, "ends")
+    # nulls come last
+    at = "IF(turn IS NULL, IF(ends IS NULL, 0, size(ends)), size(filter(ends, e -> e < turn)))"
+    dealt = turns.join(F.broadcast(bounds), same, "left").withColumn("range", F.expr(f"coalesce({at}, 0)")).drop("c", "ends")
+    long = bounds.select("c")
+    of = dealt.join(F.broadcast(long), same, "left_semi").groupBy("conv_id", "range").agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy("conv_id").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = of.select(F.col("conv_id").alias("c"), F.col("range").alias("r"), F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"))
+    return dealt.join(F.broadcast(starts), F.expr("c <=> conv_id AND r = range"), "left").drop("c", "r").withColumn("before", F.expr("coalesce(before, 0L)"))
+
+
 def chain(turns: DataFrame) -> DataFrame:
     """Rows (conv_id, turn, role, text) as trees without branches: each row replies to the one before it."""
     need(turns, "conv_id", "turn", "role", "text")
-    order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_last("turn"), F.asc_nulls_last("role"), F.asc_nulls_last("text"))
-    return turns.select("conv_id", F.row_number().over(order).cast("long").alias("node"), "role", "text").selectExpr(
+    order = Window.partitionBy("conv_id", "range").orderBy(F.asc_nulls_last("turn"), F.asc_nulls_last("role"), F.asc_nulls_last("text"))
+    rows = with_ranges(turns.select("conv_id", "turn", "role", "text"))
+    return rows.select("conv_id", (F.col("before") + F.row_number().over(order)).cast("long").alias("node"), "role", "text").selectExpr(
         "conv_id", "node", "nullif(node - 1, 0L) AS parent", "0D AS score", "role", "text")
 
 
+def places(ranked: DataFrame) -> DataFrame:
+    """A row for each distance ``away`` from 0 to ``far``: blocks are dealt to tasks before they are spelt out."""
+    blocks = ranked.withColumn("block", F.explode(F.expr(f"sequence(0L, far DIV {BLOCK})")))
+    dealt = blocks.repartition(shuffle_width(ranked.sparkSession), "conv_id", "leaf", "block")
+    return dealt.withColumn("away", F.explode(F.expr(f"sequence(block * {BLOCK}, least(far, block * {BLOCK} + {BLOCK - 1}))"))).drop("block")
+
+
 def branches(nodes: DataFrame, best: int | None = None) -> DataFrame:
     """Paths from root to leaf: (conv_id, leaf, rank, position, node), for the ``best`` branches or all.
 
@@ -101,10 +137,11 @@ def branches(nodes: DataFrame, best: int | None = None) -> DataFrame:
     if best is not None:
         ranked = ranked.where(F.col("rank") <= best)
     # every message of a path is its leaf's ancestor at some distance: add up jumps by the distance's bits
-    path = ranked.select("conv_id", "leaf", "rank", F.col("leaf").alias("up"), "far", F.explode(F.sequence(F.lit(0).cast("long"), "far")).alias("away"))
+    path = places(ranked.select("conv_id", "leaf", "rank", F.col("leaf").alias("up"), "far"))
     for bit, j in enumerate(jumps[:-1]):
-        step = path.where(f"(away >> {bit}) & 1 = 1").alias("x").join(j.select("conv_id", "node", F.col("up").alias("to")).alias("j"), same("x", "j"))
-        path = path.where(f"(away >> {bit}) & 1 = 0").unionByName(step.selectExpr("x.conv_id", "leaf", "rank", "to AS up", "far", "away"))
+        on = F.expr(f"x.conv_id <=> j.conv_id AND x.up = j.node AND (away >> {bit}) & 1 = 1")
+        step = path.alias("x").join(j.select("conv_id", "node", F.col("up").alias("to")).alias("j"), on, "left")
+        path = step.selectExpr("x.conv_id", "leaf", "rank", "coalesce(to, x.up) AS up", "far", "away")  # one use of path: two would double the plan each round
     return path.selectExpr("conv_id", "leaf", "rank", "far - away AS position", "up AS node")
 
 

@@ -80,3 +80,21 @@ def test_query(spark, sf_small):
     hard = "\\### Assistant: </turn> ok"
     expected = brute([*rows, (-7, 0, "user", hard), (-7, 1, "assistant", hard)])
     assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in op9_chat(spark, sf_small).collect()} == expected
+
+
+def test_long_conversation_is_numbered_in_ranges(spark, monkeypatch):
+    """A hot conversation, its turns unevenly spread, repeated and null, and one without an id."""
+    monkeypatch.setattr(chat, "TOGETHER", 100)
+    rows = [(conv, None if k % 50 == 7 else k * k // 3 - k % 2, "user" if k % 2 else None, f"turn {k}") for conv in (1, None) for k in range(3000)]
+    rows += [(conv, k, "user", "t") for conv in range(2, 50) for k in range(3)] + [(60, None, "user", f"{k}") for k in range(500)]
+    table = spark.createDataFrame([(*r, None, None) for r in rows], KIND)
+    sizes = {(r.conv_id, r["range"]): r["count"] for r in chat.with_ranges(table).groupBy("conv_id", "range").count().collect()}
+    assert max(n for (c, _), n in sizes.items() if c in (1, None)) < 400
+    assert result(table) == brute(rows)
+
+
+def test_path_is_made_in_many_tasks(spark):
+    ranked = spark.createDataFrame([(1, 7, 50_000), (2, 8, 0)], "conv_id long, leaf long, far long")
+    spelt = chat.places(ranked).selectExpr("conv_id", "away", "spark_partition_id() AS task").collect()
+    assert sorted((r.conv_id, r.away) for r in spelt) == [(1, k) for k in range(50_001)] + [(2, 0)]
+    assert len({r.task for r in spelt}) > 1
