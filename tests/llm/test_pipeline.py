@@ -62,4 +62,4 @@ def test_registered():
     import __spark_entry__
 
     keys = __spark_entry__.queries()
-    assert "pipeline" in keys and [sum(k.startswith(f"op{n}_") for k in keys) for n in range(1, 11)] == [1] * 10
+    assert "pipeline" in keys and [sum(k.startswith(f"op{n}_") for k in keys) for n in range(1, 14)] == [1] * 13
