@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from cardwatch.llm.common import BREAK, OTHER, SEP, SPACE, char_classes, chunks, join_texts, need, small_batches, span_hashes
+from cardwatch.llm.common import BREAK, OTHER, SEP, SPACE, char_classes, chunks, join_texts, need, number_spans, small_batches
 
 #: Words of more code points aren't kept in the worker's memory.
 LONGEST_KEPT = 64
@@ -140,7 +140,7 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.slot: dict[int, int] = {}
+        self.slot: dict[str, int] = {}
         self.first, self.count, self.ids = array.array("q"), array.array("q"), array.array("I")
 
     def borders(self, points: np.ndarray) -> np.ndarray:
@@ -187,24 +187,24 @@ class Encoder:
         ends = np.append(starts[1:], len(points))
         if len(self.slot) > WORDS_KEPT:
             self._forget()
-        distinct, index, which = np.unique(span_hashes(points, starts, ends), return_index=True, return_inverse=True)
-        keys = distinct.tolist()
+        index, which = number_spans(points, starts, ends)
+        whole, own = SEP.join([*marked, ""]), len(self.v.content) - 0xD801
+        spans = zip(starts[index].tolist(), ends[index].tolist(), strict=True)
+        keys = [whole[a:b] for a, b in spans]
         slots = [self.slot.get(k, -1) for k in keys]
         fresh = [i for i, s in enumerate(slots) if s < 0]
-        if fresh:
-            at, whole, own = index[fresh], SEP.join([*marked, ""]), len(self.v.content) - 0xD801
-            for i, a, b in zip(fresh, starts[at].tolist(), ends[at].tolist(), strict=True):
-                word = whole[a:b]
-                if "\ud800" <= word[0] <= "\udfff":
-                    found = [ord(word) + own] if word != SEP else []
-                else:
-                    found = self.v.encode_word(word if word.isascii() else word.encode().decode("latin-1"))
-                slots[i] = len(self.first)
-                self.first.append(len(self.ids))
-                self.count.append(len(found))
-                self.ids.extend(found)
-                if b - a <= LONGEST_KEPT:
-                    self.slot[keys[i]] = slots[i]
+        for i in fresh:
+            word = keys[i]
+            if "\ud800" <= word[0] <= "\udfff":
+                found = [ord(word) + own] if word != SEP else []
+            else:
+                found = self.v.encode_word(word if word.isascii() else word.encode().decode("latin-1"))
+            slots[i] = len(self.first)
+            self.first.append(len(self.ids))
+            self.count.append(len(found))
+            self.ids.extend(found)
+            if len(word) <= LONGEST_KEPT:
+                self.slot[word] = slots[i]
         slot = np.array(slots, dtype=np.int64)
         first, count = np.array(self.first)[slot][which], np.array(self.count)[slot][which]
         upto = np.cumsum(count)

@@ -1,7 +1,7 @@
 """Shared helpers: scratch tables in the cluster's shared folder, column guards, character runs.
 
 ``runs`` finds the words of many texts at once with numpy: code points are mapped to classes by a table,
-word borders are where classes change, and a polynomial hash of every word comes from one running sum.
+word borders are where classes change, and polynomial hashes of every word come from running sums.
 """
 
 from __future__ import annotations
@@ -75,19 +75,32 @@ def char_classes() -> np.ndarray:
     return table
 
 
-_powers: dict[str, np.ndarray] = {}
+#: Span hashes are polynomials modulo this prime, to two bases; quick ones are modulo 2^64 (fixed values).
+_PRIME = (1 << 31) - 1
+_BASES, _QUICK = (0x2545F491, 0x3C6EF372), 0x9E3779B97F4A7C15
+_powers: dict[int, np.ndarray] = {}
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base^i and base^-i modulo 2^64 for i < n."""
-    if len(_powers.get("up", ())) < n:
-        size = 1 << max(16, (n - 1).bit_length())
-        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-        for key, base in (("up", _BASE), ("down", inverse)):
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            _powers[key] = np.cumprod(steps)
-    return _powers["up"], _powers["down"]
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """Values below 2^62 modulo the prime."""
+    prime, shift = np.uint64(_PRIME), np.uint64(31)
+    x = (x & prime) + (x >> shift)
+    x = (x & prime) + (x >> shift)
+    x[x >= prime] -= prime
+    return x
+
+
+def _power_table(base: int, n: int) -> np.ndarray:
+    """base^i for i < n, modulo 2^64 if the base is beyond the prime, else modulo the prime."""
+    quick = base > _PRIME
+    known = _powers.get(base)
+    if known is None:
+        known = np.ones(1, dtype=np.uint64)
+    while len(known) < n:
+        more = known * np.uint64(pow(base, len(known), 1 << 64 if quick else _PRIME))
+        known = np.concatenate([known, more if quick else _reduced(more)])
+    _powers[base] = known
+    return known
 
 
 def join_texts(texts: list[str]) -> np.ndarray:
@@ -96,11 +109,60 @@ def join_texts(texts: list[str]) -> np.ndarray:
 
 
 def span_hashes(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of every span of code points; equal spans get equal hashes anywhere."""
-    up, down = _power_tables(len(points) + 1)
+    """64-bit hash of every span of code points; equal spans get equal hashes anywhere. Unequal ones may, though
+    hardly ever: ``number_spans`` tells them apart."""
+    out = np.zeros(len(starts), dtype=np.uint64)
+    for base in _BASES:
+        up, down = _power_table(base, len(points) + 1), _power_table(pow(base, -1, _PRIME), len(points) + 1)
+        terms = (points + np.uint64(1)) * up[: len(points)]
+        total = np.zeros(len(points) + 1, dtype=np.uint64)
+        np.cumsum((terms & np.uint64(_PRIME)) + (terms >> np.uint64(31)), out=total[1:])
+        out = out << np.uint64(31) | _reduced(_reduced(total[ends] - total[starts]) * down[starts])
+    return mix(out)
+
+
+def _quick_hashes(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """As ``span_hashes``, at a third of its cost; some long unequal spans always share one, so it never decides."""
+    up, down = _power_table(_QUICK, len(points) + 1), _power_table(pow(_QUICK, -1, 1 << 64), len(points) + 1)
     total = np.zeros(len(points) + 1, dtype=np.uint64)
-    np.cumsum((points.astype(np.uint64) + np.uint64(1)) * up[: len(points)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts])
+    np.cumsum((points + np.uint64(1)) * up[: len(points)], out=total[1:])
+    return (total[ends] - total[starts]) * down[starts]
+
+
+def number_spans(points: np.ndarray, starts: np.ndarray, ends: np.ndarray, at_once: int = 100_000) -> tuple[np.ndarray, np.ndarray]:
+    """(a span for each number, the number of each span): equal numbers exactly for equal code points.
+
+    Spans are grouped by hash, then each is compared with its group's span; what differs is numbered by its content.
+    """
+    _, index, number = np.unique(_quick_hashes(points, starts, ends), return_index=True, return_inverse=True)
+    size = ends - starts
+    model = index[number]
+    unlike = size != size[model]
+    upto = np.cumsum(size)
+    place_type = np.int32 if len(points) < 1 << 31 else np.int64
+    first = 0
+    while first < len(starts):  # spans of about ``at_once`` code points
+        last = max(first + 1, int(np.searchsorted(upto, (upto[first - 1] if first else 0) + at_once, "right")))
+        some = np.arange(first, last)
+        some = some[(model[some] != some) & ~unlike[some]]
+        n = size[some]
+        edge = np.cumsum(n) - n
+        place = np.repeat((starts[some] - edge).astype(place_type), n) + np.arange(int(n.sum()), dtype=place_type)
+        away = np.repeat((starts[model[some]] - starts[some]).astype(place_type), n)
+        wrong = np.flatnonzero(points[place] != points[place + away])
+        unlike[some[np.searchsorted(edge, wrong, "right") - 1]] = True
+        first = last
+    if unlike.any():
+        numbers: dict[bytes, int] = {}
+        more = []
+        for i in np.flatnonzero(unlike).tolist():
+            content = points[starts[i]:ends[i]].tobytes()
+            if content not in numbers:
+                numbers[content] = len(index) + len(more)
+                more.append(i)
+            number[i] = numbers[content]
+        index = np.concatenate([index, np.array(more, dtype=index.dtype)])
+    return index, number
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -123,15 +185,13 @@ def chunks(texts: list[str], limit: int = 1_000_000):
         yield first, texts[first:]
 
 
-def space_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Words between white space of all texts: (hash of the word, index of its text)."""
+def space_spans(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words between white space of all texts: (code points, starts, ends, index of the text)."""
     points = join_texts(texts)
     kind = char_classes()[points]
-    word = kind < SPACE
-    edge = np.diff(word.astype(np.int8), prepend=0)
+    edge = np.diff((kind < SPACE).astype(np.int8), prepend=0)
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    breaks = np.flatnonzero(kind == BREAK)
-    return span_hashes(points, starts, ends), np.searchsorted(breaks, starts)
+    return points, starts, ends, np.searchsorted(np.flatnonzero(kind == BREAK), starts)
 
 
 def text_hash(text: bytes) -> int:

@@ -31,3 +31,16 @@ def components(edges: DataFrame) -> DataFrame:
         labels = step.selectExpr("node", "low AS f")
         if step.where("low <> old").isEmpty():
             return labels.selectExpr("node", "f AS component")
+
+
+def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``labels`` (node, component; None: no links yet) after further links ``a``, ``b``. Only the components that these
+    links join are worked on again."""
+    if labels is None:
+        return components(links)
+    ends = links
+    for end in ("a", "b"):
+        ends = ends.join(labels.selectExpr(f"node AS {end}", f"component AS of_{end}"), end, "left")
+    grown = components(ends.selectExpr("coalesce(of_a, a) AS a", "coalesce(of_b, b) AS b"))
+    old = labels.join(grown.selectExpr("node AS component", "component AS now"), "component", "left").selectExpr("node", "coalesce(now, component) AS component")
+    return stage(old.unionByName(grown.join(labels, "node", "left_anti")), "labels")

@@ -9,7 +9,7 @@ slot's first point: the work is about linear in the shingles plus the slots.
 
 Signatures are cut into bands; documents with an equal band meet in a bucket. Copies (equal words in order)
 count once. In a bucket one document, the head, is compared with the others, unless a longer signature rules a pair out
-(weighted Jaccard of the whole multisets, from the texts); who matches joins its component, the head leaves the bucket, and the bucket goes on
+(weighted Jaccard of the whole multisets, from the texts and by their words, not by hashes); who matches joins its component, the head leaves the bucket, and the bucket goes on
 with sixteen times the heads while it has members of different components; once few comparisons match, the rest of
 each bucket is compared at once. So a group of n near copies costs about n
 comparisons, not n squared, and no link between different components is left out. Pairs within one component aren't
@@ -32,8 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardwatch.llm.common import chunks, mix, need, shuffle_width, small_batches, space_words, stage, text_hash
-from cardwatch.llm.graph import components
+from cardwatch.llm.common import chunks, mix, need, number_spans, small_batches, space_spans, span_hashes, stage, text_hash
+from cardwatch.llm.graph import merged
 
 SHINGLE, THRESHOLD = 5, 0.8
 #: 26 bands of 5 slots miss a pair of similarity 0.8 with a probability of 0.00003.
@@ -50,18 +50,25 @@ BROADCAST_NODES = 2_000_000
 _G = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct shingles of each text: (text index, hash, count), and each text's number of shingles."""
-    word, doc = space_words([t.lower() for t in texts])
-    n_words = np.bincount(doc, minlength=len(texts))
+def _places(doc: np.ndarray, n_texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Shingles of texts whose words are numbered through: (text, first word, words) of each, and each text's number of shingles."""
+    n_words = np.bincount(doc, minlength=n_texts)
     size = np.minimum(n_words, SHINGLE)
     first = np.cumsum(n_words) - n_words
     total = np.where(n_words > 0, n_words - size + 1, 0)
-    of = np.repeat(np.arange(len(texts)), total)
+    of = np.repeat(np.arange(n_texts), total)
     at = np.repeat(first - (np.cumsum(total) - total), total) + np.arange(len(of))
+    return of, at, size[of], total
+
+
+def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct shingles of each text: (text index, hash, count), and each text's number of shingles."""
+    points, starts, ends, doc = space_spans([t.lower() for t in texts])
+    word = span_hashes(points, starts, ends)
+    of, at, size, total = _places(doc, len(texts))
     value = np.zeros(len(of), dtype=np.uint64)
     for k in range(SHINGLE):
-        has = size[of] > k
+        has = size > k
         value[has] = mix(value[has] * _G + word[at[has] + k])
     own, index, count = np.unique(value ^ mix(of.astype(np.uint64) + _G), return_index=True, return_counts=True)
     order = np.argsort(index)
@@ -171,21 +178,24 @@ def _sketch(df: DataFrame) -> DataFrame:
 
 
 def overlap(a: tuple[np.ndarray, np.ndarray, int], b: tuple[np.ndarray, np.ndarray, int]) -> float:
-    """Weighted Jaccard similarity of two multisets (sorted hashes, counts, total)."""
+    """Weighted Jaccard similarity of two multisets (sorted numbers, counts, total)."""
     _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
     common = int(np.minimum(a[1][i], b[1][j]).sum())
     return common / (a[2] + b[2] - common) if a[2] + b[2] else 1.0
 
 
-def _bags(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, int]]:
-    doc, value, count, total = shingles(texts)
-    edge = np.searchsorted(doc, np.arange(len(texts) + 1))
-    out = []
-    for i in range(len(texts)):
-        v, c = value[edge[i]:edge[i + 1]], count[edge[i]:edge[i + 1]]
-        order = np.argsort(v)
-        out.append((v[order], c[order], int(total[i])))
-    return out
+def bags(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    """Multiset of each text's shingles: (numbers, counts, total). Words, and then ever longer runs of words, are numbered by
+    what they are, not by a hash: equal numbers mean equal words."""
+    points, starts, ends, doc = space_spans([t.lower() for t in texts])
+    _, word = number_spans(points, starts, ends)
+    of, at, size, total = _places(doc, len(texts))
+    number = word[at]
+    for k in range(1, SHINGLE):
+        more = np.where(size > k, word[np.minimum(at + k, max(len(word) - 1, 0))] + 1, 0) if len(at) else number
+        number = np.unique(number * (len(word) + 1) + more, return_inverse=True)[1]
+    edge = np.concatenate([[0], np.cumsum(total)])
+    return [(*np.unique(number[edge[i]:edge[i + 1]], return_counts=True), int(total[i])) for i in range(len(texts))]
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -194,16 +204,14 @@ def _verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     joined = member.join(texts.selectExpr("node AS a", "text AS text_a"), "a").select("a", "b", "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, bag = None, None
         for batch in batches:
             a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
             text_a, found = batch.column("text_a"), []
             for first, part in chunks(batch.column("text_b").to_pylist()):
-                for k, other in enumerate(_bags(part), first):
-                    if a[k] != last:
-                        last, bag = a[k], _bags([text_a[k].as_py()])[0]
-                    if overlap(bag, other) >= threshold:
-                        found.append(k)
+                own = {x: k for k, x in enumerate(dict.fromkeys(a[first:first + len(part)]))}
+                heads = {x: text_a[k].as_py() for k, x in enumerate(a[first:first + len(part)], first)}
+                both = bags([*(heads[x] for x in own), *part])
+                found += [first + k for k in range(len(part)) if overlap(both[own[a[first + k]]], both[len(own) + k]) >= threshold]
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for k in found], pa.int64()) for x in (a, b)], names=["a", "b"])
 
     return joined.mapInArrow(run, "a long, b long")
@@ -220,7 +228,7 @@ def _meet(members: DataFrame, wide: DataFrame, heads: int | None, threshold: flo
         first = members.groupBy("bucket", F.expr(f"pmod(xxhash64(node), {heads})").alias("part")).agg(F.min("rank").alias("rank"))
         marked = members.join(first.select("bucket", "rank", F.lit(True).alias("is_head")), ["bucket", "rank"], "left")
     # a large bucket is dealt over several tasks; its heads go to all of them
-    width, parts = shuffle_width(members.sparkSession), f"CAST(ceil(n / {PART_ROWS}) AS INT)"
+    parts = f"CAST(ceil(n / {PART_ROWS}) AS INT)"
     coded = marked.join(wide, "node").withColumn("salt", F.expr(f"CAST(pmod(xxhash64(node), {parts}) AS INT)"))
     left = coded.where("is_head").withColumn("salt", F.explode(F.expr(f"sequence(0, {parts} - 1)"))).selectExpr("bucket AS bucket_a", "salt AS salt_a", "node AS a", "comp AS comp_a", "total AS total_a", "code AS code_a", "bands AS bands_a")
     # two heads meet once; the totals bound the similarity
@@ -228,8 +236,8 @@ def _meet(members: DataFrame, wide: DataFrame, heads: int | None, threshold: flo
            f"AND {_alike('code', 'code_a', threshold)}")
     if heads != 1:  # a pair that shares many buckets meets in the first of them
         may += " AND get(filter(zip_with(bands, bands_a, (x, y) -> IF(x = y, x, NULL)), z -> z IS NOT NULL), 0) = bucket"
-    # dealt out here: a split at run time would cut both sides of a bucket and run every pair of cuts
-    pairs = coded.repartition(width, "bucket", "salt").join(left.repartition(width, "bucket_a", "salt_a"), F.expr(may)).selectExpr("a", "node AS b")
+    # dealt out here: a split at run time would cut both sides of a bucket and run every pair of cuts; small parts may be put together
+    pairs = coded.repartition("bucket", "salt").join(left.repartition("bucket_a", "salt_a"), F.expr(may)).selectExpr("a", "node AS b")
     return pairs, marked.where("is_head IS NULL").drop("is_head")
 
 
@@ -252,7 +260,7 @@ def near_dedup(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # heads are documents that share many buckets, as the middle of a group does; ties by a hash
     shares = members.groupBy("node").agg(F.count(F.lit(1)).alias("n")).selectExpr("node", f"(({BANDS} - n) << 58) | (xxhash64(node) & 288230376151711743L) AS rank")
     members = members.join(shares, "node")
-    links, labels, tested, heads = None, None, None, 1
+    labels, tested, heads = None, None, 1
     while True:
         members = members.drop("comp")
         if labels is not None:
@@ -268,12 +276,12 @@ def near_dedup(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
+        if tested is None:
+            tested = pairs  # later a pair meets in its first shared bucket only, once
         found = stage(_verify(pairs, texts, threshold), "links")
         matched = found.count()
         if matched:
-            links = found if links is None else links.unionByName(found)
-            labels = components(links)
+            labels = merged(labels, found)
         if heads is None:
             break
         # when few comparisons match, what is left is mostly unlike: the rest meets at once

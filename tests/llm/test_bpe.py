@@ -68,6 +68,17 @@ def test_operator_on_odd_rows(docs, odd, library):
     assert sorted(r.text for r in again) == sorted(t or "" for _, t in odd)
 
 
+def test_words_with_one_hash(tables, library, monkeypatch):
+    """Long unequal words that share a polynomial hash; also if all hashes are equal."""
+    from cardwatch.llm import common
+    from tests.llm.test_near_dedup import mirror
+
+    texts = [t for n in (512, 1024, 2048, 4096, 8192) for w in mirror(n) for t in (w, f"x {w} {w}")]
+    check(tables, library, texts)
+    monkeypatch.setattr(common, "_quick_hashes", lambda p, s, e: np.zeros(len(s), dtype=np.uint64))
+    check(tables, library, [*texts[:8], "a b ab ba a b", "", " ", "é e é"])
+
+
 def test_empty_table(docs):
     assert bpe.encode(docs([]), PATH, decoded="d").collect() == []
 

@@ -100,3 +100,45 @@ def test_empty_table(docs):
 def test_text_ids(spark):
     df = spark.createDataFrame([("b", "x"), ("a", "x "), (None, "y")], "doc_id string, text string")
     assert sorted((r.doc_id or "", r.keep_id or "", r.group_size) for r in ex.exact_dedup(df).collect()) == [("", "", 1), ("a", "a", 2), ("b", "a", 2)]
+
+
+def test_one_join_however_deep(docs):
+    """The entries meet the directory once; the depth is decided on counts."""
+    entries = ex._entries(docs([(i, f"{i} " * 50) for i in range(900)]))
+    depths = {}
+    for size in (200_000, 500):
+        out = ex.with_buckets(entries, size)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join LeftOuter") == 1
+        depths[size] = max(r.bucket.bit_length() for r in out.select("bucket").collect())
+    assert depths[500] > depths[200_000] + 3
+
+
+def test_prefixes_beyond_the_counted_ones(spark, monkeypatch):
+    """Keys that share more bits than are counted at once, and a key alone that overfills a bucket."""
+    monkeypatch.setattr(ex, "FINER", 2)
+    keys = [1 << 20, (1 << 20) + 1, (1 << 20) + (1 << 12), -5] * 3 + [7] * 40
+    entries = spark.createDataFrame([(k, 100) for k in keys], "key long, size long")
+    rows = ex.with_buckets(entries, 900, ex.directory(entries, 900, 300)).collect()
+    sizes = {}
+    for r in rows:
+        depth = r.bucket.bit_length() - 1
+        assert r.bucket == 1 << depth | (r.key % (1 << 64)) >> (64 - depth)
+        sizes.setdefault(r.bucket, []).append(r.key)
+    assert all(100 * len(ks) <= 900 or len({*ks}) == 1 or b.bit_length() - 1 == ex.DEEPEST + 1 for b, ks in sizes.items())
+    assert {r.groups for r in rows if r.key == 7} == {7} and {r.groups for r in rows if r.key != 7} == {None}
+    assert ex.owners(0) == 1 and ex.owners(10 * ex.OWNER_BYTES + 1) == 11
+
+
+def test_hot_text_over_many_tasks(docs, spark):
+    """A long text that every task reads travels to its owner once for each group of tasks."""
+    hot = "hot text " * 300
+    data = [(i, hot + " " * (i == 41)) if i % 2 else (i, f"t {i}") for i in range(200)] + [(None, hot)]
+    table = docs(data).repartition(40)
+    entries = ex.stage(ex._entries(table), "entries")
+    placed = ex.with_buckets(entries, 4000)
+    thin = ex._thin(placed.where("groups IS NOT NULL")).collect()
+    assert len(thin) > 30 and 1 <= sum(r.content is not None for r in thin) <= 7
+    rows, got = result(ex.exact_dedup(table, bucket_bytes=4000))
+    assert got == brute(data) and {r.keep_id for r in rows if r.group_size > 1} == {41}
+    assert sum(r.kept for r in rows) == 101

@@ -62,18 +62,6 @@ def test_scores_are_the_models(docs, model):
     assert math.isclose(row.probability, 1 / sum(math.exp(x - max(z)) for x in z), rel_tol=1e-9)
 
 
-def test_whole_table(spark, sf_small, model):
-    """Every planted licence line is found, and nothing else."""
-    families = {"Apache License": "apache", "MIT License": "mit", "GNU General Public": "gpl", "CC BY-NC": "cc-by-nc"}
-    table = spark.read.parquet(f"{sf_small}/documents.parquet")
-    expected = collections.Counter()
-    for r in table.collect():
-        for line in (r.text or "").split("\n"):
-            expected.update((r.doc_id, f) for mark, f in families.items() if re.search(mark, line))
-    got = collections.Counter((r.doc_id, r.family) for r in licences.scan(table, model).collect() if r.family != "unknown")
-    assert got == expected and expected
-
-
 def test_plan_has_no_python(docs, model):
     plan = licences.scan(docs([(1, "a")]), model)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

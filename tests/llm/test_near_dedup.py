@@ -5,7 +5,7 @@ import numpy as np
 
 from cardwatch.llm import near_dedup as nd
 from cardwatch.llm.common import keep_rows
-from cardwatch.llm.graph import components
+from cardwatch.llm.graph import components, merged
 
 
 def bag(text):
@@ -117,3 +117,43 @@ def test_components(spark):
     assert all(got[i] == 100 for i in range(100, 161)) and got[5] == got[7] == 5 and 9 not in got and got[200] == 1
     assert {c for n, c in got.items() if n >= 500} == {500}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_components_go_on(spark):
+    """Links that come in turns give the components of all links."""
+    rng = random.Random(4)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(260)]
+    labels = None
+    for k in range(0, 260, 65):
+        labels = merged(labels, spark.createDataFrame(edges[k:k + 65], "a long, b long"))
+        whole = components(spark.createDataFrame(edges[:k + 65], "a long, b long"))
+        assert sorted(map(tuple, labels.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def mirror(n):
+    """A word of a and b and its complement: polynomials modulo 2^64 don't tell them apart from 1024 letters on."""
+    w = "a"
+    while len(w) < n:
+        w += w.translate(str.maketrans("ab", "ba"))
+    return w, w.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_with_one_hash(docs, monkeypatch):
+    rows = [(10 * n + k, f"{w} and some more words here") for n in (512, 1024, 2048, 4096, 8192) for k, w in enumerate([*mirror(n), mirror(n)[0]])]
+    rows += [(1 + k, w) for k, w in enumerate(mirror(2048))]
+    assert classes(nd.near_dedup(docs(rows))) == sorted(brute(rows), key=str)
+
+
+def test_bags_are_exact(monkeypatch):
+    """Also when all hashes of spans are equal."""
+    from cardwatch.llm import common
+
+    rng = random.Random(9)
+    texts = [text(rng, rng.randrange(0, 40)) for _ in range(30)] + [*mirror(1024), "", "a", "a a", "A a a a a a a"]
+    for quick in (common._quick_hashes, lambda p, s, e: np.zeros(len(s), dtype=np.uint64)):
+        monkeypatch.setattr(common, "_quick_hashes", quick)
+        found = nd.bags(texts)
+        for i, a in enumerate(texts):
+            for j in range(i, len(texts)):
+                assert nd.overlap(found[i], found[j]) == jaccard(bag(a), bag(texts[j]))
+    assert nd.bags([]) == []

@@ -42,6 +42,16 @@ def test_pieces(docs, odd):
     assert len({r.lane for r in rows}) == len(rows)
 
 
+def test_words_with_one_hash(docs):
+    from tests.llm.test_near_dedup import mirror
+
+    library = Tokenizer.from_file(PATH)
+    texts = [t for n in (512, 1024, 2048, 4096, 8192) for t in mirror(n)]
+    rows = packing.pieces(docs([*enumerate(texts)]).coalesce(1), PATH, capacity=100_000).collect()
+    expected = [(k, zlib.crc32(np.array([*library.encode(t, add_special_tokens=False).ids, 2], "<u4").tobytes())) for k, t in enumerate(texts)]
+    assert sorted((r.doc_id, r.ids_crc32) for r in rows) == expected
+
+
 def test_few_sequences(spark):
     rng = random.Random(4)
     lengths = [rng.choice([rng.randrange(1, 1025), 1024, 700, 300]) for _ in range(12_000)]
