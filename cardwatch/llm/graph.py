@@ -13,34 +13,37 @@ from pyspark.sql import functions as F
 from cardwatch.llm.common import stage
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, small: bool = False) -> DataFrame:
     """``a``, ``b`` (long) -> one row per vertex: ``node``, ``component`` (its smallest vertex).
 
-    Null ends, loops and repeated edges are allowed and mean nothing; no edges give no rows.
+    Null ends, loops and repeated edges are allowed and mean nothing; no edges give no rows. ``small``: the caller has
+    counted the vertices, and a label for each may be broadcast; then only the minima are shuffled.
     """
+    hint = F.broadcast if small else (lambda df: df)
     both = edges.where("a <> b").selectExpr("explode(array(struct(a AS src, b AS dst), struct(b AS src, a AS dst))) AS e").select("e.*")
-    both = stage(both.distinct(), "edges")
+    both = stage(both, "edges")
     labels = stage(both.groupBy("src").agg(F.min("dst").alias("m")).selectExpr("src AS node", "least(src, m) AS f"), "labels")
     while True:
-        up = labels.alias("x").join(labels.selectExpr("node AS f", "f AS g"), "f").select("node", "f", "g")
-        seen = both.join(up.selectExpr("node AS dst", "g"), "dst").groupBy("src").agg(F.min("g").alias("m"))
-        now = up.join(seen.withColumnRenamed("src", "node"), "node").selectExpr("node", "f", "least(f, g, m) AS low")
-        # a vertex offers what it sees to itself and to its parent
-        offers = now.selectExpr("explode(array(struct(node AS node, low AS low, f AS f), struct(f AS node, low AS low, CAST(NULL AS BIGINT) AS f))) AS o").select("o.*")
-        step = stage(offers.groupBy("node").agg(F.min("low").alias("low"), F.max("f").alias("old")), "labels")
+        # a vertex offers what it and its neighbours see (the parents' parents) to itself and to its parent
+        up = labels.alias("x").join(hint(labels.selectExpr("node AS f", "f AS g")), "f").select("node", "f", "g")
+        seen = both.join(hint(up.selectExpr("node AS dst", "g AS low")), "dst").join(hint(labels.selectExpr("node AS src", "f")), "src")
+        offers = seen.selectExpr("explode(array(struct(src AS node, low, f AS old), struct(f AS node, low, CAST(NULL AS BIGINT) AS old))) AS o").select("o.*")
+        offers = offers.unionByName(up.selectExpr("node", "g AS low", "f AS old")).unionByName(up.selectExpr("f AS node", "g AS low", "CAST(NULL AS BIGINT) AS old"))
+        step = stage(offers.groupBy("node").agg(F.min("low").alias("low"), F.max("old").alias("old")), "labels")
         labels = step.selectExpr("node", "low AS f")
         if step.where("low <> old").isEmpty():
             return labels.selectExpr("node", "f AS component")
 
 
-def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+def merged(labels: DataFrame | None, links: DataFrame, small: bool = False) -> DataFrame:
     """``labels`` (node, component; None: no links yet) after further links ``a``, ``b``. Only the components that these
     links join are worked on again."""
     if labels is None:
-        return components(links)
+        return components(links, small)
+    hint = F.broadcast if small else (lambda df: df)
     ends = links
     for end in ("a", "b"):
-        ends = ends.join(labels.selectExpr(f"node AS {end}", f"component AS of_{end}"), end, "left")
-    grown = components(ends.selectExpr("coalesce(of_a, a) AS a", "coalesce(of_b, b) AS b"))
-    old = labels.join(grown.selectExpr("node AS component", "component AS now"), "component", "left").selectExpr("node", "coalesce(now, component) AS component")
-    return stage(old.unionByName(grown.join(labels, "node", "left_anti")), "labels")
+        ends = ends.join(hint(labels.selectExpr(f"node AS {end}", f"component AS of_{end}")), end, "left")
+    grown = components(ends.selectExpr("coalesce(of_a, a) AS a", "coalesce(of_b, b) AS b"), small)
+    old = labels.join(hint(grown.selectExpr("node AS component", "component AS now")), "component", "left").selectExpr("node", "coalesce(now, component) AS component")
+    return stage(old.unionByName(grown.join(hint(labels.select("node")), "node", "left_anti")), "labels")

@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,9 +43,11 @@ SLOTS = BANDS * ROWS
 #: fewer slots than the threshold's mean less ``DEVIATIONS`` standard deviations isn't compared (one pair in 300 000 at
 #: the threshold, fewer above it).
 WIDE, DEVIATIONS = 1024, 4.5
+#: Characters of text that a worker takes apart at once; a longer text is taken by itself.
+CHUNK = 300_000
 #: Members of a bucket that one task compares with the bucket's heads.
 PART_ROWS = 2048
-#: Vertices whose number is below this are broadcast (8 bytes each) to pick texts.
+#: Members of buckets of at most this number are broadcast (8 bytes each, 16 with a label): to pick texts, to label.
 BROADCAST_NODES = 2_000_000
 _G = np.uint64(0x9E3779B97F4A7C15)
 
@@ -143,7 +145,7 @@ def _wide(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes = batch.column("node")
-            for first, part in chunks(batch.column("text").to_pylist(), 300_000):
+            for first, part in chunks(batch.column("text").to_pylist(), CHUNK):
                 doc, value, count, _ = shingles(part)
                 code = codes(signatures(doc, value, count, len(part), WIDE))
                 at = pa.array(np.arange(len(part) + 1, dtype=np.int32) * code.shape[1])
@@ -162,7 +164,7 @@ def _sketch(df: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         node = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for first, texts in chunks([t or "" for t in batch.column("text").to_pylist()]):
+            for first, texts in chunks([t or "" for t in batch.column("text").to_pylist()], CHUNK):
                 doc, value, count, total = shingles(texts)
                 keys = bands(signatures(doc, value, count, len(texts)))
                 copy = [hashlib.blake2b(" ".join(t.lower().split()).encode(), digest_size=16).hexdigest() for t in texts]
@@ -207,7 +209,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
         for batch in batches:
             a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
             text_a, found = batch.column("text_a"), []
-            for first, part in chunks(batch.column("text_b").to_pylist()):
+            for first, part in chunks(batch.column("text_b").to_pylist(), CHUNK):
                 own = {x: k for k, x in enumerate(dict.fromkeys(a[first:first + len(part)]))}
                 heads = {x: text_a[k].as_py() for k, x in enumerate(a[first:first + len(part)], first)}
                 both = bags([*(heads[x] for x in own), *part])
@@ -217,28 +219,33 @@ def _verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
-def _meet(members: DataFrame, wide: DataFrame, heads: int | None, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """Pairs of each bucket's first ``heads`` members (None: of all members) with all its members of other components, and the other members.
+def _meet(members: DataFrame, wide: DataFrame, first: bool, threshold: float) -> DataFrame:
+    """Pairs (a, b) of each bucket's heads with all its members of other components.
 
     A pair is left out if the totals or the signatures say that it can't be similar enough."""
-    # the smallest rank of each of ``heads`` hashed parts of the bucket; partial minima are combined before the shuffle
-    if heads is None:
-        marked = members.withColumn("is_head", F.lit(True))
-    else:
-        first = members.groupBy("bucket", F.expr(f"pmod(xxhash64(node), {heads})").alias("part")).agg(F.min("rank").alias("rank"))
-        marked = members.join(first.select("bucket", "rank", F.lit(True).alias("is_head")), ["bucket", "rank"], "left")
     # a large bucket is dealt over several tasks; its heads go to all of them
     parts = f"CAST(ceil(n / {PART_ROWS}) AS INT)"
-    coded = marked.join(wide, "node").withColumn("salt", F.expr(f"CAST(pmod(xxhash64(node), {parts}) AS INT)"))
+    coded = members.join(wide, "node").withColumn("salt", F.expr(f"CAST(pmod(xxhash64(node), {parts}) AS INT)"))
     left = coded.where("is_head").withColumn("salt", F.explode(F.expr(f"sequence(0, {parts} - 1)"))).selectExpr("bucket AS bucket_a", "salt AS salt_a", "node AS a", "comp AS comp_a", "total AS total_a", "code AS code_a", "bands AS bands_a")
     # two heads meet once; the totals bound the similarity
-    may = (f"bucket = bucket_a AND salt = salt_a AND comp <> comp_a AND (is_head IS NULL OR a < node) AND least(total, total_a) >= {threshold} * greatest(total, total_a) "
+    may = (f"bucket = bucket_a AND salt = salt_a AND comp <> comp_a AND (NOT is_head OR a < node) AND least(total, total_a) >= {threshold} * greatest(total, total_a) "
            f"AND {_alike('code', 'code_a', threshold)}")
-    if heads != 1:  # a pair that shares many buckets meets in the first of them
+    if not first:  # a pair that shares many buckets meets in the first of them
         may += " AND get(filter(zip_with(bands, bands_a, (x, y) -> IF(x = y, x, NULL)), z -> z IS NOT NULL), 0) = bucket"
     # dealt out here: a split at run time would cut both sides of a bucket and run every pair of cuts; small parts may be put together
     pairs = coded.repartition("bucket", "salt").join(left.repartition("bucket_a", "salt_a"), F.expr(may)).selectExpr("a", "node AS b")
-    return pairs, marked.where("is_head IS NULL").drop("is_head")
+    return pairs.distinct() if first else pairs
+
+
+def _next(members: DataFrame, heads: int | None) -> DataFrame:
+    """Members of buckets with several components, with ``n`` (the bucket's members) and ``is_head``: the smallest rank of
+    each of ``heads`` hashed parts of the bucket (None: all). Minima are combined before the shuffle."""
+    spread = [F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"), F.collect_list("top").alias("tops")]
+    part = F.expr(f"pmod(xxhash64(node), {heads or 1})").alias("part")
+    tops = members.groupBy("bucket", part).agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("n"), F.min("rank").alias("top"))
+    state = tops.groupBy("bucket").agg(*spread) if heads and heads > 1 else tops.selectExpr("bucket", "low", "high", "n", "array(top) AS tops")
+    is_head = "array_contains(tops, rank)" if heads else "true"
+    return members.join(state.where("low < high").select("bucket", "n", "tops"), "bucket").selectExpr("node", "total", "bucket", "n", "rank", "comp", f"{is_head} AS is_head")
 
 
 def near_dedup(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -246,49 +253,36 @@ def near_dedup(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     need(df, "doc_id", "text")
     small_batches(df.sparkSession)
     docs = stage(_sketch(df), "sketch")
-    first = stage(docs.groupBy("copy").agg(F.min("node").alias("rep")), "copies")
-    reps = docs.select("node", "total", "bands").join(first.selectExpr("rep AS node"), "node", "left_semi").where("total > 0")
-    rows = reps.select("node", "total", F.explode("bands").alias("bucket"))
+    first = stage(docs.groupBy("copy").agg(F.min(F.struct("node", "total", "bands")).alias("rep")).select("copy", "rep.*").withColumnRenamed("node", "rep"), "copies")
+    rows = first.where("total > 0").select(F.col("rep").alias("node"), "total", F.explode("bands").alias("bucket"))
+    first = first.select("copy", "rep")
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    members = stage(rows.join(shared, "bucket"), "members")
-
-    nodes = members.select("node").distinct()
-    if nodes.count() <= BROADCAST_NODES:
-        nodes = F.broadcast(nodes)
-    texts = stage(docs.select("node", "text", "bands").join(nodes, "node", "left_semi"), "texts")
+    # heads are documents that share many buckets, as the middle of a group does; ties by a hash. A document has at most BANDS rows
+    of = Window.partitionBy("node")
+    ranked = rows.join(shared, "bucket").withColumns({"shares": F.count(F.lit(1)).over(of), "once": F.row_number().over(of.orderBy("bucket")) == 1})
+    rank = f"(({BANDS} - shares) << 58) | (xxhash64(node) & 288230376151711743L) AS rank"
+    members = stage(ranked.selectExpr("node", "total", "bucket", rank, "node AS comp", "once"), "members")
+
+    nodes = members.where("once").select("node")
+    small = nodes.count() <= BROADCAST_NODES
+    hint = F.broadcast if small else (lambda df: df)
+    texts = stage(docs.select("node", "text", "bands").join(hint(nodes), "node", "left_semi"), "texts")
     wide = stage(_wide(texts), "wide")
-    # heads are documents that share many buckets, as the middle of a group does; ties by a hash
-    shares = members.groupBy("node").agg(F.count(F.lit(1)).alias("n")).selectExpr("node", f"(({BANDS} - n) << 58) | (xxhash64(node) & 288230376151711743L) AS rank")
-    members = members.join(shares, "node")
-    labels, tested, heads = None, None, 1
-    while True:
-        members = members.drop("comp")
-        if labels is not None:
-            members = members.join(labels.withColumnRenamed("component", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        else:
-            members = members.withColumn("comp", F.col("node"))
-        state = members.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("n"))
-        members = stage(members.drop("n").join(state.where("low < high").select("bucket", "n"), "bucket"), "members")
-        if members.isEmpty():
-            break
-        pairs, members = _meet(members, wide, heads, threshold)
-        pairs = pairs.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        if tested is None:
-            tested = pairs  # later a pair meets in its first shared bucket only, once
+    labels, heads, members = None, 1, stage(_next(members, 1), "members")
+    while not members.isEmpty():
+        pairs = stage(_meet(members, wide, labels is None, threshold), "pairs")
         found = stage(_verify(pairs, texts, threshold), "links")
         matched = found.count()
-        if matched:
-            labels = merged(labels, found)
+        labels = merged(labels, found, small)
         if heads is None:
             break
         # when few comparisons match, what is left is mostly unlike: the rest meets at once
         heads = heads * 16 if 10 * matched >= pairs.count() else None
+        rest = members.where("NOT is_head").drop("comp", "n").join(hint(labels.withColumnRenamed("component", "comp")), "node", "left")
+        members = stage(_next(rest.withColumn("comp", F.coalesce("comp", "node")), heads), "members")
     named = docs.select("doc_id", "node", "keep_hash", "copy").join(first, "copy").select("doc_id", "node", "keep_hash", "rep")
     if labels is not None:
-        named = named.join(labels.withColumnRenamed("node", "rep"), "rep", "left").selectExpr("doc_id", "node", "keep_hash", "coalesce(component, rep) AS class")
+        named = named.join(hint(labels.withColumnRenamed("node", "rep")), "rep", "left").selectExpr("doc_id", "node", "keep_hash", "coalesce(component, rep) AS class")
     else:
         named = named.withColumnRenamed("rep", "class")
     named = stage(named, "named")
