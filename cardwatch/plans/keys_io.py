@@ -46,15 +46,41 @@ def q_snapshot_latest(spark, sf_dir):
     return snapshots.read_latest(spark, path, TRANSACTIONS)
 
 
+def _half_written(tx, path):
+    """The oldest snapshot is published; the newest has files of a job that died before it published them."""
+    oldest = tx.agg(F.min("date_insertion")).scalar()
+    snapshots.write_snapshots(tx.where(F.col("date_insertion") == oldest), path)
+    newest = [snapshots.snapshot_dates(tx).agg(F.max("snapshot_date")).first()[0]]
+    snapshots._write_run(tx.where("id % 2 = 0"), path, "date_insertion", None, newest)
+
+
 def q_dates_to_load(spark, sf_dir):
-    """Bronze holds the oldest snapshot; which source dates still need loading?"""
+    """Bronze holds the oldest snapshot and half of the newest; which source dates still need loading?"""
     tx = fixtures.transactions(spark, sf_dir)
     path = _p(spark, sf_dir, "bronze_partial", "transactions")
-    oldest = tx.agg(F.min("date_insertion")).scalar()
-    snapshots.write_snapshots(tx.where(F.col("date_insertion") == oldest), path)
+    _half_written(tx, path)
     return snapshots.dates_to_load(snapshots.snapshot_dates(tx), snapshots.committed_dates(spark, path))
 
 
+def q_snapshot_recovered(spark, sf_dir):
+    """All snapshots after a load that follows a half-written one."""
+    tx = fixtures.transactions(spark, sf_dir)
+    path = _p(spark, sf_dir, "bronze_recovered", "transactions")
+    _half_written(tx, path)
+    snapshots.load_missing(spark, tx, path)
+    return snapshots.read_snapshots(spark, path, TRANSACTIONS)
+
+
+def q_snapshot_manifests(spark, sf_dir):
+    """Rows of each published snapshot, as observed while it was written; ``sound``: its files still hold those rows."""
+    tx = fixtures.transactions(spark, sf_dir)
+    path = _p(spark, sf_dir, "bronze_manifests", "transactions")
+    snapshots.load_missing(spark, tx, path)
+    listed = spark.createDataFrame([(d, m["rows"]) for d, m in snapshots.published(spark, path).items()], "snapshot_date string, n long")
+    damaged = snapshots.damaged_snapshots(spark, path, TRANSACTIONS).select("snapshot_date", F.lit(True).alias("damaged"))
+    return listed.join(damaged, "snapshot_date", "left").selectExpr("snapshot_date", "n", "damaged IS NULL AS sound")
+
+
 def q_static_snapshots(spark, sf_dir):
     """users copied to every snapshot date, written as a partitioned bronze dataset."""
     dates = snapshots.snapshot_dates(fixtures.transactions(spark, sf_dir))
@@ -210,6 +236,8 @@ IO_REGISTRY = {
     "bronze_write": q_bronze_write,
     "snapshot_latest": q_snapshot_latest,
     "dates_to_load": q_dates_to_load,
+    "snapshot_recovered": q_snapshot_recovered,
+    "snapshot_manifests": q_snapshot_manifests,
     "static_snapshots": q_static_snapshots,
     "snapshot_prefix_70": q_snapshot_prefix_70,
     "ingest_transactions": q_ingest_transactions,

@@ -188,6 +188,11 @@ SELECT {_DATE_TXT} AS snapshot_date, min(id) AS lo, max(id) AS hi, count(*) AS n
 
 ORACLE["bronze_write"] = with_(MAPPING, body="SELECT * FROM transactions")
 
+ORACLE["snapshot_recovered"] = ORACLE["bronze_write"]
+
+ORACLE["snapshot_manifests"] = with_(MAPPING, body=f"""
+SELECT {_DATE_TXT} AS snapshot_date, count(*) AS n, true AS sound FROM transactions GROUP BY 1""")
+
 ORACLE["snapshot_latest"] = with_(MAPPING, body="SELECT * FROM latest")
 
 ORACLE["dates_to_load"] = with_(MAPPING, body=f"""

@@ -160,3 +160,67 @@ def test_ignored_files(spark, scratch):
     with pytest.raises(Exception):
         files.read_any(spark, p, schema).collect()
     assert files.read_any(spark, p, schema, ignore_corrupt=True).count() == 5
+
+
+DATED = "id bigint, v string, d string"
+
+
+def dated(spark, rows):
+    return spark.createDataFrame(rows, DATED).select("id", "v", F.to_date("d").alias("date_insertion"))
+
+
+def dated_schema():
+    from pyspark.sql import types as T
+
+    return T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.StringType()), T.StructField("date_insertion", T.DateType())])
+
+
+def test_half_written_date_is_loaded_again(spark, scratch):
+    """Files that no manifest names don't make a date loaded, and are never read."""
+    p = os.path.join(scratch, "bronze")
+    src = dated(spark, [(1, "a", "2025-01-01"), (2, "b", "2025-01-02"), (3, "c", "2025-01-02")])
+    snapshots.load_missing(spark, src.where("id = 1"), p)
+    snapshots._write_run(src.where("id = 2"), p, "date_insertion", None, ["2025-01-02"])  # died before it published
+    os.makedirs(p + "/_published/2025-01-02")
+    with open(p + "/_published/2025-01-02/_0-draft.json", "w") as f:
+        f.write('{"snapshot_date": "2025-')  # or while it wrote the manifest
+    assert snapshots.listed_dates(spark, p) == ["2025-01-01"]
+    assert [r.id for r in snapshots.read_snapshots(spark, p, dated_schema()).collect()] == [1]
+    assert [r.id for r in snapshots.read_latest(spark, p, dated_schema()).collect()] == [1]
+    assert snapshots.load_missing(spark, src, p) == ["2025-01-02"]
+    assert sorted(r.id for r in snapshots.read_snapshots(spark, p, dated_schema()).collect()) == [1, 2, 3]
+    assert snapshots.load_missing(spark, src, p) == []
+
+
+def test_replaced_date_shows_one_run(spark, scratch):
+    p = os.path.join(scratch, "bronze")
+    snapshots.write_snapshots(dated(spark, [(1, "old", "2025-01-01"), (2, "old", "2025-01-01")]), p)
+    before = snapshots.read_snapshots(spark, p, dated_schema())
+    snapshots.write_snapshots(dated(spark, [(1, "new", "2025-01-01")]), p)
+    assert [r.v for r in snapshots.read_snapshots(spark, p, dated_schema()).collect()] == ["new"]
+    assert [r.v for r in before.collect()] == ["old", "old"]  # a reader that began earlier keeps what it saw
+
+
+def test_manifest_tells_damage(spark, scratch):
+    p = os.path.join(scratch, "bronze")
+    rows = [(k, "x" * (k % 5), f"2025-01-0{1 + k % 3}") for k in range(60)] + [(None, None, "2025-01-01")] * 2
+    snapshots.write_snapshots(dated(spark, rows), p)
+    found = snapshots.published(spark, p)
+    assert {d: m["rows"] for d, m in found.items()} == {"2025-01-01": 22, "2025-01-02": 20, "2025-01-03": 20}
+    assert snapshots.damaged_snapshots(spark, p, dated_schema()).collect() == []
+    m = dict(found["2025-01-02"], rows=21)
+    snapshots.publish(spark, p, m)
+    assert [r.snapshot_date for r in snapshots.damaged_snapshots(spark, p, dated_schema()).collect()] == ["2025-01-02"]
+    folder = f"{p}/snapshot_date=2025-01-03/run={found['2025-01-03']['run']}"
+    spark.range(1).selectExpr("id", "'y' AS v").coalesce(1).write.mode("append").parquet(folder)  # a file that was not written with it
+    with pytest.raises(FileNotFoundError):
+        snapshots.read_snapshots(spark, p, dated_schema())
+
+
+def test_many_dates_in_few_jobs(spark, scratch, monkeypatch):
+    monkeypatch.setattr(snapshots, "DATES_A_JOB", 2)
+    p = os.path.join(scratch, "bronze")
+    src = dated(spark, [(k, "v", f"2025-01-0{1 + k % 5}") for k in range(50)])
+    assert len(snapshots.load_missing(spark, src, p)) == 5
+    assert snapshots.read_snapshots(spark, p, dated_schema()).exceptAll(src).count() == 0
+    assert {m["rows"] for m in snapshots.published(spark, p).values()} == {10}
