@@ -101,27 +101,22 @@ def smallest_k(
         p_below = gp & (F.col(key_col) < F.lit(s["lo"]))
         below = p_below if below is None else (below | p_below)
         bounds.append((gp & F.col(key_col).between(s["lo"], s["hi"]), s["need"]))
-    parts = []
-    if below is not None:
-        parts.append(df.where(below))
-    if bounds:
-        cond = bounds[0][0]
-        need_col = F.when(bounds[0][0], F.lit(bounds[0][1]))
-        for p, nd in bounds[1:]:
-            cond = cond | p
-            need_col = need_col.when(p, F.lit(nd))
-        # Each group's boundary holds at most ``exact_limit`` rows (unless one key value alone is
-        # larger, which a hash key or a de-duplicated id rules out).
-        w = Window.partitionBy(gcol).orderBy(*order)
-        ranked = (df.where(cond).withColumn("__rn", F.row_number().over(w))
-                  .where(F.col("__rn") <= need_col).drop("__rn"))
-        parts.append(ranked)
-    if not parts:
-        return df.limit(0)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    if not bounds:
+        return df.limit(0) if below is None else df.where(below)
+    cond = bounds[0][0]
+    need_col = F.when(bounds[0][0], F.lit(bounds[0][1]))
+    for p, nd in bounds[1:]:
+        cond = cond | p
+        need_col = need_col.when(p, F.lit(nd))
+    # Each group's boundary holds at most ``exact_limit`` rows (unless one key value alone is
+    # larger, which a hash key or a de-duplicated id rules out) and is ranked by itself; rows below it need no rank and
+    # are dealt out by a hash, so that ``df`` is evaluated once for both.
+    below = F.lit(False) if below is None else F.coalesce(below, F.lit(False))
+    cond = F.coalesce(cond, F.lit(False))
+    dealt = F.when(cond, F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(key_col), F.lit(1 << 20)))
+    w = Window.partitionBy(gcol, "__deal").orderBy(*order)
+    kept = df.where(below | cond).withColumn("__deal", dealt).withColumn("__rn", F.row_number().over(w))
+    return kept.where((F.col("__deal") > 0) | (F.col("__rn") <= need_col)).drop("__deal", "__rn")
 
 
 def hash_key(c: Column, salt: str = "") -> Column:

@@ -69,6 +69,21 @@ def join_labels(tx: DataFrame, labels: DataFrame, dedupe: bool = True) -> DataFr
     return tx.join(lab, tx["id"].cast("string") == lab["label_transaction_id"], "left").drop("label_transaction_id")
 
 
+LABEL_KEY = "label_key"
+
+
+def label_keyed(tx: DataFrame) -> DataFrame:
+    """Transactions with their id as text, which a bronze table that is stored for the label join is bucketed by."""
+    return tx.withColumn(LABEL_KEY, F.col("id").cast("string"))
+
+
+def join_labels_stored(tx: DataFrame, labels: DataFrame) -> DataFrame:
+    """``join_labels`` of tables that are bucketed by ``label_key`` and ``label_transaction_id`` (``labels_dim`` of the labels,
+    made when they were stored): neither side is shuffled or aggregated."""
+    joined = tx.join(labels, F.col(LABEL_KEY) == F.col("label_transaction_id"), "left")
+    return joined.drop(LABEL_KEY, "label_transaction_id")
+
+
 def silver_join(tx: DataFrame, users: DataFrame, cards: DataFrame, mcc: DataFrame, labels: DataFrame,
                 dedupe: bool = True, strategy: str | None = None) -> DataFrame:
     """The 5-table left-join chain, fact on the left and read once."""

@@ -39,7 +39,9 @@ def gold_from_rules(silver: DataFrame) -> DataFrame:
 
 def score_with_model(model, df: DataFrame, positive_index: int = 1) -> DataFrame:
     """Apply a fitted pipeline; ``prediction`` is in label space (the label is never re-indexed)."""
-    scored = model.transform(df)
+    # a copy has no training summary: that refers to the session, which would be sent to each task with the model (and
+    # can't be, once the session has observed a write)
+    scored = model.copy().transform(df)
     return scored.withColumns({
         "label_pred": F.col("prediction"),
         "fraud_probability": vector_element("probability", positive_index),

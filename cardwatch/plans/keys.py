@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 
 from cardwatch import fixtures
 from cardwatch.functions import rules
-from cardwatch.operators import evaluate, features, sampling
+from cardwatch.operators import category_index, evaluate, features, sampling
 from cardwatch.operators import silver as sv
 from cardwatch.operators import views
 from cardwatch.plans import gold as gd
 from cardwatch.plans import predict as pr
 from cardwatch.schemas import CATEGORY_FEATURES, KEY_FEATURES
+from cardwatch.session import ensure_checkpoint_dir
 
 
 def _dom(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -178,9 +179,19 @@ def q_split_test(spark, sf_dir):
     return sampling.split(balanced(spark, sf_dir), 0.8)[1].select("id", "label")
 
 
+def _indexed(spark, sf_dir, columns, **limits):
+    ensure_checkpoint_dir(spark)
+    rows = complete(spark, sf_dir).withColumn("id_text", F.col("id").cast("string")).select("id", *columns).checkpoint()
+    return category_index.with_index(rows, category_index.category_index(rows, columns, **limits), columns).select("id", *[f"{c}_idx" for c in columns])
+
+
 def q_string_index(spark, sf_dir):
-    rows = complete(spark, sf_dir).select("id", *CATEGORY_FEATURES)
-    return features.index_categories(rows).select("id", *[f"{c}_idx" for c in CATEGORY_FEATURES])
+    return _indexed(spark, sf_dir, CATEGORY_FEATURES)
+
+
+def q_category_index_large(spark, sf_dir):
+    """A column with as many values as rows, and one with many: ranked in parts, joined as a table."""
+    return _indexed(spark, sf_dir, ["id_text", "client_id"], rows_per_part=500)
 
 
 def q_feature_rows(spark, sf_dir):
@@ -254,6 +265,7 @@ REGISTRY = {
     "split_train": q_split_train,
     "split_test": q_split_test,
     "string_index": q_string_index,
+    "category_index_large": q_category_index_large,
     "feature_rows": q_feature_rows,
     "confusion_matrix": q_confusion_matrix,
     "classification_metrics": q_classification_metrics,

@@ -14,10 +14,12 @@ from pyspark.sql import types as T
 from cardwatch import fixtures
 from cardwatch.operators import evaluate
 from cardwatch.plans import keys as K
-from cardwatch.plans import store
-from cardwatch.schemas import CARDS, GOLD, TRANSACTIONS, USERS
+from cardwatch.operators import silver as sv
+from cardwatch.plans import gold as gd
+from cardwatch.plans import jobs, period_views, store
+from cardwatch.schemas import CARDS, GOLD, TRANSACTIONS, TRANSACTIONS_RAW, USERS
 from cardwatch.session import scope_of, shared_path
-from cardwatch.sources import files, ingest, jdbc, snapshots
+from cardwatch.sources import bucketed, files, ingest, jdbc, json_object, snapshots
 
 
 def _p(spark, sf_dir, *parts):
@@ -109,6 +111,19 @@ def q_ingest_lines(spark, sf_dir):
     return ingest.ingest_transactions(fixtures.transactions_file(spark, sf_dir), fixtures.SECOND_SNAPSHOT)
 
 
+def q_ingest_files(spark, sf_dir):
+    """Ids that repeat across files of unlike sizes: the first file by name wins, though it is the smallest and read last.
+
+    A file's rows are those of one line number, the highest in the first file; they are sorted by ``position``."""
+    path = _p(spark, sf_dir, "files", "raw_lines")
+    lines = fixtures.transactions_file(spark, sf_dir).withColumn("part", F.expr("8 - CAST(merchant_id AS INT)"))
+    dealt = lines.repartitionByRange("part", "position").sortWithinPartitions("part", "position")
+    # a folder's parts are numbered in the order of their ranges, so names sort like rows
+    dealt.drop("position").write.partitionBy("part").option("header", True).csv(path)
+    raw = files.read_csv(spark, path, TRANSACTIONS_RAW)
+    return ingest.ingest_transactions(raw, fixtures.SECOND_SNAPSHOT)
+
+
 def q_ingest_prefix(spark, sf_dir):
     """The first rows by id, as many as 10 % of all lines of the file, valid or not; by histogram refinement."""
     lines = fixtures.transactions_file(spark, sf_dir)
@@ -148,12 +163,119 @@ def q_labels_from_json(spark, sf_dir):
     return files.read_json_objects(spark, path, "transaction_id", "label", wrap="target")
 
 
+def _label_objects(spark, sf_dir, path, entries=20_000):
+    """Files that are one JSON object each, of about so many entries, with commas, quotes and braces in the values."""
+    text = "concat(label, ', \"checked\" \\\\ {', transaction_id, '}, ', IF(label = 'Yes', 'é,\n', ''))"
+    labels = fixtures.train_fraud_labels(spark, sf_dir).select("transaction_id", F.expr(text).alias("label"))
+    objects = max(1, -(-labels.count() // entries))
+    body = F.struct(F.map_from_entries(F.collect_list(F.struct("transaction_id", "label"))).alias("target"))
+    part = F.pmod(F.xxhash64("transaction_id"), F.lit(objects)).alias("part")
+    labels.groupBy(part).agg(F.to_json(body).alias("value")).write.partitionBy("part").text(path)
+
+
+def q_labels_from_object(spark, sf_dir):
+    """Label files that are one object each, read by many tasks: each takes 64 kB, so entries are cut in strings too."""
+    path = _p(spark, sf_dir, "files", "train_fraud_labels.json")
+    _label_objects(spark, sf_dir, path)
+    return json_object.read_object(spark, path, "transaction_id", "label", _p(spark, sf_dir, "scratch"), wrap="target", split_bytes=1 << 16)
+
+
+def _damaged_cards(spark, sf_dir):
+    """Card lines, some of them cut, of the wrong type, no object or no JSON."""
+    path = _p(spark, sf_dir, "files", "cards_damaged.json")
+    cards = fixtures.cards_data(spark, sf_dir)
+    whole = F.to_json(F.struct(*cards.columns))
+    cards.select(F.when(F.expr("id % 13 = 1"), F.expr("concat('{\"id\":', id, ',\"card_brand\":\"')"))
+                 .when(F.expr("id % 13 = 2"), F.expr("concat('{\"id\":', id, ',\"client_id\":\"none\",\"num_cards_issued\":[1]}')"))
+                 .when(F.expr("id % 13 = 3"), F.expr("concat('[', id, ']')")).when(F.expr("id % 13 = 4"), F.expr("concat('card ', id)")).otherwise(whole)).write.text(path)
+    return files.split_json_lines(spark, path, CARDS, _p(spark, sf_dir, "scratch"))
+
+
+def q_json_good(spark, sf_dir):
+    return _damaged_cards(spark, sf_dir)[0]
+
+
+def q_json_quarantine(spark, sf_dir):
+    """What was put aside. Line numbers depend on how the file was written, so only their soundness is returned."""
+    bad = _damaged_cards(spark, sf_dir)[1]
+    return bad.select("record", "reason", ((F.col("line") > 0) & F.col("file").contains("cards_damaged")).alias("placed"))
+
+
 def q_json_permissive(spark, sf_dir):
     path = _p(spark, sf_dir, "files", "cards_data.json")
     files.write_json_lines(fixtures.cards_data(spark, sf_dir), path)
     return files.read_any(spark, path, CARDS)
 
 
+# ---- tables stored by key --------------------------------------------------------------------
+
+def _bucketed(spark, sf_dir, df, name, key):
+    run = uuid.uuid4().hex[:12]
+    width = bucketed.bucket_count(spark, 0)
+    return bucketed.save(spark, df, f"cardwatch_bucketed.{name}_{run}", shared_path(spark, scope_of(sf_dir), f"run-{run}", name), key, width), f"cardwatch_bucketed.{name}_{run}"
+
+
+def q_silver_join_bucketed(spark, sf_dir):
+    """The join chain over bronze tables that are bucketed for the label join."""
+    tx, _ = _bucketed(spark, sf_dir, sv.label_keyed(K.latest_transactions(spark, sf_dir)), "transactions", sv.LABEL_KEY)
+    labels, _ = _bucketed(spark, sf_dir, sv.labels_dim(fixtures.train_fraud_labels(spark, sf_dir)), "labels", "label_transaction_id")
+    out = sv.join_labels_stored(tx, labels)
+    out = sv.join_users(out, fixtures.users_data(spark, sf_dir))
+    out = sv.join_cards(out, fixtures.cards_data(spark, sf_dir))
+    return sv.join_mcc(out, fixtures.mcc_codes(spark, sf_dir))
+
+
+def q_insert_absent(spark, sf_dir):
+    """All snapshots' rows into a bucketed table that has the oldest snapshot's."""
+    tx = fixtures.transactions(spark, sf_dir)
+    oldest = tx.agg(F.min("date_insertion")).scalar()
+    _, name = _bucketed(spark, sf_dir, tx.where(F.col("date_insertion") == oldest), "target", "id")
+    bucketed.insert_absent(spark, name, tx, "id", _p(spark, sf_dir, "scratch"), ["date_insertion"])
+    return spark.table(name)
+
+
+# ---- views by period, counts of a job --------------------------------------------------------
+
+def _periods(spark, sf_dir):
+    """Partial results by month of a gold table in which one month has other amounts and scores; then that month is replaced."""
+    scored = gd.score_with_rules(gd.labelled(K.silver(spark, sf_dir)))
+    gold = scored.select(*gd.GOLD_COLUMNS, F.date_format("date", "yyyy-MM").alias(period_views.PERIOD))
+    one = gold.agg(F.max(period_views.PERIOD)).scalar()
+    changed = F.col(period_views.PERIOD) == one
+    old = gold.withColumns({"amount": F.when(changed, F.col("amount") * 3 + 1).otherwise(F.col("amount")),
+                            "label_pred": F.when(changed, 1 - F.col("label_pred")).otherwise(F.col("label_pred"))})
+    path = _p(spark, sf_dir, "periods")
+    period_views.write_periods(old, path)
+    period_views.write_periods(gold.where(changed), path)
+    return path
+
+
+def q_periods_global(spark, sf_dir):
+    return period_views.global_fraud_rate(spark, _periods(spark, sf_dir))
+
+
+def q_periods_city(spark, sf_dir):
+    return period_views.fraud_by_city_state(spark, _periods(spark, sf_dir))
+
+
+def q_periods_class(spark, sf_dir):
+    return period_views.avg_amount_by_class(spark, _periods(spark, sf_dir))
+
+
+def q_periods_clients(spark, sf_dir):
+    return period_views.top_suspect_clients(spark, _periods(spark, sf_dir))
+
+
+def q_row_counts_observed(spark, sf_dir):
+    """The counts of ``row_counts`` as the bronze and silver jobs observed them while they wrote."""
+    root, run = _p(spark, sf_dir, "jobs"), uuid.uuid4().hex[:12]
+    d = fixtures.domain(spark, sf_dir)
+    static = {"users_data": d["users"], "cards_data": d["cards"], "mcc_codes": d["mcc"], "train_fraud_labels": d["labels"]}
+    jobs.bronze_job(spark, d["transactions"], static, root + "/bronze")
+    jobs.silver_job(spark, root + "/bronze", f"cardwatch_run_{run}", root + "/warehouse", metrics_path=root + "/metrics")
+    return store.read_counts(spark, root + "/metrics", "silver").selectExpr("metric AS stage", "CAST(value AS BIGINT) AS n")
+
+
 # ---- published tables --------------------------------------------------------------------
 
 def q_silver_table(spark, sf_dir):
@@ -243,12 +365,23 @@ IO_REGISTRY = {
     "ingest_transactions": q_ingest_transactions,
     "ingest_lines": q_ingest_lines,
     "ingest_prefix": q_ingest_prefix,
+    "ingest_files": q_ingest_files,
     "dedupe_first_wins": q_dedupe_first_wins,
+    "silver_join_bucketed": q_silver_join_bucketed,
+    "insert_absent": q_insert_absent,
+    "periods_global": q_periods_global,
+    "periods_city": q_periods_city,
+    "periods_class": q_periods_class,
+    "periods_clients": q_periods_clients,
+    "row_counts_observed": q_row_counts_observed,
     "csv_read": q_csv_read,
     "mcc_from_json": q_mcc_from_json,
     "mcc_from_one_object": q_mcc_from_one_object,
     "labels_from_json": q_labels_from_json,
     "json_permissive": q_json_permissive,
+    "labels_from_object": q_labels_from_object,
+    "json_good": q_json_good,
+    "json_quarantine": q_json_quarantine,
     "silver_table": q_silver_table,
     "gold_export": q_gold_export,
     "metrics_write": q_metrics_write,

@@ -17,10 +17,9 @@ from cardwatch.session import scope_of, shared_path
 
 
 def _train_report(spark, sf_dir, name):
-    variant = models.VARIANTS[name]
-    silver = K.silver(spark, sf_dir)
-    _, scored = models.train(silver, name)
-    parts = models.prepare(silver, variant).withColumn("inside", sampling.hash_below(0.8, sampling.SALT_SPLIT))
+    data = models.prepared(K.silver(spark, sf_dir), name)
+    _, scored = models.fit(data, name)
+    parts = data.withColumn("inside", sampling.hash_below(0.8, sampling.SALT_SPLIT))
     rows = parts.agg(*(F.count_if((F.col("inside") == inside) & (F.col("label") == label)).alias(f"{part}_{label}")
                        for part, inside in (("train", True), ("test", False)) for label in (0, 1)))
     report = evaluate.report(scored)

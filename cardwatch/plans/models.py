@@ -78,9 +78,18 @@ def train(silver: DataFrame, variant_name: str = "gbt") -> tuple[PipelineModel,
     scoring of the test part and every evaluation read it, a lost executor costs a re-read, and no
     cache is left to release.
     """
-    variant = VARIANTS[variant_name]
+    return fit(prepared(silver, variant_name), variant_name)
+
+
+def prepared(silver: DataFrame, variant_name: str) -> DataFrame:
+    """The variant's training set, checkpointed."""
     ensure_checkpoint_dir(silver.sparkSession)
-    data = prepare(silver, variant).checkpoint()
+    return prepare(silver, VARIANTS[variant_name]).checkpoint()
+
+
+def fit(data: DataFrame, variant_name: str) -> tuple[PipelineModel, DataFrame]:
+    """``train`` on a prepared set."""
+    variant = VARIANTS[variant_name]
     train_df, test_df = sampling.split(data, 0.8)
     model = build_estimator(variant).fit(train_df)
     scored = score_with_model(model, test_df)

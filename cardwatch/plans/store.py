@@ -39,6 +39,16 @@ def metrics_long(metrics_row: DataFrame, run_id: str) -> DataFrame:
     return metrics_row.select(F.expr(stack)).select(F.lit(run_id).alias("run_id"), "metric", "value")
 
 
+def counts_long(spark: SparkSession, counts: dict[str, int], run_id: str) -> DataFrame:
+    """Row counts that a job observed while it wrote, as (run_id, metric, value) rows."""
+    return spark.createDataFrame([(run_id, k, float(n)) for k, n in counts.items()], "run_id string, metric string, value double")
+
+
+def read_counts(spark: SparkSession, path: str, run_id: str) -> DataFrame:
+    """(metric, value) of one run, whatever its metrics are called."""
+    return spark.read.schema(METRICS).parquet(path).where(F.col("run_id") == run_id).select("metric", "value")
+
+
 def write_metrics(df_long: DataFrame, path: str) -> None:
     """Replace the rows of the runs present in ``df_long`` (dynamic partition overwrite)."""
     (df_long.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -46,13 +56,13 @@ def write_metrics(df_long: DataFrame, path: str) -> None:
 
 
 def read_metrics(spark: SparkSession, path: str, run_id: str) -> DataFrame:
-    """Metrics of one run as one wide row; no row when the run (or the table) does not exist."""
+    """Metrics and confusion matrix of one run as one wide row; no row when the run (or the table) does not exist."""
     try:
         df = spark.read.schema(METRICS).parquet(path)
     except AnalysisException as error:
         if not path_is_missing(error):
             raise
-        return spark.createDataFrame([], "accuracy double, precision double, recall double, f1 double, auc double")
+        return spark.createDataFrame([], ", ".join(f"{c} double" for c in METRIC_NAMES + COUNT_NAMES))
     one = df.where(F.col("run_id") == run_id)
     # Grouping by the run (not a global aggregate) yields no row at all for an unknown run.
-    return one.groupBy("run_id").pivot("metric", list(METRIC_NAMES)).agg(F.first("value")).select(*METRIC_NAMES)
+    return one.groupBy("run_id").pivot("metric", [*METRIC_NAMES, *COUNT_NAMES]).agg(F.first("value")).select(*METRIC_NAMES, *COUNT_NAMES)

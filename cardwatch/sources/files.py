@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cardwatch.sources.positions import numbered, with_place
+
 CORRUPT = "_corrupt_record"
 ENTRIES_PER_OBJECT = 100_000
 KNOWN_FORMATS = ("csv", "json", "parquet")
@@ -70,6 +72,34 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType, drop_c
     return require_columns(parsed.drop(CORRUPT), path)
 
 
+#: Why a line was put aside.
+NOT_JSON, NOT_OBJECT = "not JSON", "not an object"
+
+
+def split_json_lines(spark: SparkSession, path: str, schema: T.StructType, scratch: str, **opts) -> tuple[DataFrame, DataFrame]:
+    """Line JSON -> (good rows, lines put aside) out of one read, which is written to ``scratch`` (a new shared folder).
+
+    What is put aside: ``file``, ``line`` (number in the file, from 1), ``reason`` and the ``record``. The reason is that the
+    line is not JSON, not an object, or which fields have a value that doesn't fit. Blank lines are no records, but count as lines.
+    Good and bad rows together are all records."""
+    lines = with_place(tolerant(spark.read, **opts).text(path))
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    blank = F.trim("value") == ""
+    read = lines.withColumn("row", F.when(~blank, parsed)).withColumn("kind", F.expr(f"CASE WHEN row IS NULL THEN 'blank' WHEN row.{CORRUPT} IS NULL THEN 'good' ELSE 'bad' END"))
+    read.withColumn("value", F.when(F.col("kind") == "bad", F.col("value"))).write.partitionBy("kind").parquet(f"{scratch}/lines")
+    stored = spark.read.schema(read.schema).parquet(f"{scratch}/lines")
+    good = require_columns(stored.where("kind = 'good'").select(*(F.col(f"row.`{f.name}`") for f in schema.fields)), path)
+    # only the bad lines' text is read again; a field fits if the line parses with that field alone
+    fits = [F.when(F.from_json("value", T.StructType([f, T.StructField(CORRUPT, T.StringType())]),
+                               {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).getField(CORRUPT).isNotNull(), F.lit(f.name)) for f in schema.fields]
+    json = F.expr("try_parse_json(value)")
+    reason = F.when(json.isNull(), NOT_JSON).when(~F.expr("coalesce(schema_of_variant(try_parse_json(value)) LIKE 'OBJECT%', false)"), NOT_OBJECT).otherwise(
+        F.concat(F.lit("does not fit: "), F.array_join(F.array_compact(F.array(*fits)), ", ")))
+    bad = numbered(stored.select("place", "kind", "value")).where("kind = 'bad'")
+    return good, bad.select("file", "line", reason.alias("reason"), F.col("value").alias("record"))
+
+
 def write_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 

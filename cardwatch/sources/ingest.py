@@ -3,7 +3,7 @@
 One distributed read replaces chunked row-at-a-time loading: ids must parse as numbers (else
 the row is dropped) and are truncated to bigint; money text is parsed; missing values that a float
 column turned into ``nan`` become NULL; every row is stamped with the snapshot date. Inside one
-load the first row in file order wins for each id; between loads the earliest snapshot does.
+load the first row in file order (file name, place in the file) wins for each id; between loads the earliest snapshot does.
 """
 
 from __future__ import annotations
@@ -17,15 +17,16 @@ from pyspark.sql import functions as F
 from cardwatch.functions.scalar import id_from_text, missing_text_to_null, money_to_double, zip_text
 from cardwatch.operators.dedupe import first_of_repeated, first_per_key, insert_if_absent
 from cardwatch.schemas import TRANSACTIONS
+from cardwatch.sources.positions import is_file_read, with_place
 
 TEXT_COLUMNS = ("client_id", "card_id", "use_chip", "merchant_id", "merchant_city", "merchant_state", "mcc", "errors")
 POSITION = "position"
 
 
 def with_position(lines: DataFrame) -> DataFrame:
-    """Number the rows of a file read in file order. Rows of a split are consecutive; of several files, each keeps its
-    own order, and the files follow each other in the order of the scan."""
-    return lines.withColumn(POSITION, F.monotonically_increasing_id())
+    """Number the rows of a file read in file order: by file name, then by the place in the file, whatever splits the scan
+    deals out first. Rows that don't come straight from files keep the order of their partitions."""
+    return with_place(lines, POSITION) if is_file_read(lines) else lines.withColumn(POSITION, F.monotonically_increasing_id())
 
 
 def ingest_transactions(raw: DataFrame, snapshot: dt.date) -> DataFrame:

@@ -149,7 +149,9 @@ def read_snapshots(spark: SparkSession, path: str, schema: T.StructType, date_co
 def read_latest(spark: SparkSession, path: str, schema: T.StructType, date_col: str = "date_insertion",
                 **opts) -> DataFrame:
     """Rows of the newest published snapshot only; no file of another one is listed or opened. No snapshot: no rows."""
-    return _read_runs(spark, path, schema, date_col, [*published(spark, path).values()][-1:], **opts).drop(PART)
+    newest = [*published(spark, path).values()][-1:]
+    rows = _read_runs(spark, path, schema, date_col, newest, **opts)
+    return rows.where(F.col(PART) == newest[0]["snapshot_date"] if newest else F.lit(False)).drop(PART)
 
 
 def damaged_snapshots(spark: SparkSession, path: str, schema: T.StructType, date_col: str = "date_insertion") -> DataFrame:

@@ -131,6 +131,13 @@ indexed AS (SELECT s.*, {_IDX_COLS} FROM complete s {_IDX_JOINS})"""
 ORACLE["string_index"] = with_(*TRAIN, _IDX, INDEXED, body=f"""
 SELECT id, {", ".join(f"{c}_idx" for c in CATS)} FROM indexed""")
 
+_LARGE = {"id_text": "CAST(id AS VARCHAR)", "client_id": "client_id"}
+ORACLE["category_index_large"] = with_(*TRAIN, ",".join(f"""
+idx_{c} AS (SELECT {t} AS v, CAST(row_number() OVER (ORDER BY count(*) DESC, {t}) - 1 AS DOUBLE) AS idx
+            FROM complete WHERE {t} IS NOT NULL GROUP BY 1)""" for c, t in _LARGE.items()), body="SELECT id, " + ", ".join(
+    f"COALESCE(i_{c}.idx, (SELECT CAST(count(*) AS DOUBLE) FROM idx_{c})) AS {c}_idx" for c in _LARGE)
+    + " FROM complete s " + " ".join(f"LEFT JOIN idx_{c} i_{c} ON {t} = i_{c}.v" for c, t in _LARGE.items()))
+
 _FEATS = ["amount", "credit_score", "num_credit_cards", "num_cards_issued", "latitude", "longitude"] + \
     [f"{c}_idx" for c in CATS]
 ORACLE["feature_rows"] = with_(*TRAIN, _IDX, INDEXED, body="SELECT id, " + ", ".join(
@@ -225,6 +232,15 @@ ORACLE["csv_read"] = with_(MAPPING, body="SELECT * FROM users_data")
 ORACLE["mcc_from_json"] = with_(MAPPING, body="SELECT * FROM mcc_codes")
 ORACLE["labels_from_json"] = with_(MAPPING, body="SELECT * FROM train_fraud_labels")
 ORACLE["json_permissive"] = with_(MAPPING, body="SELECT * FROM cards_data")
+ORACLE["labels_from_object"] = with_(MAPPING, body="""
+SELECT transaction_id, label || ', "checked" \\ {' || transaction_id || '}, ' || CASE WHEN label = 'Yes' THEN 'é,' || chr(10) ELSE '' END AS label
+FROM train_fraud_labels""")
+ORACLE["json_good"] = with_(MAPPING, body="SELECT * FROM cards_data WHERE id % 13 NOT IN (1, 2, 3, 4)")
+ORACLE["json_quarantine"] = with_(MAPPING, body="""
+SELECT CASE id % 13 WHEN 1 THEN '{"id":' || id || ',"card_brand":"' WHEN 2 THEN '{"id":' || id || ',"client_id":"none","num_cards_issued":[1]}'
+                    WHEN 3 THEN '[' || id || ']' ELSE 'card ' || id END AS record,
+       CASE id % 13 WHEN 2 THEN 'does not fit: client_id, num_cards_issued' WHEN 3 THEN 'not an object' ELSE 'not JSON' END AS reason, true AS placed
+FROM cards_data WHERE id % 13 IN (1, 2, 3, 4)""")
 ORACLE["silver_table"] = ORACLE["silver_transactions"]
 ORACLE["gold_export"] = ORACLE["gold_scored"]
 
@@ -246,7 +262,7 @@ UNION ALL SELECT 'f1', f1 FROM wide
 UNION ALL SELECT 'auc', auc FROM wide
 UNION ALL SELECT 'tn', tn FROM pr UNION ALL SELECT 'fp', fp FROM pr UNION ALL SELECT 'fn', fn FROM pr UNION ALL SELECT 'tp', tp FROM pr""")
 
-ORACLE["metrics_read"] = with_(*GOLD, _COUNTS, _ROC + _AUC, body="SELECT * FROM wide")
+ORACLE["metrics_read"] = with_(*GOLD, _COUNTS, _ROC + _AUC, body="SELECT wide.*, tn, fp, fn, tp FROM wide, pr")
 
 ORACLE["jdbc_partitioned_read"] = ORACLE["snapshot_latest"]
 ORACLE["gold_jdbc"] = ORACLE["gold_scored"]
@@ -255,6 +271,13 @@ ORACLE["predict_stream"] = ORACLE["predict_batch"]
 # ---- other plans for the same rows, and files with odd ids ------------------------------------
 
 ORACLE["silver_join_merge"] = ORACLE["silver_join"]
+ORACLE["silver_join_bucketed"] = ORACLE["silver_join"]
+ORACLE["insert_absent"] = ORACLE["dedupe_first_wins"]
+ORACLE["row_counts_observed"] = ORACLE["row_counts"]
+ORACLE["periods_global"] = ORACLE["v_global_fraud_rate"]
+ORACLE["periods_city"] = ORACLE["v_fraud_by_city_state"]
+ORACLE["periods_class"] = ORACLE["v_avg_amount_by_class"]
+ORACLE["periods_clients"] = ORACLE["v_top_suspect_clients"]
 ORACLE["undersample_histogram"] = ORACLE["undersample_balanced"]
 ORACLE["sample_large"] = with_(*TRAIN, body=f"""
 SELECT id, label FROM complete WHERE (SELECT count(*) FROM complete) <= 100 OR {hash_below('s3:', '4ccccccd')}""")
@@ -284,6 +307,7 @@ SELECT id, l_shipdate AS date, CAST(l_suppkey AS VARCHAR) AS client_id, CAST(l_p
        l_linestatus AS merchant_city, l_returnflag AS merchant_state, CAST(l_partkey AS VARCHAR) AS zip,
        CAST(l_linenumber AS VARCHAR) AS mcc, CAST(NULL AS VARCHAR) AS errors, DATE '2025-01-02' AS date_insertion
 FROM first_lines""")
+ORACLE["ingest_files"] = ORACLE["ingest_lines"].replace("ORDER BY position", "ORDER BY 8 - l_linenumber, position")
 ORACLE["ingest_prefix"] = with_(_LINES, body="""
 SELECT id FROM (SELECT id, row_number() OVER (ORDER BY id) AS r FROM first_lines) x
 WHERE r <= (SELECT floor(count(*) * 0.1) FROM lines)""")

@@ -46,3 +46,46 @@ def test_static_snapshots_are_written_once(spark, scratch, sf_small):
     assert jobs.bronze_job(spark, day(fixtures.SECOND_SNAPSHOT), codes("newer"), root) == []
     rows = snapshots.read_snapshots(spark, root + "/mcc_codes", jobs._with_date(MCC)).collect()
     assert sorted((str(r.date_insertion), r.description) for r in rows) == [("2025-01-01", "old"), ("2025-01-02", "new")]
+
+
+def test_counts_are_observed_while_writing(spark, scratch, sf_small):
+    """A job with counts runs as many Spark jobs as without them, and its figures equal the counting query's."""
+    from cardwatch.plans import store
+
+    root = scratch + "/bronze"
+    d = fixtures.domain(spark, sf_small)
+    static = {"users_data": d["users"], "cards_data": d["cards"], "mcc_codes": d["mcc"], "train_fraud_labels": d["labels"]}
+    jobs.bronze_job(spark, d["transactions"], static, root, metrics_path=scratch + "/metrics")
+    loaded = {r.metric: r.value for r in store.read_counts(spark, scratch + "/metrics", "bronze").collect()}
+    assert loaded == {f"transactions {r.snapshot_date}": r.n for r in K.registry()["snapshot_bounds"](spark, sf_small).collect()}
+
+    def run(group, name, **more):
+        spark.sparkContext.setJobGroup(group, group)
+        table = jobs.silver_job(spark, root, name, scratch + "/warehouse", **more)
+        return table, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    run("warm", "counts_warm")
+    _, plain = run("plain", "counts_plain")
+    real, calls = store.write_metrics, []
+    store.write_metrics = lambda df, path: calls.append(df.collect())  # the figures' own small table aside
+    try:
+        table, observed = run("observed", "counts_observed", metrics_path=scratch + "/metrics")
+    finally:
+        store.write_metrics = real
+        spark.sparkContext.setJobGroup("rest", "rest")
+    assert observed <= plain + 1  # the collect above
+    figures = {r.metric: r.value for r in calls[0]}
+    assert figures == {r.stage: r.n for r in K.registry()["row_counts"](spark, sf_small).collect()}
+    jobs.gold_job(spark, table, scratch + "/gold", metrics_path=scratch + "/metrics", view_prefix="counts_")
+    gold = {r.metric: r.value for r in store.read_counts(spark, scratch + "/metrics", "gold").collect()}
+    assert gold["gold"] == table.count() and gold["hits"] == spark.sql("SELECT total_fraudes FROM counts_v_taux_fraude_global").first()[0]
+
+
+def test_confusion_matrix_is_read_back(spark, scratch, sf_small):
+    from cardwatch.operators import evaluate
+    from cardwatch.plans import store
+
+    wide = evaluate.report(K.gold(spark, sf_small))
+    store.write_metrics(store.metrics_long(wide, "r"), scratch + "/m")
+    got, expected = store.read_metrics(spark, scratch + "/m", "r").first(), wide.first()
+    assert {c: got[c] for c in ("tn", "fp", "fn", "tp")} == {c: float(expected[c]) for c in ("tn", "fp", "fn", "tp")}

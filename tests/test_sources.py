@@ -224,3 +224,106 @@ def test_many_dates_in_few_jobs(spark, scratch, monkeypatch):
     assert len(snapshots.load_missing(spark, src, p)) == 5
     assert snapshots.read_snapshots(spark, p, dated_schema()).exceptAll(src).count() == 0
     assert {m["rows"] for m in snapshots.published(spark, p).values()} == {10}
+
+
+def test_first_row_in_file_order(spark, scratch, monkeypatch):
+    """Of two files with one id the first by name wins, though the other one is larger and read first; in a file, the first line."""
+    import datetime as dt
+
+    p = os.path.join(scratch, "raw")
+    os.makedirs(p)
+    head = ",".join(c.name for c in TRANSACTIONS_RAW) + "\n"
+
+    def line(i, client):
+        return f"{i},,{client},1,$1.00,Yes,1,C,S,1,1,\n"
+
+    with open(p + "/a.csv", "w") as f:
+        f.write(head + line(5, "z") + line(5, "b") + line(6, "y"))
+    with open(p + "/b.csv", "w") as f:
+        f.write(head + line(6, "a") + line(5, "a") + "".join(line(100 + k % 500, f"{9 - k // 500}") for k in range(3000)))
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        for size in (before, "2000"):  # one task, and many splits
+            spark.conf.set(key, size)
+            raw = files.read_csv(spark, p, TRANSACTIONS_RAW)
+            got = {r.id: r.client_id for r in ingest.ingest_transactions(raw, dt.date(2025, 1, 1)).collect()}
+            assert (got.pop(5), got.pop(6)) == ("z", "y") and got == {100 + k: "9" for k in range(500)}
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_line_numbers_over_splits(spark, scratch):
+    from cardwatch.sources.positions import numbered, with_place, written
+
+    p = os.path.join(scratch, "t")
+    os.makedirs(p)
+    for name, n in (("a", 700), ("b", 3), ("c", 5000)):
+        with open(f"{p}/{name}.txt", "w") as f:
+            f.writelines(f"{name} {k} {'x' * (k % 7)}\n" for k in range(1, n + 1))
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "500")
+    try:
+        rows = numbered(written(with_place(spark.read.text(p)), scratch + "/w")).collect()
+    finally:
+        spark.conf.set(key, before)
+    assert len(rows) == 5703
+    assert all(r.value.split()[:2] == [os.path.basename(r.file)[0], str(r.line)] for r in rows)
+
+
+def objects(spark, scratch, texts, wrap=None, **opts):
+    import uuid
+
+    from cardwatch.sources.json_object import read_object
+
+    p = os.path.join(scratch, uuid.uuid4().hex)
+    os.makedirs(p)
+    for k, t in enumerate(texts):
+        with open(f"{p}/f{k}.json", "w") as f:
+            f.write(t)
+    return sorted(map(tuple, read_object(spark, p, "k", "v", p + ".scratch", wrap=wrap, split_bytes=200, **opts).collect()))
+
+
+@pytest.mark.parametrize("style", [{}, {"indent": 2}, {"separators": (",", ":")}, {"ensure_ascii": False, "indent": 1}])
+def test_one_object_in_many_tasks(spark, scratch, style):
+    """Separators, quotes, escapes and braces inside keys and values; entries cut at every split."""
+    import random
+
+    rng = random.Random(3)
+    some = lambda: "".join(rng.choice('ab,,"\\{}:, \né日') for _ in range(rng.randrange(12)))
+    made = [{f"{some()}{k}": some() for k in range(80)} for _ in range(3)]
+    expected = sorted((k, v) for o in made for k, v in o.items())
+    assert objects(spark, scratch, [json.dumps(o, **style) for o in made]) == expected
+    assert objects(spark, scratch, [json.dumps({"target": o}, **style) + "\n" for o in made], wrap="target") == expected
+
+
+def test_object_scalars_and_empty_objects(spark, scratch):
+    made = ["{}", '{"a,b": 1, "c": null}', ' { "d" : true ,\n"e":"x,\\"y" } ', '{"f": ","}', "{ }"]
+    assert objects(spark, scratch, made) == [("a,b", "1"), ("c", None), ("d", "true"), ("e", 'x,"y'), ("f", ",")]
+    assert objects(spark, scratch, ['{"target": {}}'], wrap="target") == []
+
+
+@pytest.mark.parametrize("bad", ['{"a":"b"', '{"a":"b","c" "d"}', '{"a":"b","c":"d', '{"a":{"b":"c"}}', '"a":"b"}', '{"a":[1,2]}', '{"a":"b"}}', '{"a":"b",}'])
+def test_damaged_object_raises(spark, scratch, bad):
+    with pytest.raises(Exception, match="malformed entry|string is open"):
+        objects(spark, scratch, [bad])
+
+
+def test_damaged_entries_can_be_dropped(spark, scratch):
+    assert objects(spark, scratch, ['{"a":"b","c" "d","e":"f"}'], on_malformed="drop") == [("a", "b"), ("e", "f")]
+
+
+def test_quarantine_holds_what_good_rows_lack(spark, scratch):
+    lines = ['{"id": 1, "card_brand": "Visa"}', "{not json", "", '{"id": "x", "num_cards_issued": [1]}', "[1]", "7", '{"id": 2}', "null", '{"id": 3, "extra": {"a": 1}}', '"text"', "{}"]
+    p = os.path.join(scratch, "in")
+    os.makedirs(p)
+    with open(p + "/a.json", "w") as f:
+        f.write("\n".join(lines) + "\n")
+    good, bad = files.split_json_lines(spark, p, CARDS, scratch + "/q")
+    assert good.columns == [f.name for f in CARDS.fields]
+    rows = sorted(map(tuple, bad.select("line", "reason", "record").collect()))
+    assert rows == [(2, "not JSON", "{not json"), (4, "does not fit: id, num_cards_issued", lines[3]), (5, "not an object", "[1]"), (6, "not an object", "7"),
+                    (8, "not an object", "null"), (10, "not an object", '"text"')]
+    kept = sorted((r.id is None, r.id) for r in good.collect())
+    assert good.count() + bad.count() == sum(x != "" for x in lines) and kept[:3] == [(False, 1), (False, 2), (False, 3)]
