@@ -1,8 +1,8 @@
 """Main text of web pages by composite text density.
 
 A page is read into a tree (comments, scripts, styles, forms and elements that name themselves a menu, header, footer,
-sidebar, notice, advert or reader comment are left out). A name is the last part of a class or id, without a word such
-as ``with`` or ``no`` before it. It doesn't count for an element that holds the article: see ``_unname``. Each node
+sidebar, notice, advert or reader comment are left out). A name is any part of a class or id that is listed, unless a word
+such as ``with`` or ``no`` stands right before or behind it. It doesn't count for an element that holds the article: see ``_unname``. Each node
 gets its characters per tag, adjusted by the links in it: dense links make a node sparse. Bare text and inline
 elements in a block make a node of their own, whose density is the sum of its parts between doubled line breaks; line
 breaks are no tags in this. The node whose children's densities sum to the most is the centre of the text. The least
@@ -12,7 +12,7 @@ otherwise, beside the centre, those neighbours of the way are taken whose densit
 Character references are decoded, white space inside a block becomes one space, blocks are trimmed and joined by
 newlines in page order. Null or empty html, or a page without text, gives an empty string. Pages are read one by
 one whatever their length; broken markup (open tags at the end, missing end tags, a lone <) is read as browsers
-do. Repeated rows and ties change nothing; an empty table gives an empty table; extra columns pass through, and a
+do, in time that grows with the page (open elements are found by name, not by a walk). Repeated rows and ties change nothing; an empty table gives an empty table; extra columns pass through, and a
 column with the result's name is replaced.
 """
 
@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -55,21 +55,24 @@ READERS = {"comment", "comments", "disqus"}
 WHOLE = {"widget"}
 #: Words that make a name say what an element has or hasn't, not what it is.
 MODIFIERS = {"with", "without", "has", "have", "no", "non", "not", "free", "hide"}
-#: Characters from which most of a page's text is taken for its article whatever its name is.
+#: Characters from which most of a page's text, though not all of it, is taken for its article whatever its name is.
 DENSE = 100
 #: A run of bare text and inline elements, and a part of it: nodes without a tag.
 RUN, PART = "#run", "#part"
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z:_-]+)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
-WORD = re.compile(r"[a-z0-9]+")
+WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
 
 class Node:
-    __slots__ = ("chars", "density", "dropped", "ended", "kids", "link_chars", "link_tags", "name", "parent", "tag", "tags", "total")
+    __slots__ = ("blocks", "chars", "density", "depth", "dropped", "ended", "kids", "link_chars", "link_tags", "name", "parent", "tag", "tags", "total")
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool = False) -> None:
         self.tag, self.parent, self.dropped = tag, parent, dropped
         self.name = ""
+        self.depth = parent.depth + 1 if parent else 0
+        #: Blocks and left-out elements from the root down to this one.
+        self.blocks = (parent.blocks if parent else 0) + (tag in BLOCKS or dropped)
         self.ended = False  # an inline element whose end tag came inside a block that is still open
         self.kids: list = []  # nodes and strings
         self.chars = self.tags = self.link_chars = self.link_tags = 0
@@ -92,14 +95,16 @@ def is_text(tag: str, attributes: str, in_article: bool) -> bool:
 
 def name_of(tag: str, attributes: str) -> str:
     """The listed word by which an element names itself something else than article text, or nothing."""
+    found: list[str] = []
     if attributes and tag not in ("html", "body", "article", "main"):
         for name, value in ATTRIBUTE.findall(attributes):
             if name.lower() in ("class", "id"):
-                for token in value.strip("\"'").lower().split():
-                    parts = [p for p in WORD.findall(token) if not p[0].isdigit()]
-                    if parts and parts[-1] in NAMES and MODIFIERS.isdisjoint(parts) and (len(parts) == 1 or parts[-1] not in WHOLE):
-                        return parts[-1]
-    return ""
+                for token in value.strip("\"'").split():
+                    parts = [p.lower() for p in WORD.findall(token)]
+                    for k, p in enumerate(parts):
+                        if p in NAMES and MODIFIERS.isdisjoint(parts[max(k - 1, 0):k + 2]) and (len(parts) == 1 or p not in WHOLE):
+                            found.append(p)
+    return next((p for p in found if p in READERS), found[0] if found else "")
 
 
 def read(html: str) -> Node:
@@ -107,8 +112,20 @@ def read(html: str) -> Node:
     root = Node("body", None)
     node, at = root, 0
     articles = foreign = 0  # open article and main elements; open svg and math elements
+    open_by: dict[str, list[Node]] = {}  # open elements by name, the innermost last
+    live: dict[str, list[Node]] = {}  # those of them whose end tag wasn't seen
     end = len(html)
 
+    def nearest(tags: Iterable[str]) -> Node | None:
+        """The innermost open element of these names."""
+        found = [open_by[t][-1] for t in tags if open_by.get(t)]
+        return max(found, key=lambda x: x.depth, default=None)
+
+    def outside(tags: Iterable[str], stop_at: Iterable[str]) -> Node:
+        """The parent of the nearest open element of ``tags``; the current one if there is none, or one of ``stop_at`` is nearer."""
+        found, wall = nearest(tags), nearest(stop_at)
+        return node if found is None or wall is not None and wall.depth > found.depth or wall is found else found.parent
+
     def leave(to: Node) -> None:
         """Close the open elements down to ``to``, and below it those whose end tag was seen."""
         nonlocal node, articles, foreign
@@ -117,8 +134,18 @@ def read(html: str) -> Node:
                 to = node.parent
             articles -= node.tag in ("article", "main")
             foreign -= node.tag in FOREIGN
+            open_by[node.tag].pop()
+            if not node.ended:
+                live[node.tag].pop()
             node = node.parent
 
+    def finish(x: Node) -> None:
+        """The end tag of an inline element came inside a block that is still open."""
+        if not x.ended:
+            x.ended = True
+            same = live[x.tag]
+            same.pop() if same[-1] is x else same.remove(x)
+
     while at < end:
         m = TOKEN.search(html, at)
         stop = m.start() if m else end
@@ -134,13 +161,10 @@ def read(html: str) -> Node:
             continue
         tag = tag.lower()
         if closing:
-            open_, inside_block = node, False
-            while open_.parent and open_.tag not in (tag, "table"):  # no end tag reaches out of a table
-                inside_block = inside_block or open_.tag in BLOCKS or open_.dropped
-                open_ = open_.parent
-            if open_.parent and open_.tag == tag:
-                if inside_block and tag not in BLOCKS and not open_.dropped:
-                    open_.ended = True
+            open_, table = live[tag][-1] if live.get(tag) else None, nearest(("table",))
+            if open_ and not (table and table.depth > open_.depth):  # no end tag reaches out of a table
+                if node.blocks > open_.blocks and tag not in BLOCKS and not open_.dropped:
+                    finish(open_)
                 else:
                     leave(open_.parent)
             elif tag == "p":
@@ -153,33 +177,31 @@ def read(html: str) -> Node:
             close = None if empty else re.compile(f"</{re.escape(tag)}[^>]*(?:>|\\Z)", re.I).search(html, at)
             at = at if empty else close.end() if close else end
             continue
-        if tag in ("html", "body") or tag == "form" and _close(node, {"form"}, stop_at=set()) is not node:  # no form in a form
+        if tag in ("html", "body") or tag == "form" and open_by.get("form"):  # no form in a form
             continue
         if foreign and tag in BLOCKS:  # a block ends a picture or formula that is open
-            x = node
-            while x.tag not in FOREIGN and x.tag != "foreignobject":
-                x = x.parent
+            x = nearest((*FOREIGN, "foreignobject"))
             if x.tag in FOREIGN:
                 leave(x.parent)
         if tag in BLOCKS and tag != "li":  # a block ends an open paragraph
-            leave(_close(node, {"p"}, stop_at=BLOCKS - {"p"}))
+            leave(outside(("p",), BLOCKS - {"p"}))
         if tag in ("li", "dt", "dd", "option", "tr", "td", "th"):
             ends = {"dt", "dd"} if tag in ("dt", "dd") else {"td", "th"} if tag in ("td", "th") else {"tr"} if tag == "tr" else {tag}
-            leave(_close(node, ends, stop_at={"ul", "ol", "dl", "table", "select", "menu"} | ({"tr"} if tag in ("td", "th") else set())))
+            leave(outside(ends, {"ul", "ol", "dl", "table", "select", "menu"} | ({"tr"} if tag in ("td", "th") else set())))
         if tag in ("button", "select"):  # can't be nested
-            leave(_close(node, {tag}, stop_at={"table"}))
+            leave(outside((tag,), ("table",)))
         if tag == "a":
-            x = node
-            while x.parent and x.tag not in ("a", "table"):
-                x = x.parent
-            if x.tag == "a":
-                x.ended = True
-                leave(_close(node, {"a"}, stop_at=BLOCKS))
+            x = nearest(("a", "table"))
+            if x is not None and x.tag == "a":
+                finish(x)
+                leave(outside(("a",), BLOCKS))
         new = Node(tag, node, not is_text(tag, attributes, articles > 0))
         new.name = name_of(tag, attributes)
         node.kids.append(new)
         if not empty:
             node = new
+            open_by.setdefault(tag, []).append(new)
+            live.setdefault(tag, []).append(new)
             articles += tag in ("article", "main")
             foreign += tag in FOREIGN
     prune(root)
@@ -290,7 +312,7 @@ def _unname(root: Node) -> None:
     for x in nodes[1:]:
         gone[id(x)] = gone[id(x.parent)] or x.dropped
     left = sum(own[id(x)] for x in nodes if not gone[id(x)])
-    if not left and plain[id(root)] >= DENSE:
+    if not left:
         for x in named:
             x.dropped = False
 
@@ -300,16 +322,6 @@ def prune(root: Node) -> None:
         x.kids = [k for k in x.kids if isinstance(k, str) or not k.dropped]
 
 
-def _close(node: Node, tags: set[str], stop_at: set[str]) -> Node:
-    """Close the nearest open element of ``tags``, unless one of ``stop_at`` is nearer."""
-    x = node
-    while x.parent and x.tag not in stop_at:
-        if x.tag in tags:
-            return x.parent
-        x = x.parent
-    return node
-
-
 def _walk(root: Node) -> list[Node]:
     """Parents before children, in page order."""
     out, stack = [], [root]

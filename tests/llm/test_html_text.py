@@ -101,6 +101,40 @@ def test_named_parts_are_left_out(part):
     assert main_text(f"<body><main><article>{ARTICLE}</article>{part}</main></body>") == TEXT
 
 
+@pytest.mark.parametrize("name", [
+    "comment-list", "comments-list", "commentList", "ad-slot", "advert-box", "adSlot", "AD", "ad1", "cookie-bar", "newsletter-signup", "footer-links", "site-footer-inner",
+    "share_buttons", "related-posts", "post-comments-area", "col-3 cookieBanner", "promo--wide", "main-nav-list"])
+def test_listed_words_count_in_any_part(name):
+    """Names of adverts, comments and the like as sites write them."""
+    other = "<p>Buy the best lamp of all lamps today.</p>"
+    assert main_text(f'<body><main><article>{ARTICLE}<div class="{name}">{other}</div></article></main></body>') == TEXT
+    assert main_text(f'<body><div class="post">{ARTICLE}</div><div id="{name}">{other}</div></body>') == TEXT
+
+
+@pytest.mark.parametrize("name", ["with-sidebar", "no-comments", "has-ad-free", "comments-free", "no-ads", "shadow", "advance", "header-adjust", "menus", "navy", "leads-form"])
+def test_words_that_only_look_listed(name):
+    assert main_text(f'<body><main><article>{ARTICLE}<div class="{name}"><p>Kept.</p></div></article></main></body>') == TEXT + "\nKept."
+
+
+@pytest.mark.parametrize("html", ['<div class="notice"><p>Short text only.</p></div>', '<body><div class="cookie-bar"><p>Short text only.</p></div></body>',
+                                  '<div id="comments"><div class="ad">Short text only.</div></div>'])
+def test_short_page_in_a_named_element(html):
+    """A page keeps its text whatever its length if nothing else has any."""
+    assert main_text(html) == "Short text only."
+
+
+def test_deep_markup_in_time():
+    import time
+
+    n = 8000
+    deep = ["<b>" * n + "x" + "</i>" * n, "<i>" * n + "<div>" * n + "x" + "</i>" * n, "<b>" * n + "<p>x</p>" * n, "<div>" * n + "</span>" * n + "x",
+            "<a><div>" * n + "x", "<div class='ad'>" * n + "x", "<ul><li>" * n + "x", "<svg><g>" * n + "x"]
+    start = time.process_time()
+    for html in deep:
+        main_text(html)
+    assert time.process_time() - start < 8  # under a second each
+
+
 def test_comments_longer_than_the_article():
     assert main_text(f'<body><div><h1>Head</h1>{ARTICLE}</div><div id="comments">{ARTICLE * 5}</div></body>') == "Head\n" + TEXT
 
