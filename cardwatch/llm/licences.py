@@ -1,6 +1,10 @@
 """Licence scan: a trained paragraph classifier confirmed by templates, in DataFrame operations only.
 
-Paragraphs are blocks between blank lines; in a block of over ``LONG`` words each line counts by itself. Features are
+Paragraphs are blocks between blank lines. A block of over ``LONG`` words is read in parts: its lines (cut into pieces of
+``PIECE`` words if longer), each by itself, and from each line on as many together as make ``TOGETHER`` words, so that a notice
+counts that is wrapped over lines or stands behind other text; ``paragraph`` numbers blocks and the lines of long blocks. A
+notice that a line of such a window holds by itself counts once, for that line; else windows that overlap
+count once, for the last one. Features are
 the one-, two- and three-word sequences of the training notices that hold a licence word (``ANCHORS``). MLlib fits a
 sparse multinomial logistic regression on the notices below and on variants of them, with look-alikes as the class
 ``unknown``. A prediction counts if its probability reaches a threshold that is calibrated on other variants, and if
@@ -25,13 +29,15 @@ from dataclasses import dataclass
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer, StringIndexer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardwatch.llm.common import need
 
 UNKNOWN = "unknown"
 LONG, SHORT, OVERLAP, REGULARISATION = 60, 6, 0.6, 0.002
+#: Words of a piece of a long line; words that lines are read together for. A notice of up to 31 words is whole in some window.
+PIECE, TOGETHER = 30, 50
 
 #: Notices of each family; the short ones are also its templates.
 NOTICES = {
@@ -193,6 +199,28 @@ def sequences(tokens: str) -> str:
     return f"filter(array_distinct(concat({', '.join(several)})), s -> arrays_overlap(split(s, ' '), array({anchors})))"
 
 
+def parts_of(text: str) -> str:
+    """SQL: the blocks of a text as arrays of lines; a block of at most ``LONG`` words is one."""
+    pieces = f"transform(sequence(0, (size(t) - 1) DIV {PIECE}), k -> array_join(slice(t, k * {PIECE} + 1, {PIECE}), ' '))"
+    lines = f"flatten(transform(filter(split(b, '\\\\n'), x -> trim(x) <> ''), x -> element_at(transform(array(split(trim(x), '\\\\s+')), t -> IF(size(t) > {PIECE}, {pieces}, array(x))), 1)))"
+    return f"transform(filter(split({text}, '\\\\n[ \\\\t\\\\r]*\\\\n'), b -> trim(b) <> ''), b -> IF(size(split(b, '\\\\s+')) > {LONG}, {lines}, array(b)))"
+
+
+def windows_of(lines: str, anchor: str) -> str:
+    """SQL: (first, last, text) of each line that holds an anchor, and of those lines together that do."""
+    # every line has a word, so ``TOGETHER`` lines are always enough
+    count = (f"aggregate(slice(sizes, i + 1, {TOGETHER}), named_struct('n', 0, 'k', 0), "
+             f"(a, x) -> IF(a.n >= {TOGETHER}, a, named_struct('n', a.n + x, 'k', a.k + 1)), a -> a.k)")
+    single = "transform(filter(sequence(0, size(lines) - 1), i -> held[i]), i -> named_struct('first', i, 'last', i, 'text', lines[i]))"
+    spans = f"transform(sequence(0, size(lines) - 1), i -> named_struct('first', i, 'last', i + {count} - 1))"
+    several = (f"transform(filter({spans}, m -> m.last > m.first AND exists(slice(held, m.first + 1, m.last - m.first + 1), z -> z)), "
+               "m -> named_struct('first', m.first, 'last', m.last, 'text', array_join(slice(lines, m.first + 1, m.last - m.first + 1), ' ')))")
+    bound = (f"transform(array(named_struct('lines', {lines}, 'sizes', transform({lines}, x -> size(split(trim(x), '\\\\s+'))), "
+             f"'held', transform({lines}, x -> x RLIKE {anchor}))), z -> element_at(transform(array(z.lines), lines -> element_at(transform(array(z.sizes), "
+             f"sizes -> element_at(transform(array(z.held), held -> concat({single}, {several})), 1)), 1)), 1))")
+    return f"element_at({bound}, 1)"
+
+
 @dataclass
 class Model:
     families: list[str]
@@ -236,15 +264,16 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     vocabulary = _rows(spark, [(s, n, model.weights.get(s, zero)) for s, n in bound.items()], "s string, n int, w array<double>")  # bounded by the notices
 
     anchor = "(?i)(?<![a-z0-9])(" + "|".join(a.replace(".", "[.]") for a in ANCHORS) + ")(?![a-z0-9])"
-    lines = ("flatten(transform(split(text, '\\\\n[ \\\\t\\\\r]*\\\\n'), b -> IF(size(split(b, '\\\\s+')) > "
-             f"{LONG}, split(b, '\\\\n'), array(b))))")
-    held = F.col("text").rlike(anchor)
-    paragraphs = (docs.select("doc_id", "text").where(held).withColumn("row", F.monotonically_increasing_id())
-                  .select("doc_id", "row", F.posexplode(F.filter(F.expr(lines), lambda x: F.trim(x) != "")).alias("paragraph", "text")).where(held))
-    tokens = paragraphs.selectExpr("doc_id", "row", "paragraph", f"regexp_extract_all(lower(text), '{TOKEN}', 0) AS w")
+    read = docs.select("doc_id", "text").where(F.col("text").rlike(anchor)).withColumn("row", F.monotonically_increasing_id())
+    blocks = (read.select("doc_id", "row", F.expr(parts_of("text")).alias("blocks")).withColumn("sizes", F.expr("transform(blocks, b -> size(b))"))
+              .select("doc_id", "row", "sizes", F.posexplode("blocks").alias("block", "lines"))
+              .withColumn("before", F.expr("aggregate(slice(sizes, 1, block), 0, (s, x) -> s + x)")))
+    paragraphs = blocks.select("doc_id", "row", "block", "before", F.explode(F.expr(windows_of("lines", _quoted(anchor)))).alias("x")).selectExpr(
+        "doc_id", "row", "block", "before + x.first AS paragraph", "before + x.last AS last", "x.text AS text")
+    tokens = paragraphs.selectExpr("doc_id", "row", "block", "paragraph", "last", f"regexp_extract_all(lower(text), '{TOKEN}', 0) AS w")
     several = ", ".join(f"transform(sequence(1, greatest(size(w) - {n - 1}, 0) + 1), i -> concat_ws(' ', slice(w, i, {n})))" for n in (1, 2, 3))
-    found = (tokens.selectExpr("doc_id", "row", "paragraph", "size(w) AS words", f"explode(array_distinct(concat({several}))) AS s").join(F.broadcast(vocabulary), "s")
-             .groupBy("row", "paragraph", "doc_id", "words").agg(F.sort_array(F.collect_set("n")).alias("has"), *(F.sum(F.col("w")[i]).alias(f"z{i}") for i in range(k))))
+    found = (tokens.selectExpr("doc_id", "row", "block", "paragraph", "last", "size(w) AS words", f"explode(array_distinct(concat({several}))) AS s").join(F.broadcast(vocabulary), "s")
+             .groupBy("row", "block", "paragraph", "last", "doc_id", "words").agg(F.sort_array(F.collect_set("n")).alias("has"), *(F.sum(F.col("w")[i]).alias(f"z{i}") for i in range(k))))
     # a row needs a feature of the model, not just a template's word pair
     logits = "array(" + ", ".join(f"z{i} + {model.intercept[i]!r}D" for i in range(k)) + ")"
     scored = (found.withColumn("z", F.expr(logits)).withColumn("e", F.expr("transform(z, x -> exp(x - array_max(z)))"))
@@ -257,6 +286,13 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
         F.filter(shapes, lambda t: (t["family"] == F.col("predicted")) & (t["most"] >= F.col("words"))),
         lambda t: F.struct((F.size(F.array_intersect(t["pairs"], F.col("has"))) / F.size(t["pairs"])).alias("overlap"), t["template"].alias("template")))))
     sure = (F.col("probability") >= model.threshold) & (F.col("match.overlap") >= OVERLAP)
-    return best.where(F.expr("aggregate(z, 0D, (s, x) -> s + abs(x))") != sum(map(abs, model.intercept))).select(
+    best = best.where(F.expr("aggregate(z, 0D, (s, x) -> s + abs(x))") != sum(map(abs, model.intercept)))
+    best = best.withColumns({"several": F.col("last") > F.col("paragraph"), "sure": F.coalesce(sure, F.lit(False))})
+    # lines together count only if they are sure, none of them is so by itself, and no later window begins in them
+    one = Window.partitionBy("row", "block", "predicted").orderBy("paragraph", F.desc("last")).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    like = Window.partitionBy("row", "block", "predicted", "several", "sure").orderBy("paragraph")
+    best = best.withColumns({"line": F.min(F.when(~F.col("several") & F.col("sure"), F.col("paragraph"))).over(one), "later": F.lead("paragraph").over(like)})
+    counts = ~F.col("several") | F.expr("sure AND coalesce(line > last, true) AND coalesce(later > last, true)")
+    return best.where(counts).select(
         "doc_id", "paragraph", F.when(sure, F.col("predicted")).otherwise(UNKNOWN).alias("family"), "predicted", "probability",
         F.col("match.template").alias("template"), F.coalesce("match.overlap", F.lit(0.0)).alias("overlap"))

@@ -92,3 +92,91 @@ def test_whole_table_all_five(spark, sf_small, model):
             expected.update((r.doc_id, f) for mark, f in families.items() if re.search(mark, line))
     got = collections.Counter((r.doc_id, r.family) for r in licences.scan(table, model).collect() if r.family != "unknown")
     assert got == expected and "proprietary" in {f for _, f in expected}
+
+
+PROSE = "The old harbour lay quiet under the evening sky and the boats came home one after the other while the lamps were lit along the quay"
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met: one, redistributions of source code keep the notice above and
+this list and the text below it; two, redistributions in binary form show the
+notice above and this list and the text below it in the
+manual or in other things that come with it when it is
+handed out to others."""
+
+
+def wrapped(text, width):
+    w = text.split()
+    return "\n".join(" ".join(w[k:k + width]) for k in range(0, len(w), width))
+
+
+def test_wrapped_notices_in_long_blocks(docs, model):
+    """Notices over two lines or behind prose count in blocks of any size."""
+    notices = {"bsd": BSD, "cc-by-sa": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+               "gpl": "This program is free software: you can redistribute it under the terms of the GNU General Public License.",
+               "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files."}
+    for family, notice in notices.items():
+        lines = wrapped(notice, 9) if family != "bsd" else notice
+        blocks = [lines, f"{wrapped(PROSE, 11)}\n{lines}\n{wrapped(PROSE, 7)}\n{wrapped(PROSE, 13)}", f"{PROSE}. {PROSE}. {PROSE}. " + " ".join(notice.split()) + f" {PROSE}. {PROSE}.",
+                  wrapped(f"{PROSE}. {PROSE}. {PROSE}. {notice} {PROSE}.", 10), wrapped(f"{PROSE}. {PROSE}. {notice}", 3)]
+        rows = licences.scan(docs([*enumerate(blocks)]), model).where("family <> 'unknown'").collect()
+        assert collections.Counter((r.doc_id, r.family) for r in rows) == {(k, family): 1 for k in range(len(blocks))}, family
+
+
+def test_windows_against_brute_force(docs, model):
+    """Every paragraph's family by a plain reading of the rules, from the model's weights."""
+    import math
+    import random
+
+    rng = random.Random(4)
+    anchor = re.compile("(?i)(?<![a-z0-9])(" + "|".join(a.replace(".", "[.]") for a in licences.ANCHORS) + ")(?![a-z0-9])")
+    shapes = [(f, set(licences.pairs_of(t)), most) for kind, most in ((licences.NOTICES, 10 ** 9), (licences.HEADINGS, licences.SHORT)) for f, ns in kind.items() if f != "unknown" for t in ns]
+
+    def judge(text):
+        w = licences.words(text)
+        has = {" ".join(w[i:i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1)}
+        features = has & model.weights.keys()
+        if not features:
+            return None
+        z = [b + sum(model.weights[f][k] for f in features) for k, b in enumerate(model.intercept)]
+        family, p = model.families[z.index(max(z))], 1 / sum(math.exp(x - max(z)) for x in z)
+        match = max((len(ps & has) / len(ps) for f, ps, most in shapes if f == family and most >= len(w)), default=0)
+        return family, p >= model.threshold and match >= licences.OVERLAP
+
+    def expected(text):
+        out, before = [], 0
+        for block in (b for b in re.split(r"\n[ \t\r]*\n", text) if b.strip(" ")):
+            lines = [block]
+            if len(re.split(r"\s+", block)) > licences.LONG:
+                lines = []
+                for line in (x for x in block.split("\n") if x.strip(" ")):
+                    t = re.split(r"\s+", line.strip(" "))
+                    lines += [" ".join(t[k:k + licences.PIECE]) for k in range(0, len(t), licences.PIECE)] if len(t) > licences.PIECE else [line]
+            alone = [judge(x) if anchor.search(x) else None for x in lines]
+            out += [(before + i, f[0] if f[1] else "unknown") for i, f in enumerate(alone) if f]
+            spans = {}
+            for i in range(len(lines)):
+                n, j = 0, i
+                while j < len(lines) and n < licences.TOGETHER:
+                    n += len(re.split(r"\s+", lines[j].strip(" ")))
+                    j += 1
+                if j - 1 > i and any(anchor.search(x) for x in lines[i:j]):
+                    f = judge(" ".join(lines[i:j]))
+                    if f and f[1]:
+                        spans[i] = (j - 1, f[0])
+            for i, (j, f) in spans.items():
+                if (f, True) not in alone[i:j + 1] and all(g != f for k, (_, g) in spans.items() if i < k <= j):
+                    out.append((before + i, f))
+            before += len(lines)
+        return sorted(out)
+
+    some = [t for f, ns in licences.NOTICES.items() for t in map(licences.plain, ns)] + [t for ts in licences.HEADINGS.values() for t in ts] + [PROSE, PROSE, "short line", BSD]
+    texts = []
+    for _ in range(60):
+        parts = [wrapped(rng.choice(some), rng.choice([3, 8, 12, 50])) for _ in range(rng.randrange(1, 9))]
+        texts.append("".join(p + rng.choice(["\n", " ", "\n\n", "\n \t\n", ". "]) for p in parts))
+    rows = licences.scan(docs([*enumerate(texts)]), model).collect()
+    got = collections.defaultdict(list)
+    for r in rows:
+        got[r.doc_id].append((r.paragraph, r.family))
+    for k, t in enumerate(texts):
+        assert sorted(got[k]) == expected(t), t
