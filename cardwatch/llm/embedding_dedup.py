@@ -3,7 +3,9 @@
 Vectors of one label are compared with each other. A rotation to principal axes (fitted on a sample of at most
 ``SAMPLE`` vectors; any rotation is exact, a good one is fast) puts the dimensions that tell vectors apart first.
 Rows are ordered by label and by the interleaved bits of the leading coordinates and cut into blocks. Two blocks
-form a tile unless their bounding boxes on the leading axes are too far apart. In a tile, dimensions are added up
+form a tile unless their bounding boxes on the leading axes are too far apart. Boxes are put into boxes of neighbours until
+a label has few; pairs of these that are near enough are opened level by level, so the work follows the near pairs, and a
+label on all rows is dealt by pairs of boxes. In a tile, dimensions are added up
 a slice at a time; a pair is dropped when its sum so far plus the product of the two suffix norms can't reach the
 threshold. What is left is decided on the unrotated vectors in double precision.
 
@@ -37,6 +39,8 @@ SAMPLE = 4096
 BLOCK = 1024
 #: Leading coordinates in boxes and in the order of rows; dimensions that are added up at a time.
 LEAD, SLICE = 8, 16
+#: Bits of a box's number that it shares with its neighbours in a box of boxes; boxes of a label that are compared with all.
+FAN, TOP = 4, 256
 #: Room for rounding in bounds; pairs this near the threshold go to the exact check.
 ROUNDING = 1e-9
 
@@ -197,6 +201,35 @@ def _compare(tiles: DataFrame, turn, threshold: float) -> DataFrame:
     return tiles.mapInArrow(run, "node long, n long, root long")
 
 
+def _above(boxes: DataFrame, within: bool) -> DataFrame:
+    """Boxes with ``up``, the number of their box of boxes: of one partition, or (one box is left of each) of several."""
+    part = f"shiftleft(shiftright(id, 32), 32) | shiftright(id & 4294967295, {FAN})" if within else f"shiftleft(shiftright(id, {32 + FAN}), 32)"
+    return boxes.withColumn("up", F.expr(part))
+
+
+def near_boxes(boxes: DataFrame, limit: float) -> DataFrame:
+    """Pairs (id <= id_b) of the boxes (label, dim, id, low, high) of one label and dim whose squared distance is at most ``limit``."""
+    near = f"aggregate(arrays_zip(low, high, low_b, high_b), 0D, (s, z) -> s + pow(greatest(0D, z.low - z.high_b, z.low_b - z.high), 2)) <= {limit!r}"
+    levels = []
+    while True:
+        most = boxes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n"), F.max(F.expr("id & 4294967295")).alias("i")).agg(F.max("n"), F.max("i")).first()
+        if (most[0] or 0) <= TOP:
+            break
+        levels.append(stage(_above(boxes, most[1] > 0), "boxes"))
+        edge = lambda f, c: f"transform({c}[0], (x, k) -> {f}(transform({c}, y -> y[k])))"
+        # at most 2^FAN boxes in each
+        boxes = stage(levels[-1].groupBy("label", "dim", "up").agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs")).selectExpr(
+            "label", "dim", "up AS id", f"{edge('array_min', 'lows')} AS low", f"{edge('array_max', 'highs')} AS high"), "boxes")
+    other = boxes.selectExpr("label", "dim", "id AS id_b", "low AS low_b", "high AS high_b")
+    pairs = boxes.join(other, ["label", "dim"]).where(f"id <= id_b AND {near}").select("label", "dim", "id", "id_b")
+    for level in reversed(levels):
+        kids = level.selectExpr("label", "dim", "up", "id", "low", "high")
+        again = level.selectExpr("label", "dim", "up AS up_b", "id AS id_b", "low AS low_b", "high AS high_b")
+        open_ = stage(pairs.withColumnsRenamed({"id": "up", "id_b": "up_b"}), "pairs")
+        pairs = open_.join(kids, ["label", "dim", "up"]).join(again, ["label", "dim", "up_b"]).where(f"id <= id_b AND {near}").select("label", "dim", "id", "id_b")
+    return pairs.select("id", "id_b")
+
+
 def near_vectors(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``df`` (vec_id, embedding, label): vec_id, n_links, component_id, kept."""
     need(df, "vec_id", "embedding", "label")
@@ -210,10 +243,8 @@ def near_vectors(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     full = reps.join(valid.select("node", "vec"), "node").select("label", "node", "weight", "vec")
     placed = _ordered(full, turn).repartitionByRange(shuffle_width(spark), "label", F.length("vec"), "place").sortWithinPartitions("label", F.length("vec"), "place")
     blocks = stage(_blocks(placed, turn), "blocks")
-    boxes = blocks.select("label", "dim", "block", "low", "high")
-    apart = "aggregate(arrays_zip(low, high, low_b, high_b), 0D, (s, z) -> s + pow(greatest(0D, z.low - z.high_b, z.low_b - z.high), 2))"
-    pairs = boxes.join(boxes.toDF("label", "dim", "block_b", "low_b", "high_b"), ["label", "dim"]).where("block <= block_b").where(
-        f"{apart} <= {2 - 2 * threshold + ROUNDING}").select("block", "block_b")
+    boxes = blocks.selectExpr("label", "dim", "block AS id", "low", "high")
+    pairs = near_boxes(boxes, 2 - 2 * threshold + ROUNDING).selectExpr("id AS block", "id_b AS block_b")
     side = lambda s: blocks.selectExpr(f"block AS block{s}", "dim", f"nodes AS nodes{s or '_a'}", f"weights AS weights{s or '_a'}", f"vecs AS vecs{s or '_a'}")
     # dealt out anew: one block may be in very many tiles
     pairs = stage(pairs, "tiles")

@@ -73,3 +73,35 @@ def test_query(spark, sf_small):
     rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet(f"{sf_small}/embeddings.parquet").collect()]
     got = sorted(((r.vec_id, r.n_links, r.component_id) for r in op6_embedding_dedup(spark, sf_small).collect()), key=str)
     assert got == brute(rows)
+
+
+def test_boxes_of_boxes_lose_no_pair(spark, monkeypatch):
+    """Levels of boxes over many partitions and labels give the pairs that all boxes of a label compared give."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for part in range(9):
+        for k in range(1, int(rng.integers(2, 60))):
+            low = np.cumsum(rng.normal(size=3)) * 0.3 + part
+            rows.append((1 if part < 7 else int(rng.integers(2, 4)), 3 + part % 2 * (part > 6), (part << 32) + k, low.tolist(), (low + rng.random(3) * 0.2).tolist()))
+    boxes = spark.createDataFrame(rows, "label int, dim int, id long, low array<double>, high array<double>")
+    expected = set()
+    for la, da, a, low, high in rows:
+        for lb, db, b, low_b, high_b in rows:
+            gap = np.maximum(0, np.maximum(np.array(low) - high_b, np.array(low_b) - high))
+            if (la, da) == (lb, db) and a <= b and (gap ** 2).sum() <= 0.04:
+                expected.add((a, b))
+    for top in (256, 16, 1):
+        monkeypatch.setattr(ed, "TOP", top)
+        got = [(r.id, r.id_b) for r in ed.near_boxes(boxes, 0.04).collect()]
+        assert len(got) == len(expected) and {*got} == expected
+    assert ed.near_boxes(boxes.limit(0), 0.04).collect() == []
+
+
+def test_one_label_on_all_rows(spark, monkeypatch):
+    """Small blocks, so that there are boxes of boxes."""
+    monkeypatch.setattr(ed, "BLOCK", 4)
+    monkeypatch.setattr(ed, "TOP", 3)
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(60, 12))
+    rows = [(k, (centres[k % 60] + rng.normal(size=12) * 0.1).astype(np.float32).tolist(), 7, None, None) for k in range(360)]
+    assert result(spark, rows) == brute(rows)
