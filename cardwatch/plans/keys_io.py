@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardwatch import fixtures
-from cardwatch.operators import evaluate
+from cardwatch.operators import evaluate, views
 from cardwatch.plans import keys as K
 from cardwatch.operators import silver as sv
 from cardwatch.plans import gold as gd
@@ -64,6 +64,14 @@ def q_dates_to_load(spark, sf_dir):
     return snapshots.dates_to_load(snapshots.snapshot_dates(tx), snapshots.committed_dates(spark, path))
 
 
+def q_bronze_num_files(spark, sf_dir):
+    """Rows and files of each date when the number of files is asked for."""
+    path = _p(spark, sf_dir, "bronze_files", "transactions")
+    snapshots.write_snapshots(fixtures.transactions(spark, sf_dir), path, num_files=3)
+    found = [(d, m["rows"], len(m["files"])) for d, m in snapshots.published(spark, path).items()]
+    return spark.createDataFrame(found, "snapshot_date string, n long, files long")
+
+
 def q_snapshot_recovered(spark, sf_dir):
     """All snapshots after a load that follows a half-written one."""
     tx = fixtures.transactions(spark, sf_dir)
@@ -201,6 +209,17 @@ def q_json_quarantine(spark, sf_dir):
     return bad.select("record", "reason", ((F.col("line") > 0) & F.col("file").contains("cards_damaged")).alias("placed"))
 
 
+def q_parquet_tolerant(spark, sf_dir):
+    """A table with a damaged file, read with unreadable files left out."""
+    path = _p(spark, sf_dir, "files", "users.parquet")
+    fixtures.users_data(spark, sf_dir).write.parquet(path)
+    place, fs = snapshots._folder(spark, f"{path}/part-damaged.parquet")
+    stream = fs.create(place, True)
+    stream.write(bytearray(b"no Parquet"))
+    stream.close()
+    return files.read_any(spark, path, USERS, ignore_corrupt=True)
+
+
 def q_json_permissive(spark, sf_dir):
     path = _p(spark, sf_dir, "files", "cards_data.json")
     files.write_json_lines(fixtures.cards_data(spark, sf_dir), path)
@@ -266,6 +285,15 @@ def q_periods_clients(spark, sf_dir):
     return period_views.top_suspect_clients(spark, _periods(spark, sf_dir))
 
 
+def q_views_registered(spark, sf_dir):
+    """The registered view of suspect clients, by its name."""
+    path = _p(spark, sf_dir, "gold_views", "transactions_scored")
+    store.export_parquet(K.gold(spark, sf_dir), path)
+    prefix = f"run_{uuid.uuid4().hex[:12]}_"
+    views.register_views(spark.read.schema(GOLD).parquet(path), prefix)
+    return spark.sql(f"SELECT * FROM {prefix}v_top_clients_suspects")
+
+
 def q_row_counts_observed(spark, sf_dir):
     """The counts of ``row_counts`` as the bronze and silver jobs observed them while they wrote."""
     root, run = _p(spark, sf_dir, "jobs"), uuid.uuid4().hex[:12]
@@ -352,6 +380,29 @@ def q_predict_stream(spark, sf_dir):
     return out.withColumn("explication", F.array_join("explication", "; "))
 
 
+def q_predict_fitted(spark, sf_dir):
+    """Requests scored by the fitted, saved and loaded pipeline, in batch and as a stream: explanations, whether the text and
+    the probability of each are sound, and whether the stream gives what the batch gives."""
+    from cardwatch.plans import models
+    from cardwatch.plans.predict import predict, requests_from
+    from cardwatch.streaming import predict_stream as ps
+
+    silver = K.silver(spark, sf_dir)
+    model, _ = models.train(silver, "gbt")
+    path = _p(spark, sf_dir, "model")
+    models.save(model, path)
+    loaded = models.load(path)
+    inbox, outbox, ckpt = (f"{_p(spark, sf_dir, 'stream')}/{name}" for name in ("inbox", "outbox", "checkpoint"))
+    requests_from(silver).write.parquet(inbox)
+    requests = spark.read.schema(ps.request_schema()).parquet(inbox)
+    streamed = ps.run_to_completion(spark, inbox, outbox, ckpt, loaded).selectExpr("id AS sid", "prediction AS s_prediction", "fraude_probabilite AS s_p")
+    batch = predict(requests, loaded).join(streamed, F.expr("id = sid"), "left")
+    return batch.select(
+        "id", F.array_join("explication", "; ").alias("explication"),
+        F.expr("prediction = IF(fraude_probabilite > 0.5, 'FRAUDE', 'TRANSACTION NORMALE') OR fraude_probabilite = 0.5").alias("sound"),
+        F.expr("prediction <=> s_prediction AND fraude_probabilite <=> s_p").alias("streamed"))
+
+
 IO_REGISTRY = {
     "snapshot_dates": q_snapshot_dates,
     "snapshot_bounds": q_snapshot_bounds,
@@ -359,6 +410,9 @@ IO_REGISTRY = {
     "snapshot_latest": q_snapshot_latest,
     "dates_to_load": q_dates_to_load,
     "snapshot_recovered": q_snapshot_recovered,
+    "bronze_num_files": q_bronze_num_files,
+    "parquet_tolerant": q_parquet_tolerant,
+    "views_registered": q_views_registered,
     "snapshot_manifests": q_snapshot_manifests,
     "static_snapshots": q_static_snapshots,
     "snapshot_prefix_70": q_snapshot_prefix_70,
@@ -389,4 +443,5 @@ IO_REGISTRY = {
     "jdbc_partitioned_read": q_jdbc_partitioned_read,
     "gold_jdbc": q_gold_jdbc,
     "predict_stream": q_predict_stream,
+    "predict_fitted": q_predict_fitted,
 }

@@ -30,7 +30,8 @@ def predict(requests: DataFrame, model=None, keep=("id",)) -> DataFrame:
         scored = requests.withColumn("__k", rules_fired()).withColumns(
             {"__pred": rule_decision(k), "__p": rule_probability(k)})
     else:
-        scored = model.transform(requests).withColumns(
+        # a copy has no training summary, which refers to the session (see gold.score_with_model)
+        scored = model.copy().transform(requests).withColumns(
             {"__pred": F.col("prediction"), "__p": vector_element("probability", 1)})
     return scored.select(
         *[F.col(c) for c in keep if c in requests.columns],

@@ -195,6 +195,10 @@ SELECT {_DATE_TXT} AS snapshot_date, min(id) AS lo, max(id) AS hi, count(*) AS n
 
 ORACLE["bronze_write"] = with_(MAPPING, body="SELECT * FROM transactions")
 
+ORACLE["bronze_num_files"] = with_(MAPPING, body=f"""
+SELECT {_DATE_TXT} AS snapshot_date, count(*) AS n, CAST(3 AS BIGINT) AS files FROM transactions GROUP BY 1""")
+ORACLE["parquet_tolerant"] = with_(MAPPING, body="SELECT * FROM users_data")
+ORACLE["views_registered"] = ORACLE["v_top_suspect_clients"]
 ORACLE["snapshot_recovered"] = ORACLE["bronze_write"]
 
 ORACLE["snapshot_manifests"] = with_(MAPPING, body=f"""
@@ -267,6 +271,7 @@ ORACLE["metrics_read"] = with_(*GOLD, _COUNTS, _ROC + _AUC, body="SELECT wide.*,
 ORACLE["jdbc_partitioned_read"] = ORACLE["snapshot_latest"]
 ORACLE["gold_jdbc"] = ORACLE["gold_scored"]
 ORACLE["predict_stream"] = ORACLE["predict_batch"]
+ORACLE["predict_fitted"] = with_(*BASE, body="SELECT id, explication, true AS sound, true AS streamed FROM (" + ORACLE["predict_batch"].split(BASE[-1])[-1] + ") p")
 
 # ---- other plans for the same rows, and files with odd ids ------------------------------------
 

@@ -4,7 +4,9 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes i
 reads it again as the next stage's documents, so a lost executor costs a re-read. All but the last stage return the
 columns of ``documents``; the last returns pieces with their sequence and offset.
 
-Nulls and empty texts: an empty text is scored like any other, equals other empty texts, and packs to its end id. An
+Nulls and empty texts: an empty text is scored like any other, equals other empty texts, and packs to its end id. Of
+repeated rows and ties one document stays in the second and third stage (the longest original, then the smallest id, then
+the first read); the others treat each row by itself. An
 empty table passes through all stages. Extra columns pass through the first three.
 """
 
