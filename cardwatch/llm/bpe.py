@@ -29,6 +29,8 @@ from cardwatch.llm.common import BREAK, OTHER, SEP, SPACE, char_classes, chunks,
 
 #: Words of more code points aren't kept in the worker's memory.
 LONGEST_KEPT = 64
+#: Characters of text whose words are numbered together: more of them repeat in a larger part.
+CHUNK = 2_000_000
 #: Distinct words that a worker keeps.
 WORDS_KEPT = 600_000
 
@@ -103,31 +105,41 @@ class Vocabulary:
         """Tokens of one word, given as latin-1 text of its bytes."""
         tokens = [t for _, t in self.automaton.iter_long(word)]
         known = self._pairs.get
-        for pair in itertools.pairwise(tokens):
+        for k, pair in enumerate(itertools.pairwise(tokens), 1):
             ok = known(pair)
             if not (self.compatible(*pair) if ok is None else ok):
-                return self._backtrack(word)
+                return self._backtrack(word, tokens[:k], tokens[k])
         return tokens
 
-    def _backtrack(self, word: str) -> list[int]:
-        longest = [0] * len(word)
-        length, shorter = self.length, self.shorter
-        for end, t in self.automaton.iter(word):  # a start's longer tokens come later
-            longest[end - length[t] + 1] = t
-        dead = bytearray(len(word) + 1)
-        tokens, at, t = [], 0, longest[0]
-        while at < len(word):
-            while t >= 0 and (dead[at + length[t]] or tokens and not self.compatible(tokens[-1], t)):
+    def _backtrack(self, word: str, tokens: list[int], t: int) -> list[int]:
+        """Go on from a compatible chain of longest tokens behind which the longest one, ``t``, doesn't fit."""
+        size, length, shorter, known = len(word), self.length, self.shorter, self._pairs.get
+        longest = [0] * size
+        for end, token in self.automaton.iter(word):  # a start's longer tokens come later
+            longest[end - length[token] + 1] = token
+        dead = bytearray(size + 1)
+        at = sum([length[x] for x in tokens])
+        last = tokens[-1]
+        while at < size:
+            while t >= 0:
+                if not dead[at + length[t]]:
+                    if last < 0:
+                        break
+                    ok = known((last, t))
+                    if self.compatible(last, t) if ok is None else ok:
+                        break
                 t = shorter[t]
             if t >= 0:
                 tokens.append(t)
+                last = t
                 at += length[t]
-                t = longest[at] if at < len(word) else -1
+                t = longest[at] if at < size else -1
             else:
                 dead[at] = 1
-                last = tokens.pop()
-                at -= length[last]
-                t = shorter[last]
+                gone = tokens.pop()
+                last = tokens[-1] if tokens else -1
+                at -= length[gone]
+                t = shorter[gone]
         return tokens
 
 
@@ -171,7 +183,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each text's ids begin and the last one's end."""
         ids, ends, total = [], [np.zeros(1, dtype=np.int64)], 0
-        for _, part in chunks(texts):
+        for _, part in chunks(texts, CHUNK):
             got, at = self._encode(part)
             ids.append(got)
             ends.append(at + total)
