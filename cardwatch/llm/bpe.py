@@ -218,11 +218,12 @@ class Encoder:
             if len(word) <= LONGEST_KEPT:
                 self.slot[word] = slots[i]
         slot = np.array(slots, dtype=np.int64)
-        first, count = np.array(self.first)[slot][which], np.array(self.count)[slot][which]
+        # views of the kept arrays, gone before these grow again
+        first, count = (np.frombuffer(x, dtype=np.int64)[slot][which] for x in (self.first, self.count))
         upto = np.cumsum(count)
         place = np.repeat(first - (upto - count), count)
         place += np.arange(len(place))
-        ids = self.v.outer[np.array(self.ids, dtype=np.uint32)[place]]
+        ids = self.v.outer[np.frombuffer(self.ids, dtype=np.uint32)[place]]
         return ids, upto[np.flatnonzero(points[starts] == 0xD800)]
 
 

@@ -11,6 +11,7 @@ import unicodedata
 import uuid
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -134,7 +135,9 @@ def number_spans(points: np.ndarray, starts: np.ndarray, ends: np.ndarray, at_on
 
     Spans are grouped by hash, then each is compared with its group's span; what differs is numbered by its content.
     """
-    _, index, number = np.unique(_quick_hashes(points, starts, ends), return_index=True, return_inverse=True)
+    number, distinct = pd.factorize(_quick_hashes(points, starts, ends))
+    index = np.zeros(len(distinct), dtype=np.int64)
+    index[number[::-1]] = np.arange(len(number))[::-1]  # the first span of each number is written last
     size = ends - starts
     model = index[number]
     unlike = size != size[model]
