@@ -29,8 +29,8 @@ from cardwatch.llm.common import BREAK, OTHER, SEP, SPACE, char_classes, chunks,
 
 #: Words of more code points aren't kept in the worker's memory.
 LONGEST_KEPT = 64
-#: Characters of text whose words are numbered together: more of them repeat in a larger part.
-CHUNK = 2_000_000
+#: Characters of text whose words are numbered together; more of them would repeat in a larger part, at more memory.
+CHUNK = 1_000_000
 #: Distinct words that a worker keeps.
 WORDS_KEPT = 600_000
 
