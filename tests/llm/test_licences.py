@@ -129,7 +129,7 @@ def test_windows_against_brute_force(docs, model):
 
     rng = random.Random(4)
     anchor = re.compile("(?i)(?<![a-z0-9])(" + "|".join(a.replace(".", "[.]") for a in licences.ANCHORS) + ")(?![a-z0-9])")
-    shapes = [(f, set(licences.pairs_of(t)), most) for kind, most in ((licences.NOTICES, 10 ** 9), (licences.HEADINGS, licences.SHORT)) for f, ns in kind.items() if f != "unknown" for t in ns]
+    shapes = [(f, set(licences.pairs_of(t)), most) for kind, most in ((licences.templates(), 10 ** 9), (licences.HEADINGS, licences.SHORT)) for f, ns in kind.items() if f != "unknown" for t in ns]
 
     def judge(text):
         w = licences.words(text)
@@ -180,3 +180,59 @@ def test_windows_against_brute_force(docs, model):
         got[r.doc_id].append((r.paragraph, r.family))
     for k, t in enumerate(texts):
         assert sorted(got[k]) == expected(t), t
+
+
+def test_whole_licences(docs, model):
+    """Every paragraph of the whole texts is found, in any wrapping; their disclaimers name no licence."""
+    disclaimer = 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED.'
+    rows = [(f"{f}-{width}", "\n\n".join([*(wrapped(p, width) for p in ps), disclaimer])) for f, ps in licences.TEXTS.items() for width in (9, 14, 1000)]
+    table = docs([(k, t) for k, (_, t) in enumerate(rows)])
+    got = collections.defaultdict(set)
+    for r in licences.scan(table, model).where("family <> 'unknown'").collect():
+        got[rows[r.doc_id][0]].add(r.family)
+    assert {k: v for k, v in got.items() if v != {k.rsplit("-", 1)[0]}} == {} and len(got) == len(rows)
+
+
+def test_versions(docs, model):
+    lines = {
+        "This book is licensed under the GNU General Public License, version 2.": "2.0", "Released under the GNU GPL v3 license.": "3.0",
+        licences.TEXTS["gpl"][0]: "2.0-or-later", wrapped(licences.TEXTS["gpl"][1], 9): "3.0-or-later", "License: GPLv3": "3.0", "SPDX-License-Identifier: GPL-3.0-or-later": "3.0-or-later",
+        "SPDX-License-Identifier: LGPL-2.1-only": "2.1", "Licensed under the AGPL, version 3.": "3.0", "Licensed under the Apache License, Version 2.0.": "2.0",
+        "Photos: licensed under CC BY-NC 4.0.": "4.0", "Released under the BSD 3-Clause License.": "3-clause", "Licensed under the BSD license.": None, "All rights reserved.": None,
+        "Released under the MIT License. Copyright 2021.": None, "Licensed under the Mozilla Public License, version 2.0.": "2.0"}
+    rows = licences.scan(docs([*enumerate(lines)]), model).where("family <> 'unknown'").collect()
+    got = {}
+    for r in rows:
+        got[r.doc_id] = max(got.get(r.doc_id) or "", r.version or "") or None
+    assert got == dict(enumerate(lines.values()))
+
+
+def test_calibration(spark):
+    """Temperature and threshold from made held-out scores, against the same by hand."""
+    import math
+    import random
+
+    rng = random.Random(7)
+    rows = []
+    for _ in range(300):
+        label = rng.randrange(3)
+        z = [rng.gauss(0, 3) for _ in range(3)]
+        z[label] += 4
+        rows.append((float(label), 2, z))
+    temperature, threshold = licences._calibrate(spark.createDataFrame(rows, "label double, unknown int, z array<double>"))
+
+    def soft(z, t):
+        e = [math.exp((x - max(z)) / t) for x in z]
+        return [x / sum(e) for x in e]
+
+    loss = {t: sum(-math.log(max(soft(z, t)[int(y)], 1e-12)) for y, _, z in rows) / len(rows) for t in licences.TEMPERATURES}
+    assert temperature == min(loss, key=lambda t: (round(loss[t], 12), t)) and temperature != 1
+    alike = sorted(max(p) if p.index(max(p)) != 2 else 0 for y, _, z in rows if y == 2 for p in [soft(z, temperature)])
+    allowed = int(licences.FALSE_RATE * len(alike))
+    others = [max(p) for _, _, z in rows for p in [soft(z, temperature)] if p.index(max(p)) != 2]
+    assert sum(p >= threshold for p in alike) == allowed and threshold > alike[-allowed - 1]
+    assert not any(alike[-allowed - 1] < p < threshold for p in others)
+
+
+def test_threshold_is_calibrated(model):
+    assert 0 < model.threshold < 1 and model.threshold not in (0.5, 0.9)
