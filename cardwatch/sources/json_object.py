@@ -4,8 +4,8 @@ A file like ``{"target": {"1": "Yes", "2": "No", ...}}`` is one record to a JSON
 text that ends records at each comma, which Spark can split anywhere. Most pieces are whole entries. A comma inside a
 string cuts an entry; such pieces are found by their quotes: a piece begins inside a string exactly if an odd number of
 the pieces before it have an odd number of quotes (escaped ones aside; an escape can't stand across a comma). These odd pieces
-are few. They are numbered over all splits from counts for each split, and each odd-numbered one is joined with what
-follows up to the next: pieces, not the file, are brought together.
+are counted over all splits from counts for each block of lines, and each odd-numbered one is grouped with what follows up
+to the next: pieces, not the file, are brought together. Nothing that grows with the pieces is broadcast.
 
 Values are scalars (text, numbers, true, false; null gives a null value). Keys that repeat give a row each, in no order.
 The wrapping field, if any, must be the file's only top-level field. White space anywhere outside of strings, escapes, and
@@ -44,16 +44,28 @@ def pieces(spark: SparkSession, path: str, scratch: str, split_bytes: int | None
     return numbered(stored)
 
 
-def _ranges(odd: DataFrame) -> DataFrame:
-    """Pairs of odd pieces (file, line) of each file, in order: (file, first, last). Numbered in blocks of lines, with the
-    counts of the blocks before, so that no task gets more than a block."""
-    blocked = odd.withColumn("block", F.expr("line DIV 1000000"))
-    counts = blocked.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("file", "block").orderBy("line")
-    ranked = blocked.withColumn("k", F.row_number().over(inside)).join(starts, ["file", "block"]).withColumn("k", F.expr("(before + k - 1) DIV 2"))
-    return ranked.groupBy("file", "k").agg(F.min("line").alias("first"), F.max("line").alias("last"), F.count(F.lit(1)).alias("n"))
+#: Lines of a file that are numbered together: no sorted group has more pieces.
+BLOCK = 100_000
+
+
+def _counted(cut: DataFrame, scratch: str) -> DataFrame:
+    """Add to each piece: ``n``, a number for its file's name; ``c``, the odd pieces before it in its file; ``odds``, those
+    of the whole file; ``hi``, the file's last line.
+
+    Odd pieces are counted in blocks of lines, with the counts of the blocks before. Only these counts (a row for each block)
+    are joined with the pieces, and the name of a file isn't repeated in what is sorted."""
+    blocked = cut.withColumn("block", F.expr(f"line DIV {BLOCK}"))
+    blocks = blocked.groupBy("file", "block").agg(F.count_if("odd").alias("some"), F.max("line").alias("top"))
+    own = Window.partitionBy("file")
+    before = own.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(
+        F.col("file").alias("of"), F.col("block").alias("at"), F.dense_rank().over(Window.orderBy("file")).alias("n"),
+        F.coalesce(F.sum("some").over(before), F.lit(0)).alias("before"), F.sum("some").over(own).alias("odds"), F.max("top").over(own).alias("hi"))
+    blocks = written(blocks, f"{scratch}/blocks")
+    near = blocked.join(if_few(blocks), F.expr("file = of AND block = at")).drop("file", "of", "at")
+    inside = Window.partitionBy("n", "block").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+    counted = F.col("before") + F.coalesce(F.sum(F.col("odd").cast("long")).over(inside), F.lit(0))
+    return near.withColumn("c", counted).drop("block", "before")
 
 
 def read_object(spark: SparkSession, path: str, key_name: str, value_name: str, scratch: str, wrap: str | None = None,
@@ -63,30 +75,27 @@ def read_object(spark: SparkSession, path: str, key_name: str, value_name: str,
     ``scratch``: a new folder of the shared storage for the numbered pieces. ``on_malformed``: "raise" or "drop".
     ``split_bytes``: bytes of a file that one task reads (the session's by default)."""
     cut = pieces(spark, path, scratch, split_bytes, **opts)
-    pairs = written(_ranges(cut.where("odd").select("file", "line")), f"{scratch}/cuts")
+    counted = _counted(cut, scratch)
     if on_malformed == "raise":
-        open_end = "raise_error(concat('a string is open at the end of ', file))"
-        pairs = pairs.withColumn("last", F.expr(f"IF(n = 2, last, {open_end})"))
-    spans = pairs.select(F.col("file").alias("of"), F.explode(F.expr("sequence(first, last)")).alias("at"), "first")
-    met = cut.join(spans, F.expr("file = of AND line = at"), "left")
-    whole = met.where("first IS NULL").select("file", "line", "value")
-    mended = met.where("first IS NOT NULL").groupBy("file", F.col("first").alias("line")).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "value"))), lambda x: x["value"]), ",").alias("value"))
-    entries = whole.unionByName(mended)
-    # the braces around all entries belong to the first and the last piece of a file
-    ends = cut.groupBy("file").agg(F.min("line").alias("lo"), F.max("line").alias("hi"))
-    ends = ends.withColumnRenamed("file", "of")
-    last = F.coalesce(F.col("first_of_last"), F.col("hi"))
-    tail = pairs.select(F.col("file").alias("o"), F.col("last").alias("l"), F.col("first").alias("first_of_last"))
-    ends = ends.join(tail, F.expr("o = of AND l = hi"), "left").select("of", "lo", last.alias("hi"))
+        unclosed = spark.read.parquet(f"{scratch}/blocks").where("odds % 2 = 1").select("of").first()
+        if unclosed:
+            raise ValueError(f"a string is open at the end of {unclosed[0]}")
+    # what follows the quote of a string that isn't closed stands by itself
+    alone = "NOT odd AND (c % 2 = 0 OR c = odds)"
+    whole = counted.where(alone).select("value", (F.col("line") == 1).alias("leads"), F.expr("line = hi").alias("ends"))
+    # the odd piece that opens a string, what stands inside it, and the odd piece that closes it have the same half of ``c``
+    mended = counted.where(f"NOT ({alone})").groupBy("n", F.expr("c DIV 2").alias("k")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "value"))), lambda x: x["value"]), ",").alias("value"),
+        (F.min("line") == 1).alias("leads"), F.expr("max(line) = max(hi)").alias("ends"))
+    found = whole.unionByName(mended.select(*whole.columns))
+    # the braces around all entries belong to the first and the last entry of a file
     opening = r"^\s*\{" + (rf'\s*"\Q{wrap}\E"\s*:\s*\{{' if wrap else "")
     closing = r"\}" + (r"\s*\}" if wrap else "") + r"\s*$"
-    bare = (f"IF(line = hi, regexp_replace(opened, {_sql('(?s)' + closing)}, ''), opened)")
-    found = entries.join(if_few(ends), F.expr("file = of"))
-    found = found.withColumn("opened", F.expr(f"IF(line = lo, regexp_replace(value, {_sql('(?s)' + opening)}, ''), value)"))
-    found = found.withColumn("entry", F.expr(bare)).where("NOT (lo = hi AND trim(entry) = '')")  # an empty object
+    bare = (f"IF(ends, regexp_replace(opened, {_sql('(?s)' + closing)}, ''), opened)")
+    found = found.withColumn("opened", F.expr(f"IF(leads, regexp_replace(value, {_sql('(?s)' + opening)}, ''), value)"))
+    found = found.withColumn("entry", F.expr(bare)).where("NOT (leads AND ends AND trim(entry) = '')")  # an empty object
     # brackets that are left, or were missing, don't match an entry
-    sound = (f"entry RLIKE {_sql(ENTRY)} AND NOT (line = lo AND opened = value) AND NOT (line = hi AND entry = opened)")
+    sound = (f"entry RLIKE {_sql(ENTRY)} AND NOT (leads AND opened = value) AND NOT (ends AND entry = opened)")
     key, value = (f"regexp_extract(entry, {_sql(ENTRY)}, {k})" for k in (1, 2))
     parsed = found.withColumn("pair", F.expr(f"IF({sound}, from_json(concat('{{\"k\":', {key}, ',\"v\":', {value}, '}}'), 'k STRING, v STRING'), NULL)"))
     if on_malformed == "raise":

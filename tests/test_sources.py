@@ -314,6 +314,25 @@ def test_damaged_entries_can_be_dropped(spark, scratch):
     assert objects(spark, scratch, ['{"a":"b","c" "d","e":"f"}'], on_malformed="drop") == [("a", "b"), ("e", "f")]
 
 
+def test_object_broadcasts_no_pieces(spark, scratch, monkeypatch):
+    """Strings with separators: pieces are counted by blocks of lines, and only the blocks' counts are joined with them."""
+    from cardwatch.sources import json_object
+
+    monkeypatch.setattr(json_object, "BLOCK", 50)
+    made = [{f"{n},{k}": f"a, {{{k}}}, " for k in range(300)} for n in range(3)]
+    folder = os.path.join(scratch, "in")
+    os.makedirs(folder)
+    for k, o in enumerate(made):
+        with open(f"{folder}/f{k}.json", "w") as f:
+            json.dump(o, f)
+    got = json_object.read_object(spark, folder, "k", "v", scratch + "/s", split_bytes=500)
+    assert sorted(map(tuple, got.collect())) == sorted((k, v) for o in made for k, v in o.items())
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan
+    pieces = spark.read.parquet(scratch + "/s/pieces").count()
+    assert pieces >= 3 * 900 and spark.read.parquet(scratch + "/s/blocks").count() <= pieces // 50 + 2 * len(made)
+
+
 def test_quarantine_holds_what_good_rows_lack(spark, scratch):
     lines = ['{"id": 1, "card_brand": "Visa"}', "{not json", "", '{"id": "x", "num_cards_issued": [1]}', "[1]", "7", '{"id": 2}', "null", '{"id": 3, "extra": {"a": 1}}', '"text"', "{}"]
     p = os.path.join(scratch, "in")
