@@ -346,3 +346,23 @@ def test_quarantine_holds_what_good_rows_lack(spark, scratch):
                     (8, "not an object", "null"), (10, "not an object", '"text"')]
     kept = sorted((r.id is None, r.id) for r in good.collect())
     assert good.count() + bad.count() == sum(x != "" for x in lines) and kept[:3] == [(False, 1), (False, 2), (False, 3)]
+
+
+def test_asked_files_are_written_without_a_sort(spark, scratch, monkeypatch):
+    """With few tasks for all rows, each keeps a file for each date open; the session's setting stays as it was."""
+    from pyspark.sql import DataFrameWriter
+
+    before, seen = spark.conf.get(snapshots.OPEN_FILES), []
+    plain = DataFrameWriter.parquet
+
+    def recorded(self, *args, **kw):
+        seen.append(int(spark.conf.get(snapshots.OPEN_FILES)))
+        return plain(self, *args, **kw)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", recorded)
+    df = spark.range(400).selectExpr("id DIV 2 AS id", "date_add(DATE '2025-01-01', CAST(id % 4 AS INT)) AS date_insertion")
+    snapshots.write_snapshots(df, scratch + "/b", num_files=3)
+    assert seen == [4] and spark.conf.get(snapshots.OPEN_FILES) == before
+    assert {d: (m["rows"], len(m["files"])) for d, m in snapshots.published(spark, scratch + "/b").items()} == {f"2025-01-0{k}": (100, 3) for k in range(1, 5)}
+    back = snapshots.read_snapshots(spark, scratch + "/b", df.schema)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
