@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardwatch.operators.prefix import ROWS_PER_PART
+from cardwatch.operators.prefix import ROWS_PER_PART, part_count
 
 
 def category_index(df: DataFrame, columns: Sequence[str], rows_per_part: int = ROWS_PER_PART) -> DataFrame:
@@ -22,7 +22,7 @@ def category_index(df: DataFrame, columns: Sequence[str], rows_per_part: int = R
     pairs = ", ".join(f"struct('{c}' AS column, CAST(`{c}` AS STRING) AS value)" for c in columns)
     counts = df.select(F.explode(F.expr(f"array({pairs})")).alias("p")).select("p.*").where("value IS NOT NULL").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     counts = counts.checkpoint()
-    parts = max(1, -(-counts.count() // rows_per_part))
+    parts = part_count(counts.count(), rows_per_part)
     order = [F.col("column"), F.col("n").desc(), F.col("value")]
     dealt = counts.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()).checkpoint()
     # one row for each part and column: places of a column's values in the parts before

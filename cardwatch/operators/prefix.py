@@ -18,6 +18,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_PART = 1_000_000
+#: Parts beyond which smaller ones are no use: each adds samples of its bounds, and a task's results, to the driver's memory.
+MOST_PARTS = 200
+
+
+def part_count(rows: int, rows_per_part: int) -> int:
+    """Range partitions for so many rows: parts of ``rows_per_part``, but no more than ``MOST_PARTS`` of them unless parts
+    would exceed ``ROWS_PER_PART`` rows."""
+    return max(1, min(-(-rows // rows_per_part), max(MOST_PARTS, -(-rows // ROWS_PER_PART))))
 
 
 def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str], descending: bool = True,
@@ -31,7 +39,7 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str], desce
     # Spark's cleaner when no frame refers to it any more (spark.cleaner.referenceTracking.cleanCheckpoints).
     df = df.checkpoint(eager=True)
     n = df.count()
-    parts = max(1, -(-n // rows_per_part))
+    parts = part_count(n, rows_per_part)
     o = F.col(order_col).desc() if descending else F.col(order_col).asc()
     if parts == 1:
         # Everything fits one bounded part: a single running window, no checkpoint needed.

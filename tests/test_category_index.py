@@ -33,3 +33,25 @@ def test_ties_are_alphabetical(spark):
     got = {r.value: r.idx for r in category_index(df, ["a"], rows_per_part=30).collect()}
     counts = collections.Counter(values)
     assert got == {v: float(k) for k, v in enumerate(sorted(counts, key=lambda v: (-counts[v], v)))}
+
+
+def test_small_parts_are_bounded_in_number(spark, monkeypatch):
+    """Each range partition sends samples to the driver: there aren't as many of them as values."""
+    from cardwatch.operators.prefix import MOST_PARTS, ROWS_PER_PART, part_count, running_totals
+
+    assert [part_count(n, 500) for n in (0, 1, 501, 10 ** 8)] == [1, 1, 2, MOST_PARTS]
+    assert part_count(10 ** 9, 500) == part_count(10 ** 9, ROWS_PER_PART) == 1000
+    df = spark.createDataFrame([(f"v{k}", k % 3 + 1) for k in range(MOST_PARTS + 50)], "a string, n long").selectExpr("a", "explode(sequence(1L, n))").select("a")
+    parts, plain = [], type(df).repartitionByRange
+
+    def recorded(self, n, *cols):
+        parts.append(n)
+        return plain(self, n, *cols)
+
+    monkeypatch.setattr(type(df), "repartitionByRange", recorded)
+    got = {r.value: r.idx for r in category_index(df, ["a"], rows_per_part=1).collect()}
+    counts = collections.Counter(r.a for r in df.collect())
+    assert got == {v: float(k) for k, v in enumerate(sorted(counts, key=lambda v: (-counts[v], v)))}
+    sums = running_totals(spark.range(MOST_PARTS + 50), "id", ["id"], descending=False, rows_per_part=1)
+    assert [r.cum_id for r in sums.orderBy("id").collect()] == [k * (k + 1) // 2 for k in range(MOST_PARTS + 50)]
+    assert parts == [MOST_PARTS, MOST_PARTS]
