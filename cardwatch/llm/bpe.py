@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from cardwatch.llm.common import BREAK, OTHER, SEP, SPACE, char_classes, chunks, join_texts, need, number_spans, small_batches
+from cardwatch.llm.common import BREAK, OTHER, SEP, SPACE, char_classes, chunks, join_texts, kept, need, number_spans, small_batches
 
 #: Words of more code points aren't kept in the worker's memory.
 LONGEST_KEPT = 64
@@ -236,16 +236,14 @@ def decode(v: Vocabulary, ids: np.ndarray) -> bytes:
     return v.bytes[place].tobytes()
 
 
-_loaded: dict[str, tuple[Vocabulary, Encoder]] = {}
-
-
 def loaded(text: str) -> tuple[Vocabulary, Encoder]:
-    """The tables of a tokenizer file, built once per worker."""
+    """The tables of a tokenizer file, built once per worker, until it does other work."""
+    tables = kept("bpe")
     key = hashlib.sha256(text.encode()).hexdigest()
-    if key not in _loaded:
+    if key not in tables:
         v = Vocabulary(text)
-        _loaded[key] = (v, Encoder(v))
-    return _loaded[key]
+        tables[key] = (v, Encoder(v))
+    return tables[key]
 
 
 def read_tokenizer(df: DataFrame, path: str):

@@ -6,6 +6,8 @@ word borders are where classes change, and polynomial hashes of every word come
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
 import unicodedata
 import uuid
@@ -103,6 +105,23 @@ def _power_table(base: int, n: int) -> np.ndarray:
     return known
 
 
+_kept: dict[str, dict] = {}
+
+
+def kept(work: str) -> dict:
+    """What a Python worker keeps from task to task of one kind of work.
+
+    Spark uses its workers again for whatever stage comes next: the first task of other work drops this, and hands the memory
+    that it took back to the system, where the C library has a call for that. Results don't depend on it."""
+    if _kept.keys() != {work}:
+        _kept.clear()
+        _powers.clear()
+        with contextlib.suppress(AttributeError, OSError):
+            ctypes.CDLL(None).malloc_trim(0)
+        _kept[work] = {}
+    return _kept[work]
+
+
 def join_texts(texts: list[str]) -> np.ndarray:
     """Code points of all texts, each followed by SEP."""
     return np.frombuffer((SEP.join(texts) + SEP).encode("utf-32-le", "surrogatepass"), dtype="<u4")

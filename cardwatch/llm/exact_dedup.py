@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from cardwatch.llm.common import need, small_batches, stage, text_hash
+from cardwatch.llm.common import kept, need, small_batches, stage, text_hash
 
 BLANKS = bytes([0x20, *range(0x09, 0x0E)])
 #: Bytes of distinct text in a bucket before it is split.
@@ -58,6 +58,7 @@ def _entries(df: DataFrame) -> DataFrame:
     arrow_id = to_arrow_type(id_type)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("exact_dedup")
         found: dict[bytes, list] = {}
         held, pos = 0, TaskContext.get().partitionId() << 40
 
@@ -163,6 +164,7 @@ def _thin(entries: DataFrame) -> DataFrame:
     schema = entries.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("exact_dedup")
         last, seen = None, {}
         for batch in batches:
             content, same = batch.column("content").to_pylist(), batch.column("same_as").to_pylist()
@@ -190,6 +192,7 @@ def _own(entries: DataFrame, id_type: T.DataType) -> DataFrame:
              pa.list_(arrow_id), pa.list_(pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("exact_dedup")
         out: list[tuple] = []
         key, chain, named = None, [], {}
 

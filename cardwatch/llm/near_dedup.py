@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardwatch.llm.common import chunks, mix, need, number_spans, small_batches, space_spans, span_hashes, stage, text_hash
+from cardwatch.llm.common import chunks, kept, mix, need, number_spans, small_batches, space_spans, span_hashes, stage, text_hash
 from cardwatch.llm.graph import merged
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -143,6 +143,7 @@ def _alike(a: str, b: str, threshold: float) -> str:
 def _wide(texts: DataFrame) -> DataFrame:
     """(node, code, bands): the second signatures of stored texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("near_dedup")
         for batch in batches:
             nodes = batch.column("node")
             for first, part in chunks(batch.column("text").to_pylist(), CHUNK):
@@ -162,6 +163,7 @@ def _sketch(df: DataFrame) -> DataFrame:
         T.StructField("copy", T.StringType()), T.StructField("total", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("near_dedup")
         node = TaskContext.get().partitionId() << 40
         for batch in batches:
             for first, texts in chunks([t or "" for t in batch.column("text").to_pylist()], CHUNK):
@@ -206,6 +208,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     joined = member.join(texts.selectExpr("node AS a", "text AS text_a"), "a").select("a", "b", "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("near_dedup")
         for batch in batches:
             a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
             text_a, found = batch.column("text_a"), []

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardwatch.llm.common import BREAK, LETTER, NUMBER, OTHER, SPACE, char_classes, chunks, join_texts, need, small_batches, span_hashes
+from cardwatch.llm.common import BREAK, LETTER, NUMBER, OTHER, SPACE, char_classes, chunks, join_texts, kept, need, small_batches, span_hashes
 
 #: Labelled rows used for the fit.
 SAMPLE = 8000
@@ -203,6 +203,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", metadata:
             .select("doc_id", "__label", "__row.text", *(F.col("__row")[c].alias(c) for c in metadata)))  # bounded by ``sample``
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("quality")
         for batch in batches:
             meta = _meta(batch, metadata)
             for first, texts in chunks([t or "" for t in batch.column("text").to_pylist()]):
@@ -236,6 +237,7 @@ def score(docs: DataFrame, model: Model, metadata: tuple[str, ...] = (), name: s
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most (BUCKETS + bins) x (FACTORS + 1) numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("quality")
         m = shared.value
         for batch in batches:
             meta = _meta(batch, metadata)

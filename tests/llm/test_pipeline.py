@@ -63,3 +63,20 @@ def test_registered():
 
     keys = __spark_entry__.queries()
     assert "pipeline" in keys and [sum(k.startswith(f"op{n}_") for k in keys) for n in range(1, 14)] == [1] * 13
+
+
+def test_a_worker_drops_what_other_work_kept():
+    """Python workers go from stage to stage: the tables of one stage don't stay beside the next one's."""
+    import public_tokenizers
+
+    from cardwatch.llm import bpe
+    from cardwatch.llm.common import kept
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        file = f.read()
+    first = bpe.loaded(file)
+    ids = first[1].encode(["a text, twice a text"])[0].tolist()
+    assert bpe.loaded(file) is first and len(kept("bpe")) == 1
+    assert kept("near_dedup") == {} and kept("bpe") == {}
+    again = bpe.loaded(file)
+    assert again is not first and again[1].encode(["a text, twice a text"])[0].tolist() == ids
